@@ -284,3 +284,264 @@ SELECT l.quality AS label, count(*)::BIGINT AS n_articles,
     AS reuters_lead_signature
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id GROUP BY l.quality
 """
+
+
+# --- model chain (vocabulary, weights, chi-square, scaling, one logistic step) ----
+import numpy as _np  # noqa: E402
+
+THRESH_HEX = format(int(0.2 * 16 ** 8), "08x")
+
+
+def dbl(x: float) -> str:
+    return f"{float(x)!r}::DOUBLE"
+
+
+def all_docs_vocab_ctes() -> str:
+    """Vocabulary over every document (min_df 2, max_df 0.98, top 5000)."""
+    return f"""
+    vd AS (SELECT doc_id, {full_clean_tokens_sql('text')} AS tokens FROM documents),
+    vd2 AS (SELECT doc_id, tokens FROM vd WHERE len(tokens) > 0),
+    vterms AS (
+      SELECT doc_id, unnest(list_concat(tokens,
+        list_transform(range(1, len(tokens)), lambda i: tokens[i] || ' ' || tokens[i + 1]))) AS term
+      FROM vd2),
+    vtf AS (SELECT doc_id, term, count(*) AS tf FROM vterms GROUP BY doc_id, term),
+    vn AS (SELECT count(*) AS n FROM vd2),
+    vdf AS (SELECT term, count(*) AS df, sum(tf) AS tf_total FROM vtf GROUP BY term),
+    vocab AS (
+      SELECT term, df, tf_total, ln((1.0::DOUBLE + n) / (1.0::DOUBLE + df)) + 1.0::DOUBLE AS idf
+      FROM vdf, vn WHERE df >= 2 AND df <= {dbl(0.98)} * n
+      ORDER BY tf_total DESC, term ASC LIMIT 5000),
+    vw0 AS (SELECT t.doc_id, t.term, (1.0::DOUBLE + ln(t.tf)) * v.idf AS raw_w FROM vtf t JOIN vocab v ON t.term = v.term),
+    vweights AS (SELECT doc_id, term, raw_w / sqrt(sum(raw_w * raw_w) OVER (PARTITION BY doc_id)) AS weight FROM vw0)"""
+
+
+def model_ctes() -> str:
+    """The whole labelled train-and-score chain; final CTE ``scored``."""
+    scaled = ",\n".join(
+        f"(f.{c} - m.mn_{c}) * (CASE WHEN m.mx_{c} - m.mn_{c} = 0 THEN 1.0::DOUBLE "
+        f"ELSE 1.0::DOUBLE / (m.mx_{c} - m.mn_{c}) END) AS {c}" for c in FEATURES)
+    mins = ", ".join(f"min(f.{c}) AS mn_{c}, max(f.{c}) AS mx_{c}" for c in FEATURES)
+    dense_rows = " UNION ALL ".join(f"SELECT doc_id, 'dense:{c}' AS feature, {c} AS value FROM dense" for c in FEATURES)
+    return f"""
+    lab AS (SELECT d.doc_id, d.text, l.quality AS label FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+    firsts AS (SELECT text, min(doc_id) AS doc_id FROM lab WHERE text IS NOT NULL GROUP BY text),
+    docs0 AS (SELECT lab.doc_id, lab.text, lab.label, {full_clean_tokens_sql('lab.text')} AS tokens
+              FROM lab JOIN firsts ON lab.doc_id = firsts.doc_id),
+    docs AS (
+      SELECT doc_id, text, label, tokens, array_to_string(tokens, ' ') AS clean, {title_sql('text')} AS title,
+        CASE WHEN substr(sha256('42:' || doc_id::VARCHAR), 1, 8) < '{THRESH_HEX}' THEN 'test' ELSE 'train' END AS split
+      FROM docs0 WHERE len(tokens) > 0),
+    train AS (SELECT doc_id, label FROM docs WHERE split = 'train'),
+    ntrain AS (SELECT count(*) AS n FROM train),
+    terms AS (
+      SELECT doc_id, unnest(list_concat(tokens,
+        list_transform(range(1, len(tokens)), lambda i: tokens[i] || ' ' || tokens[i + 1]))) AS term
+      FROM docs),
+    tf AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY doc_id, term),
+    dfreq AS (SELECT term, count(*) AS df, sum(tf) AS tf_total FROM tf
+              WHERE doc_id IN (SELECT doc_id FROM train) GROUP BY term),
+    vocab AS (
+      SELECT term, df, tf_total, ln((1.0::DOUBLE + n) / (1.0::DOUBLE + df)) + 1.0::DOUBLE AS idf
+      FROM dfreq, ntrain WHERE df >= 2 AND df <= {dbl(0.98)} * n
+      ORDER BY tf_total DESC, term ASC LIMIT 5000),
+    w0 AS (SELECT t.doc_id, t.term, (1.0::DOUBLE + ln(t.tf)) * v.idf AS raw_w FROM tf t JOIN vocab v ON t.term = v.term),
+    wts AS (SELECT doc_id, term, raw_w / sqrt(sum(raw_w * raw_w) OVER (PARTITION BY doc_id)) AS weight FROM w0),
+    prior AS (SELECT (count(*) FILTER (WHERE label = 1))::DOUBLE / count(*) AS p1 FROM train),
+    obs AS (
+      SELECT w.term, sum(CASE WHEN t.label = 1 THEN w.weight ELSE 0.0::DOUBLE END) AS o1,
+             sum(CASE WHEN t.label = 1 THEN 0.0::DOUBLE ELSE w.weight END) AS o0
+      FROM wts w JOIN train t ON w.doc_id = t.doc_id GROUP BY w.term),
+    chi AS (
+      SELECT term, {q6('(o0 - (o0 + o1) * (1.0::DOUBLE - p1)) * (o0 - (o0 + o1) * (1.0::DOUBLE - p1)) / ((o0 + o1) * (1.0::DOUBLE - p1)) + (o1 - (o0 + o1) * p1) * (o1 - (o0 + o1) * p1) / ((o0 + o1) * p1)')} AS chi2
+      FROM obs, prior),
+    sel AS (SELECT term, chi2 FROM chi ORDER BY chi2 DESC, term DESC LIMIT 4000),
+    fsrc AS (SELECT doc_id, coalesce(text, '') AS raw, clean, title FROM docs),
+    {features_sql('fsrc')},
+    mm AS (SELECT {mins} FROM fx f JOIN train t ON f.doc_id = t.doc_id),
+    dense AS (SELECT f.doc_id, {scaled} FROM fx f, mm m),
+    hybrid AS (
+      SELECT w.doc_id, w.term AS feature, w.weight AS value FROM wts w JOIN sel s ON w.term = s.term
+      UNION ALL {dense_rows}),
+    ntr AS (SELECT count(*)::DOUBLE AS n FROM train),
+    resid AS (SELECT doc_id, 0.5::DOUBLE - label AS r FROM train),
+    grad AS (
+      SELECT h.feature, sum(r.r * h.value) / n.n AS g FROM hybrid h JOIN resid r ON h.doc_id = r.doc_id, ntr n
+      GROUP BY h.feature, n.n),
+    bgrad AS (SELECT sum(r) / n.n AS g FROM resid, ntr n GROUP BY n.n),
+    weights AS (
+      SELECT feature, 0.0::DOUBLE - {dbl(1.0)} * g AS weight FROM grad
+      UNION ALL SELECT '__bias__' AS feature, 0.0::DOUBLE - {dbl(1.0)} * g AS weight FROM bgrad),
+    margin AS (
+      SELECT h.doc_id, sum(h.value * coalesce(w.weight, 0.0::DOUBLE)) + (SELECT weight FROM weights WHERE feature = '__bias__') AS m
+      FROM hybrid h LEFT JOIN (SELECT * FROM weights WHERE feature <> '__bias__') w ON h.feature = w.feature
+      GROUP BY h.doc_id),
+    scored AS (
+      SELECT d.doc_id, d.label, d.split, 1.0::DOUBLE / (1.0::DOUBLE + exp(-m.m)) AS p_real
+      FROM margin m JOIN docs d ON m.doc_id = d.doc_id),
+    test AS (SELECT doc_id, label, p_real FROM scored WHERE split = 'test')"""
+
+
+def _with(body: str, select: str) -> str:
+    return "WITH " + body.strip().rstrip(",") + "\n" + select
+
+
+_M = model_ctes()
+_V = all_docs_vocab_ctes()
+
+ORACLES["tfidf_vocabulary"] = _with(_V, f"SELECT term, df::BIGINT AS df, tf_total::BIGINT AS tf_total, {q6('idf')} AS idf FROM vocab")
+ORACLES["tfidf_weights"] = _with(_V, f"SELECT doc_id, term, {q6('weight')} AS weight FROM vweights")
+
+
+def _with2(body: str, extra: str, select: str) -> str:
+    return "WITH " + body.strip().rstrip(",") + ",\n" + extra.strip().rstrip(",") + "\n" + select
+
+
+ORACLES["tfidf_top_tokens"] = _with2(_V, f"""
+    qw AS (SELECT doc_id, term, {q6('weight')} AS weight FROM vweights),
+    rk AS (SELECT doc_id, term, weight,
+             row_number() OVER (PARTITION BY doc_id ORDER BY weight DESC, term ASC) AS rank FROM qw)""",
+    "SELECT doc_id, term, weight, rank FROM rk WHERE rank <= 5")
+
+ORACLES["chi2_selection"] = _with(_M, "SELECT term, chi2 FROM sel")
+ORACLES["minmax_scaled_features"] = _with(_M, "SELECT doc_id, " + ", ".join(q6(c) + " AS " + c for c in FEATURES)
+                                          + " FROM dense")
+ORACLES["online_weights"] = _with(_M, f"SELECT feature, {q6('weight')} AS weight FROM weights")
+ORACLES["scored_documents"] = _with(_M, f"""
+SELECT doc_id, label, split, {q6('p_real')} AS p_real, {q6('1.0::DOUBLE - p_real')} AS p_fake,
+  CASE WHEN p_real >= 0.5 THEN 1 ELSE 0 END AS pred,
+  {q6('CASE WHEN p_real >= 0.5 THEN p_real ELSE 1.0::DOUBLE - p_real END')} AS confidence
+FROM scored""")
+
+ORACLES["eval_confusion"] = _with(_M, """
+SELECT c.label, c.pred, coalesce(n.n, 0)::BIGINT AS n
+FROM (SELECT * FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) v(label, pred)) c
+LEFT JOIN (SELECT label, CASE WHEN p_real >= 0.5 THEN 1 ELSE 0 END AS pred, count(*) AS n FROM test GROUP BY 1, 2) n
+  ON c.label = n.label AND c.pred = n.pred""")
+
+_CELLS = """,
+    cells AS (
+      SELECT count(*) FILTER (WHERE label = 1 AND p_real >= 0.5) AS tp,
+             count(*) FILTER (WHERE label = 0 AND p_real >= 0.5) AS fp,
+             count(*) FILTER (WHERE label = 1 AND p_real < 0.5) AS fn,
+             count(*) FILTER (WHERE label = 0 AND p_real < 0.5) AS tn FROM test),
+    m AS (
+      SELECT tp, fp, fn, tn,
+        CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS p1,
+        CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END AS r1,
+        CASE WHEN tn + fn = 0 THEN 0.0 ELSE tn / (tn + fn) END AS p0,
+        CASE WHEN tn + fp = 0 THEN 0.0 ELSE tn / (tn + fp) END AS r0
+      FROM cells),
+    m2 AS (
+      SELECT *, CASE WHEN p1 + r1 = 0 THEN 0.0 ELSE 2 * p1 * r1 / (p1 + r1) END AS f1,
+                CASE WHEN p0 + r0 = 0 THEN 0.0 ELSE 2 * p0 * r0 / (p0 + r0) END AS f0,
+                tp + fn AS s1, tn + fp AS s0 FROM m)"""
+
+ORACLES["eval_class_report"] = _with(_M + _CELLS, f"""
+SELECT cls, {q6('precision')} AS precision, {q6('recall')} AS recall, {q6('f1')} AS f1, support::BIGINT AS support FROM (
+  SELECT '0' AS cls, p0 AS precision, r0 AS recall, f0 AS f1, s0 AS support FROM m2
+  UNION ALL SELECT '1', p1, r1, f1, s1 FROM m2
+  UNION ALL SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, s0 + s1 FROM m2
+  UNION ALL SELECT 'weighted avg',
+    CASE WHEN s0 + s1 = 0 THEN 0.0 ELSE (p0 * s0 + p1 * s1) / (s0 + s1) END,
+    CASE WHEN s0 + s1 = 0 THEN 0.0 ELSE (r0 * s0 + r1 * s1) / (s0 + s1) END,
+    CASE WHEN s0 + s1 = 0 THEN 0.0 ELSE (f0 * s0 + f1 * s1) / (s0 + s1) END, s0 + s1 FROM m2)""")
+
+_BYSCORE = """,
+    bys AS (SELECT p_real, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg
+            FROM test GROUP BY p_real),
+    tot AS (SELECT sum(pos) AS P, sum(neg) AS N FROM bys)"""
+
+ORACLES["eval_summary"] = _with(_M + _CELLS + _BYSCORE + """,
+    auc AS (
+      SELECT CASE WHEN (SELECT P FROM tot) = 0 OR (SELECT N FROM tot) = 0 THEN 1.0
+        ELSE sum(pos * (coalesce(neg_below, 0) + 0.5 * neg)) / ((SELECT P FROM tot) * (SELECT N FROM tot)) END AS a
+      FROM (SELECT pos, neg, sum(neg) OVER (ORDER BY p_real ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS neg_below
+            FROM bys))""", f"""
+SELECT {q6('CASE WHEN tp + tn + fp + fn = 0 THEN 0.0 ELSE (tp + tn) / (tp + tn + fp + fn) END')} AS accuracy,
+  {q6('p1')} AS precision, {q6('r1')} AS recall, {q6('f1')} AS f1,
+  {q6('CASE WHEN tn + fp = 0 THEN 0.0 ELSE fp / (tn + fp) END')} AS fpr,
+  {q6('CASE WHEN tp + fn = 0 THEN 0.0 ELSE fn / (tp + fn) END')} AS fnr,
+  {q6('(SELECT a FROM auc)')} AS roc_auc,
+  CASE WHEN (tp + tn) / (tp + tn + fp + fn) >= 0.8 THEN 'PASS' ELSE 'WARN' END AS status
+FROM m2""")
+
+ORACLES["eval_roc_curve"] = _with(_M + _BYSCORE, f"""
+SELECT {q6('p_real')} AS threshold,
+  {q6('CASE WHEN N = 0 THEN 0.0 ELSE cn / N END')} AS fpr, {q6('CASE WHEN P = 0 THEN 0.0 ELSE cp / P END')} AS tpr
+FROM (SELECT p_real, sum(pos) OVER (ORDER BY p_real DESC) AS cp, sum(neg) OVER (ORDER BY p_real DESC) AS cn FROM bys), tot""")
+
+ORACLES["eval_pr_curve"] = _with(_M + _BYSCORE + """,
+    pr AS (SELECT p_real, pos, cp / (cp + cn) AS precision, CASE WHEN P = 0 THEN 0.0 ELSE cp / P END AS recall
+           FROM (SELECT p_real, pos, sum(pos) OVER (ORDER BY p_real DESC) AS cp,
+                        sum(neg) OVER (ORDER BY p_real DESC) AS cn FROM bys), tot),
+    ap AS (SELECT CASE WHEN (SELECT P FROM tot) = 0 THEN 0.0 ELSE sum(pos / (SELECT P FROM tot) * precision) END AS ap FROM pr)""",
+    f"SELECT {q6('p_real')} AS threshold, {q6('precision')} AS precision, {q6('recall')} AS recall, "
+    f"{q6('(SELECT ap FROM ap)')} AS average_precision FROM pr")
+
+_EDGES = "[" + ", ".join(dbl(x) for x in _np.linspace(0.0, 1.0, 11)[1:-1]) + "]"
+ORACLES["eval_calibration"] = _with(_M, f"""
+SELECT bin, {q6('avg(p_real)')} AS mean_predicted, {q6('avg(label::DOUBLE)')} AS fraction_positive, count(*)::BIGINT AS n
+FROM (SELECT p_real, label, len(list_filter({_EDGES}, lambda e: e < p_real)) AS bin FROM test) GROUP BY bin""")
+
+_GRID = " UNION ALL ".join(f"SELECT {i} AS idx, {dbl(t)} AS threshold" for i, t in enumerate(_np.linspace(0.1, 0.9, 81)))
+_SWEEP = f""",
+    grid AS ({_GRID}),
+    sweep AS (
+      SELECT g.idx, g.threshold,
+        count(t.doc_id) FILTER (WHERE t.label = 1 AND t.p_real >= g.threshold) AS tp,
+        count(t.doc_id) FILTER (WHERE t.label = 0 AND t.p_real >= g.threshold) AS fp,
+        (SELECT count(*) FROM test WHERE label = 1) AS P
+      FROM grid g LEFT JOIN test t ON TRUE GROUP BY g.idx, g.threshold),
+    f1s AS (SELECT idx, {q6('threshold')} AS threshold,
+              {q6('CASE WHEN 2 * tp + fp + (P - tp) = 0 THEN 0.0 ELSE 2 * tp / (2 * tp + fp + (P - tp)) END')} AS f1
+            FROM sweep)"""
+ORACLES["eval_threshold_sweep"] = _with(_M + _SWEEP, "SELECT idx, threshold, f1 FROM f1s")
+ORACLES["eval_best_threshold"] = _with(_M + _SWEEP, """
+SELECT coalesce((SELECT threshold FROM f1s WHERE f1 > 0 ORDER BY f1 DESC, idx ASC LIMIT 1), 0.5) AS best_threshold,
+       coalesce((SELECT f1 FROM f1s WHERE f1 > 0 ORDER BY f1 DESC, idx ASC LIMIT 1), 0.0) AS best_f1""")
+
+ORACLES["eval_hardest_errors"] = _with(_M, f"""
+SELECT e.doc_id, e.label, e.pred, e.confidence, substr(d.text, 1, 350) AS excerpt FROM (
+  SELECT doc_id, label, CASE WHEN p_real >= 0.5 THEN 1 ELSE 0 END AS pred,
+    {q6('CASE WHEN p_real >= 0.5 THEN p_real ELSE 1.0::DOUBLE - p_real END')} AS confidence
+  FROM test WHERE (CASE WHEN p_real >= 0.5 THEN 1 ELSE 0 END) <> label
+  ORDER BY confidence DESC, doc_id ASC LIMIT 5) e JOIN docs d ON e.doc_id = d.doc_id""")
+
+ORACLES["model_top_coefficients"] = _with(_M, f"""
+SELECT direction, feature, {q6('weight')} AS weight FROM (
+  (SELECT 'fake' AS direction, feature, weight FROM weights
+   WHERE feature <> '__bias__' AND NOT starts_with(feature, 'dense:') ORDER BY weight ASC, feature ASC LIMIT 15)
+  UNION ALL
+  (SELECT 'real' AS direction, feature, weight FROM weights
+   WHERE feature <> '__bias__' AND NOT starts_with(feature, 'dense:') ORDER BY weight DESC, feature ASC LIMIT 15))""")
+
+ORACLES["explain_top_words"] = _with(_M, f"""
+SELECT doc_id, direction, rank, feature, {q6('contribution')} AS contribution FROM (
+  SELECT doc_id, direction, feature, contribution,
+    row_number() OVER (PARTITION BY doc_id, direction ORDER BY (floor((abs(contribution)) * 1000000.0 + 0.5) / 1000000.0) DESC, feature ASC) AS rank
+  FROM (
+    SELECT h.doc_id, h.feature, h.value * w.weight AS contribution,
+      CASE WHEN h.value * w.weight > 0 THEN 'real' ELSE 'fake' END AS direction
+    FROM hybrid h JOIN weights w ON h.feature = w.feature
+    WHERE h.doc_id IN (SELECT doc_id FROM test) AND w.feature <> '__bias__'
+      AND NOT starts_with(h.feature, 'dense:') AND h.value * w.weight <> 0))
+WHERE rank <= 8""")
+
+
+def _category_rows() -> str:
+    from credlens.operators.linear import CATEGORY_KEYWORDS
+    rows = []
+    for col, display in zip(FEATURES, lx.DENSE_FEATURE_DISPLAY_NAMES):
+        for cat, kws in CATEGORY_KEYWORDS.items():
+            if any(kw in display.lower() for kw in kws):
+                rows.append(f"({s('dense:' + col)}, {s(cat)})")
+    return ", ".join(rows)
+
+
+ORACLES["explain_categories"] = _with(_M, f"""
+SELECT h.doc_id, c.category, {q6('sum(h.value * w.weight)')} AS contribution
+FROM hybrid h JOIN weights w ON h.feature = w.feature
+JOIN (SELECT * FROM (VALUES {_category_rows()}) v(feature, category)) c ON h.feature = c.feature
+WHERE h.doc_id IN (SELECT doc_id FROM test)
+GROUP BY h.doc_id, c.category""")

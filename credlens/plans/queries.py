@@ -111,3 +111,167 @@ QUERIES = {
     "audit_label_subject": audit_label_subject,
     "audit_publisher_mentions": audit_publisher_mentions,
 }
+
+
+# --- vocabulary / weighting (VEC) ------------------------------------------------
+from credlens.operators import evaluation as ev  # noqa: E402
+from credlens.operators import linear  # noqa: E402
+from credlens.operators import vocab as vc  # noqa: E402
+from credlens.plans import model_flow  # noqa: E402
+
+
+def _all_doc_tokens(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", tx.full_clean_tokens(F.col("text")).alias("tokens"))
+    return vc.partition_docs(d.filter(F.size("tokens") > 0))
+
+
+def tfidf_vocabulary(spark, sf_dir):
+    """VEC-01..03 over all documents: pruned top-5000 vocabulary with df and idf."""
+    docs = _all_doc_tokens(spark, sf_dir).persist()
+    n = docs.count()
+    v = vc.prune_vocabulary(vc.document_frequencies(vc.term_frequencies(docs)), n, vc.BASELINE)
+    return v.select("term", F.col("df").cast("long").alias("df"), F.col("tf_total").cast("long").alias("tf_total"),
+                    q6(F.col("idf")).alias("idf"))
+
+
+def tfidf_weights(spark, sf_dir):
+    """VEC-04: L2-normalised sublinear TF-IDF weights (long form) for every document."""
+    docs = _all_doc_tokens(spark, sf_dir).persist()
+    n = docs.count()
+    tf = vc.term_frequencies(docs)
+    v = vc.prune_vocabulary(vc.document_frequencies(tf), n, vc.BASELINE)
+    return vc.tfidf(tf, v).select("doc_id", "term", q6(F.col("weight")).alias("weight"))
+
+
+def tfidf_top_tokens(spark, sf_dir):
+    """VEC-11 / WIN-05: the 5 highest-weighted terms per document (ties by term)."""
+    from pyspark.sql import Window
+    w = tfidf_weights(spark, sf_dir)
+    win = Window.partitionBy("doc_id").orderBy(F.col("weight").desc(), F.col("term").asc())
+    return w.withColumn("rank", F.row_number().over(win)).filter(F.col("rank") <= 5)
+
+
+def chi2_selection(spark, sf_dir):
+    """VEC-06/07: chi-square scores on the train split, top 4000 terms."""
+    f = model_flow.fit(spark, sf_dir)
+    return f.selected.select("term", "chi2")
+
+
+def minmax_scaled_features(spark, sf_dir):
+    """VEC-08: 32 dense features scaled with train min/max (test rows not clipped)."""
+    f = model_flow.fit(spark, sf_dir)
+    return f.dense.select("doc_id", *[q6(F.col(c)).alias(c) for c in st.FEATURE_COLUMNS])
+
+
+def online_weights(spark, sf_dir):
+    """STR-04 / MLT-06: weights after one mini-batch logistic step on the train split."""
+    f = model_flow.fit(spark, sf_dir)
+    return f.weights.select("feature", q6(F.col("weight")).alias("weight"))
+
+
+def scored_documents(spark, sf_dir):
+    """MLT-10: p_real, p_fake, prediction and confidence for every labelled document."""
+    f = model_flow.fit(spark, sf_dir)
+    pred = (F.col("p_real") >= 0.5).cast("int")
+    conf = F.when(pred == 1, F.col("p_real")).otherwise(1.0 - F.col("p_real"))
+    return f.scored.select("doc_id", "label", "split", q6(F.col("p_real")).alias("p_real"),
+                           q6(1.0 - F.col("p_real")).alias("p_fake"), pred.alias("pred"),
+                           q6(conf).alias("confidence"))
+
+
+def eval_confusion(spark, sf_dir):
+    """AGG-04 on the test split."""
+    return ev.confusion(model_flow.test_scores(spark, sf_dir))
+
+
+def eval_class_report(spark, sf_dir):
+    """AGG-05 on the test split."""
+    return ev.class_report(model_flow.test_scores(spark, sf_dir))
+
+
+def eval_summary(spark, sf_dir):
+    """AGG-06/07/09: accuracy, precision, recall, F1, FPR, FNR, ROC-AUC, status."""
+    return ev.summary(model_flow.test_scores(spark, sf_dir).persist())
+
+
+def eval_roc_curve(spark, sf_dir):
+    """AGG-08."""
+    return ev.roc_curve(model_flow.test_scores(spark, sf_dir).persist())
+
+
+def eval_pr_curve(spark, sf_dir):
+    """AGG-10: precision/recall per distinct score plus the average precision."""
+    s = model_flow.test_scores(spark, sf_dir).persist()
+    ap = ev.average_precision(s)
+    return ev.pr_curve(s).select(q6(F.col("p_real")).alias("threshold"), q6(F.col("precision")).alias("precision"),
+                                 q6(F.col("recall")).alias("recall"), q6(F.lit(ap)).alias("average_precision"))
+
+
+def eval_calibration(spark, sf_dir):
+    """AGG-11."""
+    return ev.calibration_curve(model_flow.test_scores(spark, sf_dir))
+
+
+def eval_threshold_sweep(spark, sf_dir):
+    """AGG-13: F1 at each of 81 thresholds."""
+    return ev.threshold_sweep(model_flow.test_scores(spark, sf_dir))
+
+
+def eval_best_threshold(spark, sf_dir):
+    """AGG-13: earliest threshold with the best F1 (default 0.5)."""
+    return ev.best_threshold(ev.threshold_sweep(model_flow.test_scores(spark, sf_dir)))
+
+
+def eval_hardest_errors(spark, sf_dir):
+    """WIN-01 + PRJ-08: top-5 most confident errors with a 350-char excerpt."""
+    f = model_flow.fit(spark, sf_dir)
+    s = f.scored.filter(F.col("split") == "test").select("doc_id", "label", "p_real")
+    h = ev.hardest_errors(s)
+    return (h.join(f.docs.select("doc_id", F.substring("text", 1, 350).alias("excerpt")), "doc_id")
+            .select("doc_id", "label", "pred", "confidence", "excerpt"))
+
+
+def model_top_coefficients(spark, sf_dir):
+    """WIN-04: 15 strongest fake and real vocabulary weights."""
+    f = model_flow.fit(spark, sf_dir)
+    return linear.top_coefficients(f.weights).select("direction", "feature", q6(F.col("weight")).alias("weight"))
+
+
+def explain_top_words(spark, sf_dir):
+    """MLT-14 / WIN-02: per test document, top 8 real-leaning and top 8 fake-leaning words."""
+    f = model_flow.fit(spark, sf_dir)
+    test = f.hybrid.join(f.docs.filter(F.col("split") == "test").select("doc_id"), "doc_id", "left_semi")
+    c = linear.contributions(test, f.weights)
+    return linear.top_word_contributions(c).select(
+        "doc_id", "direction", "rank", "feature", q6(F.col("contribution")).alias("contribution"))
+
+
+def explain_categories(spark, sf_dir):
+    """AGG-21: per test document, summed dense contributions per category (by name)."""
+    f = model_flow.fit(spark, sf_dir)
+    test = f.hybrid.join(f.docs.filter(F.col("split") == "test").select("doc_id"), "doc_id", "left_semi")
+    return linear.category_summary(linear.contributions(test, f.weights)).select(
+        "doc_id", "category", q6(F.col("contribution")).alias("contribution"))
+
+
+QUERIES.update({
+    "tfidf_vocabulary": tfidf_vocabulary,
+    "tfidf_weights": tfidf_weights,
+    "tfidf_top_tokens": tfidf_top_tokens,
+    "chi2_selection": chi2_selection,
+    "minmax_scaled_features": minmax_scaled_features,
+    "online_weights": online_weights,
+    "scored_documents": scored_documents,
+    "eval_confusion": eval_confusion,
+    "eval_class_report": eval_class_report,
+    "eval_summary": eval_summary,
+    "eval_roc_curve": eval_roc_curve,
+    "eval_pr_curve": eval_pr_curve,
+    "eval_calibration": eval_calibration,
+    "eval_threshold_sweep": eval_threshold_sweep,
+    "eval_best_threshold": eval_best_threshold,
+    "eval_hardest_errors": eval_hardest_errors,
+    "model_top_coefficients": model_top_coefficients,
+    "explain_top_words": explain_top_words,
+    "explain_categories": explain_categories,
+})
