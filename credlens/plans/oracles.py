@@ -545,3 +545,48 @@ FROM hybrid h JOIN weights w ON h.feature = w.feature
 JOIN (SELECT * FROM (VALUES {_category_rows()}) v(feature, category)) c ON h.feature = c.feature
 WHERE h.doc_id IN (SELECT doc_id FROM test)
 GROUP BY h.doc_id, c.category""")
+
+
+# --- pages and trust -------------------------------------------------------------
+def _trust_sql() -> str:
+    exact = ", ".join(f"({s(d)}, {sc}, {s(desc)}, 'Trusted')" for d, sc, desc in lx.TRUSTED_DOMAINS)
+    exact += ", " + ", ".join(f"({s(d)}, {sc}, {s(desc)}, 'Low Trust')" for d, sc, desc in lx.LOW_TRUST_DOMAINS)
+    cases_score, cases_status = [], []
+    for suffixes, sc, desc in lx.SUFFIX_RULES:
+        cond = " OR ".join(f"ends_with(h.domain, {s(x)})" for x in suffixes)
+        cases_score.append(f"WHEN {cond} THEN {sc}")
+        cases_status.append(f"WHEN {cond} THEN {s(desc)}")
+    return f"""
+WITH h0 AS (
+  SELECT page_id, url, lower(regexp_extract(coalesce(url, ''), '^(?:[A-Za-z][A-Za-z0-9+.\\-]*:)?//([^/?#]*)', 1)) AS host
+  FROM pages),
+h AS (SELECT page_id, url, CASE WHEN starts_with(host, 'www.') THEN substr(host, 5) ELSE host END AS domain FROM h0),
+reg AS (SELECT * FROM (VALUES {exact}) v(domain, score, status, badge))
+SELECT h.page_id,
+  CASE WHEN h.url IS NULL OR trim(h.url) = '' THEN 'N/A' ELSE h.domain END AS domain,
+  CASE WHEN h.url IS NULL OR trim(h.url) = '' THEN 50
+       ELSE coalesce(r.score, CASE {' '.join(cases_score)} ELSE 50 END) END::INTEGER AS score,
+  CASE WHEN h.url IS NULL OR trim(h.url) = '' THEN 'No URL provided'
+       ELSE coalesce(r.status, CASE {' '.join(cases_status)} ELSE {s(lx.TRUST_DEFAULT[1])} END) END AS status,
+  CASE WHEN h.url IS NULL OR trim(h.url) = '' THEN 'Unverified'
+       ELSE coalesce(r.badge, CASE WHEN {' OR '.join(f"ends_with(h.domain, {s(x)})" for sfx, _, _ in lx.SUFFIX_RULES for x in sfx)}
+                                   THEN 'Trusted' ELSE 'Neutral' END) END AS badge
+FROM h LEFT JOIN reg r ON h.domain = r.domain"""
+
+
+ORACLES["domain_trust"] = _trust_sql()
+
+ORACLES["page_title_regex"] = r"""
+SELECT page_id,
+  CASE WHEN regexp_matches(html, '(?is)<h1[^>]*>(.*?)</h1>')
+         THEN trim(regexp_replace(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g'))
+       WHEN regexp_matches(html, '(?is)<title[^>]*>(.*?)</title>')
+         THEN trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '<[^>]*>', '', 'g'))
+       ELSE 'Untitled Article' END AS title
+FROM pages"""
+
+ORACLES["page_language"] = r"""
+SELECT page_id,
+  CASE WHEN trim(regexp_extract(html, '(?i)<html[^>]*[ \t\n]lang="([^"]*)"', 1)) = '' THEN 'en'
+       ELSE lower(split_part(trim(regexp_extract(html, '(?i)<html[^>]*[ \t\n]lang="([^"]*)"', 1)), '-', 1)) END AS language
+FROM pages"""

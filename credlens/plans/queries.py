@@ -275,3 +275,54 @@ QUERIES.update({
     "explain_top_words": explain_top_words,
     "explain_categories": explain_categories,
 })
+
+
+# --- pages and domain trust (PAG, JON-01..03) -------------------------------------
+from credlens.operators import trust  # noqa: E402
+from credlens.sources import pages as pg  # noqa: E402
+
+
+def domain_trust(spark, sf_dir):
+    """JON-01..03 for every page URL."""
+    p = table(spark, sf_dir, "pages").select("page_id", "url")
+    return trust.with_trust(p).select("page_id", "domain", "score", "status", "badge")
+
+
+def page_title_regex(spark, sf_dir):
+    """PAG-02 regex variant over every page."""
+    p = spread(table(spark, sf_dir, "pages"))
+    return p.select("page_id", pg.title_regex(F.col("html")).alias("title"))
+
+
+def page_language(spark, sf_dir):
+    """PAG-07 over every page."""
+    p = spread(table(spark, sf_dir, "pages"))
+    return p.select("page_id", pg.language_regex(F.col("html")).alias("language"))
+
+
+def page_extract(spark, sf_dir):
+    """PAG-01..10: full extraction job over every page (rows-only check + pytest)."""
+    p = spread(table(spark, sf_dir, "pages"))
+    return pg.extract_pages(p).select(
+        "page_id", "url", "title", "text", "author", "date", "publisher", "category", "canonical_url",
+        "language", "word_count", "article_length", "reading_time",
+        F.col("poor_quality").cast("int").alias("poor_quality"), "error")
+
+
+def page_quality_by_domain(spark, sf_dir):
+    """PAG + JON: extracted pages joined with trust, quality summary per badge and language."""
+    p = spread(table(spark, sf_dir, "pages"))
+    ex = trust.with_trust(pg.extract_pages(p))
+    return ex.groupBy("badge", "language").agg(
+        F.count(F.lit(1)).alias("n_pages"),
+        F.sum(F.col("poor_quality").cast("long")).alias("n_poor"),
+        F.sum("word_count").alias("total_words"))
+
+
+QUERIES.update({
+    "domain_trust": domain_trust,
+    "page_title_regex": page_title_regex,
+    "page_language": page_language,
+    "page_extract": page_extract,
+    "page_quality_by_domain": page_quality_by_domain,
+})
