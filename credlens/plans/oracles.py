@@ -590,3 +590,134 @@ SELECT page_id,
   CASE WHEN trim(regexp_extract(html, '(?i)<html[^>]*[ \t\n]lang="([^"]*)"', 1)) = '' THEN 'en'
        ELSE lower(split_part(trim(regexp_extract(html, '(?i)<html[^>]*[ \t\n]lang="([^"]*)"', 1)), '-', 1)) END AS language
 FROM pages"""
+
+
+# --- rules ---------------------------------------------------------------------------
+def _re_escape(w: str) -> str:
+    import re as _re
+    return _re.escape(w)
+
+
+def _distinct_word_hits(col: str, words) -> str:
+    return "(" + " + ".join(f"(CASE WHEN regexp_matches({col}, {s(chr(92) + 'b' + _re_escape(w) + chr(92) + 'b')}) "
+                            "THEN 1 ELSE 0 END)" for w in words) + ")"
+
+
+def _occurrences(col: str, words) -> str:
+    return "(" + " + ".join(f"len(regexp_extract_all({col}, {s(chr(92) + 'b' + _re_escape(w) + chr(92) + 'b')}))"
+                            for w in words) + ")"
+
+
+def _strip(col: str) -> str:
+    return f"regexp_replace({col}, '^[{WS}]+|[{WS}]+$', '', 'g')"
+
+
+def _burst(col: str) -> str:
+    sents = f"list_filter(list_transform(string_split(coalesce({col}, ''), '.'), lambda x: {_strip('x')}), lambda x: x <> '')"
+    counts = f"list_transform({sents}, lambda x: len({py_split('x')})::DOUBLE)"
+    return f"(CASE WHEN len({sents}) > 3 THEN list_aggregate({counts}, 'var_pop') ELSE 20.0 END)"
+
+
+def _ai_prob(cl: str, var: str) -> str:
+    return (f"least(0.95, (CASE WHEN {cl} >= 1 THEN 0.12 * least(4, {cl}) ELSE 0.0 END)"
+            f" + (CASE WHEN {var} < 18.0 THEN 0.35 ELSE 0.0 END))")
+
+
+ORACLES["ai_style_scores"] = f"""
+WITH b AS (
+  SELECT doc_id, {_distinct_word_hits("lower(coalesce(text, ''))", lx.AI_CLICHES)} AS cl, {_burst('text')} AS var
+  FROM documents)
+SELECT doc_id, cl::BIGINT AS cliche_count, {q6('var')} AS variance, {q6(_ai_prob('cl', 'var'))} AS ai_prob FROM b"""
+
+_SENT_MARK = "chr(57344)"
+_SENTS = (f"list_filter(list_transform(string_split(regexp_replace(coalesce(text, ''), '([.!?])[{WS}]+', "
+          f"'\\1' || {_SENT_MARK}, 'g'), {_SENT_MARK}), lambda x: {_strip('x')}), lambda x: x <> '')")
+_CLAIM_HIT = " OR ".join(f"contains(lower(x), {s(k)})" for k in lx.CLAIM_KEYWORDS)
+ORACLES["search_queries"] = f"""
+WITH q AS (
+  SELECT doc_id,
+    split_part({_strip('coalesce(text, ' + "''" + ')')}, chr(10), 1) AS first,
+    list_filter({_SENTS}, lambda x: {_CLAIM_HIT}) AS hits
+  FROM documents),
+q2 AS (
+  SELECT doc_id,
+    CASE WHEN len({py_split('first')}) > 10 THEN array_to_string({py_split('first')}[1:10], ' ') ELSE first END AS primary_query,
+    CASE WHEN len(hits) = 0 THEN NULL
+         WHEN len({py_split('hits[-1]')}) > 12 THEN array_to_string({py_split('hits[-1]')}[1:12], ' ')
+         ELSE hits[-1] END AS claim
+  FROM q)
+SELECT doc_id, primary_query,
+  CASE WHEN claim IS NOT NULL AND NOT contains(primary_query, claim) THEN claim ELSE NULL END AS claim_query
+FROM q2"""
+
+
+def _category_sql(text: str, title: str) -> str:
+    parts = []
+    for name, words in lx.FAILURE_CATEGORY_RULES:
+        cond = " OR ".join(f"contains(lower({text}), {s(w)}) OR contains(lower({title}), {s(w)})" for w in words)
+        parts.append(f"WHEN {cond} THEN {s(name)}")
+    click = " OR ".join(f"contains(lower({title}), {s(w)})" for w in lx.CLICKBAIT_TITLE_WORDS)
+    parts.append(f"WHEN len({py_split('lower(' + title + ')')}) < {lx.CLICKBAIT_TITLE_MAX_WORDS} AND ({click}) "
+                 f"THEN {s(lx.FAILURE_CATEGORY_CLICKBAIT)}")
+    return "CASE " + " ".join(parts) + f" ELSE {s(lx.FAILURE_CATEGORY_DEFAULT)} END"
+
+
+_ERRORS = """,
+    errs AS (
+      SELECT s.doc_id, s.label, s.p_real, CASE WHEN s.p_real >= 0.5 THEN 1 ELSE 0 END AS pred, d.text, d.title
+      FROM scored s JOIN docs d ON s.doc_id = d.doc_id
+      WHERE s.split = 'test' AND (CASE WHEN s.p_real >= 0.5 THEN 1 ELSE 0 END) <> s.label)"""
+
+ORACLES["failure_categories"] = _with(_M + _ERRORS, f"""
+SELECT {_category_sql('coalesce(text, ' + "''" + ')', 'title')} AS category, count(*)::BIGINT AS n_errors
+FROM errs GROUP BY 1""")
+
+
+def _rationale_sql(col: str) -> str:
+    parts = " ".join(f"WHEN {col} = {s(k)} THEN {s(v)}" for k, v in lx.FAILURE_RATIONALES.items())
+    return f"CASE {parts} ELSE {s(lx.FAILURE_RATIONALE_DEFAULT)} END"
+
+
+ORACLES["error_samples"] = _with(_M + _ERRORS + f""",
+    ec AS (SELECT *, {_category_sql('coalesce(text, ' + "''" + ')', 'title')} AS category FROM errs)""", f"""
+SELECT doc_id, label, pred, {q6('p_real')} AS p_real, category, {_rationale_sql('category')} AS rationale,
+  substr(text, 1, 250) AS excerpt
+FROM ec ORDER BY doc_id LIMIT 10""")
+
+_SENS = " OR ".join(f"regexp_matches(lt, {s(chr(92) + 'b' + _re_escape(w) + chr(92) + 'b')})" for w in lx.SENSATIONAL_WORDS)
+_REASONS = [
+    ("clickbait_ratio > 0.05", "Clickbait word density is higher than normal."),
+    ("emotion_intensity > 0.02", "Sentiment bias/sensational vocabulary intensity is high."),
+    ("flesch_reading_ease < 50.0", "Article readability requires advanced parsing."),
+    ("50 < 60", "Domain trust rating is relatively low/unverified."),
+    ("50 >= 80", "Domain trust aligns with high-authority press registries."),
+    ("lexical_diversity < 0.4", "Lexical vocabulary density is low."),
+]
+_REASON_LIST = ("list_filter([" + ", ".join(f"CASE WHEN {c} THEN {s(m)} ELSE NULL END" for c, m in _REASONS)
+                + "], lambda x: x IS NOT NULL)")
+
+ORACLES["article_audit"] = _with(_M + f""",
+    a0 AS (
+      SELECT f.*, sc.p_real * 100.0 AS ml, lower(d.text) AS lt, d.text AS text0,
+        {_occurrences('lower(d.text)', lx.FAKE_INDICATORS)} AS n_ind,
+        {_distinct_word_hits('lower(d.text)', lx.AI_CLICHES)} AS cl, {_burst('d.text')} AS var
+      FROM fx f JOIN scored sc ON f.doc_id = sc.doc_id JOIN docs d ON f.doc_id = d.doc_id),
+    a1 AS (
+      SELECT *, CASE WHEN {_SENS} THEN greatest(10.0, ml - 30.0 * greatest(0.2, (100.0 - ml) / 100.0)) ELSE ml END AS h0
+      FROM a0),
+    a2 AS (
+      SELECT *, CASE WHEN n_ind >= 2
+        THEN greatest(5.0, h0 - least(35.0, 8.0 * n_ind * greatest(0.1, (100.0 - ml) / 100.0))) ELSE h0 END AS h1
+      FROM a1),
+    a3 AS (
+      SELECT *, CASE WHEN {_ai_prob('cl', 'var')} > 0.65
+        THEN greatest(5.0, h1 - 12.0 * greatest(0.1, (100.0 - h1) / 100.0)) ELSE h1 END AS final
+      FROM a2)""", f"""
+SELECT doc_id, {q6('final')} AS real_score, {q6('100.0 - final')} AS fake_score,
+  CASE WHEN 100.0 - final >= 50.0 THEN 'HIGH RISK MISINFORMATION' ELSE 'VERIFIED AUTHENTIC CONTEXT' END AS verdict,
+  CASE WHEN 100.0 - final >= 70.0 THEN 'HIGH' WHEN 100.0 - final >= 40.0 THEN 'MEDIUM' ELSE 'LOW' END AS risk,
+  CASE WHEN flesch_reading_ease < 50.0 THEN 'Difficult' WHEN flesch_reading_ease < 80.0 THEN 'Standard' ELSE 'Easy' END
+    AS readability,
+  CASE WHEN polarity < -0.2 THEN 'Highly Negative' WHEN polarity > 0.2 THEN 'Positive' ELSE 'Neutral' END AS sentiment,
+  array_to_string({_REASON_LIST}[1:5], '|') AS reasons
+FROM a3""")

@@ -326,3 +326,80 @@ QUERIES.update({
     "page_extract": page_extract,
     "page_quality_by_domain": page_quality_by_domain,
 })
+
+
+# --- rules (RUL) and the per-article audit (E2) -------------------------------------
+from credlens.functions import rules as rl  # noqa: E402
+
+
+def ai_style_scores(spark, sf_dir):
+    """RUL-03 + AGG-17 + TXT-17 over every document."""
+    d = spread(table(spark, sf_dir, "documents"))
+    c = d.select("doc_id", rl.cliche_count(F.col("text")).alias("cliche_count"),
+                 rl.burstiness(F.col("text")).alias("variance"))
+    return c.select("doc_id", F.col("cliche_count").cast("long").alias("cliche_count"),
+                    q6(F.col("variance")).alias("variance"),
+                    q6(rl.ai_probability(F.col("cliche_count"), F.col("variance"))).alias("ai_prob"))
+
+
+def search_queries(spark, sf_dir):
+    """WIN-10/11 + TXT-16: primary and claim search queries per document."""
+    d = spread(table(spark, sf_dir, "documents"))
+    q = d.select("doc_id", rl.primary_query(F.col("text")).alias("primary_query"),
+                 rl.claim_query(F.col("text")).alias("claim"))
+    keep = F.col("claim").isNotNull() & (F.instr(F.col("primary_query"), F.col("claim")) == 0)
+    return q.select("doc_id", "primary_query", F.when(keep, F.col("claim")).alias("claim_query"))
+
+
+def _errors(f):
+    s = f.scored.filter(F.col("split") == "test")
+    e = s.withColumn("pred", (F.col("p_real") >= 0.5).cast("int")).filter(F.col("pred") != F.col("label"))
+    return e.join(f.docs.select("doc_id", "title", "text"), "doc_id")
+
+
+def failure_categories(spark, sf_dir):
+    """RUL-09 + AGG-14: misclassified test articles per failure category."""
+    e = _errors(model_flow.fit(spark, sf_dir))
+    return (e.withColumn("category", rl.failure_category(F.col("text"), F.col("title")))
+            .groupBy("category").agg(F.count(F.lit(1)).alias("n_errors")))
+
+
+def error_samples(spark, sf_dir):
+    """WIN-07 + RUL-11 + PRJ-08: first 10 errors (by doc_id) with category, rationale, excerpt."""
+    e = _errors(model_flow.fit(spark, sf_dir))
+    e = e.withColumn("category", rl.failure_category(F.col("text"), F.col("title")))
+    return (e.orderBy("doc_id").limit(10)
+            .select("doc_id", "label", "pred", q6(F.col("p_real")).alias("p_real"), "category",
+                    rl.failure_rationale(F.col("category")).alias("rationale"),
+                    F.substring("text", 1, 250).alias("excerpt")))
+
+
+def article_audit(spark, sf_dir):
+    """E2 over a table: model score -> hybrid rules -> style penalty -> trust -> verdict,
+    risk, labels and reasons, one row per labelled article (no evidence, no URL)."""
+    f = model_flow.fit(spark, sf_dir)
+    raw = st.with_dense_features(f.docs, keep=["doc_id", "text"])
+    t = raw.join(f.scored.select("doc_id", "p_real"), "doc_id")
+    ml = F.col("p_real") * 100.0
+    none = F.lit(None).cast("long")
+    hyb = rl.hybrid_score(ml, F.col("text"), none, none, none, none, none, none)
+    style = rl.ai_probability(rl.cliche_count(F.col("text")), rl.burstiness(F.col("text")))
+    t = t.withColumn("final", rl.ai_penalty(hyb, style, none))
+    trust_score = F.lit(50)  # no URL: 'N/A', 50, 'Unverified'
+    fake = 100.0 - F.col("final")
+    return t.select(
+        "doc_id", q6(F.col("final")).alias("real_score"), q6(fake).alias("fake_score"),
+        rl.verdict(fake).alias("verdict"), rl.risk_level(fake).alias("risk"),
+        rl.readability_label(F.col("flesch_reading_ease")).alias("readability"),
+        rl.sentiment_label(F.col("polarity")).alias("sentiment"),
+        F.array_join(rl.reasons(F.col("clickbait_ratio"), F.col("emotion_intensity"), F.col("flesch_reading_ease"),
+                                trust_score, F.col("lexical_diversity")), "|").alias("reasons"))
+
+
+QUERIES.update({
+    "ai_style_scores": ai_style_scores,
+    "search_queries": search_queries,
+    "failure_categories": failure_categories,
+    "error_samples": error_samples,
+    "article_audit": article_audit,
+})
