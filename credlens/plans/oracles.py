@@ -721,3 +721,27 @@ SELECT doc_id, {q6('final')} AS real_score, {q6('100.0 - final')} AS fake_score,
   CASE WHEN polarity < -0.2 THEN 'Highly Negative' WHEN polarity > 0.2 THEN 'Positive' ELSE 'Neutral' END AS sentiment,
   array_to_string({_REASON_LIST}[1:5], '|') AS reasons
 FROM a3""")
+
+
+# --- nearest neighbours ---------------------------------------------------------------
+_KNN = f"""
+WITH e AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v, label,
+    CASE WHEN substr(sha256('42:' || vec_id::VARCHAR), 1, 8) < '{THRESH_HEX}' THEN 'test' ELSE 'train' END AS split
+  FROM embeddings),
+pairs AS (
+  SELECT q.vec_id AS qid, q.label AS qlabel, r.vec_id AS rid, r.label AS rlabel,
+    sqrt(list_reduce(list_transform(list_zip(q.v, r.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])), lambda a, b: a + b)) AS d
+  FROM e q JOIN e r ON q.split = 'test' AND r.split = 'train'),
+nn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY d, rid) AS rk FROM pairs) WHERE rk <= 9),
+wt AS (
+  SELECT qid, qlabel, rlabel,
+    CASE WHEN max(CASE WHEN d = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY qid) = 1
+         THEN (CASE WHEN d = 0 THEN 1.0 ELSE 0.0 END) ELSE 1.0 / d END AS w
+  FROM nn),
+votes AS (SELECT qid, qlabel, rlabel, sum(w) AS score FROM wt GROUP BY qid, qlabel, rlabel),
+best AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, rlabel ASC) AS r FROM votes)
+"""
+ORACLES["knn_predictions"] = _KNN + "SELECT qid AS vec_id, qlabel AS label, rlabel AS pred FROM best WHERE r = 1"
+ORACLES["knn_accuracy"] = _KNN + f"""SELECT count(*)::BIGINT AS n,
+  {q6('avg(CASE WHEN rlabel = qlabel THEN 1.0 ELSE 0.0 END)')} AS accuracy FROM best WHERE r = 1"""

@@ -403,3 +403,26 @@ QUERIES.update({
     "error_samples": error_samples,
     "article_audit": article_audit,
 })
+
+
+# --- nearest neighbours (MLT-05) ----------------------------------------------------
+from credlens.operators import knn  # noqa: E402
+
+
+def knn_predictions(spark, sf_dir):
+    """MLT-05: exact 9-NN distance-weighted class for every test embedding (train = the rest)."""
+    e = table(spark, sf_dir, "embeddings").withColumn("split", linear.split_column("vec_id"))
+    test = e.filter(F.col("split") == "test")
+    train = e.filter(F.col("split") == "train")
+    p = knn.knn_predict(test, train, k=9)
+    return p.join(test.select("vec_id", "label"), "vec_id").select("vec_id", "label", "pred")
+
+
+def knn_accuracy(spark, sf_dir):
+    """MLT-05 + AGG-07: accuracy of the 9-NN classifier on the test embeddings."""
+    p = knn_predictions(spark, sf_dir)
+    return p.agg(F.count(F.lit(1)).alias("n"),
+                 q6(F.avg((F.col("pred") == F.col("label")).cast("double"))).alias("accuracy"))
+
+
+QUERIES.update({"knn_predictions": knn_predictions, "knn_accuracy": knn_accuracy})
