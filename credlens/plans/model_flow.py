@@ -42,6 +42,7 @@ class Fitted:
     hybrid: DataFrame      # doc_id, feature, value
     weights: DataFrame     # feature, weight (incl. bias)
     scored: DataFrame      # doc_id, label, split, p_real
+    stats: dict            # min-max per dense feature (train)
 
 
 def labelled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +82,7 @@ def fit(spark: SparkSession, sf_dir: str, params: FlowParams = FlowParams()) ->
     weights = weights.persist()
     scored = (linear.score(hybrid, weights)
               .join(docs.select("doc_id", "label", "split"), "doc_id"))
-    return Fitted(docs, vocabulary, selected, term_weights, dense, hybrid, weights, scored)
+    return Fitted(docs, vocabulary, selected, term_weights, dense, hybrid, weights, scored, stats)
 
 
 def test_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

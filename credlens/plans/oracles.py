@@ -745,3 +745,13 @@ best AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, rlab
 ORACLES["knn_predictions"] = _KNN + "SELECT qid AS vec_id, qlabel AS label, rlabel AS pred FROM best WHERE r = 1"
 ORACLES["knn_accuracy"] = _KNN + f"""SELECT count(*)::BIGINT AS n,
   {q6('avg(CASE WHEN rlabel = qlabel THEN 1.0 ELSE 0.0 END)')} AS accuracy FROM best WHERE r = 1"""
+
+
+ORACLES["stream_routing"] = _with(_M + """,
+    rt AS (
+      SELECT CASE WHEN p_real >= 0.5 THEN 1 ELSE 0 END AS pred,
+        CASE WHEN p_real >= 0.5 THEN p_real ELSE 1.0::DOUBLE - p_real END AS conf FROM scored)""", f"""
+SELECT CASE WHEN conf >= {dbl(lx.ELITE_THRESHOLD)} THEN 'pseudo_label'
+            WHEN conf < {dbl(lx.REVIEW_THRESHOLD)} THEN 'review' ELSE 'ignored' END AS route,
+  count(*)::BIGINT AS n_articles, sum(pred)::BIGINT AS n_pred_real
+FROM rt GROUP BY 1""")
