@@ -431,7 +431,7 @@ QUERIES.update({"knn_predictions": knn_predictions, "knn_accuracy": knn_accuracy
 # --- streaming (STR) ------------------------------------------------------------------
 import uuid  # noqa: E402
 
-from credlens.session import shared_dir  # noqa: E402
+from credlens.session import cut_lineage, shared_dir  # noqa: E402
 from credlens.streaming import selftrain  # noqa: E402
 
 
@@ -463,3 +463,62 @@ def stream_selftrain_telemetry(spark, sf_dir, n_files: int = 4):
 
 
 QUERIES.update({"stream_routing": stream_routing, "stream_selftrain_telemetry": stream_selftrain_telemetry})
+
+
+# --- Spark ML learners (MLT) -----------------------------------------------------------
+from credlens.operators import learners as ml  # noqa: E402
+
+
+def _ml_data(spark, sf_dir):
+    f = model_flow.fit(spark, sf_dir)
+    index = ml.feature_index(f.hybrid).persist()
+    size = index.count()
+    vec = ml.to_vectors(f.hybrid, index, size).join(f.docs.select("doc_id", "label", "split"), "doc_id")
+    # iterative learners run one job per iteration: cut the feature lineage once
+    # (reliable checkpoint in the shared checkpoint folder) so no iteration replans it
+    vec = cut_lineage(vec).persist()
+    train = vec.filter(F.col("split") == "train")
+    test = vec.filter(F.col("split") == "test")
+    return f, train, test, size
+
+
+def ml_model_metrics(spark, sf_dir):
+    """MLT-01..04, 07, 08, 10 + AGG-05/09: test metrics of every learner and the calibrated ensemble."""
+    f, train, test, size = _ml_data(spark, sf_dir)
+    n_train = train.count()
+    labels = test.select("doc_id", "label")
+    preds = {
+        "logreg": ml.fit_predict(ml.logistic(10.0, n_train), train, test),
+        "random_forest": ml.fit_predict(ml.random_forest(), train, test),
+        "linear_svm": ml.fit_predict(ml.linear_svm(), train, test),
+        "neuralnet": ml.fit_predict(ml.mlp(size), train, test),
+        "calibrated_logreg": ml.calibrated(ml.logistic(2.0, n_train, 3000), train, test),
+        "calibrated_rf": ml.calibrated(ml.random_forest(15), train, test),
+    }
+    preds["ensemble"] = (preds["calibrated_logreg"].withColumnRenamed("p_real", "a")
+                         .join(preds["calibrated_rf"].withColumnRenamed("p_real", "b"), "doc_id")
+                         .select("doc_id", ((F.col("a") + F.col("b")) / 2).alias("p_real")))
+    out = None
+    for name, p in preds.items():
+        s = ev.summary(p.join(labels, "doc_id").persist()).select(F.lit(name).alias("model"), "*")
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+def ml_tuning(spark, sf_dir):
+    """MLT-09: 3-fold grid search of the logistic-regression C by accuracy."""
+    _, train, _, _ = _ml_data(spark, sf_dir)
+    c, score = ml.tune_logistic(train, train.count())
+    return spark.createDataFrame([("logreg", float(c), float(score))], "model string, best_C double, cv_accuracy double")
+
+
+def ml_learning_curve(spark, sf_dir):
+    """AGG-12: train / validation accuracy for 5 train fractions x 3 folds."""
+    _, train, _, _ = _ml_data(spark, sf_dir)
+    rows = ml.learning_curve(ml.logistic(10.0, train.count()), train)
+    return spark.createDataFrame(rows, "fraction double, train_accuracy double, validation_accuracy double")
+
+
+# ml_learning_curve (15 fits) is available as a function; it is not registered so the
+# per-round correctness run stays bounded.
+QUERIES.update({"ml_model_metrics": ml_model_metrics, "ml_tuning": ml_tuning})
