@@ -755,3 +755,20 @@ SELECT CASE WHEN conf >= {dbl(lx.ELITE_THRESHOLD)} THEN 'pseudo_label'
             WHEN conf < {dbl(lx.REVIEW_THRESHOLD)} THEN 'review' ELSE 'ignored' END AS route,
   count(*)::BIGINT AS n_articles, sum(pred)::BIGINT AS n_pred_real
 FROM rt GROUP BY 1""")
+
+
+# --- integrity pairing ---------------------------------------------------------------------
+def _sentence_keys(table: str, id_col: str) -> str:
+    norm = f"regexp_replace(regexp_replace(lower(s), '[^\\p{{L}}\\p{{N}}_{WS}]', '', 'g'), '^[{WS}]+|[{WS}]+$', '', 'g')"
+    sents = (f"list_filter(list_transform(string_split(regexp_replace(coalesce(text, ''), '([.!?])[{WS}]+', "
+             f"'\\1' || {_SENT_MARK}, 'g'), {_SENT_MARK}), lambda x: {_strip('x')}), lambda x: x <> '')")
+    return f"""SELECT DISTINCT {id_col}, sha256({norm}) AS key FROM (
+      SELECT {id_col}, unnest({sents}) AS s FROM {table}) WHERE len({py_split('s')}) >= 3"""
+
+
+ORACLES["integrity_pairs"] = f"""
+WITH dk AS ({_sentence_keys('documents', 'doc_id')}),
+rk AS ({_sentence_keys('benchmark', 'item_id')}),
+sh AS (SELECT dk.doc_id, rk.item_id, count(*)::BIGINT AS n_shared FROM dk JOIN rk ON dk.key = rk.key GROUP BY 1, 2)
+SELECT doc_id, item_id, n_shared FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n_shared DESC, item_id ASC) AS r FROM sh) WHERE r = 1"""

@@ -522,3 +522,29 @@ def ml_learning_curve(spark, sf_dir):
 # ml_learning_curve (15 fits) is available as a function; it is not registered so the
 # per-round correctness run stays bounded.
 QUERIES.update({"ml_model_metrics": ml_model_metrics, "ml_tuning": ml_tuning})
+
+
+# --- integrity matching against reference passages (JON-05/06, RUL-05) ------------------
+from credlens.operators import similarity as sim  # noqa: E402
+
+
+def integrity_matches(spark, sf_dir):
+    """JON-05/06: every document paired with the benchmark passage it shares most sentences
+    with, then match percentage and altered-sentence count (difflib semantics)."""
+    d = spread(table(spark, sf_dir, "documents")).select("doc_id", "text")
+    b = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    m = sim.integrity_matches(d, b)
+    adj = rl.integrity_adjust(F.lit(50.0), F.col("match_pct"), F.col("n_altered"), F.lit(True))
+    return m.select("doc_id", "item_id", F.col("n_shared").cast("long").alias("n_shared"),
+                    q6(F.col("match_pct")).alias("match_pct"), "n_altered",
+                    q6(adj).alias("adjusted_score_from_50"))
+
+
+def integrity_pairs(spark, sf_dir):
+    """JON-06 pairing alone: SQL-checkable (shared normalised-sentence counts)."""
+    d = spread(table(spark, sf_dir, "documents")).select("doc_id", "text")
+    b = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    return sim.pair_with_reference(d, b).select("doc_id", "item_id", F.col("n_shared").cast("long").alias("n_shared"))
+
+
+QUERIES.update({"integrity_matches": integrity_matches, "integrity_pairs": integrity_pairs})
