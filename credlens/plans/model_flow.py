@@ -47,20 +47,22 @@ class Fitted:
 
 def labelled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = corpus.articles(spark, sf_dir, labelled_only=True)
-    a = dedup.dedup_text(a)
+    a = vocab.partition_docs(dedup.dedup_text(a))
     a = a.withColumn("tokens", tx.full_clean_tokens(F.col("text")))
-    a = a.filter(F.size("tokens") > 0)
     a = a.withColumn("clean_text", F.array_join("tokens", " "))
-    a = a.withColumn("split", linear.split_column("doc_id"))
-    return vocab.partition_docs(a)
+    a = a.withColumn("split", linear.split_column("doc_id")).persist()
+    # the blank-text filter sits above the cached relation: pushed through the
+    # projection it would re-run the regex cleaner inside the filter
+    return a.filter(F.size("tokens") > 0)
 
 
 def fit(spark: SparkSession, sf_dir: str, params: FlowParams = FlowParams()) -> Fitted:
-    docs = labelled_docs(spark, sf_dir).persist()
+    docs = labelled_docs(spark, sf_dir)
     train = docs.filter(F.col("split") == "train")
     n_train = train.count()
 
-    tf = vocab.term_frequencies(docs.select("doc_id", "tokens"))
+    # reused by the vocabulary fit (train rows) and the transform (all rows)
+    tf = vocab.term_frequencies(docs.select("doc_id", "tokens")).persist()
     train_ids = train.select("doc_id")
     tf_train = tf.join(train_ids, "doc_id", "left_semi")
     vocabulary = vocab.prune_vocabulary(vocab.document_frequencies(tf_train), n_train, params.vocab)
@@ -72,7 +74,8 @@ def fit(spark: SparkSession, sf_dir: str, params: FlowParams = FlowParams()) ->
     selected = vocab.select_k_best(chi, params.k_best).persist()
     term_weights = weights_all.join(F.broadcast(selected.select("term")), "term")
 
-    raw_dense = st.with_dense_features(docs, keep=["doc_id", "split"])
+    # reused by the min-max fit (train rows) and the transform (all rows)
+    raw_dense = st.with_dense_features(docs, keep=["doc_id", "split"]).persist()
     stats = vocab.minmax_fit(raw_dense.filter(F.col("split") == "train"), st.FEATURE_COLUMNS)
     dense = vocab.minmax_apply(raw_dense, stats, keep=["doc_id"])
 

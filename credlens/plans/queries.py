@@ -121,8 +121,14 @@ from credlens.plans import model_flow  # noqa: E402
 
 
 def _all_doc_tokens(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", tx.full_clean_tokens(F.col("text")).alias("tokens"))
-    return vc.partition_docs(d.filter(F.size("tokens") > 0))
+    # partition by doc_id first, so the regex cleaning runs after the exchange in
+    # every partition (not inside a single scan task) and later per-document steps
+    # reuse the same partitioning
+    d = vc.partition_docs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = d.select("doc_id", tx.full_clean_tokens(F.col("text")).alias("tokens")).persist()
+    # filter above the cached relation: a filter pushed through the projection would
+    # substitute the alias and run the whole regex cleaner a second time
+    return d.filter(F.size("tokens") > 0)
 
 
 def tfidf_vocabulary(spark, sf_dir):
@@ -138,7 +144,7 @@ def tfidf_weights(spark, sf_dir):
     """VEC-04: L2-normalised sublinear TF-IDF weights (long form) for every document."""
     docs = _all_doc_tokens(spark, sf_dir).persist()
     n = docs.count()
-    tf = vc.term_frequencies(docs)
+    tf = vc.term_frequencies(docs).persist()  # feeds both the vocabulary and the weights
     v = vc.prune_vocabulary(vc.document_frequencies(tf), n, vc.BASELINE)
     return vc.tfidf(tf, v).select("doc_id", "term", q6(F.col("weight")).alias("weight"))
 
@@ -548,3 +554,47 @@ def integrity_pairs(spark, sf_dir):
 
 
 QUERIES.update({"integrity_matches": integrity_matches, "integrity_pairs": integrity_pairs})
+
+
+# --- failure records, replay, headline feed (SRC-06/07/09, SET-05, STR-01/10, MLT-12) ------
+from credlens.sources import records as rec  # noqa: E402
+from credlens.streaming import headlines  # noqa: E402
+
+
+def failure_records(spark, sf_dir):
+    """SRC-06 -> SRC-07 -> SET-05: misclassified test articles written as failure records,
+    read back with the tolerant reader and replayed into the corpus (idempotent)."""
+    f = model_flow.fit(spark, sf_dir)
+    test = f.hybrid.join(f.docs.filter(F.col("split") == "test").select("doc_id"), "doc_id", "left_semi")
+    words = linear.top_word_contributions(linear.contributions(test, f.weights))
+    errs = (_errors(f).withColumn("url", F.lit(None).cast("string")))
+    base = shared_dir(spark, f"credlens/failures/{uuid.uuid4().hex}")
+    rec.write_failures(rec.failure_records(errs, words), base)
+    back = rec.read_failures(spark, base)
+    corpus_rows = f.docs.select("title", "text", "subject", "label")
+    replayed = dedup.replay_failures(dedup.replay_failures(corpus_rows, back), back)  # twice: idempotent
+    n_replayed = replayed.count() - corpus_rows.count()
+    return back.select(tx.content_hash(F.col("text"), 16).alias("record_key"), "predicted_label", "true_label",
+                       q6(F.col("confidence")).alias("confidence"),
+                       F.array_join("top_contributing_features", ",").alias("top_features"),
+                       F.lit(n_replayed).cast("long").alias("n_new_corpus_rows"))
+
+
+def headline_stream(spark, sf_dir, n_files: int = 3):
+    """STR-01 / SRC-09 / MLT-12: document first lines published as RSS files (source =
+    document source), classified by a streaming job with the XML source."""
+    f = model_flow.fit(spark, sf_dir)
+    base = shared_dir(spark, f"credlens/feed/{uuid.uuid4().hex}")
+    selftrain.FeatureModel(f.vocabulary, f.selected, f.stats, f.weights).save(base + "/state")
+    docs = table(spark, sf_dir, "documents")
+    items = docs.select(F.concat(tx.first_line(F.col("text")), F.lit(" - "), F.col("source")).alias("title"),
+                        F.col("source"))
+    headlines.write_feed_files(items, base + "/feed", n_files)
+    q = headlines.run_feed_stream(spark, base + "/feed", base + "/state", base + "/sink", base + "/ckpt")
+    q.awaitTermination()
+    out = spark.read.parquet(base + "/sink")
+    return out.groupBy("source", "prediction").agg(F.count(F.lit(1)).alias("n_headlines"),
+                                                   q6(F.avg("confidence")).alias("avg_confidence"))
+
+
+QUERIES.update({"failure_records": failure_records, "headline_stream": headline_stream})
