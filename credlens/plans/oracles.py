@@ -772,3 +772,52 @@ rk AS ({_sentence_keys('benchmark', 'item_id')}),
 sh AS (SELECT dk.doc_id, rk.item_id, count(*)::BIGINT AS n_shared FROM dk JOIN rk ON dk.key = rk.key GROUP BY 1, 2)
 SELECT doc_id, item_id, n_shared FROM (
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n_shared DESC, item_id ASC) AS r FROM sh) WHERE r = 1"""
+
+
+# --- more corpus operators -------------------------------------------------------------------
+ORACLES["seeded_order"] = "SELECT doc_id, sha256('42:' || doc_id::VARCHAR) AS shuffle_key FROM documents"
+
+_HN = ", ".join(f"({r['label']}, {s(r['subject'])})" for r in lx.HARD_NEGATIVES)
+ORACLES["hard_negative_corpus"] = f"""
+SELECT label, subject, count(*)::BIGINT AS n_articles FROM (
+  SELECT l.quality AS label, d.source AS subject FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+  UNION ALL SELECT * FROM (VALUES {_HN}) v(label, subject))
+GROUP BY label, subject"""
+
+ORACLES["split_sources"] = _with(_M, """
+SELECT d.split, array_to_string(list_sort(list(DISTINCT x.source)), ',') AS sources,
+  count(DISTINCT x.source)::BIGINT AS n_sources
+FROM docs d JOIN documents x ON d.doc_id = x.doc_id GROUP BY d.split""")
+
+ORACLES["prediction_cache"] = _with(_M + """,
+    stored AS (SELECT sha256(d.text) AS hash, s.p_real FROM scored s JOIN docs d ON s.doc_id = d.doc_id),
+    req AS (SELECT doc_id, sha256(coalesce(text, '')) AS hash FROM documents)""", f"""
+SELECT (SELECT count(*) FROM req JOIN stored ON req.hash = stored.hash)::BIGINT AS n_hits,
+  {q6('(SELECT avg(stored.p_real) FROM req JOIN stored ON req.hash = stored.hash)')} AS avg_cached_p_real,
+  (SELECT count(DISTINCT hash) FROM req WHERE hash NOT IN (SELECT hash FROM stored))::BIGINT AS n_distinct_misses""")
+
+ORACLES["model_consensus"] = _with(_M + """,
+    dl AS (SELECT * FROM hybrid WHERE starts_with(feature, 'dense:')),
+    grad2 AS (
+      SELECT h.feature, sum(r.r * h.value) / n.n AS g FROM dl h JOIN resid r ON h.doc_id = r.doc_id, ntr n
+      GROUP BY h.feature, n.n),
+    w2 AS (
+      SELECT feature, 0.0::DOUBLE - 1.0::DOUBLE * g AS weight FROM grad2
+      UNION ALL SELECT '__bias__', 0.0::DOUBLE - 1.0::DOUBLE * g FROM bgrad),
+    m2 AS (
+      SELECT h.doc_id, sum(h.value * coalesce(w.weight, 0.0::DOUBLE)) + (SELECT weight FROM w2 WHERE feature = '__bias__') AS m
+      FROM dl h LEFT JOIN (SELECT * FROM w2 WHERE feature <> '__bias__') w ON h.feature = w.feature
+      GROUP BY h.doc_id),
+    lp AS (
+      SELECT doc_id, p_real FROM test
+      UNION ALL SELECT m2.doc_id, 1.0::DOUBLE / (1.0::DOUBLE + exp(-m2.m)) FROM m2 WHERE m2.doc_id IN (SELECT doc_id FROM test)),
+    g AS (
+      SELECT doc_id, count(*) AS n_models, avg(p_real * 100.0) AS mean_c,
+        avg(CASE WHEN p_real >= 0.5 THEN 1.0 ELSE 0.0 END) * 100.0 AS share,
+        avg(CASE WHEN p_real >= 0.5 THEN p_real * 100.0 END) AS real_conf,
+        avg(CASE WHEN p_real < 0.5 THEN (1.0 - p_real) * 100.0 END) AS fake_conf
+      FROM lp GROUP BY doc_id)""", f"""
+SELECT doc_id,
+  {q6('CASE WHEN share > 50 THEN real_conf WHEN share < 50 THEN 100.0 - fake_conf ELSE 50.0 END')} AS vote_consensus,
+  {q6('share')} AS real_share, n_models::BIGINT AS n_models, {q6('mean_c')} AS mean_consensus
+FROM g""")

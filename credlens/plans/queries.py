@@ -598,3 +598,57 @@ def headline_stream(spark, sf_dir, n_files: int = 3):
 
 
 QUERIES.update({"failure_records": failure_records, "headline_stream": headline_stream})
+
+
+# --- more corpus operators (SRC-02, SET-04, AGG-03, JON-09, AGG-15/16) ---------------------
+def seeded_order(spark, sf_dir):
+    """SRC-02: deterministic shuffle key of every document (consumers sort by it)."""
+    d = table(spark, sf_dir, "documents").select("doc_id")
+    return corpus.seeded_shuffle(d).select("doc_id", F.col("_order").alias("shuffle_key"))
+
+
+def hard_negative_corpus(spark, sf_dir):
+    """SET-04: labelled corpus plus the curated hard negatives, counted per (label, subject)."""
+    a = corpus.articles(spark, sf_dir, labelled_only=True).select("doc_id", "title", "text", "subject", "label")
+    return audit.label_subject_counts(corpus.with_hard_negatives(a))
+
+
+def split_sources(spark, sf_dir):
+    """AGG-03: distinct sources and their number per split of the labelled corpus."""
+    return audit.split_sources(model_flow.fit(spark, sf_dir).docs, "split", "subject")
+
+
+def prediction_cache(spark, sf_dir):
+    """JON-09: every document looked up by content hash in the stored predictions."""
+    f = model_flow.fit(spark, sf_dir)
+    stored = f.scored.join(f.docs.select("doc_id", "text"), "doc_id").select(
+        tx.content_hash(F.col("text")).alias("hash"), "p_real")
+    hits, misses = dedup.cache_split(table(spark, sf_dir, "documents").select("doc_id", "text"), stored)
+    h = hits.agg(F.count(F.lit(1)).alias("n_hits"), q6(F.avg("p_real")).alias("avg_cached_p_real"))
+    m = misses.agg(F.count(F.lit(1)).alias("n_distinct_misses"))
+    return h.withColumn("_k", F.lit(1)).join(m.withColumn("_k", F.lit(1)), "_k").drop("_k")
+
+
+def model_consensus(spark, sf_dir):
+    """AGG-15/16 + MLT-08: two linear models (hybrid features, dense-only features) scored
+    on the test split; mean and vote consensus per document."""
+    f = model_flow.fit(spark, sf_dir)
+    train = f.docs.filter(F.col("split") == "train").select("doc_id", "label")
+    test_ids = f.docs.filter(F.col("split") == "test").select("doc_id")
+    dense = linear.dense_long(f.dense)
+    w2 = linear.online_step(dense.join(train.select("doc_id"), "doc_id", "left_semi"), train)
+    p1 = linear.score(f.hybrid.join(test_ids, "doc_id", "left_semi"), f.weights).withColumn("model", F.lit("hybrid"))
+    p2 = linear.score(dense.join(test_ids, "doc_id", "left_semi"), w2).withColumn("model", F.lit("dense"))
+    long_preds = p1.unionByName(p2)
+    mean = ev.consensus_mean(long_preds).withColumnRenamed("consensus", "mean_consensus")
+    vote = ev.consensus_vote(long_preds).withColumnRenamed("consensus", "vote_consensus")
+    return mean.join(vote, "doc_id").select("doc_id", "vote_consensus", "real_share", "n_models", "mean_consensus")
+
+
+QUERIES.update({
+    "seeded_order": seeded_order,
+    "hard_negative_corpus": hard_negative_corpus,
+    "split_sources": split_sources,
+    "prediction_cache": prediction_cache,
+    "model_consensus": model_consensus,
+})

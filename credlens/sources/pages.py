@@ -232,3 +232,31 @@ def language_regex(html: Column) -> Column:
     lang = F.trim(F.regexp_extract(html, LANG_RE, 1))
     return F.when(lang == "", F.lit(DEFAULT_LANGUAGE)).otherwise(F.lower(F.split(lang, "-").getItem(0)))
 
+
+
+# --- SRC-10: stored search-result pages -> evidence rows --------------------------------
+EVIDENCE_SCHEMA = "doc_id long, query_type string, rank int, title string, url string, snippet string"
+RESULTS_PER_QUERY = 3
+
+
+def parse_results(html: str) -> list[tuple[str, str, str]]:
+    """First 3 ``a.result-link`` zipped with the first 3 ``td.result-snippet`` -> (title, url, snippet)."""
+    root = parse(html or "")
+    links = [n for n in root.iter() if n.tag == "a" and "result-link" in _class_str(n).split()]
+    snips = [n for n in root.iter() if n.tag == "td" and "result-snippet" in _class_str(n).split()]
+    return [(a.text().strip(), a.attrs.get("href", ""), s.text().strip())
+            for a, s in zip(links[:RESULTS_PER_QUERY], snips[:RESULTS_PER_QUERY])]
+
+
+def _results_batches(batches):
+    for pdf in batches:
+        rows = []
+        for doc_id, qtype, html in zip(pdf["doc_id"], pdf["query_type"], pdf["html"]):
+            for i, (t, u, s) in enumerate(parse_results(html)):
+                rows.append((doc_id, qtype, i + 1, t, u, s))
+        yield pd.DataFrame(rows, columns=["doc_id", "query_type", "rank", "title", "url", "snippet"])
+
+
+def evidence_from_result_pages(result_pages: DataFrame) -> DataFrame:
+    """SRC-10: a table (doc_id, query_type, html) of stored result pages -> evidence rows."""
+    return result_pages.select("doc_id", "query_type", "html").mapInPandas(_results_batches, EVIDENCE_SCHEMA)

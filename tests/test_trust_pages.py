@@ -50,3 +50,23 @@ def test_page_stats(spark):
                                "page_id long, url string, html string")
     r = pg.extract_pages(df).collect()[0]
     assert r.word_count == 63 and r.reading_time == 0.5 and r.poor_quality is False
+
+
+def test_search_results_and_hybrid_score(spark):
+    from pyspark.sql import functions as F
+
+    from credlens.functions import rules as rl
+    html = ("<table><tr><td><a class='result-link' href='https://a'>Claim is FALSE hoax</a></td></tr>"
+            "<tr><td class='result-snippet'>Fact checkers debunk the rumor</td></tr>"
+            "<tr><td><a class='result-link' href='https://b'>Officials confirmed</a></td></tr>"
+            "<tr><td class='result-snippet'>reported by reuters</td></tr></table>")
+    assert pg.parse_results(html)[0] == ("Claim is FALSE hoax", "https://a", "Fact checkers debunk the rumor")
+    pages = spark.createDataFrame([(1, "primary", html), (1, "claim", html)], "doc_id long, query_type string, html string")
+    ev = rl.evidence_hits(pg.evidence_from_result_pages(pages)).collect()[0]
+    # primary: row1 false, hoax, debunk, rumor (4 fake) ; row2 confirmed, reported, reuters (3 real)
+    assert (ev.fake_hits, ev.real_hits, ev.claim_fake_hits, ev.has_claim) == (4, 3, 4, 1)
+    df = spark.createDataFrame([(80.0, "calm text")], "ml double, t string")
+    h = df.select(rl.hybrid_score(F.col("ml"), F.col("t"), F.lit(4), F.lit(4), F.lit(3), F.lit(4), F.lit(3),
+                                  F.lit(1)).alias("h")).collect()[0].h
+    # fake > real: penalty min(30, 8*1*0.2)=1.6 -> 78.4 ; claim fake>real: 78.4 - 40*0.2 = 70.4
+    assert abs(h - 70.4) < 1e-9
