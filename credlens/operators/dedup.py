@@ -20,8 +20,10 @@ def keep_first(df: DataFrame, key: Column | str, order: str = "doc_id") -> DataF
     """Keep, per key value, the row with the smallest ``order``."""
     key_col = F.col(key) if isinstance(key, str) else key
     cols = df.columns
-    agg = (df.withColumn("_k", key_col)
-           .groupBy("_k")
+    # grouping by (64-bit hash, key) is exact and lets the sort-based aggregate
+    # (min_by over a struct) compare the hash first instead of whole texts
+    agg = (df.withColumn("_k", key_col).withColumn("_h", F.xxhash64("_k"))
+           .groupBy("_h", "_k")
            .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), F.col(order)).alias("_r")))
     return agg.select(*[F.col("_r")[c].alias(c) for c in cols])
 

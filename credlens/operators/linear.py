@@ -147,7 +147,7 @@ def top_word_contributions(contrib: DataFrame, k: int = 8, doc_col: str = "doc_i
     # rank on the value quantised to 1e-6 so equal contributions tie identically everywhere
     w = Window.partitionBy(doc_col, "direction").orderBy(q6(F.abs(F.col("contribution"))).desc(),
                                                           F.col("feature").asc())
-    return both.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return both.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k)
 
 
 # FIXED VALUES: keyword rules assigning dense features to explanation categories

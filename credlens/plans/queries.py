@@ -25,7 +25,8 @@ def _articles(spark, sf_dir, labelled_only=False):
 def source_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: documents -> drop null text -> de-dup -> full clean -> 32 features
     -> per (subject, label) profile."""
-    a = dedup.dedup_text(corpus.drop_null_text(_articles(spark, sf_dir)))
+    a = _articles(spark, sf_dir).select("doc_id", "title", "text", "subject", "label")
+    a = dedup.dedup_text(corpus.drop_null_text(a))
     a = a.withColumn("clean_text", tx.full_preprocess(F.col("text")))
     f = st.with_dense_features(a, keep=["subject", "label"])
     return f.groupBy("subject", "label").agg(
@@ -154,7 +155,7 @@ def tfidf_top_tokens(spark, sf_dir):
     from pyspark.sql import Window
     w = tfidf_weights(spark, sf_dir)
     win = Window.partitionBy("doc_id").orderBy(F.col("weight").desc(), F.col("term").asc())
-    return w.withColumn("rank", F.row_number().over(win)).filter(F.col("rank") <= 5)
+    return w.withColumn("rank", F.row_number().over(win).cast("long")).filter(F.col("rank") <= 5)
 
 
 def chi2_selection(spark, sf_dir):
