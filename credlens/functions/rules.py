@@ -219,3 +219,32 @@ def claim_query(text: Column) -> Column:
     words = tx.py_split(last)
     q = F.when(F.size(words) > 12, F.array_join(F.slice(words, 1, 12), " ")).otherwise(last)
     return F.when(F.size(hits) > 0, q)
+
+
+# --- TXT-19 / RUL-08 ----------------------------------------------------------------------
+def sentiment_bias(text: Column) -> Column:
+    """TXT-19: (positive - negative) / words over lower-cased whitespace tokens; 0 for no words."""
+    words = tx.py_split(F.lower(F.coalesce(text, F.lit(""))))
+    pos = tx.word_count_in(words, lx.STREAM_POSITIVE_WORDS)
+    neg = tx.word_count_in(words, lx.STREAM_NEGATIVE_WORDS)
+    n = F.size(words)
+    return F.when(n == 0, F.lit(0.0)).otherwise((pos - neg) / n)
+
+
+# FIXED VALUES: contributing-feature texts of the audit report
+EXCESSIVE_PUNCT_TEXT = "Excessive punctuation usage"
+REPETITIVE_TEXT = "Repetitive style keywords"
+GENERAL_TEXT = "General news vocabulary"
+
+
+def contributing_features(words: Column, excessive_punct: Column, lexical_diversity: Column) -> Column:
+    """RUL-08: up to 3 explanation words (quoted, upper-cased) + style flags; a default when empty.
+
+    ``words``: the verdict-side word list (fake words when the fake score >= 50, else real words).
+    """
+    quoted = F.transform(F.slice(F.coalesce(words, F.array().cast("array<string>")), 1, 3),
+                         lambda w: F.concat(F.lit('"'), F.upper(w), F.lit('"')))
+    flags = F.array(F.when(excessive_punct > 0, F.lit(EXCESSIVE_PUNCT_TEXT)),
+                    F.when(lexical_diversity < 0.4, F.lit(REPETITIVE_TEXT)))
+    out = F.concat(quoted, F.filter(flags, lambda x: x.isNotNull()))
+    return F.when(F.size(out) == 0, F.array(F.lit(GENERAL_TEXT))).otherwise(out)

@@ -22,10 +22,10 @@ def keep_first(df: DataFrame, key: Column | str, order: str = "doc_id") -> DataF
     cols = df.columns
     # grouping by (64-bit hash, key) is exact and lets the sort-based aggregate
     # (min_by over a struct) compare the hash first instead of whole texts
-    agg = (df.withColumn("_k", key_col).withColumn("_h", F.xxhash64("_k"))
-           .groupBy("_h", "_k")
-           .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), F.col(order)).alias("_r")))
-    return agg.select(*[F.col("_r")[c].alias(c) for c in cols])
+    agg = (df.withColumn("__kf_key", key_col).withColumn("__kf_hash", F.xxhash64("__kf_key"))
+           .groupBy("__kf_hash", "__kf_key")
+           .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), F.col(order)).alias("__kf_row")))
+    return agg.select(*[F.col("__kf_row")[c].alias(c) for c in cols])
 
 
 def dedup_text(df: DataFrame, text: str = "text", order: str = "doc_id") -> DataFrame:

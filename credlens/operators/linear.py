@@ -175,3 +175,40 @@ def category_summary(contrib: DataFrame, doc_col: str = "doc_id") -> DataFrame:
     cats = F.broadcast(category_table(contrib.sparkSession))
     return (contrib.join(cats, "feature")
             .groupBy(doc_col, "category").agg(F.sum("contribution").alias("contribution")))
+
+
+def source_split(df: DataFrame, train_subjects, heldout_subjects, subject: str = "subject",
+                 id_col: str = "doc_id") -> DataFrame:
+    """PRJ-06: 'train' for seen subjects, 'test' for held-out ones, other rows dropped;
+    when either side would be empty, fall back to the hash split (as the reference does)."""
+    tagged = df.withColumn("split", F.when(F.col(subject).isin(list(train_subjects)), F.lit("train"))
+                           .when(F.col(subject).isin(list(heldout_subjects)), F.lit("test")))
+    counts = {r["split"]: r["n"] for r in tagged.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if counts.get("train", 0) == 0 or counts.get("test", 0) == 0:
+        return df.withColumn("split", split_column(id_col))
+    return tagged.filter(F.col("split").isNotNull())
+
+
+def training_subset(df: DataFrame, n: int = 5000, id_col: str = "doc_id", seed: int = 42) -> DataFrame:
+    """WIN-13: a deterministic first-n subset (hash order) used for tuning."""
+    key = F.sha2(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")), 256)
+    return df.orderBy(key).limit(n)
+
+
+def train_epochs(features: DataFrame, labels: DataFrame, n_batches: int, epochs: int,
+                 weights: DataFrame | None = None, eta: float = 1.0, alpha: float = 1e-4,
+                 doc_col: str = "doc_id") -> DataFrame:
+    """STR-09 / SRC-05: epochs x hash-assigned chunks of online steps.
+
+    Each step is a distributed aggregation; the small weight table is
+    checkpointed (reliably) after every step so the lineage stays short.
+    """
+    from credlens.session import cut_lineage
+    chunked = labels.withColumn("_b", F.pmod(F.xxhash64(F.col(doc_col)), F.lit(n_batches)))
+    w = weights
+    for _ in range(epochs):
+        for b in range(n_batches):
+            batch = chunked.filter(F.col("_b") == b).drop("_b")
+            w = cut_lineage(online_step(features.join(batch.select(doc_col), doc_col, "left_semi"), batch, w,
+                                        eta=eta, alpha=alpha, doc_col=doc_col))
+    return w

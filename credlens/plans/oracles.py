@@ -821,3 +821,20 @@ SELECT doc_id,
   {q6('CASE WHEN share > 50 THEN real_conf WHEN share < 50 THEN 100.0 - fake_conf ELSE 50.0 END')} AS vote_consensus,
   {q6('share')} AS real_share, n_models::BIGINT AS n_models, {q6('mean_c')} AS mean_consensus
 FROM g""")
+
+
+# --- TXT-19, WIN-08, PRJ-06 -----------------------------------------------------------------
+_W_SB = py_split("lower(text)")
+ORACLES["sentiment_bias"] = f"""
+SELECT doc_id, {q6(f"CASE WHEN len({_W_SB}) = 0 THEN 0.0 ELSE ({_lexcount(_W_SB, lx.STREAM_POSITIVE_WORDS)} - {_lexcount(_W_SB, lx.STREAM_NEGATIVE_WORDS)}) / len({_W_SB}) END")} AS sentiment_bias
+FROM documents"""
+
+ORACLES["first_sample_per_label"] = """
+SELECT doc_id, label, substr(text, 1, 150) AS excerpt FROM (
+  SELECT d.doc_id, l.quality AS label, d.text, row_number() OVER (PARTITION BY l.quality ORDER BY d.doc_id) AS r
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id) WHERE r = 1"""
+
+ORACLES["cross_source_split"] = f"""
+SELECT CASE WHEN substr(sha256('42:' || d.doc_id::VARCHAR), 1, 8) < '{THRESH_HEX}' THEN 'test' ELSE 'train' END AS split,
+  l.quality AS label, count(*)::BIGINT AS n_articles
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id GROUP BY 1, 2"""

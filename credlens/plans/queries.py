@@ -515,6 +515,7 @@ def ml_model_metrics(spark, sf_dir):
 def ml_tuning(spark, sf_dir):
     """MLT-09: 3-fold grid search of the logistic-regression C by accuracy."""
     _, train, _, _ = _ml_data(spark, sf_dir)
+    train = linear.training_subset(train, 5000)  # WIN-13: tuning subset
     c, score = ml.tune_logistic(train, train.count())
     return spark.createDataFrame([("logreg", float(c), float(score))], "model string, best_C double, cv_accuracy double")
 
@@ -653,3 +654,35 @@ QUERIES.update({
     "prediction_cache": prediction_cache,
     "model_consensus": model_consensus,
 })
+
+
+# --- TXT-19, WIN-08, PRJ-06 ---------------------------------------------------------------
+from pyspark.sql import Window as _W  # noqa: E402
+
+from credlens.functions import lexicons as _lx  # noqa: E402
+
+
+def sentiment_bias(spark, sf_dir):
+    """TXT-19 over every document and conversation turn is the stream's lexicon score."""
+    d = spread(table(spark, sf_dir, "documents"))
+    return d.select("doc_id", q6(rl.sentiment_bias(F.col("text"))).alias("sentiment_bias"))
+
+
+def first_sample_per_label(spark, sf_dir):
+    """WIN-08: the first labelled article (smallest doc_id) of each class, with a 150-char excerpt."""
+    a = corpus.articles(spark, sf_dir, labelled_only=True)
+    w = _W.partitionBy("label").orderBy("doc_id")
+    first = a.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1)
+    return first.select("doc_id", "label", F.substring("text", 1, 150).alias("excerpt"))
+
+
+def cross_source_split(spark, sf_dir):
+    """PRJ-06 + MLT-13 split: seen subjects train, held-out subjects test; the driver's sources
+    match neither list, so the reference's fallback (random stratified split) applies."""
+    a = corpus.articles(spark, sf_dir, labelled_only=True)
+    s = linear.source_split(a, _lx.TRAIN_SUBJECTS, _lx.HELDOUT_SUBJECTS)
+    return s.groupBy("split", "label").agg(F.count(F.lit(1)).alias("n_articles"))
+
+
+QUERIES.update({"sentiment_bias": sentiment_bias, "first_sample_per_label": first_sample_per_label,
+                "cross_source_split": cross_source_split})
