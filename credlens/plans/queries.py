@@ -7,14 +7,27 @@ compare exactly against the DuckDB oracles in :mod:`credlens.plans.oracles`.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as _W
 from pyspark.sql import functions as F
 
+from credlens.functions import lexicons as _lx
+from credlens.functions import rules as rl
 from credlens.functions import stylometry as st
 from credlens.functions import text as tx
-from credlens.operators import audit, dedup
-from credlens.session import q6, spread, table
+from credlens.operators import audit, dedup, knn, linear, trust
+from credlens.operators import evaluation as ev
+from credlens.operators import learners as ml
+from credlens.operators import similarity as sim
+from credlens.operators import vocab as vc
+from credlens.plans import model_flow
+from credlens.session import cut_lineage, q6, shared_dir, spread, table
 from credlens.sources import corpus
+from credlens.sources import pages as pg
+from credlens.sources import records as rec
+from credlens.streaming import headlines, selftrain
 
 
 def _articles(spark, sf_dir, labelled_only=False):
@@ -115,10 +128,6 @@ QUERIES = {
 
 
 # --- vocabulary / weighting (VEC) ------------------------------------------------
-from credlens.operators import evaluation as ev  # noqa: E402
-from credlens.operators import linear  # noqa: E402
-from credlens.operators import vocab as vc  # noqa: E402
-from credlens.plans import model_flow  # noqa: E402
 
 
 def _all_doc_tokens(spark, sf_dir):
@@ -285,8 +294,6 @@ QUERIES.update({
 
 
 # --- pages and domain trust (PAG, JON-01..03) -------------------------------------
-from credlens.operators import trust  # noqa: E402
-from credlens.sources import pages as pg  # noqa: E402
 
 
 def domain_trust(spark, sf_dir):
@@ -336,7 +343,6 @@ QUERIES.update({
 
 
 # --- rules (RUL) and the per-article audit (E2) -------------------------------------
-from credlens.functions import rules as rl  # noqa: E402
 
 
 def ai_style_scores(spark, sf_dir):
@@ -413,7 +419,6 @@ QUERIES.update({
 
 
 # --- nearest neighbours (MLT-05) ----------------------------------------------------
-from credlens.operators import knn  # noqa: E402
 
 
 def knn_predictions(spark, sf_dir):
@@ -436,10 +441,6 @@ QUERIES.update({"knn_predictions": knn_predictions, "knn_accuracy": knn_accuracy
 
 
 # --- streaming (STR) ------------------------------------------------------------------
-import uuid  # noqa: E402
-
-from credlens.session import cut_lineage, shared_dir  # noqa: E402
-from credlens.streaming import selftrain  # noqa: E402
 
 
 def stream_routing(spark, sf_dir):
@@ -473,7 +474,6 @@ QUERIES.update({"stream_routing": stream_routing, "stream_selftrain_telemetry":
 
 
 # --- Spark ML learners (MLT) -----------------------------------------------------------
-from credlens.operators import learners as ml  # noqa: E402
 
 
 def _ml_data(spark, sf_dir):
@@ -533,7 +533,6 @@ QUERIES.update({"ml_model_metrics": ml_model_metrics, "ml_tuning": ml_tuning})
 
 
 # --- integrity matching against reference passages (JON-05/06, RUL-05) ------------------
-from credlens.operators import similarity as sim  # noqa: E402
 
 
 def integrity_matches(spark, sf_dir):
@@ -559,8 +558,6 @@ QUERIES.update({"integrity_matches": integrity_matches, "integrity_pairs": integ
 
 
 # --- failure records, replay, headline feed (SRC-06/07/09, SET-05, STR-01/10, MLT-12) ------
-from credlens.sources import records as rec  # noqa: E402
-from credlens.streaming import headlines  # noqa: E402
 
 
 def failure_records(spark, sf_dir):
@@ -657,9 +654,6 @@ QUERIES.update({
 
 
 # --- TXT-19, WIN-08, PRJ-06 ---------------------------------------------------------------
-from pyspark.sql import Window as _W  # noqa: E402
-
-from credlens.functions import lexicons as _lx  # noqa: E402
 
 
 def sentiment_bias(spark, sf_dir):
