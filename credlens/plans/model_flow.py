@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from credlens.functions import stylometry as st
 from credlens.functions import text as tx
 from credlens.operators import dedup, linear, vocab
+from credlens.session import cut_lineage
 from credlens.sources import corpus
 
 
@@ -57,7 +58,12 @@ def labelled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fit(spark: SparkSession, sf_dir: str, params: FlowParams = FlowParams()) -> Fitted:
-    docs = labelled_docs(spark, sf_dir)
+    # Lineage is cut (reliable checkpoint in the shared checkpoint folder) at the
+    # tables every later step re-reads: the cleaned corpus, the selected vocabulary,
+    # the hybrid feature table and the weights.  Besides surviving executor loss,
+    # this keeps each later action from re-planning the regex/feature expression
+    # trees (measured: scoring 9.6 s -> 0.5 s at sf0.1).
+    docs = cut_lineage(labelled_docs(spark, sf_dir))
     train = docs.filter(F.col("split") == "train")
     n_train = train.count()
 
@@ -71,7 +77,7 @@ def fit(spark: SparkSession, sf_dir: str, params: FlowParams = FlowParams()) ->
 
     chi = vocab.chi2_scores(weights_all.join(train_ids, "doc_id", "left_semi"),
                             train.select("doc_id", "label"))
-    selected = vocab.select_k_best(chi, params.k_best).persist()
+    selected = cut_lineage(vocab.select_k_best(chi, params.k_best))
     term_weights = weights_all.join(F.broadcast(selected.select("term")), "term")
 
     # reused by the min-max fit (train rows) and the transform (all rows)
@@ -79,10 +85,10 @@ def fit(spark: SparkSession, sf_dir: str, params: FlowParams = FlowParams()) ->
     stats = vocab.minmax_fit(raw_dense.filter(F.col("split") == "train"), st.FEATURE_COLUMNS)
     dense = vocab.minmax_apply(raw_dense, stats, keep=["doc_id"])
 
-    hybrid = linear.hybrid_long(term_weights, dense).persist()
+    hybrid = cut_lineage(linear.hybrid_long(term_weights, dense))
     weights = linear.online_step(hybrid.join(train_ids, "doc_id", "left_semi"),
                                  train.select("doc_id", "label"), eta=params.eta, alpha=params.alpha)
-    weights = weights.persist()
+    weights = cut_lineage(weights)
     scored = (linear.score(hybrid, weights)
               .join(docs.select("doc_id", "label", "split"), "doc_id"))
     return Fitted(docs, vocabulary, selected, term_weights, dense, hybrid, weights, scored, stats)
