@@ -70,7 +70,8 @@ def search_verdict(verdict_fake: Column, verdict_real: Column) -> Column:
 
 # --- RUL-02: hybrid score ------------------------------------------------------------
 def hybrid_score(ml: Column, text: Column, n_results: Column, fake_hits: Column, real_hits: Column,
-                 claim_fake: Column, claim_real: Column, has_claim: Column) -> Column:
+                 claim_fake: Column, claim_real: Column, has_claim: Column,
+                 indicator_penalty: bool = True) -> Column:
     low = F.lower(F.coalesce(text, F.lit("")))
     cf2 = F.greatest(F.lit(0.2), (100.0 - ml) / 100.0)
     cf1 = F.greatest(F.lit(0.1), (100.0 - ml) / 100.0)
@@ -85,6 +86,8 @@ def hybrid_score(ml: Column, text: Column, n_results: Column, fake_hits: Column,
     no_results = F.when(any_word(low, lx.SENSATIONAL_WORDS),
                         F.greatest(F.lit(10.0), ml - 30.0 * cf2)).otherwise(ml)
     h = F.when(has_results, with_claim).otherwise(no_results)
+    if not indicator_penalty:
+        return h
     n_ind = occurrence_count(low, lx.FAKE_INDICATORS)
     return F.when(n_ind >= 2, F.greatest(F.lit(5.0), h - F.least(F.lit(35.0), 8.0 * n_ind * cf1))).otherwise(h)
 
@@ -248,3 +251,36 @@ def contributing_features(words: Column, excessive_punct: Column, lexical_divers
                     F.when(lexical_diversity < 0.4, F.lit(REPETITIVE_TEXT)))
     out = F.concat(quoted, F.filter(flags, lambda x: x.isNotNull()))
     return F.when(F.size(out) == 0, F.array(F.lit(GENERAL_TEXT))).otherwise(out)
+
+
+# --- staged (DataFrame-level) forms: intermediates become columns, so large
+# --- subexpressions (regex passes, sentence arrays) are evaluated once per row
+def with_style_scores(df: DataFrame, text: str = "text") -> DataFrame:
+    """Adds cliche_count, variance (AGG-17) and ai_prob (RUL-03)."""
+    counts = F.transform(tx.dot_sentences(F.col(text)), lambda s: F.size(tx.py_split(s)).cast("double"))
+    out = df.withColumn("cliche_count", cliche_count(F.col(text))).withColumn("_counts", counts)
+    n = F.size("_counts")
+    out = out.withColumn("_n", n).withColumn(
+        "_mean", F.aggregate("_counts", F.lit(0.0), lambda a, x: a + x) / F.col("_n"))
+    dev = F.zip_with("_counts", F.array_repeat(F.col("_mean"), F.col("_n")), lambda x, m: (x - m) * (x - m))
+    out = out.withColumn("variance", F.when(F.col("_n") > 3, F.aggregate(dev, F.lit(0.0), lambda a, x: a + x)
+                                            / F.col("_n")).otherwise(F.lit(20.0)))
+    return (out.withColumn("ai_prob", ai_probability(F.col("cliche_count"), F.col("variance")))
+            .drop("_counts", "_n", "_mean"))
+
+
+def with_hybrid_score(df: DataFrame, ml: str, text: str, out: str = "hybrid_score",
+                      n_results: str | None = None, fake_hits: str | None = None, real_hits: str | None = None,
+                      claim_fake: str | None = None, claim_real: str | None = None,
+                      has_claim: str | None = None) -> DataFrame:
+    """RUL-02 with staged intermediates (same result as :func:`hybrid_score`)."""
+    def c(name):
+        return F.col(name) if name else F.lit(None).cast("long")
+    low = F.lower(F.coalesce(F.col(text), F.lit("")))
+    staged = df.withColumn("_n_ind", occurrence_count(low, lx.FAKE_INDICATORS)).withColumn(
+        "_h", hybrid_score(F.col(ml), F.col(text), c(n_results), c(fake_hits), c(real_hits),
+                           c(claim_fake), c(claim_real), c(has_claim), indicator_penalty=False))
+    cf1 = F.greatest(F.lit(0.1), (100.0 - F.col(ml)) / 100.0)
+    pen = F.when(F.col("_n_ind") >= 2, F.greatest(F.lit(5.0), F.col("_h") - F.least(
+        F.lit(35.0), 8.0 * F.col("_n_ind") * cf1))).otherwise(F.col("_h"))
+    return staged.withColumn(out, pen).drop("_n_ind", "_h")

@@ -347,12 +347,10 @@ QUERIES.update({
 
 def ai_style_scores(spark, sf_dir):
     """RUL-03 + AGG-17 + TXT-17 over every document."""
-    d = spread(table(spark, sf_dir, "documents"))
-    c = d.select("doc_id", rl.cliche_count(F.col("text")).alias("cliche_count"),
-                 rl.burstiness(F.col("text")).alias("variance"))
+    d = spread(table(spark, sf_dir, "documents")).select("doc_id", "text")
+    c = rl.with_style_scores(d, "text")
     return c.select("doc_id", F.col("cliche_count").cast("long").alias("cliche_count"),
-                    q6(F.col("variance")).alias("variance"),
-                    q6(rl.ai_probability(F.col("cliche_count"), F.col("variance"))).alias("ai_prob"))
+                    q6(F.col("variance")).alias("variance"), q6(F.col("ai_prob")).alias("ai_prob"))
 
 
 def search_queries(spark, sf_dir):
@@ -392,12 +390,10 @@ def article_audit(spark, sf_dir):
     risk, labels and reasons, one row per labelled article (no evidence, no URL)."""
     f = model_flow.fit(spark, sf_dir)
     raw = st.with_dense_features(f.docs, keep=["doc_id", "text"])
-    t = raw.join(f.scored.select("doc_id", "p_real"), "doc_id")
-    ml = F.col("p_real") * 100.0
-    none = F.lit(None).cast("long")
-    hyb = rl.hybrid_score(ml, F.col("text"), none, none, none, none, none, none)
-    style = rl.ai_probability(rl.cliche_count(F.col("text")), rl.burstiness(F.col("text")))
-    t = t.withColumn("final", rl.ai_penalty(hyb, style, none))
+    t = raw.join(f.scored.select("doc_id", "p_real"), "doc_id").withColumn("ml", F.col("p_real") * 100.0)
+    t = rl.with_hybrid_score(t, "ml", "text", out="hyb")     # no evidence rows
+    t = rl.with_style_scores(t, "text")
+    t = t.withColumn("final", rl.ai_penalty(F.col("hyb"), F.col("ai_prob"), F.lit(None).cast("long")))
     trust_score = F.lit(50)  # no URL: 'N/A', 50, 'Unverified'
     fake = 100.0 - F.col("final")
     return t.select(
