@@ -15,6 +15,11 @@ from credlens.functions import lexicons as lx
 from credlens.functions import text as tx
 
 
+# Word lists, thresholds and texts used below are the fixed values in lexicons.py;
+# numeric constants in the formulas (30, 8, 0.2, 15, 4, 98, 40, 35, 0.1, 12, 0.65,
+# 0.12, 0.35, 18, 0.95, 88, 95) are FIXED VALUES of the scoring rules.
+
+
 def _bounded(word: str) -> str:
     return r"(?U)\b" + re.escape(word) + r"\b"
 

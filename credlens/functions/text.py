@@ -33,6 +33,8 @@ def _alt(words) -> str:
     return "|".join(words)
 
 
+# FIXED VALUES: cleaning patterns (the reference's regular expressions, written for Java
+# with the explicit Python whitespace / word classes above)
 # --- TXT-02 / TXT-03: leakage patterns ------------------------------------
 DATELINE_RE = (
     "(?i)^[" + WS + "]*[A-Z" + WS + "]+(?:[" + WS + r"]*\([^)]+\))?[" + WS + "]*[-—][" + WS + "]*"

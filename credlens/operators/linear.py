@@ -25,6 +25,7 @@ from credlens.session import q6
 BIAS = "__bias__"
 DENSE_PREFIX = "dense:"
 
+# FIXED VALUES: test fraction 0.2, seed 42
 # 80/20 split: a row is in the test part when the first 8 hex digits of
 # sha256("<seed>:<id>") fall below 0.2 * 16^8.  Deterministic, stratified in
 # expectation per label, no window over a whole label.

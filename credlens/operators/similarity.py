@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from credlens.functions import text as tx
 
+# FIXED VALUES: matching thresholds and the sentence split pattern
 MATCH_RATIO = 0.55
 EARLY_STOP_RATIO = 0.85
 MIN_WORDS = 3

@@ -35,6 +35,7 @@ class VocabParams:
     max_features: int = 5000
 
 
+# FIXED VALUES: vectorizer settings (baseline and generalisation runs)
 BASELINE = VocabParams(2, 0.98, 5000)
 GENERALISATION = VocabParams(5, 0.90, 5000)
 
