@@ -119,7 +119,9 @@ def full_clean_tokens(col: Column, stopwords=None) -> Column:
     sw = list(stopwords if stopwords is not None else lx.CLEANER_STOPWORDS)
     t = F.translate(col, lx.SMART_PUNCT_FROM, lx.SMART_PUNCT_TO)   # TXT-06
     t = F.lower(t)
-    t = expand_contractions(t)                                      # TXT-07
+    # TXT-07: every contraction contains an apostrophe, so rows without one skip
+    # the contraction passes (the guarded subtree is only translate + lower)
+    t = F.when(F.instr(t, "'") > 0, expand_contractions(t)).otherwise(t)
     t = F.regexp_replace(t, REPEAT_RE, "$1$1")                      # TXT-08
     t = F.regexp_replace(t, NON_ASCII_RE, " ")                      # TXT-09
     t = F.regexp_replace(t, FULL_DATELINE_RE, "")                   # TXT-10
