@@ -87,7 +87,7 @@ def stylometric_features(spark, sf_dir):
 # --- de-dup / corpus ------------------------------------------------------------
 def dedup_first_text(spark, sf_dir):
     """SET-01: one row per distinct text, smallest doc_id kept."""
-    d = table(spark, sf_dir, "documents")
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return dedup.dedup_text(d).select("doc_id", "source")
 
 
@@ -143,7 +143,7 @@ def _all_doc_tokens(spark, sf_dir):
 
 def tfidf_vocabulary(spark, sf_dir):
     """VEC-01..03 over all documents: pruned top-5000 vocabulary with df and idf."""
-    docs = _all_doc_tokens(spark, sf_dir).persist()
+    docs = _all_doc_tokens(spark, sf_dir)
     n = docs.count()
     v = vc.prune_vocabulary(vc.document_frequencies(vc.term_frequencies(docs)), n, vc.BASELINE)
     return v.select("term", F.col("df").cast("long").alias("df"), F.col("tf_total").cast("long").alias("tf_total"),
@@ -152,7 +152,7 @@ def tfidf_vocabulary(spark, sf_dir):
 
 def tfidf_weights(spark, sf_dir):
     """VEC-04: L2-normalised sublinear TF-IDF weights (long form) for every document."""
-    docs = _all_doc_tokens(spark, sf_dir).persist()
+    docs = _all_doc_tokens(spark, sf_dir)
     n = docs.count()
     tf = vc.term_frequencies(docs).persist()  # feeds both the vocabulary and the weights
     v = vc.prune_vocabulary(vc.document_frequencies(tf), n, vc.BASELINE)
