@@ -45,8 +45,11 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="credlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
+        try:  # record it for later readers; some deployments reject setting core confs
+            spark.conf.set("spark.checkpoint.dir", base)
+        except Exception:  # noqa: BLE001
+            pass
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/") + "/" + name
