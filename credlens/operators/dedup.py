@@ -21,11 +21,15 @@ def keep_first(df: DataFrame, key: Column | str, order: str = "doc_id") -> DataF
     key_col = F.col(key) if isinstance(key, str) else key
     cols = df.columns
     # grouping by (64-bit hash, key) is exact and lets the sort-based aggregate
-    # (min_by over a struct) compare the hash first instead of whole texts
+    # (min_by over a struct) compare the hash first instead of whole texts; a key
+    # that is itself a column is not repeated inside the struct (the text would
+    # otherwise cross the shuffle twice) but restored from the grouping key
+    carried = [c for c in cols if not (isinstance(key, str) and c == key)]
     agg = (df.withColumn("__kf_key", key_col).withColumn("__kf_hash", F.xxhash64("__kf_key"))
            .groupBy("__kf_hash", "__kf_key")
-           .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), F.col(order)).alias("__kf_row")))
-    return agg.select(*[F.col("__kf_row")[c].alias(c) for c in cols])
+           .agg(F.min_by(F.struct(*[F.col(c) for c in carried]), F.col(order)).alias("__kf_row")))
+    return agg.select(*[(F.col("__kf_key") if c not in carried else F.col("__kf_row")[c]).alias(c)
+                        for c in cols])
 
 
 def dedup_text(df: DataFrame, text: str = "text", order: str = "doc_id") -> DataFrame:
