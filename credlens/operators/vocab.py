@@ -50,9 +50,13 @@ def uni_bigrams(tokens: Column) -> Column:
 
 
 def partition_docs(docs: DataFrame, doc_col: str = "doc_id") -> DataFrame:
-    """Hash-partition documents by id once; later per-document steps reuse it."""
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return docs.repartition(n, doc_col)
+    """Hash-partition documents by id once; later per-document steps reuse it.
+
+    No explicit partition count: AQE may coalesce small partitions (a coalesced
+    hash partitioning still clusters by ``doc_id``), so the session's
+    ``spark.sql.shuffle.partitions`` is an upper bound, not a fixed task count.
+    """
+    return docs.repartition(doc_col)
 
 
 def term_frequencies(docs: DataFrame, tokens: str = "tokens", doc_col: str = "doc_id") -> DataFrame:
