@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from credlens.llm import quality, toxicity
-from credlens.llm.common import documents, held_out
+from credlens.llm import bpe, quality, toxicity
+from credlens.llm.common import documents, held_out, tokenizer_path
 from credlens.session import table
 
 
@@ -13,6 +13,14 @@ def op5_compression_bands(spark, sf_dir):
     return quality.quality_rules(documents(spark, sf_dir))
 
 
+def op7_tree_bpe(spark, sf_dir):
+    path = tokenizer_path("word_bpe_49k.json")
+    encoded = bpe.encode(documents(spark, sf_dir), path)
+    digest = bpe.decimal_digest(encoded, carry=("doc_id", "n_tokens", "ids"))
+    decoded = bpe.decode(digest, path, carry=("doc_id", "n_tokens", "ids_sha256"))
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op10_toxicity_lexicon(spark, sf_dir):
     docs = documents(spark, sf_dir)
     lexicon = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -22,6 +30,7 @@ def op10_toxicity_lexicon(spark, sf_dir):
 
 QUERIES = {
     "op5_compression_bands": op5_compression_bands,
+    "op7_tree_bpe": op7_tree_bpe,
     "op10_toxicity_lexicon": op10_toxicity_lexicon,
 }
 
