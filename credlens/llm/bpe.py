@@ -25,8 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from credlens.llm.common import ARROW, chunks, map_text, tokenizer
+from credlens.llm.common import ARROW, chunks, map_text, schema_of, tokenizer
 from credlens.session import ship_package
 
 #: Distinct words an encoder remembers; above it the memory is emptied and filled anew.
@@ -270,8 +271,7 @@ def _parts(text: str, spread: int) -> list[str]:
 def _map_parts(big: DataFrame, id_col: str, cut) -> DataFrame:
     """One row per part of a long text; ``key`` tells texts of the same id apart."""
     ship_package(big.sparkSession)
-    from pyspark.sql import types as T
-    schema = T.StructType([big.schema[id_col]]).add("key", "string").add("part_no", "int").add("part", "string")
+    schema = T.StructType([big.schema[id_col], *schema_of("key string, part_no int, part string").fields])
 
     def run(batches):
         for batch in batches:
@@ -290,8 +290,7 @@ def _map_parts(big: DataFrame, id_col: str, cut) -> DataFrame:
 
 
 def _join_parts(whole: DataFrame, id_col: str, path: str) -> DataFrame:
-    from pyspark.sql import types as T
-    schema = T.StructType([whole.schema[id_col]]).add("n_tokens", "bigint").add("ids", "binary")
+    schema = T.StructType([whole.schema[id_col], *schema_of("n_tokens bigint, ids binary").fields])
 
     def run(batches):
         for batch in batches:
