@@ -27,11 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from credlens.llm.common import ARROW, chunks, map_text, schema_of, tokenizer
+from credlens.llm.common import arrow_schema, chunks, map_text, schema_of, tokenizer
 from credlens.session import ship_package
 
 #: Distinct words an encoder remembers; above it the memory is emptied and filled anew.
-REMEMBER = 1_000_000
+REMEMBER = 600_000
 #: Words longer than this are encoded every time.
 LONGEST = 64
 #: Characters in a leaf of the tree.
@@ -238,37 +238,48 @@ def encode_texts(texts: list[str | None], path: str, leaf: int = LEAF) -> list[n
     return out
 
 
+def raw_ids(ids: list[np.ndarray], path: str) -> dict:
+    return {"n_tokens": [len(x) for x in ids], "ids": [x.astype("<u4").tobytes() for x in ids]}
+
+
+def digests(ids: list[np.ndarray], path: str) -> dict:
+    """Digests of the ids and of the text they decode to, made where the ids are: neither is
+    carried through the plan."""
+    decoded = decode_ids(ids, path)
+    return {"n_tokens": [len(x) for x in ids], "ids_sha256": [decimal_sha256(x) for x in ids],
+            "decoded_sha256": [hashlib.sha256(t.encode()).hexdigest() for t in decoded]}
+
+
+RAW = (raw_ids, "n_tokens bigint, ids binary")
+DIGESTS = (digests, "n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+
+
 def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", leaf: int = LEAF,
-           spread: int = SPREAD) -> DataFrame:
-    """``id_col``, ``n_tokens`` and ``ids`` (little-endian uint32) of every whole text.
+           spread: int = SPREAD, result=RAW) -> DataFrame:
+    """``id_col``, ``n_tokens`` and ``ids`` (little-endian uint32) of every whole text; with
+    ``result=DIGESTS`` hashes of the ids and of the decoded text instead.
 
     Texts up to ``spread`` characters are encoded where they lie.  Longer ones are cut into
     parts that are encoded on any executor and meet again by (id, text hash) to be joined;
     only they are shuffled."""
+    finish, ddl = result
+
     def run(texts):
-        ids = encode_texts(texts, path, leaf)
-        return {"n_tokens": [len(x) for x in ids], "ids": [x.astype("<u4").tobytes() for x in ids]}
+        return finish(encode_texts(texts, path, leaf), path)
+
+    def run_part(texts):
+        return raw_ids(encode_texts(texts, path, leaf), path)
 
-    ddl = "n_tokens bigint, ids binary"
     long = F.coalesce(F.length(text_col) > spread, F.lit(False))
     near = map_text(df.where(~long), run, ddl, text_col, (id_col,))
     big = df.where(long).select(F.col(id_col), F.col(text_col).alias("text"))
-
-    def cut(texts):
-        return {"parts": [_parts(t, spread) for t in texts]}
-
-    parts = (_map_parts(big, id_col, cut)
-             .repartition("key", "part_no"))
-    done = map_text(parts, run, ddl, "part", (id_col, "key", "part_no", "part"))
+    parts = _map_parts(big, id_col, spread).repartition("key", "part_no")
+    done = map_text(parts, run_part, RAW[1], "part", (id_col, "key", "part_no", "part"))
     whole = done.groupBy(id_col, "key").agg(F.sort_array(F.collect_list(F.struct("part_no", "part", "ids"))).alias("parts"))
-    return near.unionByName(_join_parts(whole, id_col, path))
-
-
-def _parts(text: str, spread: int) -> list[str]:
-    return halves(text, spread)
+    return near.unionByName(_join_parts(whole, id_col, path, finish, ddl))
 
 
-def _map_parts(big: DataFrame, id_col: str, cut) -> DataFrame:
+def _map_parts(big: DataFrame, id_col: str, spread: int) -> DataFrame:
     """One row per part of a long text; ``key`` tells texts of the same id apart."""
     ship_package(big.sparkSession)
     schema = T.StructType([big.schema[id_col], *schema_of("key string, part_no int, part string").fields])
@@ -278,7 +289,7 @@ def _map_parts(big: DataFrame, id_col: str, cut) -> DataFrame:
             ids = batch.column(0)
             texts = batch.column(1).to_pylist()
             for a, b in chunks(texts):
-                parts = cut(texts[a:b])["parts"]
+                parts = [halves(t, spread) for t in texts[a:b]]
                 flat = [(i, hashlib.sha256(texts[a + i].encode()).hexdigest(), n, p)
                         for i, own in enumerate(parts) for n, p in enumerate(own)]
                 yield pa.RecordBatch.from_arrays(
@@ -289,8 +300,9 @@ def _map_parts(big: DataFrame, id_col: str, cut) -> DataFrame:
     return big.mapInArrow(run, schema)
 
 
-def _join_parts(whole: DataFrame, id_col: str, path: str) -> DataFrame:
-    schema = T.StructType([whole.schema[id_col], *schema_of("n_tokens bigint, ids binary").fields])
+def _join_parts(whole: DataFrame, id_col: str, path: str, finish, ddl: str) -> DataFrame:
+    added = schema_of(ddl)
+    types = arrow_schema(added)
 
     def run(batches):
         for batch in batches:
@@ -298,37 +310,38 @@ def _join_parts(whole: DataFrame, id_col: str, path: str) -> DataFrame:
                 rows = batch.column("parts")[i].as_py()
                 copies = sum(r["part_no"] == 0 for r in rows)  # equal rows of one id
                 parts = [(r["part"], np.frombuffer(r["ids"], "<u4")) for r in rows[::copies]]
-                ids = join_tree(parts, path)
+                got = finish([join_tree(parts, path)], path)
                 one = batch.column(id_col).slice(i, 1).take(pa.array([0] * copies, pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [one, pa.array([len(ids)] * copies, ARROW["bigint"]),
-                     pa.array([ids.astype("<u4").tobytes()] * copies, pa.binary())], names=[id_col, "n_tokens", "ids"])
+                yield pa.RecordBatch.from_arrays([one] + [pa.array(got[f.name] * copies, f.type) for f in types],
+                                                 names=[id_col, *types.names])
 
-    return whole.select(id_col, "parts").mapInArrow(run, schema)
+    return whole.select(id_col, "parts").mapInArrow(run, T.StructType([whole.schema[id_col], *added.fields]))
 
 
 # --- decoding -------------------------------------------------------------------------------
+def decode_ids(ids: list[np.ndarray], path: str, at_once: int = 400_000) -> list[str]:
+    """The library's decoding of every id list, special tokens kept."""
+    out: list[str] = []
+    for a, b in chunks(ids, at_once):
+        out += tokenizer(path).decode_batch([x.tolist() for x in ids[a:b]], skip_special_tokens=False)
+    return out
+
+
 def decode(df: DataFrame, path: str, ids_col: str = "ids", carry=("doc_id",)) -> DataFrame:
-    """``decoded``: the library's text for little-endian uint32 ids, special tokens kept."""
+    """``decoded``: the text of little-endian uint32 ids (null: empty)."""
     def run(rows):
-        lists = [np.frombuffer(r or b"", "<u4").tolist() for r in rows]
-        return {"decoded": tokenizer(path).decode_batch(lists, skip_special_tokens=False)}
+        return {"decoded": decode_ids([np.frombuffer(r or b"", "<u4") for r in rows], path)}
 
     return map_text(df, run, "decoded string", ids_col, carry)
 
 
-def decimal_digest(df: DataFrame, ids_col: str = "ids", carry=("doc_id",)) -> DataFrame:
-    """``ids_sha256``: SHA-256 of the decimal ids joined by one space."""
-    names: list[str] = []
+_DECIMALS: list[str] = []
 
-    def run(rows):
-        if not names:
-            names.extend(map(str, range(1 << 17)))
-        out = []
-        for r in rows:
-            ids = np.frombuffer(r or b"", "<u4").tolist()
-            text = " ".join(map(names.__getitem__, ids)) if max(ids, default=0) < len(names) else " ".join(map(str, ids))
-            out.append(hashlib.sha256(text.encode()).hexdigest())
-        return {"ids_sha256": out}
-
-    return map_text(df, run, "ids_sha256 string", ids_col, carry)
+
+def decimal_sha256(ids: np.ndarray) -> str:
+    """SHA-256 of the decimal ids joined by one space."""
+    if not _DECIMALS:
+        _DECIMALS.extend(map(str, range(1 << 16)))
+    numbers = ids.tolist()
+    names = map(_DECIMALS.__getitem__, numbers) if max(numbers, default=0) < len(_DECIMALS) else map(str, numbers)
+    return hashlib.sha256(" ".join(names).encode()).hexdigest()

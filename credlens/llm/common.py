@@ -36,7 +36,7 @@ def chunks(texts: Sequence[str | None], limit: int = CHUNK_CHARS) -> Iterator[tu
     """Consecutive index ranges of ``texts`` of at most ``limit`` characters (one text at least)."""
     start, size = 0, 0
     for i, t in enumerate(texts):
-        n = len(t) if t else 0
+        n = len(t) if t is not None else 0
         if size and size + n > limit:
             yield start, i
             start, size = i, 0

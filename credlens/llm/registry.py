@@ -4,21 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from credlens.llm import bpe, quality, toxicity
+from credlens.llm import bpe, quality, tokenfile, toxicity
 from credlens.llm.common import documents, held_out, tokenizer_path
 from credlens.session import table
 
 
+def op4_perfect_hash_ids(spark, sf_dir):
+    path = tokenfile.write(documents(spark, sf_dir), tokenfile.new_path(spark, "token-ids"),
+                           tokenizer_path("word_bpe_49k.json"), end_id=1)
+    docs = tokenfile.read(spark, path).select(
+        "doc_id", "file", "shard_no", "local_start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"))
+    shards = tokenfile.manifest(spark, path).select("file", "shard_no", "first_token")
+    return docs.join(shards, ["file", "shard_no"]).select(
+        "doc_id", (F.col("first_token") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
+
+
 def op5_compression_bands(spark, sf_dir):
     return quality.quality_rules(documents(spark, sf_dir))
 
 
 def op7_tree_bpe(spark, sf_dir):
-    path = tokenizer_path("word_bpe_49k.json")
-    encoded = bpe.encode(documents(spark, sf_dir), path)
-    digest = bpe.decimal_digest(encoded, carry=("doc_id", "n_tokens", "ids"))
-    decoded = bpe.decode(digest, path, carry=("doc_id", "n_tokens", "ids_sha256"))
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe.encode(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), result=bpe.DIGESTS)
 
 
 def op10_toxicity_lexicon(spark, sf_dir):
@@ -29,6 +36,7 @@ def op10_toxicity_lexicon(spark, sf_dir):
 
 
 QUERIES = {
+    "op4_perfect_hash_ids": op4_perfect_hash_ids,
     "op5_compression_bands": op5_compression_bands,
     "op7_tree_bpe": op7_tree_bpe,
     "op10_toxicity_lexicon": op10_toxicity_lexicon,
