@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from credlens.llm import bpe, quality, tokenfile, toxicity
+from credlens.llm import bpe, langid, quality, tokenfile, toxicity
 from credlens.llm.common import documents, held_out, tokenizer_path
 from credlens.session import table
 
 
+def op2_crf_language(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    found = langid.predict(docs, langid.train(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "n_letter_words", "n_switches")
+
+
 def op4_perfect_hash_ids(spark, sf_dir):
     path = tokenfile.write(documents(spark, sf_dir), tokenfile.new_path(spark, "token-ids"),
                            tokenizer_path("word_bpe_49k.json"), end_id=1)
@@ -36,6 +42,7 @@ def op10_toxicity_lexicon(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_crf_language": op2_crf_language,
     "op4_perfect_hash_ids": op4_perfect_hash_ids,
     "op5_compression_bands": op5_compression_bands,
     "op7_tree_bpe": op7_tree_bpe,
