@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from credlens.llm import bpe, langid, quality, tokenfile, toxicity
+from credlens.llm import bpe, ctph, langid, quality, tokenfile, toxicity
 from credlens.llm.common import documents, held_out, tokenizer_path
 from credlens.session import table
 
@@ -34,6 +34,10 @@ def op7_tree_bpe(spark, sf_dir):
     return bpe.encode(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), result=bpe.DIGESTS)
 
 
+def op8_piecewise_hash(spark, sf_dir):
+    return ctph.compare_with_next(documents(spark, sf_dir), keep_text=False)
+
+
 def op10_toxicity_lexicon(spark, sf_dir):
     docs = documents(spark, sf_dir)
     lexicon = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -46,6 +50,7 @@ QUERIES = {
     "op4_perfect_hash_ids": op4_perfect_hash_ids,
     "op5_compression_bands": op5_compression_bands,
     "op7_tree_bpe": op7_tree_bpe,
+    "op8_piecewise_hash": op8_piecewise_hash,
     "op10_toxicity_lexicon": op10_toxicity_lexicon,
 }
 
