@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from credlens.llm import bpe, ctph, langid, quality, tokenfile, toxicity
+from credlens.llm import bpe, ctph, langid, packing, quality, tokenfile, toxicity
 from credlens.llm.common import documents, held_out, tokenizer_path
 from credlens.session import table
 
@@ -30,6 +30,10 @@ def op5_compression_bands(spark, sf_dir):
     return quality.quality_rules(documents(spark, sf_dir))
 
 
+def op6_bm25_packing(spark, sf_dir):
+    return packing.pack(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), end_id=0, window=1024)
+
+
 def op7_tree_bpe(spark, sf_dir):
     return bpe.encode(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), result=bpe.DIGESTS)
 
@@ -49,6 +53,7 @@ QUERIES = {
     "op2_crf_language": op2_crf_language,
     "op4_perfect_hash_ids": op4_perfect_hash_ids,
     "op5_compression_bands": op5_compression_bands,
+    "op6_bm25_packing": op6_bm25_packing,
     "op7_tree_bpe": op7_tree_bpe,
     "op8_piecewise_hash": op8_piecewise_hash,
     "op10_toxicity_lexicon": op10_toxicity_lexicon,
