@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from credlens.llm import bpe, ctph, langid, packing, quality, tokenfile, toxicity
+from credlens.llm import bpe, ctph, langid, packing, quality, tokenfile, toxicity, warc
 from credlens.llm.common import documents, held_out, tokenizer_path
 from credlens.session import table
 
@@ -15,6 +15,11 @@ def op2_crf_language(spark, sf_dir):
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "n_letter_words", "n_switches")
 
 
+def op3_warc_index(spark, sf_dir):
+    index = warc.archive_and_index(table(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "captured")
+
+
 def op4_perfect_hash_ids(spark, sf_dir):
     path = tokenfile.write(documents(spark, sf_dir), tokenfile.new_path(spark, "token-ids"),
                            tokenizer_path("word_bpe_49k.json"), end_id=1)
@@ -51,6 +56,7 @@ def op10_toxicity_lexicon(spark, sf_dir):
 
 QUERIES = {
     "op2_crf_language": op2_crf_language,
+    "op3_warc_index": op3_warc_index,
     "op4_perfect_hash_ids": op4_perfect_hash_ids,
     "op5_compression_bands": op5_compression_bands,
     "op6_bm25_packing": op6_bm25_packing,
