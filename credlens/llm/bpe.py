@@ -8,8 +8,8 @@ both halves; the inner tokens then replace those at the join.  The result equals
 library's encoding of the whole text.
 
 Leaves are encoded through :class:`Encoder`, which asks the tokenizers library once per
-distinct space-separated word and concatenates; that is exact because neither vocabulary
-merges across such a border (see ``_pieces``).
+distinct pre-token (told apart by 64-bit hashes) and concatenates; that is exact because neither
+vocabulary merges across the border of a pre-token.
 
 Null and empty texts have no tokens (decoded: empty).  Repeated rows and ids are encoded row
 by row; nothing is truncated, padded or dropped.
@@ -30,9 +30,9 @@ from pyspark.sql import types as T
 from credlens.llm.common import arrow_schema, chunks, map_text, schema_of, tokenizer
 from credlens.session import ship_package
 
-#: Distinct words an encoder remembers; above it the memory is emptied and filled anew.
-REMEMBER = 600_000
-#: Words longer than this are encoded every time.
+#: Pre-tokens an encoder remembers; above it the memory is emptied and filled anew.
+REMEMBER = 1_200_000
+#: Bytes of the longest pre-token that is remembered; texts with longer ones go the slow way.
 LONGEST = 64
 #: Characters in a leaf of the tree.
 LEAF = 16_384
@@ -42,26 +42,83 @@ SPREAD = 65_536
 _BETWEEN_SPACES = re.compile(r"\s \s|\s \Z")
 _SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
 
-#: Texts of these characters only are cut into pre-tokens here; the letters are exactly the
-#: Unicode letters among them, so the patterns below cut as the files' own patterns do.
-_PLAIN = re.compile(r"[^\x00-\x7fÀ-ÖØ-öø-ÿ]|<\|")
-_WS = r" \t\n\r\x0b\x0c"
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
-_DROPPED = re.compile(rf"{_ENDINGS}|[{_LETTERS}]+|[0-9]|[^{_WS}{_LETTERS}0-9]+")
-_PREFIXED = re.compile(rf"{_ENDINGS}| ?[{_LETTERS}]+| ?[0-9]+| ?[^{_WS}{_LETTERS}0-9]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
+# Byte classes of plain texts (ASCII and the accented letters of Latin-1): white space, letter,
+# digit, other, border between texts.
+_SPACE, _LETTER, _DIGIT, _OTHER, _BORDER = range(5)
+_CLASS = np.full(256, _OTHER, np.uint8)
+_CLASS[[9, 10, 11, 12, 13, 32]] = _SPACE
+_CLASS[[*range(65, 91), *range(97, 123), *range(0x80, 0xC0), 0xC3]] = _LETTER
+_CLASS[48:58] = _DIGIT
+_CLASS[0xFF] = _BORDER
+#: Tabulation hashing: a random number for each place in a pre-token and byte value there.
+_TABLE = np.random.default_rng(20_24).integers(1, 1 << 63, (LONGEST, 256), np.uint64, endpoint=True)
+
+
+class _Memory:
+    """Open-addressing table from 64-bit hashes to id lists, all in flat arrays."""
+
+    def __init__(self, dtype: str, entries: int):
+        self.bits = max(10, (2 * entries).bit_length())
+        self.keys = np.zeros(1 << self.bits, np.uint64)  # 0: empty
+        self.value = np.zeros(1 << self.bits, np.int32)
+        self.n, self.used = 0, 0
+        self.start, self.size = np.zeros(1024, np.int64), np.zeros(1024, np.int32)
+        self.flat = np.zeros(4096, dtype)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Entry of each hash, -1 if unknown."""
+        mask = np.int64((1 << self.bits) - 1)
+        slot = (h >> np.uint64(64 - self.bits)).astype(np.int64)
+        key = self.keys[slot]
+        out = self.value[slot]
+        out[key == 0] = -1
+        open_ = np.flatnonzero((key != h) & (key != 0))
+        slot = slot[open_]
+        while len(open_):
+            slot = (slot + 1) & mask
+            key, want = self.keys[slot], h[open_]
+            out[open_] = np.where(key == want, self.value[slot], -1)
+            go = (key != want) & (key != 0)
+            open_, slot = open_[go], slot[go]
+        return out
+
+    def add(self, h: np.ndarray, lists: list[np.ndarray]) -> None:
+        """Remember distinct hashes that are not known yet."""
+        sizes = np.array([len(x) for x in lists], np.int32)
+        n, used = self.n + len(h), self.used + int(sizes.sum())
+        if n > len(self.start):
+            self.start, self.size = (np.resize(x, 2 * n) for x in (self.start, self.size))
+        if used > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * used)
+        self.flat[self.used:used] = np.concatenate(lists)
+        self.size[self.n:n] = sizes
+        self.start[self.n:n] = self.used + np.cumsum(sizes) - sizes
+        entry = np.arange(self.n, n, dtype=np.int32)
+        mask = np.int64((1 << self.bits) - 1)
+        slot = (h >> np.uint64(64 - self.bits)).astype(np.int64)
+        todo = np.arange(len(h))
+        while len(todo):
+            free = self.keys[slot[todo]] == 0
+            self.keys[slot[todo[free]]] = h[todo[free]]  # of several for one slot the last stays
+            won = self.keys[slot[todo]] == h[todo]
+            self.value[slot[todo[won]]] = entry[todo[won]]
+            todo = todo[~won]
+            slot[todo] = (slot[todo] + 1) & mask
+        self.n, self.used = n, used
 
 
 class Encoder:
     """Texts to little-endian ids with one tokenizer file, exactly as the library does.
 
-    ``dtype`` is uint16 where the vocabulary allows, else uint32."""
+    The library encodes each distinct pre-token once; plain texts are cut into pre-tokens,
+    hashed and put together by array operations.  ``dtype`` is uint16 where the vocabulary
+    allows, else uint32."""
 
     def __init__(self, path: str, remember: int = REMEMBER):
         self.remember = remember
         self.library = tokenizer(path)
         self.dtype = "<u2" if self.library.get_vocab_size() <= 65536 else "<u4"
-        self.known: dict[str, bytes] = {}
+        self.memory = _Memory(self.dtype, remember)
         self.separator = next((t.content for t in self.library.get_added_tokens_decoder().values()
                                if t.special and not (t.normalized or t.lstrip or t.rstrip or t.single_word)), None)
 
@@ -72,21 +129,17 @@ class Encoder:
         self.prefixed = not self.dropped and ids("A b's  12") == ids("A") + ids(" b") + ids("'s") + ids(" ") + ids(" 12")
 
     def _pieces(self, text: str) -> list[str]:
-        """Parts whose encodings, concatenated, are the encoding of the text.
+        """Parts of any text whose encodings, concatenated, are the encoding of the text.
 
-        Plain texts: their pre-tokens.  Others, where white space is dropped: the words between
-        ASCII white space, which the normaliser and the pre-tokeniser of such a file remove.
-        Others, where a space belongs to the word after it: cut before a space, unless it
-        stands between two white-space characters or ends a run of them, where the
-        pre-tokeniser looks at its neighbours.  Any other file: the whole text."""
+        Where white space is dropped: the words between ASCII white space, which the normaliser
+        and the pre-tokeniser of such a file remove.  Where a space belongs to the word after it:
+        cut before a space, unless it stands between two white-space characters or ends a run
+        of them, where the pre-tokeniser looks at its neighbours.  Any other file: the whole
+        text."""
         if self.dropped:
-            if not _PLAIN.search(text):
-                return _DROPPED.findall(text.lower())
             return _ascii_split(text)
         if not self.prefixed:
             return [text]
-        if not _PLAIN.search(text):
-            return _PREFIXED.findall(text)
         if _BETWEEN_SPACES.search(text):
             return _SAFE_CUT.split(text)
         first, *rest = text.split(" ")
@@ -95,43 +148,98 @@ class Encoder:
             parts.insert(0, first)
         return parts
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        """Remember the ids of ``words``; those too long to remember are returned."""
-        got: dict[str, bytes] = {}
-        odd = [w for w in words if "<|" in w or len(w) > LONGEST or self.separator is None]
-        for w, e in zip(odd, self.library.encode_batch(odd, add_special_tokens=False), strict=True):
-            got[w] = np.array(e.ids, self.dtype).tobytes()
-        rest = [w for w in words if w not in got]
-        if rest:
-            # A special token ends what the library merges, so many words go through one call.
-            mark, width = self.library.token_to_id(self.separator), np.dtype(self.dtype).itemsize
-            groups = [rest[i:i + 256] for i in range(0, len(rest), 256)]
-            for g, e in zip(groups, self.library.encode_batch([self.separator.join(g) for g in groups],
-                                                              add_special_tokens=False), strict=True):
-                ids = np.array(e.ids, self.dtype)
-                ends = np.append(np.flatnonzero(ids == mark), len(ids)) * width
-                raw, start = ids.tobytes(), 0
-                for w, end in zip(g, ends.tolist(), strict=True):
-                    self.known[w] = raw[start:end]
-                    start = end + width
-        return got
+    def _ask(self, words: list[str]) -> list[np.ndarray]:
+        """The library's ids of each word."""
+        if self.separator is None or any(self.separator in w for w in words):
+            return [np.array(e.ids, self.dtype) for e in self.library.encode_batch(words, add_special_tokens=False)]
+        # A special token ends what the library merges, so many words go through one call.
+        mark, out = self.library.token_to_id(self.separator), []
+        groups = [words[i:i + 256] for i in range(0, len(words), 256)]
+        for g, e in zip(groups, self.library.encode_batch([self.separator.join(g) for g in groups],
+                                                          add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, self.dtype)
+            ends = np.append(np.flatnonzero(ids == mark), len(ids)).tolist()
+            out += [ids[a:b] for a, b in zip([0] + [x + 1 for x in ends[:-1]], ends, strict=True)]
+        return out
+
+    def _slow(self, texts: list[str]) -> list[bytes]:
+        pieces = [self._pieces(t) for t in texts]
+        words = list(set(chain.from_iterable(pieces)))
+        known = dict(zip(words, (x.tobytes() for x in self._ask(words)), strict=True))
+        return [b"".join(map(known.__getitem__, p)) for p in pieces]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text as little-endian numbers of ``dtype``."""
-        if len(self.known) > self.remember:
-            self.known.clear()
-        get = self.known.get
-        pieces = [self._pieces(t) if t else [] for t in texts]
-        rows = [list(map(get, p)) for p in pieces]
-        open_rows = [i for i, r in enumerate(rows) if None in r]
-        if open_rows:
-            extra = self._learn(list({w for i in open_rows for w, v in zip(pieces[i], rows[i], strict=True) if v is None}))
-            for i in open_rows:
-                if extra:
-                    rows[i] = [extra[w] if w in extra else get(w) for w in pieces[i]]
-                else:
-                    rows[i] = [get(w) if v is None else v for w, v in zip(pieces[i], rows[i], strict=True)]
-        return [b"".join(r) for r in rows]
+        out: list[bytes | None] = [None if t else b"" for t in texts]
+        # Apostrophes begin endings like 's, and special tokens hold "<|": both need a closer look.
+        plain = [i for i, t in enumerate(texts) if t and (self.dropped or self.prefixed) and "'" not in t and "<|" not in t]
+        for a, b in chunks([texts[i] for i in plain], 1_000_000):
+            self._fast(plain[a:b], texts, out)
+        slow = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(slow, self._slow([texts[i] for i in slow]), strict=True):
+            out[i] = x
+        return out
+
+    def _fast(self, at: list[int], texts: list, out: list) -> None:
+        """Encode plain texts; the others stay None."""
+        raws = [(texts[i].lower() if self.dropped else texts[i]).encode("utf-8") for i in at]
+        data = np.frombuffer(b"\xff" + b"\xff".join(raws) + b"\xff", np.uint8)
+        kind = _CLASS[data]
+        borders = np.flatnonzero(kind == _BORDER)
+        after = np.append(data[1:], np.uint8(0xFF))
+        odd = np.flatnonzero(((data >= 0xC0) & (data != 0xC3) & (data != 0xFF))
+                             | ((data == 0xC3) & ((after == 0x97) | (after == 0xB7))))
+        first = np.ones(len(data), bool)
+        np.not_equal(kind[1:], kind[:-1], out=first[1:])
+        if self.dropped:
+            first |= kind == _DIGIT
+        else:
+            last = np.flatnonzero((kind[:-1] == _SPACE) & (kind[1:] != _SPACE) & (kind[1:] != _BORDER))
+            first[last] = True          # the last white space before a word stands alone ...
+            first[last[data[last] == 32] + 1] = False  # ... or, a space, begins the word
+        starts = np.flatnonzero(first)
+        sizes = np.diff(np.append(starts, len(data)))
+        keep = kind[starts] != _BORDER
+        if self.dropped:
+            keep &= kind[starts] != _SPACE
+        long = keep & (sizes > LONGEST)
+        bad = np.zeros(len(at), bool)
+        bad[np.searchsorted(borders, np.concatenate([odd, starts[long]]), side="right") - 1] = True
+        place = np.arange(len(data), dtype=np.int64) - np.repeat(starts, sizes)
+        np.minimum(place, LONGEST - 1, out=place)
+        place *= 256
+        place += data
+        with np.errstate(over="ignore"):
+            h = np.add.reduceat(_TABLE.ravel()[place], starts)
+        h = h ^ (h << np.uint64(32))
+        h[h == 0] = 1
+        h, starts, sizes = h[keep], starts[keep], sizes[keep]
+        text_of = np.searchsorted(borders, starts, side="right") - 1
+        if bad.any():
+            good = ~bad[text_of]
+            h, starts, sizes, text_of = h[good], starts[good], sizes[good], text_of[good]
+        entry = self.memory.find(h)
+        new = np.flatnonzero(entry < 0)
+        if len(new):
+            fresh, where = np.unique(h[new], return_index=True)
+            raw = data.tobytes()
+            words = [raw[a:a + n].decode("utf-8") for a, n in zip(starts[new[where]].tolist(), sizes[new[where]].tolist(), strict=True)]
+            if self.memory.n + len(fresh) > self.remember:
+                self.memory = _Memory(self.dtype, max(self.remember, len(fresh)))
+                fresh, where = np.unique(h, return_index=True)
+                words = [raw[a:a + n].decode("utf-8") for a, n in zip(starts[where].tolist(), sizes[where].tolist(), strict=True)]
+            self.memory.add(fresh, self._ask(words))
+            entry = self.memory.find(h)
+        n = self.memory.size[entry].astype(np.int64)
+        ends = np.cumsum(n)
+        flat = np.repeat(self.memory.start[entry] - (ends - n), n)
+        flat += np.arange(len(flat))
+        ids = self.memory.flat[flat].tobytes()
+        width = np.dtype(self.dtype).itemsize
+        stop = np.append(0, ends)[np.searchsorted(text_of, np.arange(len(at) + 1))] * width
+        for k, i in enumerate(at):
+            if not bad[k]:
+                out[i] = ids[stop[k]:stop[k + 1]]
 
 
 def _ascii_split(text: str) -> list[str]:

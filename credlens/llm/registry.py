@@ -23,9 +23,7 @@ def op3_warc_index(spark, sf_dir):
 def op4_perfect_hash_ids(spark, sf_dir):
     path = tokenfile.write(documents(spark, sf_dir), tokenfile.new_path(spark, "token-ids"),
                            tokenizer_path("word_bpe_49k.json"), end_id=1)
-    docs = tokenfile.read(spark, path).select(
-        "doc_id", "file", "shard_no", "local_start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.crc32("ids").alias("ids_crc32"))
+    docs = tokenfile.read(spark, path, with_ids=False)
     shards = tokenfile.manifest(spark, path).select("file", "shard_no", "first_token")
     return docs.join(shards, ["file", "shard_no"]).select(
         "doc_id", (F.col("first_token") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")

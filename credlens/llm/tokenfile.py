@@ -25,6 +25,7 @@ from __future__ import annotations
 import math
 import struct
 import uuid
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,7 +40,7 @@ from credlens.session import shared_dir, ship_package
 
 MAGIC = b"LTOKIDS1"
 #: Characters of text in one shard, about; bounds a task's memory and a file's size.
-SHARD_CHARS = 32_000_000
+SHARD_CHARS = 8_000_000
 GAMMA = 2.0
 MAX_LEVELS = 32
 _M = (1 << 64) - 1
@@ -221,8 +222,9 @@ def write(df: DataFrame, path: str, tokenizer_file: str, end_id: int = 1, id_col
     return path
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """Every document, from the files: (doc_id, file, shard_no, doc_no, local_start, ids).
+def read(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
+    """Every document, from the files: (doc_id, file, shard_no, doc_no, local_start, n_tokens,
+    ids_crc32, ids); ``with_ids=False`` leaves the ids out.
 
     Each key of a shard is looked up through the index, so what comes back is what keyed
     access gives."""
@@ -237,15 +239,18 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     first, count = shard.find(shard.keys[heads], shard.null[heads])
                     docs = np.concatenate([np.arange(a, a + c) for a, c in zip(first, count, strict=True)] or [np.zeros(0, int)])
                     for part in np.array_split(docs, max(1, -(-int(shard.n_tokens) // 4_000_000))):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([None if shard.null[i] else int(shard.keys[i]) for i in part], pa.int64()),
-                             pa.array([f] * len(part), pa.string()), pa.array([no] * len(part), pa.int32()),
-                             pa.array(part, pa.int64()), pa.array(shard.starts[part].astype(np.int64)),
-                             pa.array([shard.document(i).tobytes() for i in part], pa.binary())],
-                            names=["doc_id", "file", "shard_no", "doc_no", "local_start", "ids"])
-
-    return files.mapInArrow(run, schema_of("doc_id bigint, file string, shard_no int, doc_no bigint, "
-                                           "local_start bigint, ids binary"))
+                        own = [shard.document(i).tobytes() for i in part]
+                        columns = [pa.array([None if shard.null[i] else int(shard.keys[i]) for i in part], pa.int64()),
+                                   pa.array([f] * len(part), pa.string()), pa.array([no] * len(part), pa.int32()),
+                                   pa.array(part, pa.int64()), pa.array(shard.starts[part].astype(np.int64)),
+                                   pa.array([len(x) // 4 for x in own], pa.int64()),
+                                   pa.array([zlib.crc32(x) for x in own], pa.int64())]
+                        yield pa.RecordBatch.from_arrays(columns + ([pa.array(own, pa.binary())] if with_ids else []), names=names)
+
+    fields = schema_of("doc_id bigint, file string, shard_no int, doc_no bigint, local_start bigint, n_tokens bigint, "
+                       "ids_crc32 bigint" + (", ids binary" if with_ids else ""))
+    names = fields.names
+    return files.mapInArrow(run, fields)
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
