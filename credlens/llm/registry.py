@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from credlens.llm import bpe, ctph, langid, packing, quality, tokenfile, toxicity, warc
+from credlens.llm import bpe, ctph, jaccard, langid, packing, quality, tokenfile, toxicity, warc
 from credlens.llm.common import documents, held_out, tokenizer_path
 from credlens.session import table
 
@@ -45,6 +45,10 @@ def op8_piecewise_hash(spark, sf_dir):
     return ctph.compare_with_next(documents(spark, sf_dir), keep_text=False)
 
 
+def op9_ngram_jaccard(spark, sf_dir):
+    return jaccard.jaccard_components(documents(spark, sf_dir), words=3, num=90, den=100)
+
+
 def op10_toxicity_lexicon(spark, sf_dir):
     docs = documents(spark, sf_dir)
     lexicon = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -60,6 +64,7 @@ QUERIES = {
     "op6_bm25_packing": op6_bm25_packing,
     "op7_tree_bpe": op7_tree_bpe,
     "op8_piecewise_hash": op8_piecewise_hash,
+    "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_toxicity_lexicon": op10_toxicity_lexicon,
 }
 
