@@ -46,17 +46,19 @@ def chunks(texts: Sequence[str | None], limit: int = CHUNK_CHARS) -> Iterator[tu
 
 
 def map_text(df: DataFrame, fn: Callable[[list], dict], out: str, text_col: str = "text",
-             carry: Sequence[str] = ("doc_id",)) -> DataFrame:
+             carry: Sequence[str] = ("doc_id",), names: Sequence[str] | None = None) -> DataFrame:
     """Run ``fn(list of texts) -> dict of equally long columns`` over Arrow batches.
 
-    ``carry`` columns pass through untouched, ``out`` is the DDL of what ``fn`` adds.  No
+    ``carry`` columns pass through untouched, ``out`` is the DDL of what ``fn`` adds; ``names``
+    renames the added columns, for a caller that carries columns of the same names.  No
     shuffle; a lost executor's tasks are simply rerun.
     """
     ship_package(df.sparkSession)
     carry = list(carry)
-    added = schema_of(out)
+    types = arrow_schema(schema_of(out))
+    names = list(names or types.names)
+    added = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, schema_of(out).fields, strict=True)])
     kept = T.StructType([df.schema[c] for c in carry])
-    types = arrow_schema(added)
     need = carry + ([] if text_col in carry else [text_col])
 
     def run(batches):
@@ -69,7 +71,7 @@ def map_text(df: DataFrame, fn: Callable[[list], dict], out: str, text_col: str
                 got = fn(texts[a:b])
                 arrays = [batch.column(need.index(c)).slice(a, b - a) for c in carry]
                 arrays += [pa.array(got[f.name], type=f.type) for f in types]
-                yield pa.RecordBatch.from_arrays(arrays, names=carry + types.names)
+                yield pa.RecordBatch.from_arrays(arrays, names=carry + names)
 
     return df.select(*need).mapInArrow(run, T.StructType(kept.fields + added.fields))
 

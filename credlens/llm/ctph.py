@@ -33,6 +33,8 @@ RUN, RUN_FROM = 4, 12
 AT_ONCE = 1_000_000
 #: Characters of text in one bucket of consecutive documents, about.
 BUCKET_CHARS = 8_000_000
+#: Buckets at most; beyond that they grow (a bucket is walked as a stream, whatever its size).
+MAX_BUCKETS = 50_000
 
 _GAP = 8
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -182,7 +184,7 @@ def next_in_order(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     bucket can be walked alone: no global sort, no task that sees all rows, one shuffle."""
     spark = df.sparkSession
     size, rows = df.agg(F.sum(F.length(text_col)), F.count(F.lit(1))).first()
-    n = max(1, min(math.ceil((size or 0) / bucket_chars), rows or 1))
+    n = max(1, min(math.ceil((size or 0) / bucket_chars), rows or 1, MAX_BUCKETS))
     ends = sorted(set(df.approxQuantile(id_col, [i / n for i in range(1, n)], 0.2 / n))) if n > 1 else []
     splits = [-math.inf, *ends, math.inf]
     last = len(splits) - 1  # the place of null ids
@@ -200,7 +202,8 @@ def next_in_order(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     before = dict(zip(places, [places[-1], *places[:-1]], strict=True))
     heads = spark.createDataFrame([(r["place"], r["top"], before[r["place"]]) for r in tops],
                                   f"place int, top {df.schema[id_col].dataType.simpleString()}, to int")
-    first = (placed.join(heads, "place").where(F.col(id_col).eqNullSafe(F.col("top")))
+    # A few bytes for each bucket, MAX_BUCKETS at most: broadcast, so texts do not move for it.
+    first = (placed.join(F.broadcast(heads), "place").where(F.col(id_col).eqNullSafe(F.col("top")))
              .groupBy("to", "top").agg(F.min(F.struct(F.col("text").isNotNull().alias("has"), "text")).alias("t")))
     extra = first.select(F.col("top").alias(id_col), F.col("t.text").alias("text"), F.col("to").alias("place"), F.lit(True).alias("is_next"))
     both = placed.withColumn("is_next", F.lit(False)).unionByName(extra)

@@ -263,7 +263,7 @@ def train(docs: DataFrame, per_language: int = MAX_PER_LANGUAGE) -> Crf | None:
 OUT = "lang_pred string, score double, n_letter_words bigint, n_switches bigint"
 
 
-def predict(df: DataFrame, model: Crf | None, text_col: str = "text", carry=("doc_id",)) -> DataFrame:
+def predict(df: DataFrame, model: Crf | None, text_col: str = "text", carry=("doc_id",), names=None) -> DataFrame:
     """Language of every whole text, its share of the letters, and changes of language inside."""
     def run(texts):
         out = {"lang_pred": [], "score": [], "n_letter_words": [], "n_switches": []}
@@ -281,4 +281,4 @@ def predict(df: DataFrame, model: Crf | None, text_col: str = "text", carry=("do
                 out[name].append(v)
         return out
 
-    return map_text(df, run, OUT, text_col, carry)
+    return map_text(df, run, OUT, text_col, carry, names)

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from credlens.llm import bpe, ctph, jaccard, langid, packing, quality, tokenfile, toxicity, warc
+from credlens.llm import bpe, ctph, jaccard, langid, packing, pii, quality, tokenfile, toxicity, warc
 from credlens.llm.common import documents, held_out, tokenizer_path
 from credlens.session import table
 
 
+def op1_char_lstm_pii(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return pii.find(docs, pii.train(docs))
+
+
 def op2_crf_language(spark, sf_dir):
     docs = documents(spark, sf_dir)
     found = langid.predict(docs, langid.train(docs))
@@ -57,6 +62,7 @@ def op10_toxicity_lexicon(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_char_lstm_pii": op1_char_lstm_pii,
     "op2_crf_language": op2_crf_language,
     "op3_warc_index": op3_warc_index,
     "op4_perfect_hash_ids": op4_perfect_hash_ids,

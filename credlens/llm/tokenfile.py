@@ -41,6 +41,8 @@ from credlens.session import shared_dir, ship_package
 MAGIC = b"LTOKIDS1"
 #: Characters of text in one shard, about; bounds a task's memory and a file's size.
 SHARD_CHARS = 8_000_000
+#: Files at most; beyond that a file holds several shards.
+MAX_FILES = 50_000
 GAMMA = 2.0
 MAX_LEVELS = 32
 _M = (1 << 64) - 1
@@ -187,7 +189,8 @@ def write(df: DataFrame, path: str, tokenizer_file: str, end_id: int = 1, id_col
     One shuffle: the texts, by id ranges."""
     ship_package(df.sparkSession)
     n = df.agg(F.sum(F.length(text_col))).first()[0] or 0
-    rows = (df.select(id_col, text_col).repartitionByRange(max(1, math.ceil(n / shard_chars)), F.col(id_col).asc_nulls_first())
+    parts = min(max(1, math.ceil(n / shard_chars)), MAX_FILES)
+    rows = (df.select(id_col, text_col).repartitionByRange(parts, F.col(id_col).asc_nulls_first())
             .sortWithinPartitions(F.col(id_col).asc_nulls_first(), F.col(text_col).asc_nulls_first()))
 
     def run(batches):

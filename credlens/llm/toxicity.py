@@ -211,7 +211,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
 _MATCHERS: dict[str, object] = {}
 
 
-def score_text(df: DataFrame, lexicon: Lexicon, text_col: str = "text", carry=("doc_id",)) -> DataFrame:
+def score_text(df: DataFrame, lexicon: Lexicon, text_col: str = "text", carry=("doc_id",), names=None) -> DataFrame:
     """``score`` (0 to 1) and ``predicted`` for every whole text; one pass, no shuffle."""
     key = str(hash((tuple(lexicon.entries), tuple(lexicon.exceptions))))
 
@@ -222,4 +222,4 @@ def score_text(df: DataFrame, lexicon: Lexicon, text_col: str = "text", carry=("
         p = 1 / (1 + np.exp(-np.clip(lexicon.bias + x, -30, 30)))
         return {"score": p, "predicted": (p >= 0.5).astype(np.int32), "evidence": x}
 
-    return map_text(df, run, "score double, predicted int, evidence double", text_col, carry)
+    return map_text(df, run, "score double, predicted int, evidence double", text_col, carry, names)
