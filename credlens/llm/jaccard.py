@@ -103,7 +103,7 @@ def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of every text."""
     h, first = word_hashes(texts)
     with np.errstate(over="ignore"):
-        odd = [np.uint64((0x9E3779B97F4A7C15 * (2 * k + 1)) & ((1 << 64) - 1)) for k in range(words)]
+        odd = mix(np.arange(1, words + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)  # unrelated factors
         n = len(h) - words + 1
         grams = mix(sum((h[k:k + n] * odd[k] for k in range(1, words)), h[:n] * odd[0])) if n > 0 else np.zeros(0, np.uint64)
         out = []
