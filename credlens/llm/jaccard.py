@@ -14,10 +14,9 @@ for.  The product is never formed whole:
 4. The rows of the pairs that are left meet, and their whole overlap is counted exactly.
 
 A column that very many nodes share is a hot block.  Its nodes are first compared with one pivot
-for each range of sizes, and linked ones become components; then only pairs of nodes from
-different components are multiplied, in sub-blocks, with the nodes of the largest component
-kept in place.  Nothing is capped: a link inside a component is implied, every other pair that
-can reach the bound is counted.
+for each range of sizes, and linked ones become components; then the whole rows of the nodes are
+multiplied, block by block, where different components meet.  Nothing is capped: a link inside a
+component is implied, every other pair is counted.
 
 Only links between components are looked for after that, so the result is the components.  Null
 and empty texts, and texts without words, have no shingles and link with nothing.  Repeated rows
@@ -44,7 +43,7 @@ from credlens.session import shared_dir, ship_package
 
 #: Nodes in a column above which it is a hot block.
 HOT = 64
-#: Nodes in a sub-block of a hot block.
+#: Nodes of a hot column in one block of the product.
 BLOCK = 512
 #: log2 of the number of column counters; of them one byte each is broadcast (4 MB).
 COUNTER_BITS = 22
@@ -327,20 +326,17 @@ class _Join:
         return common + F.greatest(*rest) >= need
 
     # 4: whole overlaps
-    def links(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-        """The pairs (x, y) that link, by the exact overlap of their whole rows."""
-        needed = pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct()
-        wanted = needed.join(nodes, "node").select("doc_id")
-        bits, null_needed = self._bitmap(wanted)
-        shared, words, bound = self.spark.sparkContext.broadcast(bits), self.words, self.bound
+    def rows(self, needed: DataFrame, nodes: DataFrame) -> DataFrame:
+        """(node, shingles): the whole rows of the nodes asked for, from their documents' texts."""
+        bits, null_needed = self._bitmap(needed.join(nodes, "node").select("doc_id"))
+        shared, words = self.spark.sparkContext.broadcast(bits), self.words
         row_type = schema_of("node bigint, shingles binary")
 
-        def rows(batches):
+        def run(batches):
             flags = np.unpackbits(np.frombuffer(shared.value, np.uint8), bitorder="little").astype(bool)
             done: set[int] = set()
             for batch in batches:
-                ids = batch.column(0)
-                here = [null_needed if i is None else bool(flags[_bit(i)]) for i in ids.to_pylist()]
+                here = [null_needed if i is None else bool(flags[_bit(i)]) for i in batch.column(0).to_pylist()]
                 batch = batch.filter(pa.array(here, pa.bool_()))
                 for _, _, texts in _texts(batch):
                     out = []
@@ -350,8 +346,12 @@ class _Join:
                             out.append((node, s.tobytes()))
                     yield _frame(out, arrow_schema(row_type))
 
-        sets = self.docs.select("doc_id", "text").mapInArrow(rows, row_type).join(needed, "node", "left_semi").dropDuplicates(["node"])
-        sets = self.keep(sets, f"rows-{uuid.uuid4().hex}")
+        sets = self.docs.select("doc_id", "text").mapInArrow(run, row_type).join(needed, "node", "left_semi")
+        return self.keep(sets.dropDuplicates(["node"]), "rows")
+
+    def links(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """The pairs (x, y) that link, by the exact overlap of their whole rows."""
+        bound = self.bound
         # A row with very many partners is compared in several tasks.
         fan = pairs.groupBy("x").agg(F.ceil(F.count(F.lit(1)) / FAN).cast("int").alias("salts"))
         left = fan.join(sets, F.col("x") == F.col("node")).select(
@@ -398,65 +398,98 @@ class _Join:
             null |= r["has_null"]
         return out.tobytes(), null
 
-    def residual(self, hot: DataFrame, labels: DataFrame) -> DataFrame:
-        """Pairs of a hot column's nodes that lie in different components, column by column.
+    def hot_links(self, hot: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+        """Links between nodes of a hot column that lie in different components.
 
-        The nodes of a column's largest component stay in their sub-block; the others visit
-        every sub-block.  Columns within one component drop out before anything moves."""
+        The column's nodes are dealt into blocks, and each pair of blocks is one product of
+        their whole rows: a matrix product that gives the overlap of every pair without a row for
+        it.  Two blocks of the column's largest component need none, so a column within one
+        component costs nothing.  What comes back of a product is a forest of its links."""
         bound = self.bound
-        tagged = hot.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        tagged = hot.select("column", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         per = tagged.groupBy("column", "label").agg(F.count(F.lit(1)).alias("n"))
-        mixed = (per.groupBy("column").agg(F.sum("n").alias("m"), F.max(F.struct("n", "label")).alias("top"), F.count(F.lit(1)).alias("labels"))
-                 .where("labels > 1").select("column", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"), F.col("top.label").alias("top")))
-        rows = tagged.join(mixed, "column")
-        home = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-        rows = rows.withColumn("home", home).withColumn(
-            "block", F.explode(F.when(F.col("label") == F.col("top"), F.array("home")).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))))
-        rows = rows.select("column", "block", "node", "size", "label", (F.col("label") != F.col("top")).alias("visits"), "home")
-        rows = rows.repartition("column", "block").sortWithinPartitions("column", "block", "size", "node")
-        fields = schema_of("x bigint, y bigint, sx bigint, sy bigint")
+        mixed = (per.groupBy("column").agg(F.sum("n").alias("m"), F.max(F.struct("n", "label")).alias("top"))
+                 .where("top.n < m").select("column", F.col("top.label").alias("top"),
+                                            F.ceil(F.col("top.n") / BLOCK).cast("int").alias("inner"),
+                                            F.ceil((F.col("m") - F.col("top.n")) / BLOCK).cast("int").alias("outer")))
+        at = F.xxhash64("node")
+        # Blocks 0 .. outer-1 hold the other components' nodes, the next ``inner`` ones the largest component's.
+        dealt = tagged.join(mixed, "column").select(
+            "column", "node", "outer", "inner",
+            F.when(F.col("label") == F.col("top"), F.col("outer") + F.pmod(at, F.col("inner"))).otherwise(F.pmod(at, F.col("outer"))).cast("int").alias("block"))
+        partners = F.when(F.col("block") < F.col("outer"), F.sequence(F.lit(0), F.col("outer") + F.col("inner") - 1)).otherwise(
+            F.sequence(F.lit(0), F.col("outer") - 1))
+        spread = dealt.withColumn("other", F.explode(partners)).select(
+            "column", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "node")
+        groups = spread.join(sets, "node").repartition("column", "a", "b").sortWithinPartitions("column", "a", "b", "block", "node")
+        fields = schema_of("x bigint, y bigint")
         types = arrow_schema(fields)
 
-        def pairs(own: np.ndarray):
-            """Visitors against the nodes at home in this sub-block, wherever sizes allow."""
-            block = own[0, 1]
-            at_home = own[own[:, 6] == block]
-            for v in own[own[:, 5] == 1]:
-                a, b = np.searchsorted(at_home[:, 3], [-(-v[3] * bound.num // bound.den), v[3] * bound.den // bound.num + 1])
-                c = at_home[a:b]
-                # Two visitors meet in the home of each: keep one of the two.
-                c = c[(c[:, 4] != v[4]) & ((c[:, 5] == 0) | (c[:, 2] > v[2]))]
-                if len(c):
-                    yield np.full(len(c), v[2]), c[:, 2], np.full(len(c), v[3]), c[:, 3]
-
         def run(batches):
-            held = np.zeros((0, 7), np.int64)
-
-            def flush(rows):
-                edge = np.flatnonzero(np.append(True, (rows[1:, :2] != rows[:-1, :2]).any(axis=1)))
-                got, size = [], 0
-                for a, b in zip(edge, np.append(edge[1:], len(rows)), strict=True):
-                    for p in pairs(rows[a:b]):
-                        got.append(p)
-                        size += len(p[0])
-                        if size > 200_000:
-                            yield _arrays(types, **dict(zip(types.names, map(np.concatenate, zip(*got, strict=True)), strict=True)))
-                            got, size = [], 0
-                if got:
-                    yield _arrays(types, **dict(zip(types.names, map(np.concatenate, zip(*got, strict=True)), strict=True)))
+            key, blocks, nodes, rows = None, [], [], []
 
-            for batch in batches:
-                part = np.column_stack([np.asarray(batch.column(k).to_numpy(zero_copy_only=False)).astype(np.int64) for k in range(7)])
-                held = np.concatenate([held, part])
-                same = (held[:, :2] == held[-1, :2]).all(axis=1)
-                cut = int(np.argmax(same))
-                if cut:
-                    yield from flush(held[:cut])
-                    held = held[cut:]
-            if len(held):
-                yield from flush(held)
+            def product():
+                linked = overlaps_reach(rows, np.array(blocks), bound)
+                return _frame([(nodes[i], nodes[j]) for i, j in forest(linked)], types)
 
-        return rows.mapInArrow(run, fields)
+            for batch in batches:
+                keys = zip(*[batch.column(k).to_pylist() for k in ("column", "a", "b")], strict=True)
+                for now, block, node, raw in zip(keys, batch.column("block").to_pylist(), batch.column("node").to_pylist(),
+                                                 batch.column("shingles"), strict=True):
+                    if now != key:
+                        if rows:
+                            yield product()
+                        key, blocks, nodes, rows = now, [], [], []
+                    blocks.append(block)
+                    nodes.append(node)
+                    rows.append(np.frombuffer(raw.as_buffer(), np.uint64).copy())
+            if rows:
+                yield product()
+
+        return groups.select("column", "a", "b", "block", "node", "shingles").mapInArrow(run, fields)
+
+
+def overlaps_reach(rows: list[np.ndarray], blocks: np.ndarray, bound: Bound, width: int = 4096) -> np.ndarray:
+    """Which rows link, as a matrix, by the product of the incidence matrix with itself.
+
+    Only columns that two rows share matter; they are multiplied ``width`` at a time.  Rows of one
+    block are compared with each other only where there is no second block."""
+    n, sizes = len(rows), np.array([len(r) for r in rows])
+    columns, at, count = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(n), sizes)
+    place = np.cumsum(count > 1) - 1
+    keep = count[at] > 1
+    owner, place = owner[keep], place[at[keep]]
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    total = np.zeros((n, n), np.float32)
+    for c in range(0, int((count > 1).sum()), width):
+        a, b = np.searchsorted(place, [c, c + width])
+        m = np.zeros((n, width), np.float32)
+        m[owner[a:b], place[a:b] - c] = 1
+        total += m @ m.T
+    linked = total >= bound.overlap(sizes[:, None], sizes[None, :])
+    if blocks.min() != blocks.max():
+        linked &= blocks[:, None] != blocks[None, :]
+    np.fill_diagonal(linked, False)
+    return linked
+
+
+def forest(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Edges that connect what the matrix connects, one fewer than nodes for each component."""
+    new, out = np.ones(len(linked), bool), []
+    for s in range(len(linked)):
+        if not new[s]:
+            continue
+        new[s] = False
+        queue = [s]
+        while queue:
+            u = queue.pop()
+            found = np.flatnonzero(linked[u] & new).tolist()
+            new[found] = False
+            out += [(u, v) for v in found]
+            queue += found
+    return out
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -475,16 +508,13 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
     first = first.where(j.reachable(F.col("common") + F.least(F.coalesce("hx", F.lit(0)), F.coalesce("hy", F.lit(0)))))
     stars = products.where("kind = 2").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
     pairs = j.keep(first.select("x", "y").union(stars).distinct(), "pairs")
-    links = j.keep(j.links(pairs, nodes), "links")
+    needed = j.keep(pairs.select(F.col("x").alias("node")).union(pairs.select("y")).union(hot.select("node")).distinct(), "needed")
+    sets = j.rows(needed, nodes)
+    links = j.keep(j.links(pairs, sets), "links")
     labels = components(links, f"{j.at}/components")
     if not hot.isEmpty():
-        rest = j.residual(hot, labels)
-        again = j.counted(rest).join(counted.select("x", "y", F.col("common").alias("cold")), ["x", "y"], "left")
-        again = again.where(j.reachable(F.col("common") + F.coalesce("cold", F.lit(0)))).select("x", "y")
-        again = j.keep(again.join(pairs, ["x", "y"], "left_anti"), "residual-pairs")
-        if not again.isEmpty():
-            more = j.keep(j.links(again, nodes), "more-links")
-            labels = components(links.union(more), f"{j.at}/components-2")
+        links = j.keep(links.union(j.hot_links(hot, labels, sets)), "all-links")
+        labels = components(links, f"{j.at}/components-2")
     placed = members.join(labels, "node", "left").withColumn("class", F.coalesce("label", "node"))
     lowest = placed.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("component_id"))
     return placed.join(lowest, "class", "left").select(
