@@ -78,10 +78,12 @@ class Crf:
         return np.exp(score - score.max(axis=1, keepdims=True)).astype(np.float32)
 
 
-def forward_backward(e: np.ndarray, a: np.ndarray, pairs: np.ndarray | None = None) -> np.ndarray:
+def forward_backward(e: np.ndarray, a: np.ndarray, pairs: np.ndarray | None = None,
+                     lengths: np.ndarray | None = None) -> np.ndarray:
     """Marginals (sequences x words x languages) for emissions ``e`` and transition factors ``a``;
-    ``pairs`` gets the expected number of each transition added."""
+    ``pairs`` gets the expected number of each transition added; ``lengths`` tells padded sequences' ends."""
     n, t, k = e.shape
+    shortest = t if lengths is None else int(lengths.min())
     alpha = np.empty_like(e)
     now = np.ones((n, k), e.dtype)
     for i in range(t):
@@ -99,6 +101,8 @@ def forward_backward(e: np.ndarray, a: np.ndarray, pairs: np.ndarray | None = No
             pairs += (p / p.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
         beta = ahead @ back
         beta /= beta.sum(axis=1, keepdims=True)
+        if lengths is not None and i >= shortest:
+            beta[lengths <= i] = 1.0  # padding tells nothing about the words before it
     return alpha
 
 
@@ -218,7 +222,7 @@ class Tagger:
                 at[r, :z - a] = flat[i][a:z]
             e = self.table[at]
             e[at == 0] = 1.0
-            g = forward_backward(e, self.factors)
+            g = forward_backward(e, self.factors, lengths=np.array([z - a for _, a, z, _ in spans]))
             for r, (i, a, z, s) in enumerate(spans):
                 stop = min(len(docs[i]), s + WINDOW)
                 out[i][s:stop] = g[r, s - a:stop - a]

@@ -56,7 +56,7 @@ _FOLD = {ord(c): latin for latin, cs in LOOKALIKES.items() for c in cs}
 _FOLD |= {c: unicodedata.normalize("NFKC", chr(c)).lower() for c in range(0xFF01, 0xFF5F)}  # full-width forms
 _FOLD |= {c: None for c in (0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF)}  # invisible characters
 _ODD = re.compile("[" + "".join(map(chr, _FOLD)) + "]")
-_LEET = re.compile(r"(?<=[^\W\d_])[013457@$!|8]+(?=[^\W\d_])|(?<![\w@$!|.+-])[013457@$]{1,2}(?=[^\W\d_]{2})")
+_LEET = re.compile(r"(?<=[^\W\d_])[013457@$!|8]+(?=[^\W\d_])|(?<![\w@$!|.+-])[013457@$]{1,2}(?=[^\W\d_][^\W_])")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
