@@ -7,8 +7,8 @@ seeds a window, the index returns its nearest unused neighbours, and they fill t
 greedily in the order of their scores, the last one cut where the window is full.  So texts that
 share words share a window.
 
-Shards are bounded groups of rests with neighbouring lexical keys (the two rarest ids a rest
-holds), so neighbours are found inside the shard.  Document frequencies cover all documents;
+Shards are bounded groups of rests with neighbouring lexical keys (the smallest of a rest's mixed
+ids, which rests with many common ids often share), so neighbours are found inside the shard.  Document frequencies cover all documents;
 there is one count per vocabulary id, so they are small however large the corpus is.
 
 Sequences hold at most ``window`` ids.  The last rest of a shard is cut into powers of two, which
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from credlens.llm.bpe import encoder
-from credlens.llm.common import arrow_schema, chunks, map_text, schema_of, tokenizer
+from credlens.llm.common import arrow_schema, chunks, schema_of, tokenizer
 from credlens.session import shared_dir, ship_package
 
 WINDOW = 1024
@@ -44,51 +44,64 @@ PIECE = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_toke
          "offset bigint")
 
 
-def encode(df: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids): whole texts as little-endian ids of the tokenizer's width, end id included."""
-    def run(texts):
+def encode(df: DataFrame, path: str, end_id: int, window: int, id_col: str = "doc_id", text_col: str = "text",
+           with_ids: bool = False) -> DataFrame:
+    """One pass over the texts.  A row per document: ``doc_tokens``, checksums of its full windows
+    (``crcs``; their ids on request), its ``rest`` of less than a window, and the rest's lexical
+    key.  A row per task: in how many of its documents each id occurs (``counts``, with the number
+    and total length of the documents in the last two places)."""
+    ship_package(df.sparkSession)
+    fields = T.StructType([df.schema[id_col], *schema_of(
+        "doc_tokens bigint, crcs array<bigint>, windows array<binary>, rest binary, lexical_key bigint, counts binary").fields])
+    names = fields.names
+
+    def run(batches):
         enc = encoder(path)
         end = np.array([end_id], enc.dtype).tobytes()
-        ids = [x + end for x in enc.encode(texts)]
-        width = np.dtype(enc.dtype).itemsize
-        return {"n_tokens": [len(x) // width for x in ids], "ids": ids}
-
-    return map_text(df, run, "n_tokens bigint, ids binary", text_col, (id_col,))
-
-
-def id_counts(encoded: DataFrame, dtype: str, vocabulary: int) -> np.ndarray:
-    """Documents that hold each id, and their number and total length in the last two places.
-
-    Each task sends one vector of vocabulary size; a few tasks add them up in steps."""
-    def count(batches):
-        df_, docs, total = np.zeros(vocabulary, np.int64), 0, 0
+        vocabulary = max(enc.library.get_vocab_size(), end_id + 1)
+        # Documents with common ids often have a common smallest mixed id.
+        mixed = (np.arange(vocabulary, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
+        held, docs, total, id_type = np.zeros(vocabulary + 2, np.int64), 0, 0, None
         for batch in batches:
-            for raw in batch.column(0):
-                ids = np.frombuffer(raw.as_buffer(), dtype)
-                df_[np.unique(ids)] += 1
-                docs, total = docs + 1, total + len(ids)
+            id_type = batch.column(0).type
+            texts = batch.column(1).to_pylist()
+            for a, b in chunks(texts):
+                rows = []
+                for raw in enc.encode(texts[a:b]):
+                    ids = np.frombuffer(raw + end, enc.dtype)
+                    full = len(ids) // window * window
+                    wide = ids[:full].astype("<u4").tobytes()
+                    parts = [wide[i:i + 4 * window] for i in range(0, 4 * full, 4 * window)]
+                    rest = ids[full:]
+                    held[np.unique(ids)] += 1
+                    docs, total = docs + 1, total + len(ids)
+                    rows.append((len(ids), [zlib.crc32(p) for p in parts], parts if with_ids else None, rest.tobytes(),
+                                 int(mixed[rest].min()) if len(rest) else 0, None))
+                cols = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names=names)
         if docs:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([zlib.crc32(str(docs).encode()) % 16], pa.int32()),
-                 pa.array([zlib.compress(np.append(df_, [docs, total]).tobytes(), 1)], pa.binary())], names=["part", "counts"])
+            held[-2:] = docs, total
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, id_type), *(pa.nulls(1, t) for t in types[:-1]),
+                                              pa.array([zlib.compress(held.tobytes(), 1)], pa.binary())], names=names)
+
+    types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.binary(), pa.int64(), pa.binary()]
+    return df.select(id_col, text_col).mapInArrow(run, fields)
+
 
+def add_counts(counts: DataFrame) -> np.ndarray:
+    """Sum of the tasks' count vectors: added up in sixteen tasks, then here."""
     def add(batches):
-        sums: dict[int, np.ndarray] = {}
+        total = None
         for batch in batches:
-            for p, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for raw in batch.column(0).to_pylist():
                 v = np.frombuffer(zlib.decompress(raw), np.int64)
-                sums[p] = sums[p] + v if p in sums else v
-        if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()),
-                                              pa.array([zlib.compress(v.tobytes(), 1) for v in sums.values()], pa.binary())],
-                                             names=["part", "counts"])
+                total = v if total is None else total + v
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())], names=["counts"])
 
-    schema = schema_of("part int, counts binary")
-    parts = encoded.select("ids").mapInArrow(count, schema).repartition(16, "part").mapInArrow(add, schema).collect()
-    out = np.zeros(vocabulary + 2, np.int64)
-    for r in parts:  # sixteen vectors at most
-        out += np.frombuffer(zlib.decompress(r["counts"]), np.int64)
-    return out
+    parts = counts.repartition(16).mapInArrow(add, schema_of("counts binary")).collect()
+    return sum((np.frombuffer(zlib.decompress(r["counts"]), np.int64) for r in parts), np.zeros(1, np.int64))
 
 
 def _powers(n: int) -> list[int]:
@@ -157,100 +170,65 @@ def pack(df: DataFrame, path: str, end_id: int = 0, window: int = WINDOW, id_col
          shard_rows: int = SHARD_ROWS, with_ids: bool = False) -> DataFrame:
     """Pieces of all documents: one row per piece, ``ids`` (little-endian uint32) on request.
 
-    The encoded documents are written once to shared storage, counted, and dealt out once by
-    lexical key."""
+    One pass over the texts, written to shared storage; then only the rests move, once."""
     spark: SparkSession = df.sparkSession
     ship_package(spark)
-    library = tokenizer(path)
-    dtype = "<u2" if library.get_vocab_size() <= 65536 else "<u4"
-    width, vocabulary = np.dtype(dtype).itemsize, max(library.get_vocab_size(), end_id + 1)
+    dtype = "<u2" if tokenizer(path).get_vocab_size() <= 65536 else "<u4"
     at = shared_dir(spark, f"llm/packing/{uuid.uuid4().hex}")
-    encode(df, path, end_id, id_col, text_col).write.parquet(at)
-    encoded = spark.read.parquet(at)
-    counts = id_counts(encoded, dtype, vocabulary)
-    n_docs, total = int(counts[-2]), int(counts[-1])
+    scan = encode(df, path, end_id, window, id_col, text_col, with_ids)
+    scan.write.parquet(at)
+    scan = spark.read.schema(scan.schema).parquet(at)
+    counts = add_counts(scan.where("counts is not null").select("counts"))
+    encoded = scan.where("counts is null")
+    n_docs, total = (int(counts[-2]), int(counts[-1])) if len(counts) > 1 else (0, 0)
     idf = np.log1p((n_docs - counts[:-2] + 0.5) / (counts[:-2] + 0.5)).astype(np.float32)
     average = max(1.0, min(window / 2, total / max(1, n_docs)))
-    rank = np.argsort(np.argsort(-idf, kind="stable"), kind="stable").astype(np.int64)  # 0: the rarest id
-
-    def split(batches):
-        """Full windows leave as pieces of their own; rests get their lexical key."""
-        for batch in batches:
-            docs, raws = batch.column(id_col), batch.column("ids")
-            keys, starts, sizes, bodies = [], [], [], []
-            for raw in raws:
-                ids = np.frombuffer(raw.as_buffer(), dtype)
-                full = len(ids) // window * window
-                rest = ids[full:]
-                low = np.sort(rank[np.unique(rest)])[:2].tolist() if len(rest) else []
-                keys.append((low + [vocabulary, vocabulary])[0] * (vocabulary + 1) + (low + [vocabulary, vocabulary])[1])
-                starts.append(full)
-                sizes.append(len(ids))
-                bodies.append(rest.tobytes())
-            yield pa.RecordBatch.from_arrays([docs, pa.array(keys, pa.int64()), pa.array(starts, pa.int64()),
-                                              pa.array(sizes, pa.int64()), pa.array(bodies, pa.binary())],
-                                             names=[id_col, "lexical_key", "start", "doc_tokens", "rest"])
-
-    id_field = encoded.schema[id_col]
-    rests = encoded.select(id_col, "ids").mapInArrow(
-        split, T.StructType([id_field, *schema_of("lexical_key bigint, start bigint, doc_tokens bigint, rest binary").fields]))
-    rests = rests.where(F.octet_length("rest") > 0)
     # Range partitions by (key, id): a key that a third of the rests share spreads over several.
     n = max(1, -(-n_docs // (shard_rows * 8)))
-    dealt = rests.repartitionByRange(n, "lexical_key", id_col, "start", F.crc32("rest")).sortWithinPartitions(
-        "lexical_key", id_col, "start", "rest")
+    dealt = (encoded.where(F.octet_length("rest") > 0).select(id_col, "doc_tokens", "rest", "lexical_key")
+             .repartitionByRange(n, "lexical_key", id_col, "doc_tokens", F.crc32("rest"))
+             .sortWithinPartitions("lexical_key", id_col, "doc_tokens", "rest"))
     fields = schema_of(PIECE + ", ids binary")
     types = arrow_schema(fields)
-
-    def emit(rows):
-        cols = list(zip(*rows, strict=True)) if rows else [[] for _ in types]
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, types, strict=True)], names=types.names)
-
-    def piece(doc, body, base, a, k, doc_tokens, sequence, offset):
-        ids = body[a:a + k].astype("<u4").tobytes()
-        return (doc, base + a, k, zlib.crc32(ids), doc_tokens, sequence, offset, ids if with_ids else None)
+    shared = spark.sparkContext.broadcast(idf.tobytes())  # four bytes for each id of the vocabulary
 
     def fill(batches):
-        # 2**33 sequences for every task; odd numbers, the full windows take the even ones.
+        weights = np.frombuffer(shared.value, np.float32)
+        # Odd sequence numbers, 2**32 for every task; full windows take the even ones.
         sequence = (TaskContext.get().partitionId() << 33) + 1
         held: list[tuple] = []
 
         def shard():
             nonlocal sequence
-            bodies = [h[3] for h in held]
             rows = []
-            for own in pack_shard(bodies, idf, average, window):
+            for own in pack_shard([h[2] for h in held], weights, average, window):
                 offset = 0
                 for r, a, k in own:
-                    rows.append(piece(held[r][0], bodies[r], held[r][1], a, k, held[r][2], sequence, offset))
+                    doc, tokens, body = held[r]
+                    ids = body[a:a + k].astype("<u4").tobytes()
+                    rows.append((doc, tokens - len(body) + a, k, zlib.crc32(ids), tokens, sequence, offset, ids if with_ids else None))
                     offset += k
                 sequence += 2
             held.clear()
-            return emit(rows)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), types, strict=True)],
+                                              names=types.names)
 
         for batch in batches:
-            for doc, base, doc_tokens, raw in zip(batch.column(id_col).to_pylist(), batch.column("start").to_pylist(),
-                                                  batch.column("doc_tokens").to_pylist(), batch.column("rest"), strict=True):
-                held.append((doc, base, doc_tokens, np.frombuffer(raw.as_buffer(), dtype)))
+            for doc, tokens, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                held.append((doc, tokens, np.frombuffer(raw.as_buffer(), dtype)))
                 if len(held) == shard_rows:
                     yield shard()
         if held:
             yield shard()
 
-    def windows(batches):
-        sequence = TaskContext.get().partitionId() << 33
-        for batch in batches:
-            raws = batch.column("ids")
-            for a, b in chunks([r.as_buffer() for r in raws], 8_000_000):
-                rows = []
-                for doc, raw in zip(batch.column(id_col).slice(a, b - a).to_pylist(), raws.slice(a, b - a), strict=True):
-                    ids = np.frombuffer(raw.as_buffer(), dtype)
-                    for s in range(0, len(ids) // window * window, window):
-                        rows.append(piece(doc, ids, 0, s, window, len(ids), sequence, 0))
-                        sequence += 2
-                yield emit(rows)
-
-    filled = dealt.select(id_col, "start", "doc_tokens", "rest").mapInArrow(fill, fields)
-    long = encoded.where(F.octet_length("ids") >= window * width).select(id_col, "ids").mapInArrow(windows, fields)
+    filled = dealt.select(id_col, "doc_tokens", "rest").mapInArrow(fill, fields)
+    part = F.posexplode(F.arrays_zip("crcs", "windows") if with_ids else F.col("crcs")).alias("no", "part")
+    long = encoded.where(F.size("crcs") > 0).select(id_col, "doc_tokens", *(["crcs", "windows"] if with_ids else ["crcs"])).select(
+        id_col, "doc_tokens", part)
+    long = long.select(
+        F.col(id_col).alias("doc_id"), (F.col("no") * window).cast("bigint").alias("start"), F.lit(window).cast("bigint").alias("length"),
+        (F.col("part.crcs") if with_ids else F.col("part")).alias("ids_crc32"), "doc_tokens",
+        (F.monotonically_increasing_id() * 2).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"),
+        (F.col("part.windows") if with_ids else F.lit(None).cast("binary")).alias("ids"))
     out = filled.unionByName(long)
     return out if with_ids else out.drop("ids")
