@@ -1,24 +1,21 @@
 """Altered-sentence detection against a reference article (JON-05/06, RUL-05).
 
-Pairing (which reference text a document is checked against) is a Spark
-join: both sides are split into sentences (TXT-16), normalised (TXT-18), and
-joined on the sentence hash; every document is paired with the reference
-sharing the most normalised sentences (ties: smaller reference id).  The join
-is an equi-join on a hash key -- AQE's skew handling splits a hot sentence --
-and no document is compared with every reference.
-
-The comparison of one (document, reference) pair follows the definition
-exactly and runs in an Arrow-batched pandas UDF (one call per pair):
-a user sentence with fewer than 3 words is skipped but still counts in the
-denominator; a sentence matches when its normalised form contains or is
-contained in a normalised reference sentence, or when the difflib ratio
-reaches 0.55.  A length test prunes comparisons that cannot reach 0.55
-(ratio <= 2 * min(len) / (len_a + len_b)), which never changes the result.
+Both steps work on sentence tables (TXT-16), normalised as TXT-18:
+
+* pairing joins the distinct sentence keys of documents and references and
+  keeps, per document, the reference that shares the most (ties: smaller id);
+* checking joins each paired document's sentences to its reference's sentences.
+  Containment either way is a column expression; only sentence pairs that are
+  left, and whose lengths allow the required likeness, are measured, each
+  distinct pair once, in an Arrow-batched function.
+
+A document sentence of fewer than 3 words, or without a letter or digit, is not
+checked but counts in the denominator.  A checked sentence without a match is
+altered.  A pair where either side has no sentence is a full match.
 """
 
 from __future__ import annotations
 
-import re
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -28,57 +25,26 @@ from pyspark.sql import types as T
 
 from credlens.functions import text as tx
 
-# FIXED VALUES: matching thresholds and the sentence split pattern
+# FIXED VALUES: likeness that makes a match, words a checked sentence needs
 MATCH_RATIO = 0.55
-EARLY_STOP_RATIO = 0.85
 MIN_WORDS = 3
-_SPLIT = re.compile(r"(?<=[.!?])\s+")
-_NONWORD = re.compile(r"[^\w\s]")
-
-
-def _norm(s: str) -> str:
-    return _NONWORD.sub("", s.lower()).strip()
-
-
-def compare_texts(user_text: str, ref_text: str) -> tuple[list[str], float]:
-    """(altered sentences, match percentage) for one pair."""
-    user = [s.strip() for s in _SPLIT.split(user_text or "") if s.strip()]
-    ref = [s.strip() for s in _SPLIT.split(ref_text or "") if s.strip()]
-    if not user or not ref:
-        return [], 100.0
-    ref_clean = [c for c in (_norm(r) for r in ref) if c]
-    altered, matched = [], 0
-    for u in user:
-        if len(u.split()) < MIN_WORDS:
-            continue
-        uc = _norm(u)
-        if not uc:
-            continue
-        best = 0.0
-        for rc in ref_clean:
-            if uc in rc or rc in uc:
-                best = 1.0
-                break
-            if 2.0 * min(len(uc), len(rc)) / (len(uc) + len(rc)) < MATCH_RATIO:
-                # the ratio cannot reach the match threshold (nor the early stop above it)
-                continue
-            r = SequenceMatcher(None, uc, rc).ratio()
-            if r > best:
-                best = r
-                if best > EARLY_STOP_RATIO:
-                    break
-        if best < MATCH_RATIO:
-            altered.append(u)
-        else:
-            matched += 1
-    return altered, matched / len(user) * 100.0
-
-
-@F.pandas_udf(T.StructType([T.StructField("match_pct", T.DoubleType()),
-                            T.StructField("n_altered", T.IntegerType())]))
-def _compare_udf(user: pd.Series, ref: pd.Series) -> pd.DataFrame:
-    out = [compare_texts(u, r) for u, r in zip(user, ref)]
-    return pd.DataFrame({"match_pct": [o[1] for o in out], "n_altered": [len(o[0]) for o in out]})
+
+
+@F.pandas_udf(T.BooleanType())
+def _alike(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Does the matching-blocks likeness of each pair reach ``MATCH_RATIO``?"""
+    def one(x: str, y: str) -> bool:
+        m = SequenceMatcher(None, x, y)
+        return m.quick_ratio() >= MATCH_RATIO and m.ratio() >= MATCH_RATIO
+    return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype=bool)
+
+
+def sentence_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, pos, norm, checked): every sentence, its normal form, and whether it is long enough."""
+    s = df.select(id_col, F.posexplode(tx.sentences(F.col(text_col))).alias("pos", "s"))
+    norm = tx.sentence_normalise(F.col("s"))
+    return s.select(id_col, "pos", norm.alias("norm"),
+                    ((F.size(tx.py_split(F.col("s"))) >= MIN_WORDS) & (norm != "")).alias("checked"))
 
 
 def sentence_keys(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -90,19 +56,45 @@ def sentence_keys(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def pair_with_reference(docs: DataFrame, refs: DataFrame, doc_id: str = "doc_id", ref_id: str = "item_id",
                         text: str = "text") -> DataFrame:
-    """JON-06 analogue: (doc_id, item_id, n_shared) -- the reference sharing most sentences."""
+    """JON-06: (doc_id, item_id, n_shared) for every document -- the reference sharing most
+    sentences; a document that shares none has a null reference and 0."""
     dk = sentence_keys(docs, doc_id, text)
     rk = sentence_keys(refs, ref_id, text)
     shared = dk.join(rk, "key").groupBy(doc_id, ref_id).agg(F.count(F.lit(1)).alias("n_shared"))
     w = Window.partitionBy(doc_id).orderBy(F.col("n_shared").desc(), F.col(ref_id).asc())
-    return shared.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1).drop("_r")
+    best = shared.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1).drop("_r")
+    return docs.select(doc_id).join(best, doc_id, "left").select(
+        doc_id, ref_id, F.coalesce("n_shared", F.lit(0)).alias("n_shared"))
+
+
+def check_pairs(pairs: DataFrame, docs: DataFrame, refs: DataFrame, doc_id: str = "doc_id", ref_id: str = "item_id",
+                text: str = "text") -> DataFrame:
+    """JON-05: (doc_id, item_id, match_pct, n_altered) for given (doc_id, item_id) pairs."""
+    pairs = pairs.select(doc_id, ref_id)
+    own = sentence_table(docs.join(pairs, doc_id), doc_id, text).join(pairs, doc_id)
+    theirs = sentence_table(refs, ref_id, text).filter(F.col("norm") != "").select(ref_id, F.col("norm").alias("ref")).distinct()
+    wanted = own.filter("checked").select(ref_id, "norm").distinct()
+    cand = wanted.join(theirs, ref_id).withColumn("inside", F.contains("ref", "norm") | F.contains("norm", "ref"))
+    inside = cand.filter("inside").select(ref_id, "norm").distinct()
+    a, b = F.length("norm"), F.length("ref")
+    near = (cand.join(inside, [ref_id, "norm"], "left_anti")
+            .filter(2.0 * F.least(a, b) / (a + b) >= MATCH_RATIO))
+    alike = near.select("norm", "ref").distinct().filter(_alike("norm", "ref"))
+    matched = inside.unionByName(near.join(alike, ["norm", "ref"]).select(ref_id, "norm").distinct())
+    judged = own.join(matched.withColumn("hit", F.lit(1)), [ref_id, "norm"], "left")
+    checked = F.col("checked").cast("int")
+    hit = checked * F.coalesce("hit", F.lit(0))
+    per = judged.groupBy(doc_id, ref_id).agg(F.count(F.lit(1)).alias("n"), F.sum(hit).alias("m"), F.sum(checked - hit).alias("altered"))
+    filled = sentence_table(refs, ref_id, text).select(ref_id).distinct().withColumn("has", F.lit(True))
+    full = F.col("n").isNull() | F.col("has").isNull()
+    return (pairs.join(per, [doc_id, ref_id], "left").join(filled, ref_id, "left")
+            .select(doc_id, ref_id, F.when(full, 100.0).otherwise(F.col("m") / F.col("n") * 100.0).alias("match_pct"),
+                    F.when(full, 0).otherwise(F.col("altered")).cast("int").alias("n_altered")))
 
 
 def integrity_matches(docs: DataFrame, refs: DataFrame, doc_id: str = "doc_id", ref_id: str = "item_id",
                       text: str = "text") -> DataFrame:
-    """JON-05: match percentage and altered-sentence count of every paired document."""
+    """JON-05/06: match percentage and altered-sentence count of every document (null without a reference)."""
     pairs = pair_with_reference(docs, refs, doc_id, ref_id, text)
-    j = (pairs.join(docs.select(doc_id, F.col(text).alias("user_text")), doc_id)
-         .join(refs.select(ref_id, F.col(text).alias("ref_text")), ref_id))
-    return j.select(doc_id, ref_id, "n_shared", _compare_udf("user_text", "ref_text").alias("c")) \
-        .select(doc_id, ref_id, "n_shared", "c.match_pct", "c.n_altered")
+    found = check_pairs(pairs.filter(F.col(ref_id).isNotNull()), docs, refs, doc_id, ref_id, text)
+    return pairs.join(found.drop(ref_id), doc_id, "left").select(doc_id, ref_id, "n_shared", "match_pct", "n_altered")

@@ -770,8 +770,9 @@ ORACLES["integrity_pairs"] = f"""
 WITH dk AS ({_sentence_keys('documents', 'doc_id')}),
 rk AS ({_sentence_keys('benchmark', 'item_id')}),
 sh AS (SELECT dk.doc_id, rk.item_id, count(*)::BIGINT AS n_shared FROM dk JOIN rk ON dk.key = rk.key GROUP BY 1, 2)
-SELECT doc_id, item_id, n_shared FROM (
-  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n_shared DESC, item_id ASC) AS r FROM sh) WHERE r = 1"""
+SELECT d.doc_id, b.item_id, coalesce(b.n_shared, 0)::BIGINT AS n_shared FROM documents d LEFT JOIN (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n_shared DESC, item_id ASC) AS r FROM sh) b
+  ON d.doc_id = b.doc_id AND b.r = 1"""
 
 
 # --- more corpus operators -------------------------------------------------------------------

@@ -23,7 +23,7 @@ from credlens.operators import learners as ml
 from credlens.operators import similarity as sim
 from credlens.operators import vocab as vc
 from credlens.plans import model_flow
-from credlens.session import cut_lineage, q6, shared_dir, spread, table
+from credlens.session import cut_lineage, q6, shared_dir, table
 from credlens.sources import corpus
 from credlens.sources import pages as pg
 from credlens.sources import records as rec
@@ -31,7 +31,7 @@ from credlens.streaming import headlines, selftrain
 
 
 def _articles(spark, sf_dir, labelled_only=False):
-    return spread(corpus.articles(spark, sf_dir, labelled_only))
+    return corpus.articles(spark, sf_dir, labelled_only)
 
 
 # --- flagship -----------------------------------------------------------------
@@ -55,25 +55,25 @@ def source_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- text cleaning ------------------------------------------------------------
 def leakage_clean(spark, sf_dir):
     """TXT-01..03 over every document."""
-    d = spread(table(spark, sf_dir, "documents"))
+    d = table(spark, sf_dir, "documents")
     return d.select("doc_id", tx.clean_text(F.col("text")).alias("clean_text"))
 
 
 def stopword_filter(spark, sf_dir):
     """TXT-04 on the leakage-cleaned text."""
-    d = spread(table(spark, sf_dir, "documents"))
+    d = table(spark, sf_dir, "documents")
     return d.select("doc_id", tx.tokenize_and_filter(tx.clean_text(F.col("text"))).alias("filtered_text"))
 
 
 def full_clean(spark, sf_dir):
     """TXT-05..15 over every document."""
-    d = spread(table(spark, sf_dir, "documents"))
+    d = table(spark, sf_dir, "documents")
     return d.select("doc_id", tx.full_preprocess(F.col("text")).alias("clean_text"))
 
 
 def light_normalise(spark, sf_dir):
     """PRJ-05 over every conversation turn."""
-    c = spread(table(spark, sf_dir, "conversations"))
+    c = table(spark, sf_dir, "conversations")
     return c.select("conv_id", "turn", tx.light_normalise(F.col("text")).alias("norm_text"))
 
 
@@ -304,19 +304,19 @@ def domain_trust(spark, sf_dir):
 
 def page_title_regex(spark, sf_dir):
     """PAG-02 regex variant over every page."""
-    p = spread(table(spark, sf_dir, "pages"))
+    p = table(spark, sf_dir, "pages")
     return p.select("page_id", pg.title_regex(F.col("html")).alias("title"))
 
 
 def page_language(spark, sf_dir):
     """PAG-07 over every page."""
-    p = spread(table(spark, sf_dir, "pages"))
+    p = table(spark, sf_dir, "pages")
     return p.select("page_id", pg.language_regex(F.col("html")).alias("language"))
 
 
 def page_extract(spark, sf_dir):
     """PAG-01..10: full extraction job over every page (rows-only check + pytest)."""
-    p = spread(table(spark, sf_dir, "pages"))
+    p = table(spark, sf_dir, "pages")
     return pg.extract_pages(p).select(
         "page_id", "url", "title", "text", "author", "date", "publisher", "category", "canonical_url",
         "language", "word_count", "article_length", "reading_time",
@@ -325,7 +325,7 @@ def page_extract(spark, sf_dir):
 
 def page_quality_by_domain(spark, sf_dir):
     """PAG + JON: extracted pages joined with trust, quality summary per badge and language."""
-    p = spread(table(spark, sf_dir, "pages"))
+    p = table(spark, sf_dir, "pages")
     ex = trust.with_trust(pg.extract_pages(p))
     return ex.groupBy("badge", "language").agg(
         F.count(F.lit(1)).alias("n_pages"),
@@ -347,7 +347,7 @@ QUERIES.update({
 
 def ai_style_scores(spark, sf_dir):
     """RUL-03 + AGG-17 + TXT-17 over every document."""
-    d = spread(table(spark, sf_dir, "documents")).select("doc_id", "text")
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
     c = rl.with_style_scores(d, "text")
     return c.select("doc_id", F.col("cliche_count").cast("long").alias("cliche_count"),
                     q6(F.col("variance")).alias("variance"), q6(F.col("ai_prob")).alias("ai_prob"))
@@ -355,7 +355,7 @@ def ai_style_scores(spark, sf_dir):
 
 def search_queries(spark, sf_dir):
     """WIN-10/11 + TXT-16: primary and claim search queries per document."""
-    d = spread(table(spark, sf_dir, "documents"))
+    d = table(spark, sf_dir, "documents")
     q = d.select("doc_id", rl.primary_query(F.col("text")).alias("primary_query"),
                  rl.claim_query(F.col("text")).alias("claim"))
     keep = F.col("claim").isNotNull() & (F.instr(F.col("primary_query"), F.col("claim")) == 0)
@@ -534,7 +534,7 @@ QUERIES.update({"ml_model_metrics": ml_model_metrics, "ml_tuning": ml_tuning})
 def integrity_matches(spark, sf_dir):
     """JON-05/06: every document paired with the benchmark passage it shares most sentences
     with, then match percentage and altered-sentence count (difflib semantics)."""
-    d = spread(table(spark, sf_dir, "documents")).select("doc_id", "text")
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
     b = table(spark, sf_dir, "benchmark").select("item_id", "text")
     m = sim.integrity_matches(d, b)
     adj = rl.integrity_adjust(F.lit(50.0), F.col("match_pct"), F.col("n_altered"), F.lit(True))
@@ -545,7 +545,7 @@ def integrity_matches(spark, sf_dir):
 
 def integrity_pairs(spark, sf_dir):
     """JON-06 pairing alone: SQL-checkable (shared normalised-sentence counts)."""
-    d = spread(table(spark, sf_dir, "documents")).select("doc_id", "text")
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
     b = table(spark, sf_dir, "benchmark").select("item_id", "text")
     return sim.pair_with_reference(d, b).select("doc_id", "item_id", F.col("n_shared").cast("long").alias("n_shared"))
 
@@ -654,7 +654,7 @@ QUERIES.update({
 
 def sentiment_bias(spark, sf_dir):
     """TXT-19 over every document and conversation turn is the stream's lexicon score."""
-    d = spread(table(spark, sf_dir, "documents"))
+    d = table(spark, sf_dir, "documents")
     return d.select("doc_id", q6(rl.sentiment_bias(F.col("text"))).alias("sentiment_bias"))
 
 

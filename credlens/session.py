@@ -36,14 +36,22 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+def _single_machine(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A folder under the cluster's shared checkpoint location.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``; we read it
-    from the session.  Only when it is unset (tests, a laptop) do we create a
-    private scratch folder and register it as the checkpoint dir.
+    from the session.  Only when it is unset on a local master (tests, a laptop) do
+    we create a private scratch folder and register it as the checkpoint dir; on a
+    cluster other machines would not see such a folder, so that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base and not _single_machine(spark):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not base:
         base = tempfile.mkdtemp(prefix="credlens-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
@@ -66,19 +74,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, factor: int = 2) -> DataFrame:
-    """Give CPU-heavy text stages at least ``factor`` x cores partitions.
-
-    A small input (one file, one row group) arrives as a single partition and
-    would run every regex on one core.  On a cluster reading many files the
-    scan already has far more partitions than cores and this is a no-op.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores * factor)
-    return df
-
-
 def q6(col):
     """Quantise a double to 6 decimals with one IEEE-exact recipe.
 
