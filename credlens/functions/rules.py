@@ -66,11 +66,19 @@ def evidence_hits(evidence: DataFrame, doc_col: str = "doc_id") -> DataFrame:
     )
 
 
+# FIXED VALUES: verdict texts of the live search
+SEARCH_VERDICTS = {
+    "fake": "FAKE / HOAX (Confirmed by live fact-checkers)",
+    "real": "REAL / VERIFIED (Confirmed by live reports)",
+    "none": "INCONCLUSIVE (No definitive search signal)",
+}
+
+
 def search_verdict(verdict_fake: Column, verdict_real: Column) -> Column:
     """RUL-01."""
-    return (F.when(verdict_fake > verdict_real, F.lit("FAKE / HOAX"))
-            .when(verdict_real > verdict_fake, F.lit("REAL / VERIFIED"))
-            .otherwise(F.lit("INCONCLUSIVE")))
+    return (F.when(verdict_fake > verdict_real, F.lit(SEARCH_VERDICTS["fake"]))
+            .when(verdict_real > verdict_fake, F.lit(SEARCH_VERDICTS["real"]))
+            .otherwise(F.lit(SEARCH_VERDICTS["none"])))
 
 
 # --- RUL-02: hybrid score ------------------------------------------------------------
@@ -159,12 +167,12 @@ def sentiment_label(polarity: Column) -> Column:
 
 # FIXED VALUES: reason texts of the audit report (checked in this order, at most 5 shown)
 REASONS = [
-    ("clickbait", "Clickbait word density is higher than normal."),
-    ("emotion", "Sentiment bias/sensational vocabulary intensity is high."),
-    ("readability", "Article readability requires advanced parsing."),
-    ("trust_low", "Domain trust rating is relatively low/unverified."),
-    ("trust_high", "Domain trust aligns with high-authority press registries."),
-    ("lexical", "Lexical vocabulary density is low."),
+    ("clickbait", "✓ Clickbait word density is higher than normal."),
+    ("emotion", "✓ Sentiment bias/sensational vocabulary intensity is high."),
+    ("readability", "✓ Article readability requires advanced parsing."),
+    ("trust_low", "✓ Domain trust rating is relatively low/unverified."),
+    ("trust_high", "✓ Domain trust aligns with high-authority press registries."),
+    ("lexical", "✓ Lexical vocabulary density is low."),
 ]
 
 

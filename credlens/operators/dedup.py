@@ -33,8 +33,13 @@ def keep_first(df: DataFrame, key: Column | str, order: str = "doc_id") -> DataF
 
 
 def dedup_text(df: DataFrame, text: str = "text", order: str = "doc_id") -> DataFrame:
-    """SET-01: exact duplicates of ``text`` removed, first occurrence kept (nulls dropped)."""
-    return keep_first(df.na.drop(subset=[text]), text, order)
+    """SET-01: exact duplicates of ``text`` removed, first occurrence kept (nulls dropped).
+
+    The first row of each text is found on (hash, order) pairs alone, by a hash aggregate that
+    sums up before it shuffles; the rows themselves then move once, by that pair."""
+    rows = df.filter(F.col(text).isNotNull()).withColumn("__kf_hash", F.unhex(F.sha2(F.col(text), 256)))
+    first = rows.groupBy("__kf_hash").agg(F.min(order).alias(order))
+    return rows.join(first, ["__kf_hash", order], "left_semi").dropDuplicates(["__kf_hash", order]).select(*df.columns)
 
 
 def dedup_title_text(df: DataFrame, title: str = "title", text: str = "text",
@@ -64,7 +69,7 @@ def replay_failures(corpus: DataFrame, failures: DataFrame) -> DataFrame:
     return corpus.unionByName(new, allowMissingColumns=True)
 
 
-def cache_split(requests: DataFrame, stored: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
+def cache_split(requests: DataFrame, stored: DataFrame, text: str = "text", order: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """JON-09: split requests into cache hits (joined to stored results) and misses.
 
     ``stored`` holds one row per ``hash``.  Misses are de-duplicated by hash
@@ -72,6 +77,5 @@ def cache_split(requests: DataFrame, stored: DataFrame, text: str = "text") -> t
     """
     req = requests.withColumn("hash", tx.content_hash(F.col(text)))
     hits = req.join(stored, "hash", "inner")
-    misses = keep_first(req.join(stored.select("hash"), "hash", "left_anti")
-                        .withColumn("_o", F.col("hash")), "hash", "_o").drop("_o")
+    misses = keep_first(req.join(stored.select("hash"), "hash", "left_anti"), "hash", order)
     return hits, misses

@@ -179,15 +179,19 @@ def category_summary(contrib: DataFrame, doc_col: str = "doc_id") -> DataFrame:
 
 
 def source_split(df: DataFrame, train_subjects, heldout_subjects, subject: str = "subject",
-                 id_col: str = "doc_id") -> DataFrame:
-    """PRJ-06: 'train' for seen subjects, 'test' for held-out ones, other rows dropped;
-    when either side would be empty, fall back to the hash split (as the reference does)."""
+                 id_col: str = "doc_id", fallback: bool = False) -> DataFrame:
+    """PRJ-06: 'train' for seen subjects, 'test' for held-out ones, other rows dropped.
+
+    ``split_rule`` says what was applied: 'subjects', or, only where ``fallback`` asks for it and
+    a side would be empty, the 'hash' split of all rows."""
     tagged = df.withColumn("split", F.when(F.col(subject).isin(list(train_subjects)), F.lit("train"))
                            .when(F.col(subject).isin(list(heldout_subjects)), F.lit("test")))
     counts = {r["split"]: r["n"] for r in tagged.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
     if counts.get("train", 0) == 0 or counts.get("test", 0) == 0:
-        return df.withColumn("split", split_column(id_col))
-    return tagged.filter(F.col("split").isNotNull())
+        if not fallback:
+            raise ValueError(f"a side of the subject split is empty: {counts}")
+        return df.withColumn("split", split_column(id_col)).withColumn("split_rule", F.lit("hash"))
+    return tagged.filter(F.col("split").isNotNull()).withColumn("split_rule", F.lit("subjects"))
 
 
 def training_subset(df: DataFrame, n: int = 5000, id_col: str = "doc_id", seed: int = 42) -> DataFrame:

@@ -43,7 +43,7 @@ def _suffix_rule(domain: Column, field: int) -> Column:
 def with_trust(df: DataFrame, url_col: str = "url") -> DataFrame:
     """Add domain, score, status, badge columns for the URL column."""
     spark = df.sparkSession
-    blank = F.col(url_col).isNull() | (F.trim(F.col(url_col)) == "")
+    blank = F.col(url_col).isNull() | (F.col(url_col) == "")
     base = df.withColumn("domain", domain_of(F.col(url_col)))
     j = base.join(F.broadcast(registry(spark)), "domain", "left")
     d = F.col("domain")

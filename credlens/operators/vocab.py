@@ -100,7 +100,7 @@ def chi2_scores(weights: DataFrame, labels: DataFrame, doc_col: str = "doc_id",
     """
     priors = labels.groupBy(label_col).count().collect()
     n = sum(r["count"] for r in priors)
-    p1 = sum(r["count"] for r in priors if r[label_col] == 1) / n
+    p1 = sum(r["count"] for r in priors if r[label_col] == 1) / max(n, 1)
     p0 = 1.0 - p1
     obs = (weights.join(labels.select(doc_col, label_col), doc_col)
            .groupBy("term").agg(
@@ -108,7 +108,11 @@ def chi2_scores(weights: DataFrame, labels: DataFrame, doc_col: str = "doc_id",
                F.sum(F.when(F.col(label_col) == 1, 0.0).otherwise(F.col("weight"))).alias("o0")))
     total = F.col("o0") + F.col("o1")
     e0, e1 = total * p0, total * p1
-    score = (F.col("o0") - e0) * (F.col("o0") - e0) / e0 + (F.col("o1") - e1) * (F.col("o1") - e1) / e1
+    # a class that does not occur expects nothing and adds nothing
+    zero = F.lit(0.0)
+    part0 = F.when(e0 == 0, zero).otherwise((F.col("o0") - e0) * (F.col("o0") - e0) / F.when(e0 != 0, e0))
+    part1 = F.when(e1 == 0, zero).otherwise((F.col("o1") - e1) * (F.col("o1") - e1) / F.when(e1 != 0, e1))
+    score = part0 + part1
     return obs.select("term", score.alias("chi2"))
 
 

@@ -587,9 +587,9 @@ FROM pages"""
 
 ORACLES["page_language"] = r"""
 SELECT page_id,
-  CASE WHEN trim(regexp_extract(html, '(?i)<html[^>]*[ \t\n]lang="([^"]*)"', 1)) = '' THEN 'en'
-       ELSE lower(split_part(trim(regexp_extract(html, '(?i)<html[^>]*[ \t\n]lang="([^"]*)"', 1)), '-', 1)) END AS language
-FROM pages"""
+  CASE WHEN lang = '' THEN 'en' ELSE lower(split_part(lang, '-', 1)) END AS language
+FROM (SELECT page_id, trim(trim(trim(regexp_extract(html,
+  '(?i)<html[^>]*[ \t\n]lang[ \t\n]*=[ \t\n]*("[^"]*"|''[^'']*''|[^ \t\n"''>]+)', 1), '"'),  )) AS lang FROM pages)"""
 
 
 # --- rules ---------------------------------------------------------------------------
@@ -686,12 +686,12 @@ FROM ec ORDER BY doc_id LIMIT 10""")
 
 _SENS = " OR ".join(f"regexp_matches(lt, {s(chr(92) + 'b' + _re_escape(w) + chr(92) + 'b')})" for w in lx.SENSATIONAL_WORDS)
 _REASONS = [
-    ("clickbait_ratio > 0.05", "Clickbait word density is higher than normal."),
-    ("emotion_intensity > 0.02", "Sentiment bias/sensational vocabulary intensity is high."),
-    ("flesch_reading_ease < 50.0", "Article readability requires advanced parsing."),
-    ("50 < 60", "Domain trust rating is relatively low/unverified."),
-    ("50 >= 80", "Domain trust aligns with high-authority press registries."),
-    ("lexical_diversity < 0.4", "Lexical vocabulary density is low."),
+    ("clickbait_ratio > 0.05", "✓ Clickbait word density is higher than normal."),
+    ("emotion_intensity > 0.02", "✓ Sentiment bias/sensational vocabulary intensity is high."),
+    ("flesch_reading_ease < 50.0", "✓ Article readability requires advanced parsing."),
+    ("50 < 60", "✓ Domain trust rating is relatively low/unverified."),
+    ("50 >= 80", "✓ Domain trust aligns with high-authority press registries."),
+    ("lexical_diversity < 0.4", "✓ Lexical vocabulary density is low."),
 ]
 _REASON_LIST = ("list_filter([" + ", ".join(f"CASE WHEN {c} THEN {s(m)} ELSE NULL END" for c, m in _REASONS)
                 + "], lambda x: x IS NOT NULL)")
@@ -786,9 +786,8 @@ SELECT label, subject, count(*)::BIGINT AS n_articles FROM (
 GROUP BY label, subject"""
 
 ORACLES["split_sources"] = _with(_M, """
-SELECT d.split, array_to_string(list_sort(list(DISTINCT x.source)), ',') AS sources,
-  count(DISTINCT x.source)::BIGINT AS n_sources
-FROM docs d JOIN documents x ON d.doc_id = x.doc_id GROUP BY d.split""")
+SELECT d.split, x.source, count(*)::BIGINT AS n_articles
+FROM docs d JOIN documents x ON d.doc_id = x.doc_id GROUP BY d.split, x.source""")
 
 ORACLES["prediction_cache"] = _with(_M + """,
     stored AS (SELECT sha256(d.text) AS hash, s.p_real FROM scored s JOIN docs d ON s.doc_id = d.doc_id),

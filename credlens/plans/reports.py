@@ -10,14 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def _table(df: DataFrame, cols: list[str], limit: int = 50) -> str:
-    rows = df.select(*cols).limit(limit).collect()
+def _table(df: DataFrame, cols: list[str], top: int | None = None) -> str:
+    """A bounded table as Markdown; ``top`` rows where the report asks for a top list."""
+    rows = (df if top is None else df.limit(top)).select(*cols).collect()
     head = "| " + " | ".join(cols) + " |\n| " + " | ".join(":---" for _ in cols) + " |\n"
     return head + "".join("| " + " | ".join(str(r[c]) for c in cols) + " |\n" for r in rows)
 
 
-def generalisation_report(summary: DataFrame, per_article: DataFrame | None = None) -> str:
-    """Metrics block (+ optional per-article result table)."""
+def generalisation_report(summary: DataFrame, per_article: DataFrame | None = None,
+                          rows_path: str | None = None) -> str:
+    """Metrics block; the per-article results are written as a table at ``rows_path``, which the
+    report names: they grow with the corpus and never pass through the driver."""
+    if per_article is not None and rows_path is None:
+        raise ValueError("per-article results need a rows_path")
     s = summary.collect()[0]
     out = ["# Out-of-Domain Generalisation Report\n",
            "## Benchmark Score\n",
@@ -30,7 +35,8 @@ def generalisation_report(summary: DataFrame, per_article: DataFrame | None = No
            f"- **False Negative Rate (FNR)**: {s['fnr']:.4f}",
            f"- **Status**: {s['status']}\n"]
     if per_article is not None:
-        out += ["## Results\n", _table(per_article, per_article.columns)]
+        per_article.write.mode("overwrite").parquet(rows_path)
+        out += ["## Results\n", f"One row per article: `{rows_path}`\n"]
     return "\n".join(out)
 
 

@@ -136,6 +136,8 @@ def extract_page(url: str, html: str) -> dict:
                 title = UNTITLED
             else:
                 kids = t.children
+                while len(kids) == 1 and not isinstance(kids[0], str):  # a single child holds the string
+                    kids = kids[0].children
                 if len(kids) != 1 or not isinstance(kids[0], str):
                     raise ValueError("title element has no single string")
                 title = kids[0].strip()
@@ -215,7 +217,7 @@ def with_page_stats(df: DataFrame) -> DataFrame:
 # --- regex variants (SQL-checkable) --------------------------------------------
 H1_RE = r"(?is)<h1[^>]*>(.*?)</h1>"
 TITLE_RE = r"(?is)<title[^>]*>(.*?)</title>"
-LANG_RE = r"(?i)<html[^>]*[ \t\n]lang=\"([^\"]*)\""
+LANG_RE = r"(?i)<html[^>]*[ \t\n]lang[ \t\n]*=[ \t\n]*(?:\"([^\"]*)\"|'([^']*)'|([^ \t\n\"'>]+))"
 
 
 def title_regex(html: Column) -> Column:
@@ -229,34 +231,33 @@ def title_regex(html: Column) -> Column:
 
 def language_regex(html: Column) -> Column:
     """PAG-07: <html lang> before '-', lower-cased; 'en' when absent or blank."""
-    lang = F.trim(F.regexp_extract(html, LANG_RE, 1))
+    lang = F.trim(F.concat(*[F.coalesce(F.regexp_extract(html, LANG_RE, i), F.lit("")) for i in (1, 2, 3)]))
     return F.when(lang == "", F.lit(DEFAULT_LANGUAGE)).otherwise(F.lower(F.split(lang, "-").getItem(0)))
 
 
 
 # --- SRC-10: stored search-result pages -> evidence rows --------------------------------
 EVIDENCE_SCHEMA = "doc_id long, query_type string, rank int, title string, url string, snippet string"
-RESULTS_PER_QUERY = 3
+RESULTS_PER_QUERY = 3  # default of evidence_from_result_pages(per_query=...)
 
 
-def parse_results(html: str) -> list[tuple[str, str, str]]:
-    """First 3 ``a.result-link`` zipped with the first 3 ``td.result-snippet`` -> (title, url, snippet)."""
+def parse_results(html: str, per_query: int = RESULTS_PER_QUERY) -> list[tuple[str, str, str]]:
+    """First ``a.result-link`` zipped with the first ``td.result-snippet``, ``per_query`` of each -> (title, url, snippet)."""
     root = parse(html or "")
     links = [n for n in root.iter() if n.tag == "a" and "result-link" in _class_str(n).split()]
     snips = [n for n in root.iter() if n.tag == "td" and "result-snippet" in _class_str(n).split()]
     return [(a.text().strip(), a.attrs.get("href", ""), s.text().strip())
-            for a, s in zip(links[:RESULTS_PER_QUERY], snips[:RESULTS_PER_QUERY])]
+            for a, s in zip(links[:per_query], snips[:per_query])]
 
 
-def _results_batches(batches):
-    for pdf in batches:
-        rows = []
-        for doc_id, qtype, html in zip(pdf["doc_id"], pdf["query_type"], pdf["html"]):
-            for i, (t, u, s) in enumerate(parse_results(html)):
-                rows.append((doc_id, qtype, i + 1, t, u, s))
-        yield pd.DataFrame(rows, columns=["doc_id", "query_type", "rank", "title", "url", "snippet"])
-
-
-def evidence_from_result_pages(result_pages: DataFrame) -> DataFrame:
+def evidence_from_result_pages(result_pages: DataFrame, per_query: int = RESULTS_PER_QUERY) -> DataFrame:
     """SRC-10: a table (doc_id, query_type, html) of stored result pages -> evidence rows."""
-    return result_pages.select("doc_id", "query_type", "html").mapInPandas(_results_batches, EVIDENCE_SCHEMA)
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for doc_id, qtype, html in zip(pdf["doc_id"], pdf["query_type"], pdf["html"]):
+                for i, (t, u, s) in enumerate(parse_results(html, per_query)):
+                    rows.append((doc_id, qtype, i + 1, t, u, s))
+            yield pd.DataFrame(rows, columns=["doc_id", "query_type", "rank", "title", "url", "snippet"])
+
+    return result_pages.select("doc_id", "query_type", "html").mapInPandas(run, EVIDENCE_SCHEMA)

@@ -64,27 +64,21 @@ def read_failures(spark: SparkSession, path: str) -> DataFrame:
 # --- SRC-09 / STR-01: headline feeds ------------------------------------------------------
 FEED_SCHEMA = "title string, source string"
 DEFAULT_FEED_SOURCE = "Google News"
-ITEMS_PER_POLL = 9
 
 
-def parse_feed(items: DataFrame, file_col: str = "file") -> DataFrame:
-    """SRC-09 + PRJ-10: first 9 items per feed file -> (title, source); empty titles dropped."""
-    w = Window.partitionBy(file_col).orderBy("item_pos")
-    first = items.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= ITEMS_PER_POLL)
+def parse_feed(items: DataFrame, file_col: str = "file", per_file: int | None = None) -> DataFrame:
+    """SRC-09 + PRJ-10: feed items -> (title, source, item_pos); empty titles dropped.
+
+    ``per_file`` keeps a dashboard's first items of each file; by default all items count."""
+    if per_file is not None:
+        w = Window.partitionBy(file_col).orderBy("item_pos")
+        items = items.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= per_file)
     title = tx.strip_source_suffix(F.coalesce(F.col("title"), F.lit("")))
-    return (first.select(title.alias("title"),
-                         F.coalesce(F.col("source"), F.lit(DEFAULT_FEED_SOURCE)).alias("source"), file_col)
+    return (items.select(title.alias("title"),
+                         F.coalesce(F.col("source"), F.lit(DEFAULT_FEED_SOURCE)).alias("source"), file_col, "item_pos")
             .filter(F.col("title") != ""))
 
 
-def read_feed_files(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """RSS files -> item rows with file name and position (XML source, rowTag=item)."""
-    reader = spark.readStream if streaming else spark.read
-    df = reader.format("xml").option("rowTag", "item").schema("title string, source string").load(path)
-    return (df.withColumn("file", F.input_file_name())
-            .withColumn("item_pos", F.monotonically_increasing_id()))
-
-
 def label_headlines(scored: DataFrame) -> DataFrame:
     """MLT-12: RELIABLE / UNRELIABLE + confidence (polarity converted at the edge: 1 = real)."""
     pred = F.col("p_real") >= 0.5

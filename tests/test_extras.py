@@ -94,5 +94,5 @@ def test_source_split_fallback(spark):
     a = spark.createDataFrame([(1, "politicsNews"), (2, "worldnews"), (3, "other")], "doc_id long, subject string")
     s = {r.doc_id: r.split for r in linear.source_split(a, ["politicsNews"], ["worldnews"]).collect()}
     assert s == {1: "train", 2: "test"}
-    f = linear.source_split(a, ["nope"], ["worldnews"]).collect()
+    f = linear.source_split(a, ["nope"], ["worldnews"], fallback=True).collect()
     assert len(f) == 3 and all(r.split in ("train", "test") for r in f)

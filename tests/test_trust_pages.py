@@ -41,10 +41,20 @@ def test_page_broken_dom_and_nesting():
 
 
 def test_page_error_capture():
-    r = pg.extract_page("u", "<html><title><b>x</b></title></html>")
+    assert pg.extract_page("u", "<html><title><b>x</b></title></html>")["title"] == "x"  # a single child's string
+    r = pg.extract_page("u", "<html><title>a<b>x</b></title></html>")
     assert r["error"] is not None and r["title"] is None
 
 
+def test_language_in_every_quote_style(spark):
+    from pyspark.sql import functions as F
+    pages = ["<html lang=\"fr-FR\">", "<html class='x' lang='de-AT'>", "<html lang=es>", "<HTML LANG = 'IT'>", "<html>", "<html lang=''>",
+             "<html xml:lang='pt'>", None]
+    df = spark.createDataFrame([(i, h) for i, h in enumerate(pages)], "i int, html string")
+    got = [r[0] for r in df.orderBy("i").select(pg.language_regex(F.col("html"))).collect()]
+    assert got[:7] == ["fr", "de", "es", "it", "en", "en", "en"]
+
+
 def test_page_stats(spark):
     df = spark.createDataFrame([(1, "u", "<article><p>" + "word " * 60 + "end. a. b.</p></article>")],
                                "page_id long, url string, html string")
