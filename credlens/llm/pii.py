@@ -304,9 +304,13 @@ def fit(texts: list[str], seed: int = 11) -> Network | None:
 
 
 def train(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Network | None:
-    """Fit on at most ``MAX_DOCUMENTS`` documents that hold a digit or an at sign."""
-    rows = bounded_sample(docs.select(id_col, text_col).where(F.col(text_col).rlike("[0-9@]")), MAX_DOCUMENTS, id_col).collect()
-    return fit(sorted(r[1] for r in rows))
+    """Fit on at most ``MAX_DOCUMENTS`` documents that hold a digit or an at sign.
+
+    Ids alone are ordered for the choice; the chosen ones are broadcast, so only the sample's
+    texts reach the driver."""
+    ids = bounded_sample(docs.where(F.col(text_col).rlike("[0-9@]") & F.col(id_col).isNotNull()).select(id_col), MAX_DOCUMENTS, id_col)
+    rows = docs.select(id_col, text_col).where(F.col(text_col).rlike("[0-9@]")).join(F.broadcast(ids.distinct()), id_col)
+    return fit(sorted(r[1] for r in rows.dropDuplicates([id_col]).collect()))
 
 
 # --- decoding whole texts -----------------------------------------------------------------------
