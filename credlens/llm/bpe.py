@@ -27,8 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from credlens.llm.common import arrow_schema, chunks, map_text, schema_of, tokenizer
-from credlens.session import ship_package
+from credlens.llm.common import arrow_schema, chunks, map_text, prepare, schema_of, tokenizer
 
 #: Pre-tokens an encoder remembers; above it the memory is emptied and filled anew.
 REMEMBER = 1_200_000
@@ -389,7 +388,7 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 
 def _map_parts(big: DataFrame, id_col: str, spread: int) -> DataFrame:
     """One row per part of a long text; ``key`` tells texts of the same id apart."""
-    ship_package(big.sparkSession)
+    prepare(big.sparkSession)
     schema = T.StructType([big.schema[id_col], *schema_of("key string, part_no int, part string").fields])
 
     def run(batches):

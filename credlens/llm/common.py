@@ -24,6 +24,19 @@ ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "double
          "array<binary>": pa.list_(pa.binary())}
 
 
+#: Rows in one Arrow batch at most.  Texts are long: ten thousand of them, Spark's default, in every
+#: buffer between the JVM and Python would take more than the executor's heap.
+ARROW_ROWS = 1000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Make the package importable in Python workers and keep Arrow batches small."""
+    ship_package(spark)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= ARROW_ROWS:
+        spark.conf.set(key, str(ARROW_ROWS))
+
+
 def schema_of(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
@@ -53,7 +66,7 @@ def map_text(df: DataFrame, fn: Callable[[list], dict], out: str, text_col: str
     renames the added columns, for a caller that carries columns of the same names.  No
     shuffle; a lost executor's tasks are simply rerun.
     """
-    ship_package(df.sparkSession)
+    prepare(df.sparkSession)
     carry = list(carry)
     types = arrow_schema(schema_of(out))
     names = list(names or types.names)

@@ -22,8 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from credlens.llm.common import arrow_schema, chunks, map_text, schema_of
-from credlens.session import ship_package
+from credlens.llm.common import arrow_schema, chunks, map_text, prepare, schema_of
 
 LETTERS = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
 SMALLEST, LENGTH = 3, 64
@@ -215,7 +214,7 @@ def compare_with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       bucket_chars: int = BUCKET_CHARS) -> DataFrame:
     """Fingerprints of every text, of its edited text and their likeness to it and to the next
     document; ``keep_text=False`` leaves the edited text out and adds its SHA-256."""
-    ship_package(df.sparkSession)
+    prepare(df.sparkSession)
     added = schema_of(PAIR if keep_text else PAIR.replace("edited_text", "edited_sha256"))
     types = arrow_schema(added)
     ordered = next_in_order(df, id_col, text_col, bucket_chars)

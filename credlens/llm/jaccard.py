@@ -37,9 +37,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from credlens.llm.common import arrow_schema, chunks, schema_of
+from credlens.llm.common import arrow_schema, chunks, prepare, schema_of
 from credlens.llm.graph import components
-from credlens.session import shared_dir, ship_package
+from credlens.session import shared_dir
 
 #: Nodes in a column above which it is a hot block.
 HOT = 64
@@ -164,7 +164,7 @@ class _Join:
 
     def __init__(self, docs: DataFrame, words: int, num: int, den: int):
         self.spark: SparkSession = docs.sparkSession
-        ship_package(self.spark)
+        prepare(self.spark)
         self.docs, self.words, self.bound = docs, words, Bound(num, den)
         self.at = shared_dir(self.spark, f"llm/jaccard/{uuid.uuid4().hex}")
 

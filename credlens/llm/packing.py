@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from credlens.llm.bpe import encoder
-from credlens.llm.common import arrow_schema, chunks, schema_of, tokenizer
-from credlens.session import shared_dir, ship_package
+from credlens.llm.common import arrow_schema, chunks, prepare, schema_of, tokenizer
+from credlens.session import shared_dir
 
 WINDOW = 1024
 #: Rests in one shard of the index.
@@ -50,7 +50,7 @@ def encode(df: DataFrame, path: str, end_id: int, window: int, id_col: str = "do
     (``crcs``; their ids on request), its ``rest`` of less than a window, and the rest's lexical
     key.  A row per task: in how many of its documents each id occurs (``counts``, with the number
     and total length of the documents in the last two places)."""
-    ship_package(df.sparkSession)
+    prepare(df.sparkSession)
     fields = T.StructType([df.schema[id_col], *schema_of(
         "doc_tokens bigint, crcs array<bigint>, windows array<binary>, rest binary, lexical_key bigint, counts binary").fields])
     names = fields.names
@@ -172,7 +172,7 @@ def pack(df: DataFrame, path: str, end_id: int = 0, window: int = WINDOW, id_col
 
     One pass over the texts, written to shared storage; then only the rests move, once."""
     spark: SparkSession = df.sparkSession
-    ship_package(spark)
+    prepare(spark)
     dtype = "<u2" if tokenizer(path).get_vocab_size() <= 65536 else "<u4"
     at = shared_dir(spark, f"llm/packing/{uuid.uuid4().hex}")
     scan = encode(df, path, end_id, window, id_col, text_col, with_ids)

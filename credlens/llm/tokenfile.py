@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from credlens.llm.bpe import encoder
-from credlens.llm.common import chunks, schema_of
-from credlens.session import shared_dir, ship_package
+from credlens.llm.common import chunks, prepare, schema_of
+from credlens.session import shared_dir
 
 MAGIC = b"LTOKIDS1"
 #: Characters of text in one shard, about; bounds a task's memory and a file's size.
@@ -187,7 +187,7 @@ def write(df: DataFrame, path: str, tokenizer_file: str, end_id: int = 1, id_col
     """Encode every whole text and write the files under ``path``; returns ``path``.
 
     One shuffle: the texts, by id ranges."""
-    ship_package(df.sparkSession)
+    prepare(df.sparkSession)
     n = df.agg(F.sum(F.length(text_col))).first()[0] or 0
     parts = min(max(1, math.ceil(n / shard_chars)), MAX_FILES)
     rows = (df.select(id_col, text_col).repartitionByRange(parts, F.col(id_col).asc_nulls_first())
@@ -231,7 +231,7 @@ def read(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
 
     Each key of a shard is looked up through the index, so what comes back is what keyed
     access gives."""
-    ship_package(spark)
+    prepare(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
 
     def run(batches):
@@ -284,7 +284,7 @@ def lookup(spark: SparkSession, path: str, keys: list[int]) -> DataFrame:
     """Ids of a caller's keys (a list that fits the driver): (doc_id, n_tokens, ids).
 
     Only files whose key range holds a wanted key are opened."""
-    ship_package(spark)
+    prepare(spark)
     wanted = np.unique(np.array(keys, np.int64))
     inside = None
     for k in wanted.tolist():

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from credlens.llm.common import bounded_sample, held_out, map_text
 
 #: Labelled rows the lexicon is fitted on at most.
-MAX_LABELLED = 4000
+MAX_LABELLED = 3000
 MAX_ENTRIES = 400
 #: Evidence is divided by (1 + words / 100) to this power.
 LENGTH_POWER = 0.25
@@ -126,22 +126,20 @@ def fit(texts: list[str | None], labels: list[int], max_entries: int = MAX_ENTRI
         return Lexicon([(w, True, s) for w, s in SEEDS.items()])
     n_toxic = y.sum()
     seen = ({True: Counter(), False: Counter()}, {True: Counter(), False: Counter()})  # [toxic][whole]
-    units, n_words = [], [1.0, 1.0]
-    for t, lab in zip(texts, labels, strict=True):
+    support = {True: Counter(), False: Counter()}  # toxic texts that hold it
+    n_words = [1.0, 1.0]
+    for t, lab in sorted(zip(texts, labels, strict=True), key=lambda r: -r[1]):  # toxic texts first
         words, begins = _units(t or "")
-        units.append((words, begins))
         n_words[int(lab)] += sum(words.values())
         seen[int(lab)][True].update(words)
-        seen[int(lab)][False].update(begins)
+        seen[int(lab)][False].update(begins if lab else {b: c for b, c in begins.items() if b in seen[1][False]})
+        if lab:
+            support[True].update(words.keys())
+            support[False].update(begins.keys())
 
     def weight(w, whole):  # log ratio of the rates per word
         return (math.log((seen[1][whole][w] + 0.5) / n_words[1]) - math.log((seen[0][whole][w] + 0.5) / n_words[0]))
 
-    support = {True: Counter(), False: Counter()}  # toxic texts that hold it
-    for (words, begins), lab in zip(units, labels, strict=True):
-        if lab:
-            support[True].update(words.keys())
-            support[False].update(begins.keys())
     least = max(MIN_SUPPORT, MIN_SHARE * n_toxic)
     able = {(w, whole): weight(w, whole) for whole in (True, False) for w, c in support[whole].items()
             if c >= least and len(w) >= 3}

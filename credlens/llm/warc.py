@@ -29,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from credlens.llm.common import arrow_schema, schema_of
-from credlens.session import shared_dir, ship_package
+from credlens.llm.common import arrow_schema, prepare, schema_of
+from credlens.session import shared_dir
 
 #: Smaller payloads are always stored in full.
 REVISIT_BYTES = 1000
@@ -227,7 +227,7 @@ def _batch(rows: list[tuple], types: pa.Schema) -> pa.RecordBatch:
 
 def write_runs(spark: SparkSession, path: str, runs: str) -> str:
     """Parse the archives under ``path`` and store a sorted run for each file under ``runs``."""
-    ship_package(spark)
+    prepare(spark)
     fields = schema_of(CAPTURE + ", run string, run_no bigint")
     types = arrow_schema(fields)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
