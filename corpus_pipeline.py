@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from credlens.llm import jaccard, langid, packing, pii, toxicity
-from credlens.llm.common import documents, tokenizer_path
-from credlens.session import shared_dir, ship_package, table
+from credlens.llm.common import documents, prepare, tokenizer_path
+from credlens.session import shared_dir, table
 
 #: A document stays if its main language has at least this share of its letters.
 MIN_LANGUAGE_SHARE = 0.35
@@ -29,7 +29,7 @@ def _names(docs: DataFrame, *names: str) -> list[str]:
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the lexicon, learned from ``labels``, does not mark as toxic."""
-    ship_package(spark)
+    prepare(spark)
     lexicon = toxicity.train(docs, table(spark, sf_dir, "labels"))
     names = _names(docs, "score", "predicted", "evidence")
     scored = toxicity.score_text(docs, lexicon, carry=docs.columns, names=names)
@@ -38,7 +38,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: neither letterless nor without a main language."""
-    ship_package(spark)
+    prepare(spark)
     names = _names(docs, "lang_pred", "share", "words", "switches")
     found = langid.predict(docs, langid.train(docs), carry=docs.columns, names=names)
     return found.where((F.col(names[0]) != "und") & (F.col(names[1]) >= MIN_LANGUAGE_SHARE)).select(*docs.columns)
@@ -48,7 +48,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group of near duplicates (five-word shingles, similarity 0.8): that with
     the smallest id, and of rows with this id the first by text.  Documents without words are no
     duplicates.  Rows without an id cannot be named: one of each text stays."""
-    ship_package(spark)
+    prepare(spark)
     groups = jaccard.jaccard_components(docs, words=5, num=80, den=100)
     keep = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     rank = F.struct(F.coalesce("text", F.lit("")), *[c for c in docs.columns if c not in ("doc_id", "text")])
@@ -60,7 +60,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with e-mail, address, card and phone spans masked; ``n_chars`` follows the text."""
-    ship_package(spark)
+    prepare(spark)
     name, = _names(docs, "masked")
     masked = pii.redact(docs, pii.train(docs), name, carry=docs.columns)
     out = {"text": F.col(name)}
@@ -72,7 +72,7 @@ def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of training sequences of 1024 ids, filled with lexical neighbours."""
-    ship_package(spark)
+    prepare(spark)
     return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), end_id=0, window=1024)
 
 
