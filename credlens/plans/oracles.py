@@ -316,6 +316,28 @@ def all_docs_vocab_ctes() -> str:
     vweights AS (SELECT doc_id, term, raw_w / sqrt(sum(raw_w * raw_w) OVER (PARTITION BY doc_id)) AS weight FROM vw0)"""
 
 
+def logistic_steps(steps: int = 20, eta: float = 1.0, alpha: float = 1e-4) -> str:
+    """Accelerated full-batch logistic regression, one pair of CTEs for each step; last CTE ``weights``."""
+    out = ["""trainx AS MATERIALIZED (SELECT h.doc_id, h.feature, h.value FROM hybrid h JOIN train t ON h.doc_id = t.doc_id),
+    lr_s0 AS MATERIALIZED (
+      SELECT f.feature, 0.0::DOUBLE AS w, 0.0::DOUBLE AS v FROM (SELECT DISTINCT feature FROM trainx) f
+      UNION ALL SELECT '__bias__', ln(sum(label)::DOUBLE / (count(*) - sum(label))), ln(sum(label)::DOUBLE / (count(*) - sum(label))) FROM train)"""]
+    for k in range(steps):
+        out.append(f"""lr_r{k} AS MATERIALIZED (
+      SELECT x.doc_id, 1.0::DOUBLE / (1.0::DOUBLE + exp(-(sum(x.value * s.v) + (SELECT v FROM lr_s{k} WHERE feature = '__bias__'))))
+             - any_value(t.label) AS r
+      FROM trainx x JOIN lr_s{k} s ON x.feature = s.feature JOIN train t ON x.doc_id = t.doc_id GROUP BY x.doc_id),
+    lr_g{k} AS (
+      SELECT x.feature, sum(r.r * x.value) / (SELECT n FROM ntr) AS g FROM trainx x JOIN lr_r{k} r ON x.doc_id = r.doc_id GROUP BY x.feature
+      UNION ALL SELECT '__bias__', sum(r) / (SELECT n FROM ntr) FROM lr_r{k}),
+    lr_w{k + 1} AS (
+      SELECT s.feature, s.w AS old, s.v - {dbl(eta)} * (g.g + CASE WHEN s.feature = '__bias__' THEN 0.0::DOUBLE ELSE {dbl(alpha)} * s.v END) AS w
+      FROM lr_s{k} s JOIN lr_g{k} g ON s.feature = g.feature),
+    lr_s{k + 1} AS MATERIALIZED (SELECT feature, w, w + {dbl((k + 1) / (k + 4))} * (w - old) AS v FROM lr_w{k + 1})""")
+    out.append(f"weights AS (SELECT feature, w AS weight FROM lr_s{steps})")
+    return ",\n    ".join(out)
+
+
 def model_ctes() -> str:
     """The whole labelled train-and-score chain; final CTE ``scored``."""
     scaled = ",\n".join(
@@ -364,14 +386,7 @@ def model_ctes() -> str:
       SELECT w.doc_id, w.term AS feature, w.weight AS value FROM wts w JOIN sel s ON w.term = s.term
       UNION ALL {dense_rows}),
     ntr AS (SELECT count(*)::DOUBLE AS n FROM train),
-    resid AS (SELECT doc_id, 0.5::DOUBLE - label AS r FROM train),
-    grad AS (
-      SELECT h.feature, sum(r.r * h.value) / n.n AS g FROM hybrid h JOIN resid r ON h.doc_id = r.doc_id, ntr n
-      GROUP BY h.feature, n.n),
-    bgrad AS (SELECT sum(r) / n.n AS g FROM resid, ntr n GROUP BY n.n),
-    weights AS (
-      SELECT feature, 0.0::DOUBLE - {dbl(1.0)} * g AS weight FROM grad
-      UNION ALL SELECT '__bias__' AS feature, 0.0::DOUBLE - {dbl(1.0)} * g AS weight FROM bgrad),
+    {logistic_steps()},
     margin AS (
       SELECT h.doc_id, sum(h.value * coalesce(w.weight, 0.0::DOUBLE)) + (SELECT weight FROM weights WHERE feature = '__bias__') AS m
       FROM hybrid h LEFT JOIN (SELECT * FROM weights WHERE feature <> '__bias__') w ON h.feature = w.feature
@@ -797,6 +812,8 @@ SELECT (SELECT count(*) FROM req JOIN stored ON req.hash = stored.hash)::BIGINT
   (SELECT count(DISTINCT hash) FROM req WHERE hash NOT IN (SELECT hash FROM stored))::BIGINT AS n_distinct_misses""")
 
 ORACLES["model_consensus"] = _with(_M + """,
+    resid AS (SELECT doc_id, 0.5::DOUBLE - label AS r FROM train),
+    bgrad AS (SELECT sum(r) / n.n AS g FROM resid, ntr n GROUP BY n.n),
     dl AS (SELECT * FROM hybrid WHERE starts_with(feature, 'dense:')),
     grad2 AS (
       SELECT h.feature, sum(r.r * h.value) / n.n AS g FROM dl h JOIN resid r ON h.doc_id = r.doc_id, ntr n
@@ -838,3 +855,10 @@ ORACLES["cross_source_split"] = f"""
 SELECT CASE WHEN substr(sha256('42:' || d.doc_id::VARCHAR), 1, 8) < '{THRESH_HEX}' THEN 'test' ELSE 'train' END AS split,
   l.quality AS label, count(*)::BIGINT AS n_articles
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id GROUP BY 1, 2"""
+
+
+ORACLES["explain_dense_ranked"] = _with(_M, f"""
+SELECT h.doc_id, h.feature, {q6('h.value * w.weight')} AS contribution,
+  row_number() OVER (PARTITION BY h.doc_id ORDER BY {q6('abs(h.value * w.weight)')} DESC, h.feature ASC)::BIGINT AS rank
+FROM hybrid h JOIN weights w ON h.feature = w.feature JOIN docs d ON h.doc_id = d.doc_id
+WHERE starts_with(h.feature, 'dense:') AND d.split = 'test'""")

@@ -675,3 +675,15 @@ def cross_source_split(spark, sf_dir):
 
 QUERIES.update({"sentiment_bias": sentiment_bias, "first_sample_per_label": first_sample_per_label,
                 "cross_source_split": cross_source_split})
+
+
+# --- WIN-03 ---------------------------------------------------------------------------------
+def explain_dense_ranked(spark, sf_dir):
+    """WIN-03: every dense feature of every test article, ranked by the size of its contribution."""
+    f = model_flow.fit(spark, sf_dir)
+    test = f.docs.filter(F.col("split") == "test").select("doc_id")
+    ranked = linear.ranked_dense_contributions(linear.contributions(f.hybrid.join(test, "doc_id", "left_semi"), f.weights))
+    return ranked.select("doc_id", "feature", q6(F.col("contribution")).alias("contribution"), "rank")
+
+
+QUERIES["explain_dense_ranked"] = explain_dense_ranked
