@@ -22,7 +22,7 @@ def op2_crf_language(spark, sf_dir):
 
 def op3_warc_index(spark, sf_dir):
     index = warc.archive_and_index(table(spark, sf_dir, "pages"))
-    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "captured")
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op4_perfect_hash_ids(spark, sf_dir):
@@ -74,6 +74,35 @@ QUERIES = {
     "op10_toxicity_lexicon": op10_toxicity_lexicon,
 }
 
-#: Zstandard ratios and learned models are not SQL: these queries are tested against brute force,
-#: exact round trips or held-out accuracy in tests/llm.
-ORACLES: dict[str, str] = {}
+#: Compression ratios, learned models, tokenizer files and fingerprints are not SQL: the other
+#: queries are tested against brute force, exact round trips or held-out accuracy in tests/llm.
+ORACLES: dict[str, str] = {
+    "op3_warc_index": """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+q AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS original FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> original THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> original THEN original END AS refers_to
+FROM q""",
+    "op9_ngram_jaccard": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id
+  GROUP BY x.doc_id, y.doc_id),
+links AS (
+  SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 90 * (p.n + q.n - c)),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, min(r.other) AS component_id
+FROM documents d JOIN reach r ON d.doc_id = r.doc_id LEFT JOIN sizes s ON d.doc_id = s.doc_id
+GROUP BY d.doc_id, s.n""",
+}
