@@ -1,15 +1,19 @@
 """Packing by lexical retrieval: windows filled with BM25 neighbours.
 
 Every document is encoded and ends with an end id.  Full windows of a long document are
-sequences of their own; what is left of it is a *rest*.  Rests are packed shard by shard: a shard
-holds an inverted index (BM25 weights over token ids) of its rests; the longest unused rest
-seeds a window, the index returns its nearest unused neighbours, and they fill the window
-greedily in the order of their scores, the last one cut where the window is full.  So texts that
-share words share a window.
+sequences of their own; what is left of it is a *rest*.  Every rest queries an inverted index of
+all rests (BM25 weights over token ids) with its rarest ids and finds its nearest neighbour,
+wherever that lies: the index is cut into blocks, and each block answers the queries of all
+rests.  Rests that are linked by such neighbours are a *group*; groups are never torn unless they
+are larger than a shard.  Shards of whole groups are then packed: the longest unused rest seeds a
+window, its BM25 scores over all its ids give its nearest unused neighbours in the shard, and
+they fill the window greedily in the order of their scores, the last one cut where the window is
+full.  So texts that share words share a window.
 
-Shards are bounded groups of rests with neighbouring lexical keys (the smallest of a rest's mixed
-ids, which rests with many common ids often share), so neighbours are found inside the shard.  Document frequencies cover all documents;
-there is one count per vocabulary id, so they are small however large the corpus is.
+Every block reads every query, so the retrieval's work grows with the square of the number of
+different rests.  Block scores are sums of weights rounded to 16 bits.  Equal rests query once.
+Document frequencies cover all documents; there is one count per vocabulary id, so they are small
+however large the corpus is.
 
 Sequences hold at most ``window`` ids.  The last rest of a shard is cut into powers of two, which
 need no padding.  Null and empty texts are a single end id.  Repeated rows and ids are packed
@@ -30,13 +34,18 @@ from pyspark.sql import types as T
 
 from credlens.llm.bpe import encoder
 from credlens.llm.common import arrow_schema, chunks, prepare, schema_of, tokenizer
+from credlens.llm.graph import components
 from credlens.session import shared_dir
 
 WINDOW = 1024
-#: Rests in one shard of the index.
+#: Rests in one shard; a shard ends with a group, so it may have up to twice as many.
 SHARD_ROWS = 1024
-#: Ids of a seed that query the index: its rarest ones.
+#: Different rests in one block of the index, about.
+BLOCK_ROWS = 16_384
+#: Ids of a rest that query the blocks: its rarest ones.
 QUERY_IDS = 24
+#: Queries that travel as one row.
+QUERY_ROWS = 256
 #: BM25's usual constants.
 K1, B = 1.2, 0.75
 
@@ -47,20 +56,18 @@ PIECE = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_toke
 def encode(df: DataFrame, path: str, end_id: int, window: int, id_col: str = "doc_id", text_col: str = "text",
            with_ids: bool = False) -> DataFrame:
     """One pass over the texts.  A row per document: ``doc_tokens``, checksums of its full windows
-    (``crcs``; their ids on request), its ``rest`` of less than a window, and the rest's lexical
-    key.  A row per task: in how many of its documents each id occurs (``counts``, with the number
-    and total length of the documents in the last two places)."""
+    (``crcs``; their ids on request) and its ``rest`` of less than a window.  A row per task: in
+    how many of its documents each id occurs (``counts``, with the number and total length of the
+    documents in the last two places)."""
     prepare(df.sparkSession)
     fields = T.StructType([df.schema[id_col], *schema_of(
-        "doc_tokens bigint, crcs array<bigint>, windows array<binary>, rest binary, lexical_key bigint, counts binary").fields])
+        "doc_tokens bigint, crcs array<bigint>, windows array<binary>, rest binary, counts binary").fields])
     names = fields.names
 
     def run(batches):
         enc = encoder(path)
         end = np.array([end_id], enc.dtype).tobytes()
         vocabulary = max(enc.library.get_vocab_size(), end_id + 1)
-        # Documents with common ids often have a common smallest mixed id.
-        mixed = (np.arange(vocabulary, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
         held, docs, total, id_type = np.zeros(vocabulary + 2, np.int64), 0, 0, None
         for batch in batches:
             id_type = batch.column(0).type
@@ -75,8 +82,7 @@ def encode(df: DataFrame, path: str, end_id: int, window: int, id_col: str = "do
                     rest = ids[full:]
                     held[np.unique(ids)] += 1
                     docs, total = docs + 1, total + len(ids)
-                    rows.append((len(ids), [zlib.crc32(p) for p in parts], parts if with_ids else None, rest.tobytes(),
-                                 int(mixed[rest].min()) if len(rest) else 0, None))
+                    rows.append((len(ids), [zlib.crc32(p) for p in parts], parts if with_ids else None, rest.tobytes(), None))
                 cols = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names=names)
@@ -85,7 +91,7 @@ def encode(df: DataFrame, path: str, end_id: int, window: int, id_col: str = "do
             yield pa.RecordBatch.from_arrays([pa.nulls(1, id_type), *(pa.nulls(1, t) for t in types[:-1]),
                                               pa.array([zlib.compress(held.tobytes(), 1)], pa.binary())], names=names)
 
-    types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.binary(), pa.int64(), pa.binary()]
+    types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.binary(), pa.binary()]
     return df.select(id_col, text_col).mapInArrow(run, fields)
 
 
@@ -109,30 +115,153 @@ def _powers(n: int) -> list[int]:
     return [1 << k for k in range(n.bit_length() - 1, -1, -1) if n >> k & 1]
 
 
+def _bm25(rests: list[np.ndarray], idf: np.ndarray, average: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows, ids, weights): the BM25 weight of each distinct id of each rest."""
+    uniq = [np.unique(r, return_counts=True) for r in rests]
+    rows = np.repeat(np.arange(len(rests)), [len(u) for u, _ in uniq])
+    ids = np.concatenate([u for u, _ in uniq]).astype(np.int64)
+    tf = np.concatenate([c for _, c in uniq]).astype(np.float32)
+    size = np.array([len(r) for r in rests], np.float32)[rows]
+    return rows, ids, idf[ids] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size / average))
+
+
 class Index:
-    """BM25 inverted index of one shard's rests: postings of each id, heaviest structure first."""
+    """BM25 inverted index of one shard's rests: postings of each id."""
 
     def __init__(self, rests: list[np.ndarray], idf: np.ndarray, average: float):
         self.n, self.idf = len(rests), idf
-        uniq = [np.unique(r, return_counts=True) for r in rests]
-        rows = np.repeat(np.arange(self.n), [len(u) for u, _ in uniq])
-        ids = np.concatenate([u for u, _ in uniq]).astype(np.int64)
-        tf = np.concatenate([c for _, c in uniq]).astype(np.float32)
-        size = np.array([len(r) for r in rests], np.float32)[rows]
-        weight = idf[ids] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size / average))
+        rows, ids, weight = _bm25(rests, idf, average)
         order = np.argsort(ids, kind="stable")
         self.rows, self.weights = rows[order].astype(np.int32), weight[order].astype(np.float32)
         self.keys, self.starts = np.unique(ids[order], return_index=True)
         self.ends = np.append(self.starts[1:], len(order))
-        self.queries = [u[np.argsort(-idf[u], kind="stable")[:QUERY_IDS]] for u, _ in uniq]
+        self.queries = np.split(ids, np.cumsum(np.bincount(rows, minlength=self.n))[:-1])
 
     def scores(self, seed: int) -> np.ndarray:
-        """BM25 scores of all rests of the shard against a seed's rarest ids."""
+        """BM25 scores of all rests of the shard against all ids of a seed."""
         at = np.searchsorted(self.keys, self.queries[seed])
         take = np.concatenate([np.arange(self.starts[i], self.ends[i]) for i in at])
         return np.bincount(self.rows[take], self.weights[take], self.n)
 
 
+class Block:
+    """One block of the index of all rests: a vector of scores for each id that many of its rests
+    hold, postings for the others."""
+
+    def __init__(self, nodes: np.ndarray, rests: list[np.ndarray], idf: np.ndarray, average: float):
+        order = np.argsort(nodes, kind="stable")
+        self.nodes = nodes[order]
+        # A query's sum stays below 2**16.
+        scale = 65_000 / (QUERY_IDS * (K1 + 1) * max(float(idf.max()), 1e-9))
+        rows, ids, weights = _bm25([rests[i] for i in order], idf, average)
+        by_id = np.argsort(ids, kind="stable")
+        rows, weights = rows[by_id], np.rint(weights[by_id] * scale).astype(np.uint16)
+        keys, starts = np.unique(ids[by_id], return_index=True)
+        self.postings = {}
+        for key, a, b in zip(keys.tolist(), starts.tolist(), [*starts[1:].tolist(), len(rows)], strict=True):
+            if 16 * (b - a) > len(nodes):
+                dense = np.zeros(len(nodes), np.uint16)
+                dense[rows[a:b]] = weights[a:b]
+                self.postings[key] = dense, None
+            else:
+                self.postings[key] = weights[a:b].copy(), rows[a:b].copy()
+
+    def nearest(self, node: int, query: list[int]) -> tuple[int, int]:
+        """(score, node) of the best rest but the querying one; of equal ones the smallest node."""
+        score = np.zeros(len(self.nodes), np.uint16)
+        for key in query:
+            weights, rows = self.postings.get(key, (None, None))
+            if weights is None:
+                continue
+            if rows is None:
+                score += weights
+            else:
+                score[rows] += weights
+        own = int(np.searchsorted(self.nodes, node))
+        if own < len(score) and self.nodes[own] == node:
+            score[own] = 0
+        best = int(score.argmax())
+        return int(score[best]), int(self.nodes[best])
+
+
+def neighbours(rests: DataFrame, n: int, idf, average: float, dtype: str, end_id: int) -> DataFrame:
+    """(node, best): the nearest neighbour of each of the different ``rests`` (node, rest) among all
+    of them; nodes that share no id with any other are left out.  ``n`` blocks answer all queries."""
+    layout = "block int, kind int, node bigint, body binary, nodes binary, sizes binary"
+
+    def ask(batches):
+        rare, at = np.frombuffer(idf.value, np.float32), TaskContext.get().partitionId() << 32
+        for batch in batches:
+            nodes, bodies = batch.column(0).to_numpy(), batch.column(1)
+            for a in range(0, len(nodes), QUERY_ROWS):
+                queries = []
+                for raw in bodies.slice(a, QUERY_ROWS):
+                    u = np.unique(np.frombuffer(raw.as_buffer(), dtype))
+                    u = u[u != end_id]
+                    queries.append(u[np.argsort(-rare[u], kind="stable")[:QUERY_IDS]])
+                cols = [[0], [1], [at], [np.concatenate(queries).tobytes()], [nodes[a:a + QUERY_ROWS].astype("<i8").tobytes()],
+                        [np.array([len(q) for q in queries], "<i4").tobytes()]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=names)
+                at += 1
+
+    def answer(batches):
+        weights = np.frombuffer(idf.value, np.float32)
+        block = held = index = None
+        for batch in batches:
+            for at, kind, node, body, nodes, sizes in zip(*(batch.column(i) for i in range(6)), strict=True):
+                if at.as_py() != block:
+                    block, held, index = at.as_py(), ([], []), None
+                if not kind.as_py():
+                    held[0].append(node.as_py())
+                    held[1].append(np.frombuffer(body.as_py(), dtype))
+                    continue
+                if not held[0]:
+                    continue
+                index = index or Block(np.array(held[0], np.int64), held[1], weights, average)
+                ends = np.cumsum(np.frombuffer(sizes.as_buffer(), "<i4")).tolist()
+                ids = np.frombuffer(body.as_buffer(), dtype).tolist()
+                own = np.frombuffer(nodes.as_buffer(), "<i8")
+                got = [index.nearest(o, ids[a:b]) for o, a, b in zip(own.tolist(), [0, *ends], ends, strict=False)]
+                cols = [[node.as_py()], [own.tobytes()], [np.array([s for s, _ in got], "<i4").tobytes()],
+                        [np.array([b for _, b in got], "<i8").tobytes()]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, found_kinds, strict=True)], names=found_names)
+
+    def best(table: pa.Table) -> pa.Table:
+        nodes = np.frombuffer(table.column("nodes")[0].as_py(), "<i8")
+        scores = np.stack([np.frombuffer(s.as_py(), "<i4") for s in table.column("scores")])
+        found = np.stack([np.frombuffer(b.as_py(), "<i8") for b in table.column("found")])
+        top = scores.max(0)
+        found = np.where(scores == top, found, np.iinfo(np.int64).max).min(0)
+        return pa.table({"node": nodes[top > 0], "best": found[top > 0]})
+
+    fields, found_fields = schema_of(layout), schema_of("batch bigint, nodes binary, scores binary, found binary")
+    kinds, names = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()], fields.names
+    found_kinds, found_names = [pa.int64(), pa.binary(), pa.binary(), pa.binary()], found_fields.names
+    none = F.lit(None).cast("binary")
+    index = rests.select(F.pmod("node", F.lit(n)).cast("int").alias("block"), F.lit(0).alias("kind"), "node",
+                         F.col("rest").alias("body"), none.alias("nodes"), none.alias("sizes"))
+    asked = rests.select("node", "rest").mapInArrow(ask, fields)
+    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    # More partitions than blocks, so that few of them get two; the index comes before the queries.
+    met = index.unionByName(asked).repartition(4 * n, "block").sortWithinPartitions("block", "kind", "node")
+    return met.mapInArrow(answer, found_fields).groupBy("batch").applyInArrow(best, "node bigint, best bigint")
+
+
+def grouped(rests: DataFrame, n: int, idf, average: float, dtype: str, end_id: int, at: str, shard_rows: int) -> DataFrame:
+    """(node, label, near, large) of each different rest: its group, the smaller of itself and its
+    neighbour, and whether the group has more rests than a shard."""
+    spark = rests.sparkSession
+    links = neighbours(rests, n, idf, average, dtype, end_id)
+    links.write.parquet(f"{at}/links")
+    links = spark.read.schema(links.schema).parquet(f"{at}/links")
+    labels = (rests.select("node", "copies").join(links, "node", "left")
+              .join(components(links.select("node", "best"), f"{at}/groups"), "node", "left")
+              .select("node", "copies", F.coalesce("label", "node").alias("label"),
+                      F.least("node", F.coalesce("best", "node")).alias("near")))
+    sizes = labels.groupBy("label").agg(F.sum("copies").alias("n")).where(F.col("n") > shard_rows).select("label", F.lit(True).alias("large"))
+    return labels.join(sizes, "label", "left").select("node", "label", "near", F.coalesce("large", F.lit(False)).alias("large"))
+
+
 def pack_shard(rests: list[np.ndarray], idf: np.ndarray, average: float, window: int) -> list[list[tuple[int, int, int]]]:
     """Sequences of (rest, start, length) that use every id of every rest once."""
     index = Index(rests, idf, average)
@@ -167,30 +296,36 @@ def pack_shard(rests: list[np.ndarray], idf: np.ndarray, average: float, window:
 
 
 def pack(df: DataFrame, path: str, end_id: int = 0, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
-         shard_rows: int = SHARD_ROWS, with_ids: bool = False) -> DataFrame:
+         shard_rows: int = SHARD_ROWS, with_ids: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Pieces of all documents: one row per piece, ``ids`` (little-endian uint32) on request.
 
-    One pass over the texts, written to shared storage; then only the rests move, once."""
+    One pass over the texts, written to shared storage; then only the rests move."""
     spark: SparkSession = df.sparkSession
     prepare(spark)
     dtype = "<u2" if tokenizer(path).get_vocab_size() <= 65536 else "<u4"
     at = shared_dir(spark, f"llm/packing/{uuid.uuid4().hex}")
     scan = encode(df, path, end_id, window, id_col, text_col, with_ids)
-    scan.write.parquet(at)
-    scan = spark.read.schema(scan.schema).parquet(at)
+    scan.write.parquet(f"{at}/scan")
+    scan = spark.read.schema(scan.schema).parquet(f"{at}/scan")
     counts = add_counts(scan.where("counts is not null").select("counts"))
     encoded = scan.where("counts is null")
     n_docs, total = (int(counts[-2]), int(counts[-1])) if len(counts) > 1 else (0, 0)
     idf = np.log1p((n_docs - counts[:-2] + 0.5) / (counts[:-2] + 0.5)).astype(np.float32)
     average = max(1.0, min(window / 2, total / max(1, n_docs)))
-    # Range partitions by (key, id): a key that a third of the rests share spreads over several.
+    shared = spark.sparkContext.broadcast(idf.tobytes())  # four bytes for each id of the vocabulary
+    rests = encoded.where(F.octet_length("rest") > 0).select(id_col, "doc_tokens", "rest", F.xxhash64("rest").alias("node"))
+    nodes = rests.groupBy("node").agg(F.first("rest").alias("rest"), F.count(F.lit(1)).alias("copies"))
+    nodes.write.parquet(f"{at}/nodes")
+    nodes = spark.read.schema(nodes.schema).parquet(f"{at}/nodes")
+    groups = grouped(nodes, max(1, -(-n_docs // block_rows)), shared, average, dtype, end_id, at, shard_rows)
+    # Rows of a group have one range key and stay in one partition, unless the group is large.
     n = max(1, -(-n_docs // (shard_rows * 8)))
-    dealt = (encoded.where(F.octet_length("rest") > 0).select(id_col, "doc_tokens", "rest", "lexical_key")
-             .repartitionByRange(n, "lexical_key", id_col, "doc_tokens", F.crc32("rest"))
-             .sortWithinPartitions("lexical_key", id_col, "doc_tokens", "rest"))
+    order = ["near", "node", id_col, "doc_tokens"]
+    dealt = (rests.join(groups, "node").select(id_col, "doc_tokens", "rest", "label", "near", "node", "large")
+             .repartitionByRange(n, "label", *[F.when(F.col("large"), F.col(c)) for c in order])
+             .sortWithinPartitions("label", *order, "rest"))
     fields = schema_of(PIECE + ", ids binary")
     types = arrow_schema(fields)
-    shared = spark.sparkContext.broadcast(idf.tobytes())  # four bytes for each id of the vocabulary
 
     def fill(batches):
         weights = np.frombuffer(shared.value, np.float32)
@@ -213,15 +348,18 @@ def pack(df: DataFrame, path: str, end_id: int = 0, window: int = WINDOW, id_col
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), types, strict=True)],
                                               names=types.names)
 
+        last = None
         for batch in batches:
-            for doc, tokens, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                held.append((doc, tokens, np.frombuffer(raw.as_buffer(), dtype)))
-                if len(held) == shard_rows:
+            for doc, tokens, raw, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2),
+                                               batch.column(3).to_pylist(), strict=True):
+                if len(held) >= shard_rows and label != last or len(held) == 2 * shard_rows:
                     yield shard()
+                last = label
+                held.append((doc, tokens, np.frombuffer(raw.as_buffer(), dtype)))
         if held:
             yield shard()
 
-    filled = dealt.select(id_col, "doc_tokens", "rest").mapInArrow(fill, fields)
+    filled = dealt.select(id_col, "doc_tokens", "rest", "label").mapInArrow(fill, fields)
     part = F.posexplode(F.arrays_zip("crcs", "windows") if with_ids else F.col("crcs")).alias("no", "part")
     long = encoded.where(F.size("crcs") > 0).select(id_col, "doc_tokens", *(["crcs", "windows"] if with_ids else ["crcs"])).select(
         id_col, "doc_tokens", part)

@@ -154,6 +154,49 @@ def test_packing_odd_rows(spark):
     assert packing.pack(df.limit(0), tokenizer_path(BYTE)).count() == 0
 
 
+def test_packing_finds_neighbours_with_distant_ids(spark):
+    """Pairs of like texts, 400 ids apart, over many shards and several index blocks."""
+    rng = np.random.default_rng(3)
+    names = ["".join(chr(97 + c) for c in rng.integers(0, 26, 5)) for _ in range(4000)]
+    rows = []
+    for i in range(200):
+        own = [names[j] for j in rng.integers(0, 4000, 30)]
+        for doc in (i, 400 + i):  # the same words in another order
+            rows.append((doc, " ".join("and of the in to".split() * 2 + [own[j] for j in rng.permutation(30)])))
+    rows.append((1000, rows[0][1]))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = packing.pack(df, tokenizer_path(BYTE), window=128, shard_rows=16, block_rows=100).collect()
+    check_pieces(got, rows, library(BYTE), 128)
+    windows = {}
+    for r in got:
+        windows.setdefault(r["doc_id"], set()).add(r["sequence_id"])
+    assert np.mean([bool(windows[i] & windows[400 + i]) for i in range(200)]) >= 0.9
+    assert windows[1000] & windows[0]
+
+
+def test_neighbours_equal_brute_force(spark):
+    rng = np.random.default_rng(8)
+    rests = [np.append(rng.integers(1, 300, rng.integers(5, 60)), 0).astype("<u2") for _ in range(90)]
+    held = np.zeros(300)
+    for r in rests:
+        held[np.unique(r)] += 1
+    idf = np.log1p((90 - held + 0.5) / (held + 0.5)).astype(np.float32)
+    df = spark.createDataFrame([(i, bytearray(r.tobytes())) for i, r in enumerate(rests)], "node long, rest binary")
+    shared = spark.sparkContext.broadcast(idf.tobytes())
+    packing.prepare(spark)
+    got = {r["node"]: r["best"] for r in packing.neighbours(df, 4, shared, 30.0, "<u2", 0).collect()}
+    assert len(got) == 90
+    for i, r in enumerate(rests):
+        u = np.unique(r)
+        u = u[u != 0]
+        query = u[np.argsort(-idf[u], kind="stable")[:packing.QUERY_IDS]]
+        score = np.zeros(90)
+        for j, other in enumerate(rests):
+            tf = np.bincount(other, minlength=300)[query]
+            score[j] = (idf[query] * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(other) / 30.0))).sum() if i != j else -1
+        assert score[got[i]] >= score.max() - 0.1  # weights are rounded
+
+
 def test_windows_hold_lexical_neighbours():
     """Rests of two vocabularies: a seed's window takes its own kind first."""
     rng = np.random.default_rng(0)
