@@ -21,7 +21,7 @@ CHUNK_CHARS = 4_000_000
 
 ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64(),
          "boolean": pa.bool_(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64()),
-         "array<binary>": pa.list_(pa.binary())}
+         "array<binary>": pa.list_(pa.binary()), "array<double>": pa.list_(pa.float64())}
 
 
 #: Rows in one Arrow batch at most.  Texts are long: ten thousand of them, Spark's default, in every

@@ -1,9 +1,13 @@
 """Quality rules by compression bands.
 
 A text that repeats itself compresses far better than prose of its length, random junk far
-worse.  Each whole text and each fixed chunk of it is compressed with zstandard; a ratio
-(raw / compressed bytes) outside the band of its length class rejects the text.  The base
-rules (word counts, repeated 3-word windows) are counted beside it.
+worse.  Each whole text and each fixed chunk of it, the tail included, is compressed with
+zstandard; a ratio (raw / compressed bytes) outside the band of its length class rejects the
+text.  The lower limits come from the ratios of the corpus' own texts that pass the base rules
+(word counts, repeated 3-word windows); fixed limits hold where there are too few of them.
+
+Hex below about 4 kB and random letters below about 2 kB compress as well as some prose of their
+length, and digits do at any length: no ratio tells them from prose, so they stay.
 
 Null and empty texts have no words: every count 0, ``base_failed`` true, ``kept`` false.
 Repeated rows are judged alike; extra input columns are ignored.
@@ -11,11 +15,13 @@ Repeated rows are judged alike; extra input columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from credlens.llm.common import map_text
 
@@ -30,15 +36,21 @@ class Band:
     high: float
 
 
-#: Whole documents.  Short texts barely compress and the frame costs bytes, so the lower limit
-#: falls and the upper limit rises with length: prose of any of the languages seen lies near
-#: 1.4 at 300 bytes and near 2.5 from 10 kB on; junk of random bytes in hex or base64 stays
-#: below 1.3 at any length, and a line repeated over and over exceeds 6.
-DOC_BANDS = (Band(0, 0.0, 6.0), Band(512, 1.15, 6.0), Band(2048, 1.30, 7.0), Band(16384, 1.40, 8.0))
-#: Chunks of ``CHUNK`` bytes; only the share of chunks outside the band counts.
+#: Whole documents, whatever the corpus.  Short texts barely compress and the frame costs bytes, so
+#: the lower limit falls and the upper limit rises with length.  Base64 reaches 1.13 at 300 bytes, 1.24
+#: at 600 and 1.38 at 20 kB; a line repeated over and over exceeds 6.
+DOC_BANDS = (Band(0, 0.0, 6.0), Band(256, 1.15, 6.0), Band(512, 1.27, 6.0), Band(1024, 1.36, 6.0), Band(2048, 1.40, 7.0),
+             Band(16384, 1.42, 8.0))
+#: Chunks of ``CHUNK`` bytes, the last one ending with the text; the share of chunks outside the band counts.
 CHUNK = 4096
-CHUNK_BAND = Band(CHUNK, 1.2, 8.0)
-MAX_BAD_CHUNKS = 0.5
+CHUNK_BAND = Band(CHUNK, 1.40, 8.0)
+MAX_BAD_CHUNKS = 0.1
+#: Classes of length in an octave; texts or chunks that a class needs for a limit of its own.
+CLASSES, MIN_TEXTS = 2, 50
+#: A lower limit lies so many times the distance from the median to the lowest tenth below the median.
+SPREADS = 4.0
+#: The chunks' place among the length classes.
+CHUNKS = -1
 LEVEL = 3
 
 OUT = ("n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
@@ -70,34 +82,75 @@ def word_rules(text: str) -> tuple[int, int, int, int, int]:
     return n, len(text) - spaces, len(SYMBOLS.findall(text)), dup_lines, repeat
 
 
-def compression(raw: bytes, packer) -> tuple[float, float]:
-    """(ratio of the whole text, share of its fixed chunks outside the chunk band)."""
+def ratios(raw: bytes, packer) -> tuple[float, list[float]]:
+    """(ratio of the whole text, ratios of its chunks; the last one ends with the text)."""
     if not raw:
-        return 0.0, 0.0
+        return 0.0, []
     whole = len(raw) / len(packer.compress(raw))
-    bad = total = 0
-    for i in range(0, len(raw) - CHUNK + 1, CHUNK):
-        ratio = CHUNK / len(packer.compress(raw[i:i + CHUNK]))
-        total += 1
-        bad += not CHUNK_BAND.low <= ratio <= CHUNK_BAND.high
-    return whole, bad / total if total else 0.0
+    starts = [*range(0, len(raw) - CHUNK + 1, CHUNK)]
+    if len(raw) > CHUNK and len(raw) % CHUNK:
+        starts.append(len(raw) - CHUNK)
+    return whole, [CHUNK / len(packer.compress(raw[i:i + CHUNK])) for i in starts]
+
 
+def length_class(size: int) -> int:
+    return int(CLASSES * math.log2(size)) if size else 0
 
-def in_band(size: int, ratio: float, bands=DOC_BANDS) -> bool:
+
+def in_band(size: int, ratio: float, bands=DOC_BANDS, low: float = 0.0) -> bool:
     band = [b for b in bands if size >= b.min_bytes][-1]
-    return band.low <= ratio <= band.high
+    return max(low, band.low) <= ratio <= band.high
+
 
+def _packer():
+    return zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, write_checksum=False)
 
-def judge(texts: list[str | None]) -> dict:
-    packer = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, write_checksum=False)
+
+def _failed(n: int, repeat: int) -> bool:
+    return n < 50 or 100 * repeat > 50 * n
+
+
+def measure(texts: list[str | None]) -> dict:
+    """Length classes and ratios of the texts that pass the base rules, with those of their chunks."""
+    packer = _packer()
+    classes, whole, parts = [], [], []
+    for t in texts:
+        n, _, _, _, repeat = word_rules(t or "")
+        raw = (t or "").encode("utf-8", "surrogatepass")
+        ratio, own = (None, None) if _failed(n, repeat) else ratios(raw, packer)
+        classes.append(length_class(len(raw)))
+        whole.append(ratio)
+        parts.append(own)
+    return {"size_class": classes, "ratio": whole, "chunks": parts}
+
+
+def lower_limits(df: DataFrame, text_col: str = "text") -> dict[int, float]:
+    """Lower limit of each length class, of chunks under ``CHUNKS``, from all texts that pass the base rules."""
+    found = map_text(df, measure, "size_class bigint, ratio double, chunks array<double>", text_col, carry=()).where("ratio is not null")
+    one = F.array(F.struct(F.col("size_class").alias("of"), F.col("ratio").alias("ratio")))
+    more = F.transform("chunks", lambda c: F.struct(F.lit(CHUNKS).cast("bigint").alias("of"), c.alias("ratio")))
+    each = found.select(F.explode(F.concat(one, more)).alias("x")).select("x.*")
+    rows = each.groupBy("of").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("ratio", [0.1, 0.5]).alias("q")).collect()
+    own = {r["of"]: r["q"][1] - SPREADS * (r["q"][1] - r["q"][0]) for r in rows if r["n"] >= MIN_TEXTS}
+    # Ratios grow with length: a class of few texts takes the limit of the next shorter one.
+    low, limits = 0.0, {CHUNKS: own.get(CHUNKS, 0.0)}
+    for k in range(length_class(1 << 40)):
+        limits[k] = low = own.get(k, low)
+    return limits
+
+
+def judge(texts: list[str | None], limits: dict[int, float] | None = None) -> dict:
+    packer, limits = _packer(), limits or {}
     rows = []
     for t in texts:
         t = t or ""
         n, chars, symbols, dup, repeat = word_rules(t)
         raw = t.encode("utf-8", "surrogatepass")
-        ratio, bad = compression(raw, packer)
-        failed = n < 50 or 100 * repeat > 50 * n
-        kept = not failed and in_band(len(raw), ratio) and bad <= MAX_BAD_CHUNKS
+        ratio, parts = ratios(raw, packer)
+        outside = sum(not in_band(CHUNK, r, (CHUNK_BAND,), limits.get(CHUNKS, 0.0)) for r in parts)
+        bad = outside / len(parts) if parts else 0.0
+        failed = _failed(n, repeat)
+        kept = not failed and in_band(len(raw), ratio, low=limits.get(length_class(len(raw)), 0.0)) and bad <= MAX_BAD_CHUNKS
         rows.append((n, chars, symbols, dup, repeat, failed, kept, ratio, bad))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
              "zstd_ratio", "bad_chunk_share")
@@ -105,5 +158,7 @@ def judge(texts: list[str | None]) -> dict:
 
 
 def quality_rules(df: DataFrame, text_col: str = "text", carry=("doc_id",)) -> DataFrame:
-    """Counts, compression ratios and the verdict of every whole text; one pass, no shuffle."""
-    return map_text(df, judge, OUT, text_col, carry)
+    """Counts, compression ratios and the verdict of every whole text.  Two passes: one number per
+    length class is learned from all texts, then each text is judged where it lies."""
+    limits = lower_limits(df, text_col)
+    return map_text(df, lambda texts: judge(texts, limits), OUT, text_col, carry)

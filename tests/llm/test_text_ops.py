@@ -223,6 +223,30 @@ def test_compression_bands():
     assert verdict["base_failed"][1] is False and verdict["zstd_ratio"][1] < 2.2
 
 
+def junk(alphabet: str, size: int, seed: int) -> str:
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choice(alphabet) for _ in range(rng.randint(4, 10))) for _ in range(size // 8 + 1))[:size]
+
+
+def test_junk_is_rejected_and_clean_text_stays(spark):
+    docs = spark.read.parquet(f"{MID}/documents.parquet").select("doc_id", "text")
+    limits = quality.lower_limits(docs)
+    hexa, base64, letters = "0123456789abcdef", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", "abcdefghijklmnopqrstuvwxyz"
+    whole = [junk(base64, n, n) for n in (600, 1500, 2500, 5000, 20_000)]
+    whole += [junk(hexa, n, n) for n in (5000, 20_000)] + [junk(letters, n, n) for n in (2500, 5000, 20_000)]
+    got = quality.judge(whole, limits)
+    assert not any(got["base_failed"]) and not any(got["kept"]), list(zip(map(len, whole), got["kept"], got["zstd_ratio"], strict=True))
+    # Without a corpus the fixed limits still reject base64.
+    assert not any(quality.judge(whole[:5])["kept"])
+    texts = [r["text"] for r in docs.where("length(text) > 5000").limit(400).collect()]
+    clean = quality.judge(texts, limits)
+    good = [t for t, ok in zip(texts, clean["kept"], strict=True) if ok]
+    assert len(good) >= 0.97 * (len(texts) - sum(clean["base_failed"]))
+    for a in (hexa, base64, letters):
+        planted = quality.judge([t[:6000] + " " + junk(a, 3500, i) for i, t in enumerate(good[:100])], limits)
+        assert sum(planted["kept"]) <= 2
+
+
 def test_op5_query(spark):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     rows = registry.op5_compression_bands(spark, SF).collect()
