@@ -7,6 +7,7 @@ columns, so extra input columns can never clash with what an operator adds.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from credlens.session import ship_package, table
+from credlens.session import shared_dir, ship_package, table
 
 #: Text characters handled at once inside a task; bounds the working set whatever the batch size.
 CHUNK_CHARS = 4_000_000
@@ -89,6 +90,32 @@ def map_text(df: DataFrame, fn: Callable[[list], dict], out: str, text_col: str
     return df.select(*need).mapInArrow(run, T.StructType(kept.fields + added.fields))
 
 
+def sorted_groups(batches, keys: Sequence[str], columns: Sequence[str]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """(key, rows) for each run of equal ``keys`` in Arrow batches that arrive sorted by them."""
+    current, rows = None, []
+    for batch in batches:
+        lists = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (*keys, *columns)]
+        for key, row in zip(zip(*lists[:len(keys)]), zip(*lists[len(keys):])):
+            if key != current:
+                if rows:
+                    yield current, rows
+                current, rows = key, []
+            rows.append(row)
+    if rows:
+        yield current, rows
+
+
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A new folder in the cluster's shared place."""
+    return shared_dir(spark, f"llm/{name}/{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to a table in the shared place and read back: a lost executor costs no earlier step."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
