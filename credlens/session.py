@@ -70,8 +70,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Session setting: partitions that every table scan is dealt into.  Unset (the default), files decide:
+#: large ones split by themselves.  A launcher sets it where a table is one small file with one row
+#: group, which a single task would read and map alone.
+SCAN_PARTITIONS = "credlens.scan.partitions"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    dealt = spark.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(dealt)) if dealt else df
 
 
 def q6(col):
