@@ -338,7 +338,40 @@ def logistic_steps(steps: int = 20, eta: float = 1.0, alpha: float = 1e-4) -> st
     return ",\n    ".join(out)
 
 
-def model_ctes() -> str:
+HASH_SPLIT = f"""CASE WHEN substr(sha256('42:' || doc_id::VARCHAR), 1, 8) < '{THRESH_HEX}' THEN 'test' ELSE 'train' END"""
+
+
+def hash_key_sql(expr: str, salt: str) -> str:
+    """The 60-bit number of a salted SHA-256."""
+    return f"('0x' || substr(sha256('{salt}' || {expr}), 1, 15))::BIGINT"
+
+
+def source_split_ctes(k: int = 5) -> str:
+    """Sources dealt into ``k`` folds, largest first, each to the lightest fold; small ones by hash.  Last CTE ``folds``."""
+    return f"""
+    kept AS (SELECT doc_id, coalesce(subject, '') AS source FROM docs0 WHERE len(tokens) > 0),
+    sizes AS (SELECT source, count(*) AS n FROM kept GROUP BY source),
+    large AS MATERIALIZED (
+      SELECT source, n, row_number() OVER (ORDER BY n DESC, encode(source)) AS r FROM sizes
+      WHERE n * {k * 200} >= (SELECT sum(n) FROM sizes)),
+    deal(r, loads, fold) AS (
+      SELECT 0::BIGINT, list_transform(range({k}), lambda i: 0::BIGINT), -1::BIGINT
+      UNION ALL
+      SELECT l.r, list_transform(range(1, {k + 1}), lambda i: d.loads[i] + CASE WHEN i = list_position(d.loads, list_min(d.loads)) THEN l.n ELSE 0 END),
+        list_position(d.loads, list_min(d.loads)) - 1
+      FROM deal d JOIN large l ON l.r = d.r + 1),
+    lack AS (
+      SELECT list_transform(loads, lambda n: greatest((SELECT sum(n) FROM sizes)::BIGINT // {k} + 1 - n, 0)) AS l FROM deal ORDER BY r DESC LIMIT 1),
+    folds AS MATERIALIZED (
+      SELECT l.source, d.fold FROM large l JOIN deal d ON d.r = l.r
+      UNION ALL SELECT source, len(list_filter(range(1, {k}), lambda i: {hash_key_sql('source', 'source:')} % list_sum(l)::BIGINT >= list_sum(l[1:i])))
+      FROM sizes, lack WHERE source NOT IN (SELECT source FROM large)),"""
+
+
+SOURCE_SPLIT = """(SELECT CASE f.fold WHEN 0 THEN 'test' WHEN 1 THEN 'inner' ELSE 'train' END FROM folds f WHERE f.source = coalesce(subject, ''))"""
+
+
+def model_ctes(split: str = HASH_SPLIT, before: str = "", min_df: int = 2, max_df: float = 0.98) -> str:
     """The whole labelled train-and-score chain; final CTE ``scored``."""
     scaled = ",\n".join(
         f"(f.{c} - m.mn_{c}) * (CASE WHEN m.mx_{c} - m.mn_{c} = 0 THEN 1.0::DOUBLE "
@@ -346,13 +379,13 @@ def model_ctes() -> str:
     mins = ", ".join(f"min(f.{c}) AS mn_{c}, max(f.{c}) AS mx_{c}" for c in FEATURES)
     dense_rows = " UNION ALL ".join(f"SELECT doc_id, 'dense:{c}' AS feature, {c} AS value FROM dense" for c in FEATURES)
     return f"""
-    lab AS (SELECT d.doc_id, d.text, l.quality AS label FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+    lab AS (SELECT d.doc_id, d.text, d.source AS subject, l.quality AS label FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
     firsts AS (SELECT text, min(doc_id) AS doc_id FROM lab WHERE text IS NOT NULL GROUP BY text),
-    docs0 AS (SELECT lab.doc_id, lab.text, lab.label, {full_clean_tokens_sql('lab.text')} AS tokens
-              FROM lab JOIN firsts ON lab.doc_id = firsts.doc_id),
-    docs AS (
-      SELECT doc_id, text, label, tokens, array_to_string(tokens, ' ') AS clean, {title_sql('text')} AS title,
-        CASE WHEN substr(sha256('42:' || doc_id::VARCHAR), 1, 8) < '{THRESH_HEX}' THEN 'test' ELSE 'train' END AS split
+    docs0 AS (SELECT lab.doc_id, lab.text, lab.subject, lab.label, {full_clean_tokens_sql('lab.text')} AS tokens
+              FROM lab JOIN firsts ON lab.doc_id = firsts.doc_id),{before}
+    docs AS MATERIALIZED (
+      SELECT doc_id, text, subject, label, tokens, array_to_string(tokens, ' ') AS clean, {title_sql('text')} AS title,
+        {split} AS split
       FROM docs0 WHERE len(tokens) > 0),
     train AS (SELECT doc_id, label FROM docs WHERE split = 'train'),
     ntrain AS (SELECT count(*) AS n FROM train),
@@ -365,7 +398,7 @@ def model_ctes() -> str:
               WHERE doc_id IN (SELECT doc_id FROM train) GROUP BY term),
     vocab AS (
       SELECT term, df, tf_total, ln((1.0::DOUBLE + n) / (1.0::DOUBLE + df)) + 1.0::DOUBLE AS idf
-      FROM dfreq, ntrain WHERE df >= 2 AND df <= {dbl(0.98)} * n
+      FROM dfreq, ntrain WHERE df >= {min_df} AND df <= {dbl(max_df)} * n
       ORDER BY tf_total DESC, term ASC LIMIT 5000),
     w0 AS (SELECT t.doc_id, t.term, (1.0::DOUBLE + ln(t.tf)) * v.idf AS raw_w FROM tf t JOIN vocab v ON t.term = v.term),
     wts AS (SELECT doc_id, term, raw_w / sqrt(sum(raw_w * raw_w) OVER (PARTITION BY doc_id)) AS weight FROM w0),
@@ -862,3 +895,143 @@ SELECT h.doc_id, h.feature, {q6('h.value * w.weight')} AS contribution,
   row_number() OVER (PARTITION BY h.doc_id ORDER BY {q6('abs(h.value * w.weight)')} DESC, h.feature ASC)::BIGINT AS rank
 FROM hybrid h JOIN weights w ON h.feature = w.feature JOIN docs d ON h.doc_id = d.doc_id
 WHERE starts_with(h.feature, 'dense:') AND d.split = 'test'""")
+
+
+# --- MLT-13: held-out sources, threshold from inner sources ------------------------------------
+_X = "RECURSIVE " + model_ctes(SOURCE_SPLIT, source_split_ctes(), 5, 0.90).strip()
+_XSWEEP = _SWEEP.replace("test t ON", "inner_rows t ON").replace("FROM test WHERE", "FROM inner_rows WHERE")
+_XFLOW = _X + """,
+    inner_rows AS (SELECT doc_id, label, p_real FROM scored WHERE split = 'inner')""" + _XSWEEP + """,
+    frozen AS (SELECT coalesce((SELECT threshold FROM f1s WHERE f1 > 0 ORDER BY f1 DESC, idx ASC LIMIT 1), 0.5) AS threshold),
+    judged AS MATERIALIZED (
+      SELECT s.doc_id, s.split, s.label, s.p_real, CASE WHEN s.p_real >= z.threshold THEN 1 ELSE 0 END AS pred, d.text, d.title, coalesce(d.subject, '') AS source
+      FROM scored s JOIN docs d ON d.doc_id = s.doc_id, frozen z WHERE s.split IN ('inner', 'test'))"""
+ORACLES["cross_source_eval"] = _with(_XFLOW + """,
+    counted AS (
+      SELECT split, count(*) AS n, count(DISTINCT source) AS n_sources,
+        count(*) FILTER (WHERE label = 1 AND pred = 1) AS tp, count(*) FILTER (WHERE label = 0 AND pred = 1) AS fp,
+        count(*) FILTER (WHERE label = 1 AND pred = 0) AS fn, count(*) FILTER (WHERE label = 0 AND pred = 0) AS tn
+      FROM judged GROUP BY split),
+    ranks AS (
+      SELECT a.split, sum(CASE WHEN b.p_real < a.p_real THEN 1.0 WHEN b.p_real = a.p_real THEN 0.5 ELSE 0.0 END) AS s
+      FROM judged a JOIN judged b ON a.split = b.split AND a.label = 1 AND b.label = 0 GROUP BY a.split)""", f"""
+SELECT c.split AS part, n::BIGINT AS n_articles, n_sources::BIGINT AS n_sources, (SELECT threshold FROM frozen) AS threshold,
+  {q6('(tp + tn) / n')} AS accuracy, {q6('CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END')} AS precision,
+  {q6('CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END')} AS recall,
+  {q6('CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2 * tp / (2 * tp + fp + fn) END')} AS f1,
+  {q6('CASE WHEN tn + fp = 0 THEN 0.0 ELSE fp / (tn + fp) END')} AS fpr, {q6('CASE WHEN tp + fn = 0 THEN 0.0 ELSE fn / (tp + fn) END')} AS fnr,
+  {q6('CASE WHEN (tp + fn) * (tn + fp) = 0 THEN 1.0 ELSE r.s / ((tp + fn) * (tn + fp)) END')} AS roc_auc,
+  CASE WHEN (tp + tn) / n >= 0.8 THEN 'PASS' ELSE 'WARN' END AS status
+FROM counted c LEFT JOIN ranks r ON r.split = c.split""")
+ORACLES["cross_source_failures"] = _with(_XFLOW + f""",
+    xerr AS (SELECT *, {_category_sql("coalesce(text, '')", 'title')} AS category FROM judged WHERE split = 'test' AND pred <> label)""", f"""
+SELECT doc_id, source, label, pred, {q6('p_real')} AS p_real, {q6('1.0::DOUBLE - p_real')} AS p_fake, category,
+  {_rationale_sql('category')} AS rationale FROM xerr""")
+ORACLES["source_folds"] = _with("RECURSIVE " + f"""
+    docs0 AS (SELECT d.doc_id, d.source AS subject, [1] AS tokens FROM documents d),{source_split_ctes()}
+    named AS (SELECT k.source, f.fold, count(*) AS n FROM kept k JOIN folds f ON f.source = k.source GROUP BY 1, 2)""",
+    "SELECT source, fold::INTEGER AS fold, n::BIGINT AS n_documents FROM named")
+ORACLES["stratified_split"] = f"""
+WITH keyed AS (SELECT doc_id, quality AS label, {hash_key_sql('doc_id::VARCHAR', '42:')} AS k FROM labels),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY k) AS r, count(*) OVER (PARTITION BY label) AS n FROM keyed)
+SELECT doc_id, label, CASE WHEN r <= floor(0.2::DOUBLE * n + 0.5) THEN 'test' ELSE 'train' END AS split FROM ranked"""
+
+
+# --- MLT-03, MLT-07, MLT-09: steepest descent with a line search, Platt scaling ----------------
+from credlens.operators.batchfit import ARMIJO, LADDER, PLATT_REACH, PLATT_STEPS  # noqa: E402
+
+
+def _loss_sql(m: str) -> str:
+    return (f"(CASE c.loss WHEN 'logistic' THEN greatest({m}, 0.0) + ln(1.0::DOUBLE + exp(-abs({m}))) - u.y * ({m}) "
+            f"ELSE power(greatest(0.0, 1.0::DOUBLE - (2.0 * u.y - 1.0) * ({m})), 2) END)")
+
+
+def descent_ctes(cands: str, steps: int) -> str:
+    """Descent of the candidates (cand, loss, c, fold_out); CTEs ``dw`` (cand, feature, w), ``dm`` (cand, doc_id, m), ``dl``
+    (cand, l).  All rows get margins, those of the left-out fold and of the test split do not train."""
+    out = [f"""cands AS (SELECT * FROM (VALUES {cands}) v(cand, loss, c, fold_out)),
+    every_row AS MATERIALIZED (
+      SELECT doc_id, label::DOUBLE AS y, label, split, {hash_key_sql('doc_id::VARCHAR', 'fold:')} % 3 AS fold FROM docs),
+    used AS MATERIALIZED (SELECT c.cand, e.doc_id, e.y FROM cands c JOIN every_row e ON e.split = 'train' AND e.fold <> c.fold_out),
+    used_n AS MATERIALIZED (SELECT u.cand, count(*)::DOUBLE AS n FROM used u GROUP BY u.cand),
+    xs AS MATERIALIZED (SELECT doc_id, feature, value FROM hybrid WHERE value <> 0 UNION ALL SELECT doc_id, '__bias__', 1.0::DOUBLE FROM every_row),
+    names AS (SELECT DISTINCT feature FROM hybrid UNION ALL SELECT '__bias__'),
+    pen AS MATERIALIZED (
+      SELECT c.cand, f.feature, CASE WHEN f.feature = '__bias__' AND c.loss = 'logistic' THEN 0.0::DOUBLE ELSE 1.0::DOUBLE / (c.c * n.n) END AS p
+      FROM cands c JOIN used_n n ON n.cand = c.cand CROSS JOIN names f),
+    dw0 AS (SELECT cand, feature, 0.0::DOUBLE AS w FROM pen),
+    dm0 AS (SELECT c.cand, e.doc_id, 0.0::DOUBLE AS m FROM cands c CROSS JOIN every_row e),
+    dl0 AS (SELECT cand, CASE loss WHEN 'logistic' THEN ln(2.0::DOUBLE) ELSE 1.0::DOUBLE END AS l FROM cands)"""]
+    ladder = "[" + ", ".join(dbl(t) for t in LADDER) + "]"
+    for k in range(steps):
+        out.append(f"""ds{k} AS MATERIALIZED (
+      SELECT u.cand, u.doc_id, CASE c.loss WHEN 'logistic' THEN 1.0::DOUBLE / (1.0::DOUBLE + exp(-m.m)) - u.y
+        ELSE -2.0 * (2.0 * u.y - 1.0) * greatest(0.0, 1.0::DOUBLE - (2.0 * u.y - 1.0) * m.m) END AS r
+      FROM used u JOIN cands c ON c.cand = u.cand JOIN dm{k} m ON m.cand = u.cand AND m.doc_id = u.doc_id),
+    dg{k} AS MATERIALIZED (
+      SELECT p.cand, p.feature, coalesce(s.g, 0.0) / n.n + p.p * w.w AS g, p.p, w.w FROM pen p JOIN used_n n ON n.cand = p.cand
+      JOIN dw{k} w ON w.cand = p.cand AND w.feature = p.feature
+      LEFT JOIN (SELECT r.cand, x.feature, sum(r.r * x.value) AS g FROM ds{k} r JOIN xs x ON x.doc_id = r.doc_id GROUP BY 1, 2) s
+        ON s.cand = p.cand AND s.feature = p.feature),
+    dd{k} AS MATERIALIZED (
+      SELECT g.cand, x.doc_id, -sum(x.value * g.g) AS d FROM xs x JOIN dg{k} g ON g.feature = x.feature GROUP BY 1, 2),
+    dt{k} AS (
+      SELECT a.cand, a.t, a.l + q.l AS l, q.slope FROM (
+        SELECT u.cand, j.t, sum({_loss_sql('m.m + j.t * d.d')}) / any_value(n.n) AS l
+        FROM used u JOIN cands c ON c.cand = u.cand JOIN used_n n ON n.cand = u.cand JOIN dm{k} m ON m.cand = u.cand AND m.doc_id = u.doc_id
+        JOIN dd{k} d ON d.cand = u.cand AND d.doc_id = u.doc_id CROSS JOIN (SELECT unnest({ladder}) AS t) j GROUP BY u.cand, j.t) a
+      JOIN (SELECT g.cand, j.t, 0.5 * sum(g.p * power(g.w - j.t * g.g, 2)) AS l, -sum(g.g * g.g) AS slope
+            FROM dg{k} g CROSS JOIN (SELECT unnest({ladder}) AS t) j GROUP BY g.cand, j.t) q ON q.cand = a.cand AND q.t = a.t),
+    dp{k} AS MATERIALIZED (
+      SELECT t.cand, max(t.t) AS t, arg_max(t.l, t.t) AS l FROM dt{k} t JOIN dl{k} o ON o.cand = t.cand
+      WHERE t.l <= o.l + {dbl(ARMIJO)} * t.t * t.slope GROUP BY t.cand),
+    dw{k + 1} AS MATERIALIZED (SELECT g.cand, g.feature, g.w - p.t * g.g AS w FROM dg{k} g JOIN dp{k} p ON p.cand = g.cand),
+    dm{k + 1} AS MATERIALIZED (
+      SELECT m.cand, m.doc_id, m.m + p.t * d.d AS m FROM dm{k} m JOIN dd{k} d ON d.cand = m.cand AND d.doc_id = m.doc_id
+      JOIN dp{k} p ON p.cand = m.cand),
+    dl{k + 1} AS MATERIALIZED (SELECT cand, l FROM dp{k})""")
+    out.append(f"dw AS (SELECT * FROM dw{steps}), dm AS (SELECT * FROM dm{steps}), dl AS (SELECT * FROM dl{steps})")
+    return ",\n    ".join(out)
+
+
+def platt_ctes() -> str:
+    """Platt scaling of (cand, m, y) in ``pr``; last CTE ``sigmoids`` (cand, a, b)."""
+    out = ["""pt0 AS MATERIALIZED (
+      SELECT cand, 0.0::DOUBLE AS a, ln((sum(y) + 1.0) / (sum(1.0 - y) + 1.0)) AS b, (sum(y) + 1.0) / (sum(y) + 2.0) AS hi,
+        1.0::DOUBLE / (sum(1.0 - y) + 2.0) AS lo FROM pr GROUP BY cand)"""]
+    for k in range(PLATT_STEPS):
+        out.append(f"""pq{k} AS (
+      SELECT r.cand, r.m, 1.0::DOUBLE / (1.0::DOUBLE + exp(-(s.a * r.m + s.b))) AS p, CASE WHEN r.y = 1.0 THEN s.hi ELSE s.lo END AS z
+      FROM pr r JOIN pt{k} s ON s.cand = r.cand),
+    ph{k} AS (
+      SELECT cand, sum((p - z) * m) AS ga, sum(p - z) AS gb, sum(p * (1.0 - p) * m * m) + 1e-9 AS haa, sum(p * (1.0 - p) * m) AS hab,
+        sum(p * (1.0 - p)) + 1e-9 AS hbb FROM pq{k} GROUP BY cand),
+    pd{k} AS (
+      SELECT cand, (hbb * ga - hab * gb) / (haa * hbb - hab * hab) AS da, (haa * gb - hab * ga) / (haa * hbb - hab * hab) AS db FROM ph{k}),
+    pt{k + 1} AS MATERIALIZED (
+      SELECT s.cand, s.a - least(1.0, {dbl(PLATT_REACH)} / greatest(abs(da), abs(db), 1e-300)) * da AS a,
+        s.b - least(1.0, {dbl(PLATT_REACH)} / greatest(abs(da), abs(db), 1e-300)) * db AS b, s.hi, s.lo FROM pt{k} s JOIN pd{k} d ON d.cand = s.cand)""")
+    out.append(f"sigmoids AS (SELECT cand, a, b FROM pt{PLATT_STEPS})")
+    return ",\n    ".join(out)
+
+
+def _upto_hybrid(ctes: str) -> str:
+    """The flow up to the hybrid features, without its own logistic fit."""
+    return ctes[:ctes.index("    ntr AS (")].rstrip().rstrip(",")
+
+
+_H = _upto_hybrid(_M)
+_GRID_CANDS = ", ".join(f"({i}, '{loss}', {dbl(c)}, {o})" for i, (loss, c, o) in enumerate(
+    (loss, c, o) for loss in ("logistic", "squared_hinge") for c in (0.1, 1.0, 10.0) for o in range(3)))
+_FOLD_SVMS = ", ".join(f"({o}, 'squared_hinge', {dbl(1.0)}, {o})" for o in range(3))
+ORACLES["ml_grid_descent"] = _with2(_H, descent_ctes(_GRID_CANDS, 6), f"""
+SELECT c.loss, c.c AS "C", c.fold_out::INTEGER AS fold_out, n.n::BIGINT AS n_train, {q6('any_value(l.l)')} AS objective, count(*)::BIGINT AS n_held,
+  count(*) FILTER (WHERE (m.m >= 0) = (e.label = 1))::BIGINT AS n_right
+FROM cands c JOIN used_n n ON n.cand = c.cand JOIN dl l ON l.cand = c.cand JOIN dm m ON m.cand = c.cand
+JOIN every_row e ON e.doc_id = m.doc_id AND e.split = 'train' AND e.fold = c.fold_out GROUP BY c.loss, c.c, c.fold_out, n.n""")
+ORACLES["svm_weights"] = _with2(_H, descent_ctes(f"(0, 'squared_hinge', {dbl(1.0)}, -1)", 6), f"SELECT feature, {q6('w')} AS weight FROM dw")
+ORACLES["svm_calibrated"] = _with2(_H, descent_ctes(_FOLD_SVMS, 6) + """,
+    pr AS MATERIALIZED (SELECT m.cand, m.m, e.y FROM dm m JOIN every_row e ON e.doc_id = m.doc_id AND e.split = 'train' AND e.fold = m.cand),
+    """ + platt_ctes(), f"""
+SELECT m.doc_id, {q6('sum(1.0::DOUBLE / (1.0::DOUBLE + exp(-(s.a * m.m + s.b)))) / 3')} AS p_real
+FROM dm m JOIN every_row e ON e.doc_id = m.doc_id AND e.split = 'test' JOIN sigmoids s ON s.cand = m.cand GROUP BY m.doc_id""")

@@ -17,8 +17,9 @@ from credlens.functions import lexicons as _lx
 from credlens.functions import rules as rl
 from credlens.functions import stylometry as st
 from credlens.functions import text as tx
-from credlens.operators import audit, dedup, knn, linear, trust
+from credlens.operators import audit, dedup, knn, linear, splits, trust
 from credlens.operators import evaluation as ev
+from credlens.operators import batchfit as bf
 from credlens.operators import learners as ml
 from credlens.operators import similarity as sim
 from credlens.operators import vocab as vc
@@ -472,58 +473,75 @@ QUERIES.update({"stream_routing": stream_routing, "stream_selftrain_telemetry":
 # --- Spark ML learners (MLT) -----------------------------------------------------------
 
 
-def _ml_data(spark, sf_dir):
+def _learner_table(spark, sf_dir, max_rows: int | None = None) -> ml.Table:
+    """The fitted flow's rows; ``max_rows``: of the train rows, a bounded subset alone (WIN-13)."""
     f = model_flow.fit(spark, sf_dir)
-    index = ml.feature_index(f.hybrid).persist()
-    size = index.count()
-    vec = ml.to_vectors(f.hybrid, index, size).join(f.docs.select("doc_id", "label", "split"), "doc_id")
-    # iterative learners run one job per iteration: cut the feature lineage once
-    # (reliable checkpoint in the shared checkpoint folder) so no iteration replans it
-    vec = cut_lineage(vec).persist()
-    train = vec.filter(F.col("split") == "train")
-    test = vec.filter(F.col("split") == "test")
-    return f, train, test, size
+    docs = f.docs.select("doc_id", "label", "split")
+    if max_rows is not None:
+        docs = linear.training_subset(docs.filter(F.col("split") == "train"), max_rows)
+        return ml.Table(f.hybrid.join(docs.select("doc_id"), "doc_id", "left_semi"), docs)
+    return ml.Table(f.hybrid, docs)
 
 
 def ml_model_metrics(spark, sf_dir):
-    """MLT-01..04, 07, 08, 10 + AGG-05/09: test metrics of every learner and the calibrated ensemble."""
-    f, train, test, size = _ml_data(spark, sf_dir)
-    n_train = train.count()
-    labels = test.select("doc_id", "label")
-    preds = {
-        "logreg": ml.fit_predict(ml.logistic(10.0, n_train), train, test),
-        "random_forest": ml.fit_predict(ml.random_forest(30), train, test),
-        "linear_svm": ml.calibrated(ml.linear_svm(n_train), train, test),
-        "neuralnet": ml.fit_predict(ml.mlp(size), train, test),
-        "calibrated_logreg": ml.calibrated(ml.logistic(2.0, n_train, 3000), train, test),
-        "calibrated_rf": ml.calibrated(ml.random_forest(15), train, test),
-    }
-    preds["ensemble"] = (preds["calibrated_logreg"].withColumnRenamed("p_real", "a")
-                         .join(preds["calibrated_rf"].withColumnRenamed("p_real", "b"), "doc_id")
-                         .select("doc_id", ((F.col("a") + F.col("b")) / 2).alias("p_real")))
-    preds["voting"] = ml.majority([preds[n] for n in ("logreg", "random_forest", "linear_svm", "neuralnet")])
+    """MLT-01..04, 07, 08, 10 + AGG-05/09: test metrics of every learner, of the mean of two calibrated
+    ones and of the calibrated soft vote of four."""
+    t = _learner_table(spark, sf_dir)
+    labels = t.docs.select("doc_id", "label")
     out = None
-    for name, p in preds.items():
+    for name, p in ml.test_metrics_inputs(t).items():
         s = ev.summary(p.join(labels, "doc_id").persist()).select(F.lit(name).alias("model"), "*")
         out = s if out is None else out.unionByName(s)
     return out
 
 
 def ml_tuning(spark, sf_dir, max_rows: int = 5000):
-    """MLT-09: 3-fold grid search of the logistic-regression C by accuracy."""
-    _, train, _, _ = _ml_data(spark, sf_dir)
-    train = linear.training_subset(train, max_rows)  # WIN-13: tuning subset of documented size
-    c, score = ml.tune_logistic(train, train.count())
-    return spark.createDataFrame([("logreg", float(c), float(score))], "model string, best_C double, cv_accuracy double")
+    """MLT-09: the five parameter searches, on a tuning subset of documented size."""
+    return ml.tune_all(_learner_table(spark, sf_dir, max_rows))
 
 
-def ml_learning_curve(spark, sf_dir, max_iter: int = 100):
-    """AGG-12: train / validation accuracy for 5 train fractions x 3 folds (15 fits)."""
-    _, train, _, _ = _ml_data(spark, sf_dir)
-    rows = ml.learning_curve(ml.logistic(10.0, train.count(), max_iter), train)
-    return spark.createDataFrame(rows, "fraction double, train_accuracy double, validation_accuracy double")
+def ml_learning_curve(spark, sf_dir):
+    """AGG-12: train / validation accuracy for 5 train fractions x 3 folds (15 fits, in one go)."""
+    c = ml.learning_curve(_learner_table(spark, sf_dir))
+    return c.select("fraction", q6(F.col("train_accuracy")).alias("train_accuracy"),
+                    q6(F.col("validation_accuracy")).alias("validation_accuracy"))
 
 
+#: Steps of the learners' descent that the SQL oracles unroll.
+DESCENT_STEPS = 6
+
+
+def ml_grid_descent(spark, sf_dir):
+    """MLT-09 / MLT-03: two losses x three strengths x three folds fitted in the same passes: loss and left-out accuracy."""
+    t = _learner_table(spark, sf_dir)
+    cands, fits = ml.descent_grid(t, DESCENT_STEPS)
+    seen = t.docs.filter(F.col("split") == "train").select("doc_id")
+    m = bf.margins(t.design, cands, fits).join(seen, "doc_id", "left_semi")
+    facts = spark.createDataFrame([(i, c.loss, c.C, c.fold_out, float(f.loss), f.n_train) for i, (c, f) in enumerate(zip(cands, fits))],
+                                  "candidate int, loss string, C double, fold_out int, objective double, n_train long")
+    right = ((F.col("margin") >= 0).cast("int") == F.col("label")).cast("long")
+    held = m.join(F.broadcast(facts), "candidate").filter(F.col("fold") == F.col("fold_out"))
+    return held.groupBy("loss", "C", "fold_out", "n_train", "objective").agg(
+        F.count(F.lit(1)).alias("n_held"), F.sum(right).alias("n_right")).withColumn("objective", q6(F.col("objective")))
+
+
+def svm_weights(spark, sf_dir):
+    """MLT-03: weights of the squared-hinge SVM on the train rows after a few steps of descent."""
+    t = _learner_table(spark, sf_dir)
+    fit, = bf.fit_many(t.design, [bf.Candidate("svm", "squared_hinge", ml.SVM_C, penalise_bias=True)], DESCENT_STEPS, memory=0)
+    return t.design.weights_table(fit.weights).select("feature", q6(F.col("weight")).alias("weight"))
+
+
+def svm_calibrated(spark, sf_dir):
+    """MLT-07: the SVM of each fold calibrated on the rows it did not see; mean probability of every test row."""
+    t = _learner_table(spark, sf_dir)
+    cands = [bf.Candidate("svm", "squared_hinge", ml.SVM_C, fold_out=o, penalise_bias=True) for o in range(ml.FOLDS)]
+    fits = bf.fit_many(t.design, cands, DESCENT_STEPS, memory=0)
+    p = ml.calibrate(ml.outer_rows(t, bf.margins(t.design, cands, fits), range(ml.FOLDS)))
+    return p.select("doc_id", q6(F.col("p_real")).alias("p_real"))
+
+
+QUERIES.update({"ml_grid_descent": ml_grid_descent, "svm_weights": svm_weights, "svm_calibrated": svm_calibrated})
 QUERIES.update({"ml_model_metrics": ml_model_metrics, "ml_tuning": ml_tuning, "ml_learning_curve": ml_learning_curve})
 
 
@@ -687,3 +705,52 @@ def explain_dense_ranked(spark, sf_dir):
 
 
 QUERIES["explain_dense_ranked"] = explain_dense_ranked
+
+
+# --- MLT-13, PRJ-07: held-out sources, exact shares ------------------------------------------
+def _cross_source(spark, sf_dir):
+    """Fit on train sources, threshold frozen on inner ones; their rows and those of the test sources."""
+    f = model_flow.fit(spark, sf_dir, model_flow.CROSS_SOURCE)
+    threshold = model_flow.frozen_threshold(f)
+    sources = f.docs.select("doc_id", F.coalesce("subject", F.lit("")).alias("source"), "title", "text")
+    return threshold, f.scored.filter(F.col("split").isin("inner", "test")).join(sources, "doc_id")
+
+
+def cross_source_eval(spark, sf_dir):
+    """MLT-13: metrics on sources that the fit never saw, at the threshold that other unseen sources chose."""
+    threshold, rows = _cross_source(spark, sf_dir)
+    out = None
+    for part in ("inner", "test"):
+        one = rows.filter(F.col("split") == part).select("doc_id", "label", "p_real", "source").persist()
+        n, n_sources = one.agg(F.count(F.lit(1)), F.countDistinct("source")).first()
+        m = ev.summary(one, threshold).select(F.lit(part).alias("part"), F.lit(n).cast("long").alias("n_articles"),
+                                              F.lit(n_sources).cast("long").alias("n_sources"), F.lit(threshold).alias("threshold"), "*")
+        out = m if out is None else out.unionByName(m)
+    return out.select("part", "n_articles", "n_sources", "threshold", "accuracy", "precision", "recall", "f1", "fpr", "fnr",
+                      "roc_auc", "status")
+
+
+def cross_source_failures(spark, sf_dir):
+    """MLT-13 + RUL-09/11: every misclassified article of the held-out sources, with category and rationale."""
+    threshold, rows = _cross_source(spark, sf_dir)
+    e = (rows.filter(F.col("split") == "test").withColumn("pred", (F.col("p_real") >= threshold).cast("int"))
+         .filter(F.col("pred") != F.col("label"))
+         .withColumn("category", rl.failure_category(F.col("text"), F.col("title"))))
+    return e.select("doc_id", "source", "label", "pred", q6(F.col("p_real")).alias("p_real"), q6(1.0 - F.col("p_real")).alias("p_fake"),
+                    "category", rl.failure_rationale(F.col("category")).alias("rationale"))
+
+
+def source_folds(spark, sf_dir):
+    """MLT-13: every source of ``documents`` in one of five folds of like size."""
+    d = table(spark, sf_dir, "documents").select(F.coalesce("source", F.lit("")).alias("source"))
+    return (d.join(splits.source_folds(d, "source"), "source").groupBy("source", "fold")
+            .agg(F.count(F.lit(1)).alias("n_documents")))
+
+
+def stratified_split(spark, sf_dir):
+    """PRJ-07: a test share of each class that is exact to one row."""
+    return splits.stratified_split(table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label")))
+
+
+QUERIES.update({"cross_source_eval": cross_source_eval, "cross_source_failures": cross_source_failures,
+                "source_folds": source_folds, "stratified_split": stratified_split})

@@ -76,10 +76,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 SCAN_PARTITIONS = "credlens.scan.partitions"
 
 
+def scan_partitions(spark: SparkSession) -> int | None:
+    dealt = spark.conf.get(SCAN_PARTITIONS, None)
+    return int(dealt) if dealt else None
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    dealt = spark.conf.get(SCAN_PARTITIONS, None)
-    return df.repartition(int(dealt)) if dealt else df
+    dealt = scan_partitions(spark)
+    return df.repartition(dealt) if dealt else df
 
 
 def q6(col):
