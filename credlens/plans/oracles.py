@@ -361,7 +361,8 @@ def source_split_ctes(k: int = 5) -> str:
         list_position(d.loads, list_min(d.loads)) - 1
       FROM deal d JOIN large l ON l.r = d.r + 1),
     lack AS (
-      SELECT list_transform(loads, lambda n: greatest((SELECT sum(n) FROM sizes)::BIGINT // {k} + 1 - n, 0)) AS l FROM deal ORDER BY r DESC LIMIT 1),
+      SELECT list_transform(loads, lambda n: greatest(z.total // {k} + 1 - n, 0)) AS l
+      FROM deal, (SELECT sum(n)::BIGINT AS total FROM sizes) z ORDER BY r DESC LIMIT 1),
     folds AS MATERIALIZED (
       SELECT l.source, d.fold FROM large l JOIN deal d ON d.r = l.r
       UNION ALL SELECT source, len(list_filter(range(1, {k}), lambda i: {hash_key_sql('source', 'source:')} % list_sum(l)::BIGINT >= list_sum(l[1:i])))
