@@ -68,7 +68,7 @@ def labelled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FITTED: dict[tuple, Fitted] = {}
 
 
-def _state_of(spark: SparkSession, sf_dir: str) -> tuple:
+def input_state(spark: SparkSession, sf_dir: str) -> tuple:
     """Paths, sizes and times of the input files: another state is another fit."""
     hadoop, out = spark.sparkContext._jsc.hadoopConfiguration(), []
     for name in ("documents", "labels"):
@@ -84,7 +84,7 @@ def fit(spark: SparkSession, sf_dir: str, params: FlowParams = FlowParams()) ->
     """The flow, fitted once per application for the same input files and parameters.
 
     What later queries read are checkpointed tables in the shared folder."""
-    key = (spark.sparkContext.applicationId, params, _state_of(spark, sf_dir))
+    key = (spark.sparkContext.applicationId, params, input_state(spark, sf_dir))
     if key not in _FITTED:
         _FITTED[key] = _fit(spark, sf_dir, params)
     return _FITTED[key]
@@ -135,6 +135,13 @@ def frozen_threshold(f: Fitted) -> float:
     return float(ev.best_threshold(ev.threshold_sweep(inner)).first()["best_threshold"])
 
 
+def dense_only_weights(f: Fitted, params: FlowParams = FlowParams()) -> DataFrame:
+    """A second model: the same fit on the dense features alone."""
+    train = f.docs.filter(F.col("split") == "train").select("doc_id", "label")
+    dense = linear.dense_long(f.dense).join(train.select("doc_id"), "doc_id", "left_semi")
+    return cut_lineage(linear.fit_logistic(dense, train, steps=params.steps, eta=params.eta, alpha=params.alpha))
+
+
 def test_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = fit(spark, sf_dir)
     return f.scored.filter(F.col("split") == "test").select("doc_id", "label", "p_real")

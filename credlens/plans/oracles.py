@@ -316,9 +316,15 @@ def all_docs_vocab_ctes() -> str:
     vweights AS (SELECT doc_id, term, raw_w / sqrt(sum(raw_w * raw_w) OVER (PARTITION BY doc_id)) AS weight FROM vw0)"""
 
 
-def logistic_steps(steps: int = 20, eta: float = 1.0, alpha: float = 1e-4) -> str:
-    """Accelerated full-batch logistic regression, one pair of CTEs for each step; last CTE ``weights``."""
-    out = ["""trainx AS MATERIALIZED (SELECT h.doc_id, h.feature, h.value FROM hybrid h JOIN train t ON h.doc_id = t.doc_id),
+def logistic_steps(steps: int = 20, eta: float = 1.0, alpha: float = 1e-4, only: str = "", name: str = "") -> str:
+    """Accelerated full-batch logistic regression, one pair of CTEs for each step; last CTE ``weights``.
+
+    ``only`` filters the features, ``name`` ends the names of the CTEs."""
+    return _logistic_steps(steps, eta, alpha, only).replace("lr_", f"lr{name}_").replace("trainx", f"trainx{name}").replace("weights AS", f"weights{name} AS")
+
+
+def _logistic_steps(steps: int, eta: float, alpha: float, only: str) -> str:
+    out = [f"""trainx AS MATERIALIZED (SELECT h.doc_id, h.feature, h.value FROM hybrid h JOIN train t ON h.doc_id = t.doc_id {only}),
     lr_s0 AS MATERIALIZED (
       SELECT f.feature, 0.0::DOUBLE AS w, 0.0::DOUBLE AS v FROM (SELECT DISTINCT feature FROM trainx) f
       UNION ALL SELECT '__bias__', ln(sum(label)::DOUBLE / (count(*) - sum(label))), ln(sum(label)::DOUBLE / (count(*) - sum(label))) FROM train)"""]
@@ -845,20 +851,12 @@ SELECT (SELECT count(*) FROM req JOIN stored ON req.hash = stored.hash)::BIGINT
   {q6('(SELECT avg(stored.p_real) FROM req JOIN stored ON req.hash = stored.hash)')} AS avg_cached_p_real,
   (SELECT count(DISTINCT hash) FROM req WHERE hash NOT IN (SELECT hash FROM stored))::BIGINT AS n_distinct_misses""")
 
-ORACLES["model_consensus"] = _with(_M + """,
-    resid AS (SELECT doc_id, 0.5::DOUBLE - label AS r FROM train),
-    bgrad AS (SELECT sum(r) / n.n AS g FROM resid, ntr n GROUP BY n.n),
-    dl AS (SELECT * FROM hybrid WHERE starts_with(feature, 'dense:')),
-    grad2 AS (
-      SELECT h.feature, sum(r.r * h.value) / n.n AS g FROM dl h JOIN resid r ON h.doc_id = r.doc_id, ntr n
-      GROUP BY h.feature, n.n),
-    w2 AS (
-      SELECT feature, 0.0::DOUBLE - 1.0::DOUBLE * g AS weight FROM grad2
-      UNION ALL SELECT '__bias__', 0.0::DOUBLE - 1.0::DOUBLE * g FROM bgrad),
+_DENSE_MODEL = """,
+    """ + logistic_steps(only="WHERE starts_with(h.feature, 'dense:')", name="_d") + """,
     m2 AS (
-      SELECT h.doc_id, sum(h.value * coalesce(w.weight, 0.0::DOUBLE)) + (SELECT weight FROM w2 WHERE feature = '__bias__') AS m
-      FROM dl h LEFT JOIN (SELECT * FROM w2 WHERE feature <> '__bias__') w ON h.feature = w.feature
-      GROUP BY h.doc_id),
+      SELECT h.doc_id, sum(h.value * w.weight) + (SELECT weight FROM weights_d WHERE feature = '__bias__') AS m
+      FROM hybrid h JOIN weights_d w ON h.feature = w.feature GROUP BY h.doc_id)"""
+ORACLES["model_consensus"] = _with(_M + _DENSE_MODEL + """,
     lp AS (
       SELECT doc_id, p_real FROM test
       UNION ALL SELECT m2.doc_id, 1.0::DOUBLE / (1.0::DOUBLE + exp(-m2.m)) FROM m2 WHERE m2.doc_id IN (SELECT doc_id FROM test)),
@@ -1036,3 +1034,29 @@ ORACLES["svm_calibrated"] = _with2(_H, descent_ctes(_FOLD_SVMS, 6) + """,
     """ + platt_ctes(), f"""
 SELECT m.doc_id, {q6('sum(1.0::DOUBLE / (1.0::DOUBLE + exp(-(s.a * m.m + s.b)))) / 3')} AS p_real
 FROM dm m JOIN every_row e ON e.doc_id = m.doc_id AND e.split = 'test' JOIN sigmoids s ON s.cand = m.cand GROUP BY m.doc_id""")
+
+ORACLES["registry_scores"] = _with(_X + _DENSE_MODEL + """,
+    two_models AS MATERIALIZED (
+      SELECT s.doc_id, s.label, s.split, s.p_real AS p_hybrid, 1.0::DOUBLE / (1.0::DOUBLE + exp(-m2.m)) AS p_dense,
+        (1.0::DOUBLE / (1.0::DOUBLE + exp(-m2.m)) + s.p_real) / 2 AS p_real FROM scored s JOIN m2 ON m2.doc_id = s.doc_id),
+    inner_rows AS (SELECT doc_id, label, p_real FROM two_models WHERE split = 'inner')""" + _XSWEEP + """,
+    frozen AS (SELECT coalesce((SELECT threshold FROM f1s WHERE f1 > 0 ORDER BY f1 DESC, idx ASC LIMIT 1), 0.5) AS threshold)""", f"""
+SELECT doc_id, {q6('p_hybrid')} AS p_hybrid, {q6('p_dense')} AS p_dense, {q6('p_real')} AS p_real,
+  CASE WHEN p_real >= threshold THEN 1 ELSE 0 END AS pred, threshold FROM two_models, frozen""")
+
+_AFTER_DOCS = _M[_M.index("    train AS (SELECT doc_id, label FROM docs"):]
+_JUDGED = f"""count(*)::BIGINT AS n_test, count(*) FILTER (WHERE (p_real >= 0.5) <> (label = 1))::BIGINT AS n_errors,
+  {q6("avg(CASE WHEN (p_real >= 0.5) = (label = 1) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)")} AS accuracy,
+  {q6("avg(-ln(greatest(CASE WHEN label = 1 THEN p_real ELSE 1.0::DOUBLE - p_real END, 1e-15)))")} AS log_loss"""
+ORACLES["replay_retrain"] = _with(_M + f""",
+    missed AS MATERIALIZED (SELECT doc_id FROM scored WHERE split = 'test' AND (p_real >= 0.5) <> (label = 1)),
+    docs_before AS MATERIALIZED (SELECT * FROM docs),
+    docs_after AS MATERIALIZED (
+      SELECT * FROM docs_before UNION ALL
+      SELECT -1 - doc_id, text, subject, label, tokens, clean, title, 'train' FROM docs_before WHERE doc_id IN (SELECT doc_id FROM missed)),
+    scored_after AS MATERIALIZED (WITH docs AS MATERIALIZED (SELECT * FROM docs_after),
+{_AFTER_DOCS}
+    SELECT doc_id, label, split, p_real FROM scored)""", f"""
+SELECT 'before' AS phase, (SELECT count(*) FROM docs_before WHERE split = 'train')::BIGINT AS n_train, {_JUDGED} FROM scored WHERE split = 'test'
+UNION ALL
+SELECT 'after', (SELECT count(*) FROM docs_after WHERE split = 'train')::BIGINT, {_JUDGED} FROM scored_after WHERE split = 'test'""")

@@ -17,13 +17,13 @@ from credlens.functions import lexicons as _lx
 from credlens.functions import rules as rl
 from credlens.functions import stylometry as st
 from credlens.functions import text as tx
-from credlens.operators import audit, dedup, knn, linear, splits, trust
+from credlens.operators import audit, dedup, knn, linear, models, splits, trust
 from credlens.operators import evaluation as ev
 from credlens.operators import batchfit as bf
 from credlens.operators import learners as ml
 from credlens.operators import similarity as sim
 from credlens.operators import vocab as vc
-from credlens.plans import model_flow
+from credlens.plans import model_flow, replay
 from credlens.session import cut_lineage, q6, shared_dir, table
 from credlens.sources import corpus
 from credlens.sources import pages as pg
@@ -181,7 +181,7 @@ def minmax_scaled_features(spark, sf_dir):
 
 
 def online_weights(spark, sf_dir):
-    """STR-04 / MLT-06: weights after one mini-batch logistic step on the train split."""
+    """MLT-06: weights of the logistic fit on the train split."""
     f = model_flow.fit(spark, sf_dir)
     return f.weights.select("feature", q6(F.col("weight")).alias("weight"))
 
@@ -645,10 +645,9 @@ def model_consensus(spark, sf_dir):
     """AGG-15/16 + MLT-08: two linear models (hybrid features, dense-only features) scored
     on the test split; mean and vote consensus per document."""
     f = model_flow.fit(spark, sf_dir)
-    train = f.docs.filter(F.col("split") == "train").select("doc_id", "label")
     test_ids = f.docs.filter(F.col("split") == "test").select("doc_id")
     dense = linear.dense_long(f.dense)
-    w2 = linear.online_step(dense.join(train.select("doc_id"), "doc_id", "left_semi"), train)
+    w2 = model_flow.dense_only_weights(f)
     p1 = linear.score(f.hybrid.join(test_ids, "doc_id", "left_semi"), f.weights).withColumn("model", F.lit("hybrid"))
     p2 = linear.score(dense.join(test_ids, "doc_id", "left_semi"), w2).withColumn("model", F.lit("dense"))
     long_preds = p1.unionByName(p2)
@@ -754,3 +753,49 @@ def stratified_split(spark, sf_dir):
 
 QUERIES.update({"cross_source_eval": cross_source_eval, "cross_source_failures": cross_source_failures,
                 "source_folds": source_folds, "stratified_split": stratified_split})
+
+
+# --- SRC-11, MLT-10: stored models, several at once ------------------------------------------
+def registry_scores(spark, sf_dir):
+    """SRC-11 + MLT-10 + AGG-15: two models and the threshold of unseen sources stored under a manifest, read back,
+    and applied to the raw text of every labelled article."""
+    f = model_flow.fit(spark, sf_dir, model_flow.CROSS_SOURCE)
+    features = selftrain.FeatureModel(f.vocabulary, f.selected, f.stats, f.weights)
+    found = {"hybrid": [models.Member(weights=f.weights)], "dense": [models.Member(weights=model_flow.dense_only_weights(f))]}
+    stored = models.Registry(features, found, inputs=model_flow.input_state(spark, sf_dir))
+    # the threshold is chosen for the mean of the models, on sources that trained neither
+    inner = f.docs.filter(F.col("split") == "inner")
+    p = stored.decide(stored.score(inner)).join(inner.select("doc_id", "label"), "doc_id")
+    stored.threshold = float(ev.best_threshold(ev.threshold_sweep(p.select("doc_id", "label", "p_real").persist())).first()["best_threshold"])
+    path = shared_dir(spark, f"credlens/registry/{uuid.uuid4().hex}")
+    stored.save(path)
+    back = models.Registry.load(spark, path)
+    return back.decide(back.score(f.docs)).select("doc_id", q6(F.col("hybrid")).alias("p_hybrid"), q6(F.col("dense")).alias("p_dense"),
+                                                  q6(F.col("p_real")).alias("p_real"), "pred", F.lit(back.threshold).alias("threshold"))
+
+
+# --- STR-10: mine, replay, retrain -------------------------------------------------------------
+def replay_retrain(spark, sf_dir):
+    """STR-10: the misses on the test articles are written as failure records, read back, replayed into the train
+    rows and the model is fitted again from merged statistics; errors before and after."""
+    f = model_flow.fit(spark, sf_dir)
+    base = shared_dir(spark, f"credlens/replay/{uuid.uuid4().hex}")
+    state = replay.FitState(spark, base + "/state")
+    state.add(f.docs, 0)
+    before = state.refit()
+    errors = _errors(before).withColumn("url", F.lit(None).cast("string"))
+    test = before.hybrid.join(errors.select("doc_id"), "doc_id", "left_semi")
+    words = linear.top_word_contributions(linear.contributions(test, before.weights))
+    rec.write_failures(rec.failure_records(errors, words), base + "/failures")
+    train = before.docs.filter(F.col("split") == "train")
+    state.add(replay.replay_rows(train, rec.read_failures(spark, base + "/failures")), 1)
+    out = None
+    for phase, fitted in (("before", before), ("after", state.refit())):
+        n_train = fitted.docs.filter(F.col("split") == "train").count()
+        one = replay.judged(fitted).select(F.lit(phase).alias("phase"), F.lit(n_train).cast("long").alias("n_train"), "n_test", "n_errors",
+                                           q6(F.col("accuracy")).alias("accuracy"), q6(F.col("log_loss")).alias("log_loss"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+QUERIES.update({"registry_scores": registry_scores, "replay_retrain": replay_retrain})
