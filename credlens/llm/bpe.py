@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from credlens.llm.common import arrow_schema, chunks, map_text, prepare, schema_of, tokenizer
+from credlens.llm.common import arrow_schema, chunks, kept, map_text, prepare, schema_of, tokenizer
 
 #: Pre-tokens an encoder remembers; above it the memory is emptied and filled anew.
 REMEMBER = 1_200_000
@@ -246,14 +246,9 @@ def _ascii_split(text: str) -> list[str]:
     return [w.decode("utf-8") for w in text.encode("utf-8").split()]
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    """One encoder per worker process and file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    """One encoder per worker process."""
+    return kept("encoder", path, lambda: Encoder(path))
 
 
 # --- tree concatenation ---------------------------------------------------------------------

@@ -6,6 +6,8 @@ columns, so extra input columns can never clash with what an operator adds.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -38,6 +40,31 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(key, str(ARROW_ROWS))
 
 
+_KEPT: dict = {}
+
+
+def kept(kind: str, key, build: Callable):
+    """What an operator keeps in a Python worker between its tasks: a matcher, a model, a memory of words.
+
+    Workers are reused by every operator of an application, so one thing is kept at a time: asking
+    for another frees the last one."""
+    if (kind, key) not in _KEPT:
+        _KEPT.clear()
+        give_back()
+        _KEPT[kind, key] = build()
+    return _KEPT[kind, key]
+
+
+def give_back() -> None:
+    """Free memory of this worker returns to the machine: an idle worker holds none of its last task."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def schema_of(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
@@ -86,6 +113,7 @@ def map_text(df: DataFrame, fn: Callable[[list], dict], out: str, text_col: str
                 arrays = [batch.column(need.index(c)).slice(a, b - a) for c in carry]
                 arrays += [pa.array(got[f.name], type=f.type) for f in types]
                 yield pa.RecordBatch.from_arrays(arrays, names=carry + names)
+        give_back()
 
     return df.select(*need).mapInArrow(run, T.StructType(kept.fields + added.fields))
 

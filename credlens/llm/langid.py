@@ -9,7 +9,8 @@ Training sequences are cut from labelled documents: segments of different docume
 other, so the model sees switches at known places.  The labels come from the documents' own
 ``lang``; language, source and id are never inputs of a prediction.
 
-Null, empty and letterless texts: ``und`` with score 0.  Without a labelled row everything is
+A run of more than ``LONGEST`` letters is several neighbouring nodes, so every letter of a text without
+spaces counts.  Null, empty and letterless texts: ``und`` with score 0.  Without a labelled row everything is
 ``und``.  Ties go to the language that sorts first.  Repeated rows get equal results.
 """
 
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from credlens.llm.common import held_out, map_text
+from credlens.llm.common import held_out, kept, map_text
 
 #: Labelled documents per language the model is fitted on at most, and words used of them.
 MAX_PER_LANGUAGE = 300
@@ -38,16 +39,27 @@ SEQUENCE, BATCH, EPOCHS = 48, 64, 12
 WINDOW, CONTEXT = 256, 32
 REMEMBER = 400_000
 
+#: Letters of one node of the chain: longer runs, as of scripts without spaces, are several nodes.
+LONGEST = 40
+
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    """Runs of letters, lower-cased, in pieces of at most ``LONGEST``.  Numerals such as ½ or Ⅷ are no letters."""
+    out: list[str] = []
+    for run in _WORD.findall(text.lower()) if text else ():
+        if len(run) <= LONGEST and run.isalpha():
+            out.append(run)
+            continue
+        for part in "".join(c if c.isalpha() else " " for c in run).split():
+            out += [part[i:i + LONGEST] for i in range(0, len(part), LONGEST)]
+    return out
 
 
 def word_features(word: str, lexicon: dict[str, int], first: int) -> list[int]:
     """Feature numbers of a word; numbers below ``first`` are the lexicons of the languages."""
-    w = word[:40]
+    w = word
     names = ["w" + w]
     for k in (1, 2, 3, 4):
         if len(w) >= k:
@@ -229,15 +241,8 @@ class Tagger:
         return out
 
 
-_TAGGERS: dict[int, Tagger] = {}
-
-
 def tagger(model: Crf) -> Tagger:
-    key = zlib.crc32(model.weights.tobytes())
-    if key not in _TAGGERS:
-        _TAGGERS.clear()
-        _TAGGERS[key] = Tagger(model)
-    return _TAGGERS[key]
+    return kept("tagger", zlib.crc32(model.weights.tobytes()), lambda: Tagger(model))
 
 
 def tag(text: str | None, model: Crf) -> list[tuple[str, str]]:

@@ -1,28 +1,27 @@
 """Packing by lexical retrieval: windows filled with BM25 neighbours.
 
 Every document is encoded and ends with an end id.  Full windows of a long document are
-sequences of their own; what is left of it is a *rest*.  Every rest queries an inverted index of
-all rests (BM25 weights over token ids) with its rarest ids and finds its nearest neighbour,
-wherever that lies: the index is cut into blocks, and each block answers the queries of all
-rests.  Rests that are linked by such neighbours are a *group*; groups are never torn unless they
-are larger than a shard.  Shards of whole groups are then packed: the longest unused rest seeds a
-window, its BM25 scores over all its ids give its nearest unused neighbours in the shard, and
-they fill the window greedily in the order of their scores, the last one cut where the window is
-full.  So texts that share words share a window.
-
-Every block reads every query, so the retrieval's work grows with the square of the number of
-different rests.  Block scores are sums of weights rounded to 16 bits.  Equal rests query once.
-Document frequencies cover all documents; there is one count per vocabulary id, so they are small
-however large the corpus is.
+sequences of their own; what is left of it is a *rest*.  Rests are dealt into shards, each shard has
+a BM25 inverted index of all ids of its rests, and is packed alone: the longest unused rest seeds a
+window, its BM25 scores over all its ids give its nearest unused neighbours, and they fill the
+window greedily in the order of their scores, the last one cut where the window is full.
+
+Shards are cut from one order of all rests that keeps like ones together: a bounded sample of
+``ANCHORS`` rests is scored by BM25 against every rest, and rests are ordered by their three best anchors,
+best first, then by their text's hash.  So texts that share words mostly share a shard, copies stand side by
+side, and a crowded cell is cut by the next anchors and hashes, never kept whole.  Work and traffic grow
+in proportion to the rests.  A seed's neighbours are the best of its shard, not of the corpus: README has
+the measured recall.
 
-Sequences hold at most ``window`` ids.  The last rest of a shard is cut into powers of two, which
-need no padding.  Null and empty texts are a single end id.  Repeated rows and ids are packed
-one by one.  An empty table gives no piece.
+Document frequencies cover all documents; there is one count per vocabulary id, so they are small
+however large the corpus is.  Sequences hold at most ``window`` ids.  The last rest of a shard is cut into
+powers of two, which need no padding.  Null and empty texts are a single end id; long texts are
+windows and one rest.  Repeated rows and ids are packed one by one; ties go by the order above.  An
+empty table gives no piece.  Only id and text are read, so extra columns do not matter.
 """
 
 from __future__ import annotations
 
-import uuid
 import zlib
 
 import numpy as np
@@ -33,19 +32,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from credlens.llm.bpe import encoder
-from credlens.llm.common import arrow_schema, chunks, prepare, schema_of, tokenizer
-from credlens.llm.graph import components
-from credlens.session import shared_dir
+from credlens.llm.common import arrow_schema, chunks, give_back, prepare, schema_of, stored, tokenizer, work_dir
 
 WINDOW = 1024
-#: Rests in one shard; a shard ends with a group, so it may have up to twice as many.
+#: Rests in one shard.
 SHARD_ROWS = 1024
-#: Different rests in one block of the index, about.
-BLOCK_ROWS = 16_384
-#: Ids of a rest that query the blocks: its rarest ones.
-QUERY_IDS = 24
-#: Queries that travel as one row.
-QUERY_ROWS = 256
+#: Rests of the sample that orders the others, and ids that such a rest should have.
+ANCHORS, ANCHOR_IDS = 64, 256
+#: An id that more than one in so many rests of a shard hold has a row of scores, others have postings.
+DENSE = 16
 #: BM25's usual constants.
 K1, B = 1.2, 0.75
 
@@ -90,6 +85,7 @@ def encode(df: DataFrame, path: str, end_id: int, window: int, id_col: str = "do
             held[-2:] = docs, total
             yield pa.RecordBatch.from_arrays([pa.nulls(1, id_type), *(pa.nulls(1, t) for t in types[:-1]),
                                               pa.array([zlib.compress(held.tobytes(), 1)], pa.binary())], names=names)
+        give_back()
 
     types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.binary(), pa.binary()]
     return df.select(id_col, text_col).mapInArrow(run, fields)
@@ -126,140 +122,94 @@ def _bm25(rests: list[np.ndarray], idf: np.ndarray, average: float) -> tuple[np.
 
 
 class Index:
-    """BM25 inverted index of one shard's rests: postings of each id."""
+    """BM25 inverted index of one shard's rests: a row of weights for each common id, postings of the others."""
 
     def __init__(self, rests: list[np.ndarray], idf: np.ndarray, average: float):
-        self.n, self.idf = len(rests), idf
+        self.n = len(rests)
         rows, ids, weight = _bm25(rests, idf, average)
-        order = np.argsort(ids, kind="stable")
-        self.rows, self.weights = rows[order].astype(np.int32), weight[order].astype(np.float32)
-        self.keys, self.starts = np.unique(ids[order], return_index=True)
-        self.ends = np.append(self.starts[1:], len(order))
-        self.queries = np.split(ids, np.cumsum(np.bincount(rows, minlength=self.n))[:-1])
+        weight = weight.astype(np.float32)
+        keys, at, count = np.unique(ids, return_inverse=True, return_counts=True)
+        common = count * DENSE > self.n
+        place = np.where(common, np.cumsum(common) - 1, np.cumsum(~common) - 1)
+        wide = common[at]
+        self.dense = np.zeros((int(common.sum()), self.n), np.float32)
+        self.dense[place[at[wide]], rows[wide]] = weight[wide]
+        order = np.argsort(at[~wide], kind="stable")
+        self.rows, self.weights = rows[~wide][order], weight[~wide][order]
+        self.ends = np.cumsum(count[~common])
+        self.starts = self.ends - count[~common]
+        cuts = np.cumsum(np.bincount(rows, minlength=self.n))[:-1]
+        self.common, self.rare = ([place[a[w == kind]] for a, w in zip(np.split(at, cuts), np.split(wide, cuts), strict=True)]
+                                  for kind in (True, False))
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 scores of all rests of the shard against all ids of a seed."""
-        at = np.searchsorted(self.keys, self.queries[seed])
-        take = np.concatenate([np.arange(self.starts[i], self.ends[i]) for i in at])
-        return np.bincount(self.rows[take], self.weights[take], self.n)
-
-
-class Block:
-    """One block of the index of all rests: a vector of scores for each id that many of its rests
-    hold, postings for the others."""
-
-    def __init__(self, nodes: np.ndarray, rests: list[np.ndarray], idf: np.ndarray, average: float):
-        order = np.argsort(nodes, kind="stable")
-        self.nodes = nodes[order]
-        # A query's sum stays below 2**16.
-        scale = 65_000 / (QUERY_IDS * (K1 + 1) * max(float(idf.max()), 1e-9))
-        rows, ids, weights = _bm25([rests[i] for i in order], idf, average)
-        by_id = np.argsort(ids, kind="stable")
-        rows, weights = rows[by_id], np.rint(weights[by_id] * scale).astype(np.uint16)
-        keys, starts = np.unique(ids[by_id], return_index=True)
-        self.postings = {}
-        for key, a, b in zip(keys.tolist(), starts.tolist(), [*starts[1:].tolist(), len(rows)], strict=True):
-            if 16 * (b - a) > len(nodes):
-                dense = np.zeros(len(nodes), np.uint16)
-                dense[rows[a:b]] = weights[a:b]
-                self.postings[key] = dense, None
-            else:
-                self.postings[key] = weights[a:b].copy(), rows[a:b].copy()
-
-    def nearest(self, node: int, query: list[int]) -> tuple[int, int]:
-        """(score, node) of the best rest but the querying one; of equal ones the smallest node."""
-        score = np.zeros(len(self.nodes), np.uint16)
-        for key in query:
-            weights, rows = self.postings.get(key, (None, None))
-            if weights is None:
-                continue
-            if rows is None:
-                score += weights
-            else:
-                score[rows] += weights
-        own = int(np.searchsorted(self.nodes, node))
-        if own < len(score) and self.nodes[own] == node:
-            score[own] = 0
-        best = int(score.argmax())
-        return int(score[best]), int(self.nodes[best])
-
-
-def neighbours(rests: DataFrame, n: int, idf, average: float, dtype: str, end_id: int) -> DataFrame:
-    """(node, best): the nearest neighbour of each of the different ``rests`` (node, rest) among all
-    of them; nodes that share no id with any other are left out.  ``n`` blocks answer all queries."""
-    layout = "block int, kind int, node bigint, body binary, nodes binary, sizes binary"
-
-    def ask(batches):
-        rare, at = np.frombuffer(idf.value, np.float32), TaskContext.get().partitionId() << 32
-        for batch in batches:
-            nodes, bodies = batch.column(0).to_numpy(), batch.column(1)
-            for a in range(0, len(nodes), QUERY_ROWS):
-                queries = []
-                for raw in bodies.slice(a, QUERY_ROWS):
-                    u = np.unique(np.frombuffer(raw.as_buffer(), dtype))
-                    u = u[u != end_id]
-                    queries.append(u[np.argsort(-rare[u], kind="stable")[:QUERY_IDS]])
-                cols = [[0], [1], [at], [np.concatenate(queries).tobytes()], [nodes[a:a + QUERY_ROWS].astype("<i8").tobytes()],
-                        [np.array([len(q) for q in queries], "<i4").tobytes()]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=names)
-                at += 1
-
-    def answer(batches):
-        weights = np.frombuffer(idf.value, np.float32)
-        block = held = index = None
+        out = self.dense[self.common[seed]].sum(axis=0)
+        rare = self.rare[seed]
+        if len(rare):
+            size = self.ends[rare] - self.starts[rare]
+            take = np.repeat(self.ends[rare] - np.cumsum(size), size) + np.arange(size.sum())
+            out += np.bincount(self.rows[take], self.weights[take], self.n)
+        return out
+
+
+class Anchors:
+    """BM25 weights of the sample's rests by id, to order all rests by."""
+
+    def __init__(self, rests: list[np.ndarray], idf: np.ndarray, average: float):
+        rows, ids, weights = _bm25(rests, idf, average)
+        keys, at = np.unique(ids, return_inverse=True)
+        self.row = np.full(len(idf), len(keys), np.int32)  # the last row is of ids that no anchor holds
+        self.row[keys] = np.arange(len(keys))
+        self.weights = np.zeros((len(keys) + 1, len(rests)), np.float32)
+        self.weights[at, rows] = weights
+
+    def cell(self, rest: np.ndarray) -> int:
+        """The three best anchors as one number; ties go to the first."""
+        score = self.weights[self.row[np.unique(rest)]].sum(axis=0)
+        out = 0
+        for a in np.argsort(-score, kind="stable")[:3].tolist():
+            out = out * ANCHORS + a
+        return out
+
+
+def ordered(rests: DataFrame, idf: np.ndarray, average: float, dtype: str, path: str) -> DataFrame:
+    """``rests`` (with ``node``, ``rest``) with ``cell``, by which like rests lie together; stored under ``path``.
+
+    Only the ids of the sample are ordered; its rests, ``ANCHORS`` at most, reach the driver."""
+    long = (F.octet_length("rest") < ANCHOR_IDS * np.dtype(dtype).itemsize).cast("int")
+    picked = rests.groupBy("node").agg(F.min(long).alias("short")).orderBy("short", "node").limit(ANCHORS).select("node")
+    sample = {r["node"]: r["rest"] for r in rests.join(F.broadcast(picked), "node").groupBy("node").agg(F.first("rest").alias("rest")).collect()}
+    if not sample:
+        return rests.withColumn("cell", F.lit(0).cast("long"))
+    anchors = Anchors([np.frombuffer(sample[k], dtype) for k in sorted(sample)], idf, average)
+    shared = rests.sparkSession.sparkContext.broadcast(anchors)
+    at = rests.columns.index("rest")
+    fields = T.StructType([*rests.schema.fields, T.StructField("cell", T.LongType())])
+
+    def run(batches):
         for batch in batches:
-            for at, kind, node, body, nodes, sizes in zip(*(batch.column(i) for i in range(6)), strict=True):
-                if at.as_py() != block:
-                    block, held, index = at.as_py(), ([], []), None
-                if not kind.as_py():
-                    held[0].append(node.as_py())
-                    held[1].append(np.frombuffer(body.as_py(), dtype))
-                    continue
-                if not held[0]:
-                    continue
-                index = index or Block(np.array(held[0], np.int64), held[1], weights, average)
-                ends = np.cumsum(np.frombuffer(sizes.as_buffer(), "<i4")).tolist()
-                ids = np.frombuffer(body.as_buffer(), dtype).tolist()
-                own = np.frombuffer(nodes.as_buffer(), "<i8")
-                got = [index.nearest(o, ids[a:b]) for o, a, b in zip(own.tolist(), [0, *ends], ends, strict=False)]
-                cols = [[node.as_py()], [own.tobytes()], [np.array([s for s, _ in got], "<i4").tobytes()],
-                        [np.array([b for _, b in got], "<i8").tobytes()]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, found_kinds, strict=True)], names=found_names)
-
-    def best(table: pa.Table) -> pa.Table:
-        nodes = np.frombuffer(table.column("nodes")[0].as_py(), "<i8")
-        scores = np.stack([np.frombuffer(s.as_py(), "<i4") for s in table.column("scores")])
-        found = np.stack([np.frombuffer(b.as_py(), "<i8") for b in table.column("found")])
-        top = scores.max(0)
-        found = np.where(scores == top, found, np.iinfo(np.int64).max).min(0)
-        return pa.table({"node": nodes[top > 0], "best": found[top > 0]})
-
-    fields, found_fields = schema_of(layout), schema_of("batch bigint, nodes binary, scores binary, found binary")
-    kinds, names = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()], fields.names
-    found_kinds, found_names = [pa.int64(), pa.binary(), pa.binary(), pa.binary()], found_fields.names
-    none = F.lit(None).cast("binary")
-    index = rests.select(F.pmod("node", F.lit(n)).cast("int").alias("block"), F.lit(0).alias("kind"), "node",
-                         F.col("rest").alias("body"), none.alias("nodes"), none.alias("sizes"))
-    asked = rests.select("node", "rest").mapInArrow(ask, fields)
-    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    # More partitions than blocks, so that few of them get two; the index comes before the queries.
-    met = index.unionByName(asked).repartition(4 * n, "block").sortWithinPartitions("block", "kind", "node")
-    return met.mapInArrow(answer, found_fields).groupBy("batch").applyInArrow(best, "node bigint, best bigint")
-
-
-def grouped(rests: DataFrame, n: int, idf, average: float, dtype: str, end_id: int, at: str, shard_rows: int) -> DataFrame:
-    """(node, label, near, large) of each different rest: its group, the smaller of itself and its
-    neighbour, and whether the group has more rests than a shard."""
-    spark = rests.sparkSession
-    links = neighbours(rests, n, idf, average, dtype, end_id)
-    links.write.parquet(f"{at}/links")
-    links = spark.read.schema(links.schema).parquet(f"{at}/links")
-    labels = (rests.select("node", "copies").join(links, "node", "left")
-              .join(components(links.select("node", "best"), f"{at}/groups"), "node", "left")
-              .select("node", "copies", F.coalesce("label", "node").alias("label"),
-                      F.least("node", F.coalesce("best", "node")).alias("near")))
-    sizes = labels.groupBy("label").agg(F.sum("copies").alias("n")).where(F.col("n") > shard_rows).select("label", F.lit(True).alias("large"))
-    return labels.join(sizes, "label", "left").select("node", "label", "near", F.coalesce("large", F.lit(False)).alias("large"))
+            cells = [shared.value.cell(np.frombuffer(raw.as_buffer(), dtype)) for raw in batch.column(at)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.int64())], names=fields.names)
+
+    # Stored, because dealing by range looks at the cells before it moves the rows.
+    return stored(rests.mapInArrow(run, fields), path)
+
+
+def _best(score: np.ndarray, first: int = 16):
+    """Places of the scores that are not negative, best first, equal ones in order; a few at a time."""
+    low = np.inf
+    while True:
+        rest = np.flatnonzero((score >= 0) & (score < low))
+        if not len(rest):
+            return
+        if len(rest) > first:
+            low = -np.partition(-score[rest], first)[first]
+            rest = rest[score[rest] >= low]
+        else:
+            low = 0.0
+        yield from rest[np.argsort(-score[rest], kind="stable")].tolist()
+        first *= 4
 
 
 def pack_shard(rests: list[np.ndarray], idf: np.ndarray, average: float, window: int) -> list[list[tuple[int, int, int]]]:
@@ -274,17 +224,14 @@ def pack_shard(rests: list[np.ndarray], idf: np.ndarray, average: float, window:
         own, room = [(seed, int(used[seed]), int(left[seed]))], window - int(left[seed])
         left[seed] = 0
         if room:
-            s = index.scores(seed)
-            s[left == 0] = -1.0
-            near = np.argsort(-s, kind="stable")
-            for r in near.tolist():
-                if not room or s[r] < 0:
-                    break
+            for r in _best(np.where(left > 0, index.scores(seed), -1.0)):
                 n = min(int(left[r]), room)
                 own.append((r, int(used[r]), n))
                 used[r] += n
                 left[r] -= n
                 room -= n
+                if not room:
+                    break
         if room:  # nothing is left in the shard: powers of two need no padding
             for r, a, n in own:
                 for p in _powers(n):
@@ -296,17 +243,15 @@ def pack_shard(rests: list[np.ndarray], idf: np.ndarray, average: float, window:
 
 
 def pack(df: DataFrame, path: str, end_id: int = 0, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
-         shard_rows: int = SHARD_ROWS, with_ids: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
+         shard_rows: int = SHARD_ROWS, with_ids: bool = False) -> DataFrame:
     """Pieces of all documents: one row per piece, ``ids`` (little-endian uint32) on request.
 
     One pass over the texts, written to shared storage; then only the rests move."""
     spark: SparkSession = df.sparkSession
     prepare(spark)
     dtype = "<u2" if tokenizer(path).get_vocab_size() <= 65536 else "<u4"
-    at = shared_dir(spark, f"llm/packing/{uuid.uuid4().hex}")
-    scan = encode(df, path, end_id, window, id_col, text_col, with_ids)
-    scan.write.parquet(f"{at}/scan")
-    scan = spark.read.schema(scan.schema).parquet(f"{at}/scan")
+    at = work_dir(spark, "packing")
+    scan = stored(encode(df, path, end_id, window, id_col, text_col, with_ids), f"{at}/scan")
     counts = add_counts(scan.where("counts is not null").select("counts"))
     encoded = scan.where("counts is null")
     n_docs, total = (int(counts[-2]), int(counts[-1])) if len(counts) > 1 else (0, 0)
@@ -314,16 +259,9 @@ def pack(df: DataFrame, path: str, end_id: int = 0, window: int = WINDOW, id_col
     average = max(1.0, min(window / 2, total / max(1, n_docs)))
     shared = spark.sparkContext.broadcast(idf.tobytes())  # four bytes for each id of the vocabulary
     rests = encoded.where(F.octet_length("rest") > 0).select(id_col, "doc_tokens", "rest", F.xxhash64("rest").alias("node"))
-    nodes = rests.groupBy("node").agg(F.first("rest").alias("rest"), F.count(F.lit(1)).alias("copies"))
-    nodes.write.parquet(f"{at}/nodes")
-    nodes = spark.read.schema(nodes.schema).parquet(f"{at}/nodes")
-    groups = grouped(nodes, max(1, -(-n_docs // block_rows)), shared, average, dtype, end_id, at, shard_rows)
-    # Rows of a group have one range key and stay in one partition, unless the group is large.
     n = max(1, -(-n_docs // (shard_rows * 8)))
-    order = ["near", "node", id_col, "doc_tokens"]
-    dealt = (rests.join(groups, "node").select(id_col, "doc_tokens", "rest", "label", "near", "node", "large")
-             .repartitionByRange(n, "label", *[F.when(F.col("large"), F.col(c)) for c in order])
-             .sortWithinPartitions("label", *order, "rest"))
+    order = ["cell", "node", id_col, "doc_tokens"]
+    dealt = ordered(rests, idf, average, dtype, f"{at}/rests").repartitionByRange(n, *order).sortWithinPartitions(*order)
     fields = schema_of(PIECE + ", ids binary")
     types = arrow_schema(fields)
 
@@ -348,18 +286,15 @@ def pack(df: DataFrame, path: str, end_id: int = 0, window: int = WINDOW, id_col
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), types, strict=True)],
                                               names=types.names)
 
-        last = None
         for batch in batches:
-            for doc, tokens, raw, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2),
-                                               batch.column(3).to_pylist(), strict=True):
-                if len(held) >= shard_rows and label != last or len(held) == 2 * shard_rows:
-                    yield shard()
-                last = label
+            for doc, tokens, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 held.append((doc, tokens, np.frombuffer(raw.as_buffer(), dtype)))
+                if len(held) == shard_rows:
+                    yield shard()
         if held:
             yield shard()
 
-    filled = dealt.select(id_col, "doc_tokens", "rest", "label").mapInArrow(fill, fields)
+    filled = dealt.select(id_col, "doc_tokens", "rest").mapInArrow(fill, fields)
     part = F.posexplode(F.arrays_zip("crcs", "windows") if with_ids else F.col("crcs")).alias("no", "part")
     long = encoded.where(F.size("crcs") > 0).select(id_col, "doc_tokens", *(["crcs", "windows"] if with_ids else ["crcs"])).select(
         id_col, "doc_tokens", part)

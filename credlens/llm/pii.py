@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from credlens.llm.common import bounded_sample, map_text
+from credlens.llm.common import bounded_sample, kept, map_text
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents the network is trained on at most, labelled spans used of them, and their windows.
@@ -77,7 +77,7 @@ def base_spans(text: str) -> list[Span]:
             stop = m.end()
         at = text.find("@", max(at + 1, stop))
     if _DIGIT.search(text):
-        out += [(*m.span(), 1) for m in _IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split("."))]
+        out += [(*m.span(), 1) for m in _IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p.lstrip("0") or "0") <= 255 for p in m[0].split("."))]
         for m in _CARD.finditer(text):
             if m.end() - m.start() >= 12:
                 d = _digits(m[0])
@@ -399,14 +399,11 @@ def _join(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, b, k in sorted(spans, key=lambda s: (s[0], s[2])))
 
 
-_NETS: dict[int, Network] = {}
-
-
 def _shared(net: Network | None) -> Network | None:
     """One copy of the weights per worker process."""
     if net is None:
         return None
-    return _NETS.setdefault(zlib.crc32(b"".join(a.tobytes() for a in net.p.values())), net)
+    return kept("net", zlib.crc32(b"".join(a.tobytes() for a in net.p.values())), lambda: net)
 
 
 OUT = "n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, n_added bigint"

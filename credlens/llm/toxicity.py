@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from credlens.llm.common import bounded_sample, held_out, map_text
+from credlens.llm.common import bounded_sample, held_out, kept, map_text
 
 #: Labelled rows the lexicon is fitted on at most.
 MAX_LABELLED = 3000
@@ -206,17 +206,13 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     return fit([t if isinstance(t, str) else "" for t in rows["text"]], [int(v > 0) for v in rows["toxic"]])
 
 
-_MATCHERS: dict[str, object] = {}
-
-
 def score_text(df: DataFrame, lexicon: Lexicon, text_col: str = "text", carry=("doc_id",), names=None) -> DataFrame:
     """``score`` (0 to 1) and ``predicted`` for every whole text; one pass, no shuffle."""
     key = str(hash((tuple(lexicon.entries), tuple(lexicon.exceptions))))
 
     def run(texts):
-        if key not in _MATCHERS:
-            _MATCHERS[key] = lexicon.matcher()
-        x = np.array([evidence(t, _MATCHERS[key]) for t in texts])
+        matcher = kept("matcher", key, lexicon.matcher)
+        x = np.array([evidence(t, matcher) for t in texts])
         p = 1 / (1 + np.exp(-np.clip(lexicon.bias + x, -30, 30)))
         return {"score": p, "predicted": (p >= 0.5).astype(np.int32), "evidence": x}
 

@@ -311,3 +311,34 @@ def test_toxicity_odd_rows(spark):
     none = toxicity.train(odd_rows(spark), labels.limit(0))
     assert {w for w, _, _ in none.entries} == set(toxicity.SEEDS)
     assert toxicity.score_text(odd_rows(spark).limit(0), none).count() == 0
+
+
+def test_ip_parts_of_any_length():
+    zeros = "0" * 5000
+    assert pii.base_spans(f"at {zeros}1.2.3.{zeros}255 end") == [(3, 3 + 5000 + 1 + 5 + 5000 + 3, 1)]
+    assert pii.base_spans(f"{zeros}256.1.1.1") == [] and pii.base_spans("9" * 6000 + ".1.1.1") == []
+
+
+def test_words_of_long_runs_and_numerals():
+    a, b = "a" * 39 + "xyz" * 10, "a" * 39 + "ung" * 10
+    assert "".join(langid.words_of(a)) == a and max(map(len, langid.words_of(a))) == langid.LONGEST
+    assert langid.words_of(a) != langid.words_of(b)
+    assert langid.words_of("½ ² ① Ⅷ 12 _ ٣") == [] and langid.words_of("x½y") == ["x", "y"]
+    model = langid.fit(["der hund und die katze " * 5, "the dog and the cat " * 5], ["de", "en"])
+    # a text without spaces is decided by all its letters, not by its first ones
+    first = "".join(w for w in ("the dog and the cat " * 3).split())
+    marg = langid.tagger(model).marginals([langid.words_of(first + "q" * 100)])[0]
+    assert len(marg) == len(langid.words_of(first + "q" * 100)) >= 3
+
+
+def test_numerals_alone_have_no_language(spark):
+    model = langid.fit(["der hund und die katze " * 5, "the dog and the cat " * 5], ["de", "en"])
+    df = spark.createDataFrame([(1, "½ ② Ⅷ 7"), (2, "the dog")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in langid.predict(df, model).collect()}
+    assert got[1]["lang_pred"] == "und" and got[1]["score"] == 0.0 and got[2]["lang_pred"] == "en"
+
+
+def test_a_worker_keeps_one_thing():
+    from credlens.llm import common
+    assert common.kept("a", 1, lambda: "x") == "x" == common.kept("a", 1, lambda: "y")
+    assert common.kept("b", 1, lambda: "z") == "z" and list(common._KEPT) == [("b", 1)]
