@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from credlens.llm import jaccard, langid, packing, pii, toxicity
-from credlens.llm.common import documents, prepare, tokenizer_path
+from credlens.llm.common import documents, prepare, stored, tokenizer_path, work_dir
 from credlens.session import shared_dir, table
 
 #: A document stays if its main language has at least this share of its letters.
@@ -46,16 +46,20 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, similarity 0.8): that with
-    the smallest id, and of rows with this id the first by text.  Documents without words are no
-    duplicates.  Rows without an id cannot be named: one of each text stays."""
+    the smallest id (none: last), of equal ids the first by a hash of its text.  Documents without words are no
+    duplicates.  Rows are told apart by a key of their own, so rows of one id, or of none, are
+    compared like any others, and only near duplicates go."""
     prepare(spark)
-    groups = jaccard.jaccard_components(docs, words=5, num=80, den=100)
-    keep = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    rank = F.struct(F.coalesce("text", F.lit("")), *[c for c in docs.columns if c not in ("doc_id", "text")])
-    # The join has dealt the rows by id already: the aggregate adds no shuffle.
-    named = (docs.where("doc_id is not null").join(keep, "doc_id", "left_semi")
-             .groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), rank).alias("row")).select("row.*"))
-    return named.select(*docs.columns).unionByName(docs.where("doc_id is null").dropDuplicates(["text"]))
+    key, name = _names(docs, "key", "component")
+    # Stored, because every reading must see the same key.
+    keyed = stored(docs.withColumn(key, F.monotonically_increasing_id()), work_dir(spark, "pipeline-keys"))
+    groups = jaccard.jaccard_components(keyed.select(F.col(key).alias("doc_id"), "text"), words=5, num=80, den=100)
+    groups = groups.select(F.col("doc_id").alias(key), F.col("component_id").alias(name))
+    # A group's first row: its members are summed up before the shuffle, and no text moves but a hash.
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"), F.col(key).alias("key"))
+    first = (keyed.select(key, rank.alias("rank")).join(groups, key).groupBy(name).agg(F.min("rank").alias("rank"))
+             .select(F.col("rank.key").alias(key)))
+    return keyed.join(first, key, "left_semi").select(*docs.columns)
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
