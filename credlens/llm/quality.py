@@ -4,13 +4,14 @@ A text that repeats itself compresses far better than prose of its length, rando
 worse.  Each whole text and each fixed chunk of it, the tail included, is compressed with
 zstandard; a ratio (raw / compressed bytes) outside the band of its length class rejects the
 text.  The lower limits come from the ratios of the corpus' own texts that pass the base rules
-(word counts, repeated 3-word windows); fixed limits hold where there are too few of them.
+(word counts, repeated 3-word windows), by length; fixed limits hold below them.
 
 Hex below about 4 kB and random letters below about 2 kB compress as well as some prose of their
 length, and digits do at any length: no ratio tells them from prose, so they stay.
 
-Null and empty texts have no words: every count 0, ``base_failed`` true, ``kept`` false.
-Repeated rows are judged alike; extra input columns are ignored.
+Null and empty texts have no words: every count 0, ``base_failed`` true, ``kept`` false.  Long texts are
+judged whole and chunk by chunk.  Repeated rows are judged alike (there are no ties to break); extra
+input columns, whatever their names, are ignored; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -45,10 +46,10 @@ DOC_BANDS = (Band(0, 0.0, 6.0), Band(256, 1.15, 6.0), Band(512, 1.27, 6.0), Band
 CHUNK = 4096
 CHUNK_BAND = Band(CHUNK, 1.40, 8.0)
 MAX_BAD_CHUNKS = 0.1
-#: Classes of length in an octave; texts or chunks that a class needs for a limit of its own.
-CLASSES, MIN_TEXTS = 2, 50
-#: A lower limit lies so many times the distance from the median to the lowest tenth below the median.
-SPREADS = 4.0
+#: Classes of length in an octave; a shorter class counts so much less with each class between.
+CLASSES, FADE = 2, 0.25
+#: A lower limit lies so many times the distance from the median to the highest quarter below the median.
+SPREADS = 7.0
 #: The chunks' place among the length classes.
 CHUNKS = -1
 LEVEL = 3
@@ -130,12 +131,29 @@ def lower_limits(df: DataFrame, text_col: str = "text") -> dict[int, float]:
     one = F.array(F.struct(F.col("size_class").alias("of"), F.col("ratio").alias("ratio")))
     more = F.transform("chunks", lambda c: F.struct(F.lit(CHUNKS).cast("bigint").alias("of"), c.alias("ratio")))
     each = found.select(F.explode(F.concat(one, more)).alias("x")).select("x.*")
-    rows = each.groupBy("of").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("ratio", [0.1, 0.5]).alias("q")).collect()
-    own = {r["of"]: r["q"][1] - SPREADS * (r["q"][1] - r["q"][0]) for r in rows if r["n"] >= MIN_TEXTS}
-    # Ratios grow with length: a class of few texts takes the limit of the next shorter one.
-    low, limits = 0.0, {CHUNKS: own.get(CHUNKS, 0.0)}
+    rows = each.groupBy("of").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("ratio", [0.5, 0.75], 10_000).alias("q")).collect()
+    return smoothed({r["of"]: (r["n"], *r["q"]) for r in rows})
+
+
+def smoothed(classes: dict[int, tuple[int, float, float]]) -> dict[int, float]:
+    """Lower limits from (texts, median, upper quartile) of each length class.
+
+    Only the upper half tells the spread, one for all lengths: junk lies below, and while less than half
+    of the texts are junk it can neither widen the spread much nor pull a limit down to itself.  Ratios
+    grow with length: a class takes the mean of its own median and those of all shorter ones, weighted by
+    texts and fading with distance, so a thin class leans on its neighbour and none changes its rule
+    at some number of texts."""
+    limits = {CHUNKS: 0.0}
+    if CHUNKS in classes:
+        _, median, upper = classes[CHUNKS]
+        limits[CHUNKS] = median - SPREADS * (upper - median)
+    whole = [c for k, c in classes.items() if k != CHUNKS]
+    spread = sum(n * (upper - median) for n, median, upper in whole) / max(1, sum(n for n, _, _ in whole))
+    n = middle = 0.0
     for k in range(length_class(1 << 40)):
-        limits[k] = low = own.get(k, low)
+        own, median, _ = classes.get(k, (0, 0.0, 0.0))
+        n, middle = FADE * n + own, FADE * middle + own * median
+        limits[k] = middle / n - SPREADS * spread if n else 0.0
     return limits
 
 

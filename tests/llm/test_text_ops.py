@@ -247,6 +247,21 @@ def test_junk_is_rejected_and_clean_text_stays(spark):
         assert sum(planted["kept"]) <= 2
 
 
+def test_limits_hold_in_polluted_and_thin_classes(spark):
+    docs = [r["text"] for r in spark.read.parquet(f"{MID}/documents.parquet").where("length(text) between 1500 and 3000").select("text").collect()]
+    base64 = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    bad = [junk(base64, 1500 + 5 * i, i) for i in range(len(docs) // 2)]  # a third of all texts
+    rows = spark.createDataFrame([(t,) for t in docs + bad], "text string")
+    limits = quality.lower_limits(rows)
+    assert not any(quality.judge(bad, limits)["kept"])
+    kept = quality.judge(docs, limits)
+    assert sum(kept["kept"]) >= 0.97 * (len(docs) - sum(kept["base_failed"]))
+    # no number of texts switches the rule: a class of one, or of fifty, moves its limit a little
+    at = [quality.smoothed({20: (1000, 1.92, 1.95), 21: (n, 1.99, 2.02)})[21] for n in range(0, 400)]
+    assert max(b - a for a, b in zip(at, at[1:], strict=False)) < 0.001 and at == sorted(at)
+    assert quality.lower_limits(rows.limit(0))[20] == 0.0
+
+
 def test_op5_query(spark):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     rows = registry.op5_compression_bands(spark, SF).collect()
