@@ -1,87 +1,171 @@
 """Exact k-nearest-neighbour classification with distance weights (MLT-05).
 
-No cross join and no all-pairs step.  Reference vectors are grouped into
-cells around ``m`` pivots (a fixed, small number of reference vectors, kept
-as literals).  For a query ``q``:
-
-* an upper bound ``U_q`` on its k-th neighbour distance comes from the
-  triangle inequality over the ``k`` members of every cell nearest their
-  pivot: ``d(q, x) <= d(q, p_c) + d(p_c, x)`` -- pure array arithmetic on
-  ``m * k`` numbers, no join;
-* a cell can hold a neighbour only if ``d(q, p_c) - radius_c <= U_q``;
-* ``q`` is joined (equi-join on cell id) to the members of its candidate
-  cells only, exact distances are computed, and the top ``k`` per query is a
-  ``row_number() <= k`` window that Spark turns into a map-side group limit,
-  so at most ``k`` rows per query and partition cross the shuffle.
-
-The result is exact: pruning only discards cells that provably cannot hold
-one of the k nearest vectors.  Ties in distance are broken by id.
-Vote: weight 1/d; if any neighbour is at distance 0, those neighbours get
-weight 1 and the others 0; the class with the largest total weight wins,
-the smallest class on a tie.
-"""
+Reference vectors are dealt into cells around pivots (a fixed number of reference vectors).  Two passes:
 
-from __future__ import annotations
+1. a query looks at its nearest cells, as many as hold ``k`` vectors together: the k-th distance found
+   there is a true upper bound of its k-th neighbour's distance;
+2. by the triangle inequality a cell whose pivot is further than its radius plus that bound holds no
+   neighbour; the query looks at the other cells only.
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+A pass is a join on the cell: a cell's vectors are cut into blocks, and a block answers its queries by
+matrix products that pick candidates, whose distances are then computed exactly.  At most ``k`` rows
+per query and block come back.  A cell that holds most vectors is many blocks, so it is many tasks' work.
 
+The result is exact.  Ties in distance are broken by id.  Vote: weight 1/d; if any neighbour is at
+distance 0, those neighbours get weight 1 and the others 0; the class with the largest total weight
+wins, the smallest class on a tie.
+"""
 
-def _dist(a: Column, b: Column) -> Column:
-    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v))
+from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
-def knn_predict(queries: DataFrame, refs: DataFrame, k: int = 9, n_pivots: int = 16,
+from credlens.session import cut_lineage
+
+PIVOTS = 32
+#: Vectors of one block, and queries that one matrix product answers.
+BLOCK, QUERIES = 4096, 256
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(len(column), -1)
+
+
+def _with_pivots(df: DataFrame, pivots: np.ndarray, keep: str) -> DataFrame:
+    """Adds ``cell`` (nearest pivot), ``dc`` (its distance) and ``pd`` (distances of all pivots) to (id, v, keep)."""
+    sent = df.sparkSession.sparkContext.broadcast(pivots)
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            v = _matrix(batch.column(1))
+            d = np.sqrt(((v[:, None, :] - sent.value[None]) ** 2).sum(2))
+            cell = d.argmin(1)
+            cols = [*batch.columns, pa.array(cell, pa.int32()), pa.array(d[np.arange(len(d)), cell], pa.float64()), pa.array(list(d), pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(cols, names=[*batch.schema.names, "cell", "dc", "pd"])
+
+    kept = f", {keep} {df.schema[keep].dataType.simpleString()}" if keep else ""
+    return df.mapInArrow(run, f"id {df.schema['id'].dataType.simpleString()}, v array<double>{kept}, cell int, dc double, pd array<double>")
+
+
+def _nearest_in(v: np.ndarray, ids: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places, exact distances) of the ``k`` nearest rows of ``v`` to one query; ties by id."""
+    approx = (v * v).sum(1) - 2.0 * (v @ q) + q @ q
+    if len(approx) > k:
+        # products lose digits: everything near the k-th candidate is computed again
+        cut = np.partition(approx, k - 1)[k - 1] + 1e-7 * (1.0 + abs(q @ q))
+        places = np.flatnonzero(approx <= cut)
+    else:
+        places = np.arange(len(approx))
+    exact = np.sqrt(((v[places] - q) ** 2).sum(1))
+    order = np.lexsort((ids[places], exact))[:k]
+    return places[order], exact[order]
+
+
+def _look(asked: DataFrame, cells: DataFrame, sizes: DataFrame, k: int) -> DataFrame:
+    """(qid, rid, rlabel, d): per query and block of each asked cell, its nearest vectors.  ``asked``: (qid, v, cell)."""
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    refs = cells.join(F.broadcast(sizes), "cell").select(
+        "cell", F.pmod(F.xxhash64("id"), blocks).cast("int").alias("block"), F.lit(0).alias("kind"), "id", "v", F.col("label").cast("string").alias("label"))
+    queries = asked.join(F.broadcast(sizes), "cell").select(
+        "cell", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(1).alias("kind"), F.col("qid").alias("id"), "v",
+        F.lit(None).cast("string").alias("label"))
+    met = refs.unionByName(queries).repartition("cell", "block").sortWithinPartitions("cell", "block", "kind")
+    arrow = pa.schema([("qid", pa.int64()), ("rid", pa.int64()), ("rlabel", pa.string()), ("d", pa.float64())])
+
+    def run(batches):
+        key, held, block = None, [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            at = list(zip(*(batch.column(i).to_pylist() for i in range(3))))
+            ids, v, labels = batch.column(3).to_numpy(zero_copy_only=False), _matrix(batch.column(4)), batch.column(5).to_pylist()
+            out = []
+            for i, (cell, number, kind) in enumerate(at):
+                if (cell, number) != key:
+                    key, held, block = (cell, number), [], None
+                if kind == 0:
+                    held.append((ids[i], v[i], labels[i]))
+                    continue
+                if not held:
+                    continue
+                if block is None:
+                    block = np.array([h[0] for h in held], np.int64), np.stack([h[1] for h in held]), [h[2] for h in held]
+                places, d = _nearest_in(block[1], block[0], v[i], k)
+                out += [(int(ids[i]), int(block[0][p]), block[2][p], float(x)) for p, x in zip(places, d)]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
+
+    return met.mapInArrow(run, "qid bigint, rid bigint, rlabel string, d double")
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    w = Window.partitionBy("qid").orderBy(F.col("d").asc(), F.col("rid").asc())
+    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+class Cells:
+    """Reference vectors in cells, and the two passes of queries over them."""
+
+    def __init__(self, refs: DataFrame, n_pivots: int = PIVOTS):
+        """``refs``: (id, v, label)."""
+        # pivots: reference vectors chosen by hash of id (bounded)
+        rows = refs.orderBy(F.sha2(F.col("id").cast("string"), 256)).limit(n_pivots).select("v").collect()
+        self.pivots = np.array([r["v"] for r in rows], np.float64)
+        if not len(rows):
+            raise ValueError("no reference vectors")
+        self.cells = cut_lineage(_with_pivots(refs, self.pivots, "label").drop("pd"))
+        self.sizes = cut_lineage(self.cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("dc").alias("radius")))
+        # one row per cell, n_pivots at most
+        stats = {r["cell"]: (r["n"], r["radius"]) for r in self.sizes.collect()}
+        self.members = [stats.get(c, (0, 0.0))[0] for c in range(len(rows))]
+        self.radius = [float(stats.get(c, (0, 0.0))[1]) for c in range(len(rows))]
+
+    def first_cells(self, queries: DataFrame, k: int) -> DataFrame:
+        """(qid, v, pd, first): the nearest cells of each query that hold ``k`` vectors together (all, if fewer exist)."""
+        n = F.array(*[F.lit(m).cast("long") for m in self.members])
+        near = F.array_sort(F.transform("pd", lambda d, i: F.struct(d.alias("d"), i.alias("c"))))
+        order = F.filter(F.transform(near, lambda s: s["c"]), lambda c: F.get(n, c) > 0)
+        # a cell is asked while the cells before it hold fewer than k
+        before = F.transform(order, lambda c, i: F.aggregate(F.slice(order, 1, i), F.lit(0).cast("long"), lambda a, x: a + F.get(n, x)))
+        first = F.filter(F.zip_with(order, before, lambda c, b: F.when(b < k, c)), lambda c: c.isNotNull())
+        return _with_pivots(queries, self.pivots, "").select(F.col("id").alias("qid"), "v", "pd", first.alias("first"))
+
+    def further_cells(self, asked: DataFrame, bounds: DataFrame) -> DataFrame:
+        """(qid, v, cell) of the cells that may hold a nearer vector than the bound (qid, bound); no bound: all others."""
+        radius = F.array(*[F.lit(r) for r in self.radius])
+        some = [c for c, m in enumerate(self.members) if m]
+        every = F.array(*[F.lit(c) for c in some])
+        with_bound = asked.join(bounds, "qid", "left")
+        # a hair of slack: the bound and the pivot distances are rounded
+        may = lambda c: F.get("pd", c) - F.get(radius, c) <= F.coalesce("bound", F.lit(float("inf"))) * (1 + 1e-9) + 1e-9
+        left = F.filter(every, lambda c: ~F.array_contains("first", c) & may(c))
+        return with_bound.select("qid", "v", F.explode(left).alias("cell"))
+
+    def neighbours(self, queries: DataFrame, k: int) -> DataFrame:
+        """(qid, rid, rlabel, d, rank) of the k nearest reference vectors of each query (id, v)."""
+        asked = cut_lineage(self.first_cells(queries, k))
+        near = cut_lineage(_best(_look(asked.select("qid", "v", F.explode("first").alias("cell")), self.cells, self.sizes.select("cell", "n"), k), k))
+        bounds = near.filter(F.col("rank") == k).select("qid", F.col("d").alias("bound"))
+        more = _look(self.further_cells(asked, bounds), self.cells, self.sizes.select("cell", "n"), k)
+        return _best(near.drop("rank").unionByName(more), k)
+
+
+def knn_predict(queries: DataFrame, refs: DataFrame, k: int = 9, n_pivots: int = PIVOTS,
                 id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """Predicted label per query row: (id, pred)."""
-    q = queries.select(F.col(id_col).alias("qid"), F.col(vec_col).cast("array<double>").alias("qv"))
-    r = refs.select(F.col(id_col).alias("rid"), F.col(vec_col).cast("array<double>").alias("rv"),
-                    F.col(label_col).alias("rlabel"))
-
-    # pivots: n_pivots reference vectors chosen by hash of id (bounded, kept as literals)
-    piv_rows = (r.orderBy(F.sha2(F.col("rid").cast("string"), 256)).limit(n_pivots)
-                .select("rv").collect())
-    pivots = [list(map(float, row["rv"])) for row in piv_rows]
-    m = len(pivots)
-    piv_lit = F.array(*[F.array(*[F.lit(x) for x in p]) for p in pivots])
-
-    def pivot_dists(v: Column) -> Column:
-        return F.transform(piv_lit, lambda p: _dist(v, p))
-
-    rd = r.withColumn("pd", pivot_dists(F.col("rv")))
-    rd = rd.withColumn("cell", F.array_position(F.col("pd"), F.array_min(F.col("pd"))).cast("int") - 1)
-    rd = rd.withColumn("dc", F.element_at(F.col("pd"), F.col("cell") + 1)).drop("pd").persist()
-
-    # per cell: radius and the k smallest member-to-pivot distances (m * (k + 1) numbers)
-    w = Window.partitionBy("cell").orderBy(F.col("dc").asc(), F.col("rid").asc())
-    stats = (rd.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= k)
-             .groupBy("cell").agg(F.array_sort(F.collect_list("dc")).alias("near")))
-    radius = {row["cell"]: row["r"] for row in rd.groupBy("cell").agg(F.max("dc").alias("r")).collect()}
-    near = {row["cell"]: list(row["near"]) for row in stats.collect()}
-    rad_lit = F.array(*[F.lit(float(radius.get(c, 0.0))) for c in range(m)])
-    near_lit = F.array(*[F.array(*[F.lit(float(x)) for x in near.get(c, [])]).cast("array<double>")
-                         for c in range(m)])
-
-    qd = q.withColumn("pd", pivot_dists(F.col("qv")))
-    bounds = F.flatten(F.zip_with(F.col("pd"), near_lit,
-                                  lambda dq, arr: F.transform(arr, lambda dx: dq + dx)))
-    # fewer than k references in total: no finite bound, every cell is a candidate
-    qd = qd.withColumn("ub", F.coalesce(F.try_element_at(F.array_sort(bounds), F.lit(k)), F.lit(float("inf"))))
-    cand = F.filter(F.sequence(F.lit(0), F.lit(m - 1)),
-                    lambda c: F.element_at(F.col("pd"), c + 1) - F.element_at(rad_lit, c + 1) <= F.col("ub"))
-    qc = qd.select("qid", "qv", "ub", F.explode(cand).alias("cell"))
-
-    pairs = (qc.join(rd, "cell")
-             .withColumn("d", _dist(F.col("qv"), F.col("rv")))
-             .filter(F.col("d") <= F.col("ub")))
-    wq = Window.partitionBy("qid").orderBy(F.col("d").asc(), F.col("rid").asc())
-    nn = pairs.withColumn("rank", F.row_number().over(wq)).filter(F.col("rank") <= k)
-
-    zero_any = F.max((F.col("d") == 0).cast("int")).over(Window.partitionBy("qid"))
-    weighted = nn.withColumn("zero_any", zero_any).withColumn(
-        "wt", F.when(F.col("zero_any") == 1, F.when(F.col("d") == 0, 1.0).otherwise(0.0))
-        .otherwise(1.0 / F.col("d")))
-    votes = weighted.groupBy("qid", "rlabel").agg(F.sum("wt").alias("score"))
-    best = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("rlabel").asc())
-    return (votes.withColumn("r", F.row_number().over(best)).filter(F.col("r") == 1)
-            .select(F.col("qid").alias(id_col), F.col("rlabel").alias("pred")))
+    r = refs.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"), F.col(label_col).alias("label"))
+    q = queries.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
+    nn = Cells(r, n_pivots).neighbours(q, k)
+    label_type = refs.schema[label_col].dataType
+    per = nn.groupBy("qid").agg(F.min("d").alias("nearest"))
+    weight = F.when(F.col("nearest") == 0, (F.col("d") == 0).cast("double")).otherwise(1.0 / F.col("d"))
+    votes = nn.join(per, "qid").groupBy("qid", F.col("rlabel").cast(label_type).alias("rlabel")).agg(F.sum(weight).alias("score"))
+    # of equal scores the smallest class
+    top = votes.groupBy("qid").agg(F.min(F.struct((-F.col("score")).alias("s"), "rlabel")).alias("best"))
+    return top.select(F.col("qid").cast(queries.schema[id_col].dataType).alias(id_col), F.col("best.rlabel").alias("pred"))

@@ -54,13 +54,19 @@ def sentence_keys(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return s.select(id_col, F.sha2(tx.sentence_normalise(F.col("s")), 256).alias("key")).distinct()
 
 
+def shared_sentences(docs: DataFrame, refs: DataFrame, doc_id: str = "doc_id", ref_id: str = "item_id",
+                     text: str = "text") -> DataFrame:
+    """(doc_id, item_id, n_shared) of every document and reference that share a sentence."""
+    dk = sentence_keys(docs, doc_id, text)
+    rk = sentence_keys(refs, ref_id, text)
+    return dk.join(rk, "key").groupBy(doc_id, ref_id).agg(F.count(F.lit(1)).alias("n_shared"))
+
+
 def pair_with_reference(docs: DataFrame, refs: DataFrame, doc_id: str = "doc_id", ref_id: str = "item_id",
                         text: str = "text") -> DataFrame:
     """JON-06: (doc_id, item_id, n_shared) for every document -- the reference sharing most
     sentences; a document that shares none has a null reference and 0."""
-    dk = sentence_keys(docs, doc_id, text)
-    rk = sentence_keys(refs, ref_id, text)
-    shared = dk.join(rk, "key").groupBy(doc_id, ref_id).agg(F.count(F.lit(1)).alias("n_shared"))
+    shared = shared_sentences(docs, refs, doc_id, ref_id, text)
     w = Window.partitionBy(doc_id).orderBy(F.col("n_shared").desc(), F.col(ref_id).asc())
     best = shared.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1).drop("_r")
     return docs.select(doc_id).join(best, doc_id, "left").select(

@@ -1060,3 +1060,72 @@ ORACLES["replay_retrain"] = _with(_M + f""",
 SELECT 'before' AS phase, (SELECT count(*) FROM docs_before WHERE split = 'train')::BIGINT AS n_train, {_JUDGED} FROM scored WHERE split = 'test'
 UNION ALL
 SELECT 'after', (SELECT count(*) FROM docs_after WHERE split = 'train')::BIGINT, {_JUDGED} FROM scored_after WHERE split = 'test'""")
+
+
+# --- STR-09: epochs over chunks ------------------------------------------------------------------
+def chunk_steps(n_chunks: int, n_epochs: int, eta: float = 1.0, alpha: float = 1e-4) -> str:
+    """One online step per chunk and epoch; last CTE ``cw``."""
+    out = [f"""crows AS MATERIALIZED (SELECT doc_id, label, {hash_key_sql('doc_id::VARCHAR', 'chunk:')} % {n_chunks} AS chunk FROM train),
+    cx AS MATERIALIZED (SELECT h.doc_id, h.feature, h.value FROM hybrid h JOIN crows c ON c.doc_id = h.doc_id),
+    cw0 AS (SELECT feature, 0.0::DOUBLE AS w FROM (SELECT DISTINCT feature FROM cx UNION ALL SELECT '__bias__'))"""]
+    for k in range(n_chunks * n_epochs):
+        out.append(f"""cr{k} AS MATERIALIZED (
+      SELECT x.doc_id, 1.0::DOUBLE / (1.0::DOUBLE + exp(-(sum(x.value * w.w) + (SELECT w FROM cw{k} WHERE feature = '__bias__')))) - any_value(c.label) AS r
+      FROM cx x JOIN cw{k} w ON w.feature = x.feature JOIN crows c ON c.doc_id = x.doc_id AND c.chunk = {k % n_chunks} GROUP BY x.doc_id),
+    cg{k} AS (
+      SELECT x.feature, sum(r.r * x.value) / (SELECT count(*) FROM cr{k}) AS g FROM cx x JOIN cr{k} r ON r.doc_id = x.doc_id GROUP BY x.feature
+      UNION ALL SELECT '__bias__', sum(r) / count(*) FROM cr{k}),
+    cw{k + 1} AS MATERIALIZED (
+      SELECT w.feature, w.w - {dbl(eta)} * (coalesce(g.g, 0.0) + CASE WHEN w.feature = '__bias__' THEN 0.0 ELSE {dbl(alpha)} * w.w END) AS w
+      FROM cw{k} w LEFT JOIN cg{k} g ON g.feature = w.feature)""")
+    out.append(f"cw AS (SELECT * FROM cw{n_chunks * n_epochs})")
+    return ",\n    ".join(out)
+
+
+ORACLES["chunked_epochs"] = _with2(_H, chunk_steps(3, 2), f"SELECT feature, {q6('w')} AS weight FROM cw")
+
+# --- JON-04, JON-06, RUL-01, RUL-02 with evidence, RUL-10 ------------------------------------------
+
+
+def _ev_hits(words) -> str:
+    return _distinct_word_hits("ct", words)
+
+
+def _sub_hits(col: str, words) -> str:
+    return " + ".join(f"(CASE WHEN contains({col}, {s(w)}) THEN 1 ELSE 0 END)" for w in words)
+
+
+ORACLES["evidence_audit"] = _with2(_M, f"""
+    dk AS ({_sentence_keys('docs', 'doc_id')}),
+    bk AS ({_sentence_keys('benchmark', 'item_id')}),
+    shared AS (SELECT d.doc_id, b.item_id, count(*) AS n FROM dk d JOIN bk b ON d.key = b.key GROUP BY 1, 2),
+    evid AS MATERIALIZED (
+      SELECT r.doc_id, r.rank, b.item_id, b.text AS snippet, lower({title_sql('b.text')} || ' ' || b.text) AS ct FROM (
+        SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, item_id) AS rank FROM shared) r
+      JOIN benchmark b ON b.item_id = r.item_id WHERE r.rank <= 3),
+    hits AS (
+      SELECT doc_id, count(*) AS n_results, sum({_ev_hits(lx.EVIDENCE_FAKE_SIGNALS)}) AS fake_hits, sum({_ev_hits(lx.EVIDENCE_REAL_SIGNALS)}) AS real_hits,
+        sum({_sub_hits('ct', lx.VERDICT_FAKE_SIGNALS)}) AS vf, sum({_sub_hits('ct', lx.VERDICT_REAL_SIGNALS)}) AS vr,
+        min(CASE WHEN length(trim(snippet)) > 100 THEN rank END) AS usable FROM evid GROUP BY doc_id),
+    e0 AS (
+      SELECT d.doc_id, sc.p_real * 100.0 AS ml, lower(d.text) AS lt, coalesce(h.n_results, 0) AS n_results, coalesce(h.fake_hits, 0) AS fh,
+        coalesce(h.real_hits, 0) AS rh, coalesce(h.vf, 0) AS vf, coalesce(h.vr, 0) AS vr, h.usable,
+        {_occurrences('lower(d.text)', lx.FAKE_INDICATORS)} AS n_ind, {_distinct_word_hits('lower(d.text)', lx.AI_CLICHES)} AS cl, {_burst('d.text')} AS var
+      FROM docs d JOIN scored sc ON sc.doc_id = d.doc_id LEFT JOIN hits h ON h.doc_id = d.doc_id),
+    e1 AS (
+      SELECT *, greatest(0.2, (100.0 - ml) / 100.0) AS cf2, greatest(0.1, (100.0 - ml) / 100.0) AS cf1 FROM e0),
+    e2 AS (
+      SELECT *, CASE WHEN n_results > 0 THEN
+          CASE WHEN fh > rh THEN greatest(5.0, ml - least(30.0, 8.0 * (fh - rh) * cf2)) WHEN rh > fh THEN least(98.0, ml + least(15.0, 4.0 * (rh - fh))) ELSE ml END
+        ELSE CASE WHEN {_SENS} THEN greatest(10.0, ml - 30.0 * cf2) ELSE ml END END AS h0 FROM e1),
+    e3 AS (SELECT *, CASE WHEN n_ind >= 2 THEN greatest(5.0, h0 - least(35.0, 8.0 * n_ind * cf1)) ELSE h0 END AS hybrid FROM e2),
+    e4 AS (
+      SELECT *, CASE WHEN {_ai_prob('cl', 'var')} > 0.65 AND n_results = 0
+        THEN greatest(5.0, hybrid - 12.0 * greatest(0.1, (100.0 - hybrid) / 100.0)) ELSE hybrid END AS final FROM e3)""", f"""
+SELECT e.doc_id, (({_sub_hits('lt', lx.SENSATIONAL_WORDS)}) > 0 OR ml = 50.0) AS wants_evidence, n_results::BIGINT AS n_results, fh::BIGINT AS fake_hits, rh::BIGINT AS real_hits,
+  CASE WHEN vf > vr THEN 'FAKE / HOAX (Confirmed by live fact-checkers)' WHEN vr > vf THEN 'REAL / VERIFIED (Confirmed by live reports)'
+    ELSE 'INCONCLUSIVE (No definitive search signal)' END AS search_verdict, {q6('hybrid')} AS hybrid, {q6('final')} AS final,
+  'passage:' || v.item_id AS reference_url,
+  CASE WHEN 100.0 - final >= 50.0 THEN 'HIGH RISK MISINFORMATION' ELSE 'VERIFIED AUTHENTIC CONTEXT' END AS verdict,
+  CASE WHEN 100.0 - final >= 70.0 THEN 'HIGH' WHEN 100.0 - final >= 40.0 THEN 'MEDIUM' ELSE 'LOW' END AS risk
+FROM e4 e LEFT JOIN evid v ON v.doc_id = e.doc_id AND v.rank = e.usable""")

@@ -17,18 +17,18 @@ from credlens.functions import lexicons as _lx
 from credlens.functions import rules as rl
 from credlens.functions import stylometry as st
 from credlens.functions import text as tx
-from credlens.operators import audit, dedup, knn, linear, models, splits, trust
+from credlens.operators import audit, dedup, epochs, knn, linear, models, splits, trust
 from credlens.operators import evaluation as ev
 from credlens.operators import batchfit as bf
 from credlens.operators import learners as ml
 from credlens.operators import similarity as sim
 from credlens.operators import vocab as vc
-from credlens.plans import model_flow, replay
+from credlens.plans import audit_flow, model_flow, replay
 from credlens.session import cut_lineage, q6, shared_dir, table
 from credlens.sources import corpus
 from credlens.sources import pages as pg
 from credlens.sources import records as rec
-from credlens.streaming import headlines, selftrain
+from credlens.streaming import headlines, progress, selftrain
 
 
 def _articles(spark, sf_dir, labelled_only=False):
@@ -799,3 +799,49 @@ def replay_retrain(spark, sf_dir):
 
 
 QUERIES.update({"registry_scores": registry_scores, "replay_retrain": replay_retrain})
+
+
+# --- STR-09 / SRC-05: epochs over stored chunks ------------------------------------------------
+def chunked_epochs(spark, sf_dir, n_chunks: int = 3, n_epochs: int = 2):
+    """STR-09 / SRC-05: weights after two epochs over three stored chunks, one online step per chunk."""
+    f = model_flow.fit(spark, sf_dir)
+    path = shared_dir(spark, f"credlens/epochs/{uuid.uuid4().hex}")
+    train = f.docs.filter(F.col("split") == "train").select("doc_id", "label")
+    epochs.store_chunks(f.hybrid, train, n_chunks, path)
+    return epochs.train(spark, path, n_chunks, n_epochs).select("feature", q6(F.col("weight")).alias("weight"))
+
+
+# --- MLT-10 in a stream, AGG-22: latency and throughput -----------------------------------------
+def stream_progress(spark, sf_dir):
+    """AGG-22: every document decided by a stored model in a stream; rows and latency of each micro-batch as the
+    listener saw them, beside the rows that the batch wrote."""
+    f = model_flow.fit(spark, sf_dir)
+    base = shared_dir(spark, f"credlens/progress/{uuid.uuid4().hex}")
+    features = selftrain.FeatureModel(f.vocabulary, f.selected, f.stats, f.weights)
+    models.Registry(features, {"hybrid": [models.Member(weights=f.weights)]}).save(base + "/registry")
+    selftrain.stage_source(corpus.articles(spark, sf_dir), base + "/source")
+    with progress.ProgressLog(spark, base + "/progress"):
+        models.score_stream(spark, base + "/source", base + "/registry", base + "/sink", base + "/checkpoint").awaitTermination()
+    log = progress.batches(spark, base + "/progress")
+    written = spark.read.parquet(base + "/sink").groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_decided"), F.sum("pred").alias("n_real"))
+    return log.join(written.withColumn("batch_id", F.col("batch_id").cast("long")), "batch_id", "left").select(
+        "batch_id", "input_rows", "n_decided", "n_real", (F.col("trigger_ms") > 0).alias("timed"), (F.col("rows_per_second") > 0).alias("rated"))
+
+
+# --- JON-04, JON-06, RUL-01, RUL-02 with evidence, RUL-10 -----------------------------------------
+def evidence_audit(spark, sf_dir):
+    """E2 with evidence over every labelled article: benchmark passages that share a sentence with it are its
+    ranked evidence and its reference pages (the likeness of sentences is left to ``integrity_matches``)."""
+    f = model_flow.fit(spark, sf_dir)
+    articles = f.docs.select("doc_id", "title", "text").join(f.scored.select("doc_id", (F.col("p_real") * 100.0).alias("ml")), "doc_id")
+    passages = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    evidence = cut_lineage(audit_flow.passage_evidence(sim.shared_sentences(articles, passages), passages))
+    pages = evidence.select("url", F.col("snippet").alias("text")).distinct()
+    a = audit_flow.audit_with_evidence(articles.withColumn("url", F.lit("")), evidence, pages, check_sentences=False)
+    wanted = audit_flow.wants_evidence(articles).select("doc_id", F.lit(True).alias("wanted"))
+    return a.join(wanted, "doc_id", "left").select(
+        "doc_id", F.coalesce("wanted", F.lit(False)).alias("wants_evidence"), F.col("n_results").cast("long").alias("n_results"), "fake_hits",
+        "real_hits", "search_verdict", q6(F.col("hybrid")).alias("hybrid"), q6(F.col("final")).alias("final"), "reference_url", "verdict", "risk")
+
+
+QUERIES.update({"chunked_epochs": chunked_epochs, "stream_progress": stream_progress, "evidence_audit": evidence_audit})
