@@ -156,8 +156,3 @@ def with_dense_features(df: DataFrame, raw: str = "text", clean: str = "clean_te
     staged = staged.select("*", F.array_sort(F.col("_cw")).alias("_cws"))
     feats = dense_feature_columns(F.col("_raw"), F.col("_clean"), F.col("_title"), lex)
     return staged.select(*keep, *feats)
-
-
-def features_array(prefix: str = "") -> Column:
-    """The 32 features as ARRAY<DOUBLE> in feature order."""
-    return F.array(*[F.col(prefix + c) for c in FEATURE_COLUMNS])

@@ -37,18 +37,22 @@ def dedup_text(df: DataFrame, text: str = "text", order: str = "doc_id") -> Data
 
     The first row of each text is found on (hash, order) pairs alone, by a hash aggregate that
     sums up before it shuffles; the rows themselves then move once, by that pair."""
-    rows = df.filter(F.col(text).isNotNull()).withColumn("__kf_hash", F.unhex(F.sha2(F.col(text), 256)))
+    return _first_of(df.filter(F.col(text).isNotNull()), F.col(text), order)
+
+
+def _first_of(df: DataFrame, value: Column, order: str) -> DataFrame:
+    rows = df.withColumn("__kf_hash", F.unhex(F.sha2(value, 256)))
     first = rows.groupBy("__kf_hash").agg(F.min(order).alias(order))
     return rows.join(first, ["__kf_hash", order], "left_semi").dropDuplicates(["__kf_hash", order]).select(*df.columns)
 
 
 def dedup_title_text(df: DataFrame, title: str = "title", text: str = "text",
                      order: str = "doc_id") -> DataFrame:
-    """SET-02: de-dup on ``title + " " + text`` (before normalisation), then PRJ-05."""
+    """SET-02: de-dup on ``title + " " + text`` (before normalisation), then PRJ-05.  As for SET-01, the
+    first row is found on hashes, and only first rows are normalised."""
     combined = F.concat(F.coalesce(F.col(title), F.lit("")), F.lit(" "),
                         F.coalesce(F.col(text), F.lit("")))
-    out = keep_first(df.withColumn("combined_text", combined), "combined_text", order)
-    return out.withColumn("combined_text", tx.light_normalise(F.col("combined_text")))
+    return _first_of(df, combined, order).withColumn("combined_text", tx.light_normalise(combined))
 
 
 def replay_failures(corpus: DataFrame, failures: DataFrame) -> DataFrame:
@@ -63,7 +67,8 @@ def replay_failures(corpus: DataFrame, failures: DataFrame) -> DataFrame:
         F.when(F.col("true_label") == 1, F.lit("worldnews")).otherwise(F.lit("politics")).alias("subject"),
         F.col("true_label").cast("int").alias("label"),
     ).withColumn("_h", tx.content_hash(F.col("text")))
-    rows = keep_first(rows.withColumn("_o", F.col("_h")), "_h", "_o").drop("_o")
+    # of records with one text, the smallest by title and label stays
+    rows = keep_first(rows.withColumn("_o", F.struct("title", "label")), "_h", "_o").drop("_o")
     known = corpus.select(tx.content_hash(F.col("text")).alias("_h"))
     new = rows.join(known, "_h", "left_anti").drop("_h")
     return corpus.unionByName(new, allowMissingColumns=True)

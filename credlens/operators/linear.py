@@ -156,6 +156,15 @@ def top_shifts(old: DataFrame, new: DataFrame, k: int = 10) -> DataFrame:
     return j.orderBy(F.abs(F.col("shift")).desc(), F.col("feature").asc()).limit(k)
 
 
+def drift_and_shifts(old: dict[str, float], new: dict[str, float], k: int = 10) -> tuple[float, list[dict]]:
+    """AGG-19 and WIN-06 of two weight tables that were read already: drift rate, and the top ``k`` shifts."""
+    change = {f: new.get(f, 0.0) - old.get(f, 0.0) for f in old.keys() | new.keys()}
+    bias = abs(change.pop(BIAS, 0.0))
+    top = sorted(change, key=lambda f: (-abs(change[f]), f))[:k]
+    return (math.sqrt(math.fsum(d * d for d in change.values())) + bias,
+            [{"feature": f, "shift": change[f], "new_weight": new.get(f, 0.0)} for f in top])
+
+
 def top_coefficients(weights: DataFrame, k: int = 15) -> DataFrame:
     """WIN-04: the k most negative (fake) and k most positive (real) vocabulary weights."""
     vocab = weights.filter((F.col("feature") != BIAS) & ~F.col("feature").startswith(DENSE_PREFIX))
@@ -252,17 +261,12 @@ def training_subset(df: DataFrame, n: int = 5000, id_col: str = "doc_id", seed:
 def train_epochs(features: DataFrame, labels: DataFrame, n_batches: int, epochs: int,
                  weights: DataFrame | None = None, eta: float = 1.0, alpha: float = 1e-4,
                  doc_col: str = "doc_id") -> DataFrame:
-    """STR-09 / SRC-05: epochs x hash-assigned chunks of online steps.
+    """STR-09: epochs over chunks that are stored once, see :mod:`credlens.operators.epochs`."""
+    import uuid
 
-    Each step is a distributed aggregation; the small weight table is
-    checkpointed (reliably) after every step so the lineage stays short.
-    """
-    from credlens.session import cut_lineage
-    chunked = labels.withColumn("_b", F.pmod(F.xxhash64(F.col(doc_col)), F.lit(n_batches)))
-    w = weights
-    for _ in range(epochs):
-        for b in range(n_batches):
-            batch = chunked.filter(F.col("_b") == b).drop("_b")
-            w = cut_lineage(online_step(features.join(batch.select(doc_col), doc_col, "left_semi"), batch, w,
-                                        eta=eta, alpha=alpha, doc_col=doc_col))
-    return w
+    from credlens.operators import epochs as ep
+    from credlens.session import shared_dir
+    spark = features.sparkSession
+    path = shared_dir(spark, f"credlens/epochs/{uuid.uuid4().hex}")
+    ep.store_chunks(features.withColumnRenamed(doc_col, "doc_id"), labels.withColumnRenamed(doc_col, "doc_id"), n_batches, path)
+    return ep.train(spark, path, n_batches, epochs, weights, eta=eta, alpha=alpha)

@@ -1129,3 +1129,14 @@ SELECT e.doc_id, (({_sub_hits('lt', lx.SENSATIONAL_WORDS)}) > 0 OR ml = 50.0) AS
   CASE WHEN 100.0 - final >= 50.0 THEN 'HIGH RISK MISINFORMATION' ELSE 'VERIFIED AUTHENTIC CONTEXT' END AS verdict,
   CASE WHEN 100.0 - final >= 70.0 THEN 'HIGH' WHEN 100.0 - final >= 40.0 THEN 'MEDIUM' ELSE 'LOW' END AS risk
 FROM e4 e LEFT JOIN evid v ON v.doc_id = e.doc_id AND v.rank = e.usable""")
+
+
+# --- SRC-03, PAG-08/09 -----------------------------------------------------------------------------
+ORACLES["training_projection"] = _with(_M[:_M.index("    train AS (")], "SELECT clean AS clean_text, label::INTEGER AS label FROM docs")
+ORACLES["page_text_stats"] = f"""
+WITH p AS (SELECT page_id, regexp_replace(html, '<[^>]*>', ' ', 'g') AS text FROM pages),
+c AS (
+  SELECT page_id, text, len({py_split('text')}) AS w, greatest(1, length(text) - length(replace(replace(replace(text, '.', ''), '!', ''), '?', ''))) AS sentences
+  FROM (SELECT page_id, coalesce(text, '') AS text FROM p))
+SELECT page_id, w::BIGINT AS word_count, length(text)::BIGINT AS article_length,
+  {q6('greatest(0.5::DOUBLE, floor(w / 200.0::DOUBLE * 10 + 0.5) / 10)')} AS reading_time, CASE WHEN w < 50 OR sentences < 3 THEN 1 ELSE 0 END AS poor_quality FROM c"""

@@ -23,7 +23,7 @@ from credlens.operators import batchfit as bf
 from credlens.operators import learners as ml
 from credlens.operators import similarity as sim
 from credlens.operators import vocab as vc
-from credlens.plans import audit_flow, model_flow, replay
+from credlens.plans import audit_flow, model_flow, replay, reports
 from credlens.session import cut_lineage, q6, shared_dir, table
 from credlens.sources import corpus
 from credlens.sources import pages as pg
@@ -845,3 +845,37 @@ def evidence_audit(spark, sf_dir):
 
 
 QUERIES.update({"chunked_epochs": chunked_epochs, "stream_progress": stream_progress, "evidence_audit": evidence_audit})
+
+
+# --- SRC-03 + PRJ-02, PAG-08/09 ------------------------------------------------------------------
+def training_projection(spark, sf_dir):
+    """SRC-03: the (clean_text, label) projection of the labelled corpus, written by label and read back."""
+    path = shared_dir(spark, f"credlens/projection/{uuid.uuid4().hex}")
+    corpus.write_projection(model_flow.fit(spark, sf_dir).docs, path)
+    return spark.read.parquet(path).select("clean_text", F.col("label").cast("int").alias("label"))
+
+
+def page_text_stats(spark, sf_dir):
+    """PAG-08/09: word count, length, reading time and quality flag of every page's text without its tags."""
+    p = table(spark, sf_dir, "pages").select("page_id", F.regexp_replace("html", "<[^>]*>", " ").alias("text"), F.lit(None).cast("string").alias("error"))
+    return pg.with_page_stats(p).select("page_id", "word_count", "article_length", q6(F.col("reading_time")).alias("reading_time"),
+                                        F.col("poor_quality").cast("int").alias("poor_quality"))
+
+
+QUERIES.update({"training_projection": training_projection, "page_text_stats": page_text_stats})
+
+
+# --- SRC-12 ----------------------------------------------------------------------------------------
+def cross_source_report(spark, sf_dir):
+    """SRC-12: the Markdown report of the held-out sources, written to the shared folder and read back by line."""
+    path = shared_dir(spark, f"credlens/reports/{uuid.uuid4().hex}")
+    failures = cross_source_failures(spark, sf_dir).persist()
+    metrics = cross_source_eval(spark, sf_dir).filter(F.col("part") == "test")
+    counts = failures.groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+    samples = failures.orderBy("doc_id").select("doc_id", "source", "label", "p_real", "category", "rationale")
+    text = reports.generalisation_report(metrics) + "\n" + reports.failure_category_report(counts, samples)
+    reports.write_report(spark, text, path)
+    return spark.read.text(path).select(F.col("value").alias("line")).filter(F.col("line") != "")
+
+
+QUERIES["cross_source_report"] = cross_source_report

@@ -99,13 +99,14 @@ def write_corpus(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").partitionBy("label").format(fmt).save(path)
 
 
+def write_projection(df: DataFrame, path: str) -> None:
+    """SRC-03 + PRJ-02: the (clean_text, label) projection that trainers read, nulls filled, by label."""
+    fill_nulls(df.select("clean_text", "label")).write.mode("overwrite").partitionBy("label").parquet(path)
+
+
 def stage_report(df: DataFrame) -> DataFrame:
     """SRC-04: rows per label plus the total, as one small table."""
     per_label = df.groupBy("label").agg(F.count(F.lit(1)).alias("n_rows"))
     total = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(None).cast("int").alias("label"), "n_rows")
     return per_label.unionByName(total)
 
-
-def micro_batches(df: DataFrame, n_batches: int, key: str = "doc_id") -> DataFrame:
-    """SRC-05: assign each row to one of ``n_batches`` deterministic chunks."""
-    return df.withColumn("batch_id", F.pmod(F.xxhash64(F.col(key)), F.lit(n_batches)))

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from credlens.functions import rules as rl
 from credlens.operators import epochs, linear, splits
-from credlens.plans import audit_flow
+from credlens.plans import audit_flow, reports
 from credlens.session import shared_dir
-from credlens.streaming import progress
+from credlens.sources import corpus
+from credlens.streaming import progress, selftrain
 
 
 # ---- epochs -----------------------------------------------------------------------------------------
@@ -135,3 +136,53 @@ def test_every_failure_category(spark):
     got = [(r["c"], r["why"]) for r in df.withColumn("why", rl.failure_rationale(F.col("c"))).collect()]
     assert [c for c, _ in got] == ["health misinformation", "political misinformation", "satire / conspiracy", "clickbait", "general news bias", "general news bias"]
     assert len({w for _, w in got}) == 3 and all(w for _, w in got)
+
+
+# ---- weight log -------------------------------------------------------------------------------------
+
+def _weights(spark, **w):
+    return spark.createDataFrame(list(w.items()), "feature string, weight double")
+
+
+def test_weight_log_survives_an_update_that_was_not_written(spark):
+    path = shared_dir(spark, f"test-log-{os.getpid()}")
+    selftrain.write_weights(_weights(spark, a=1.0), path, 0, "initial")
+    assert selftrain.next_version(spark, path, "batch:0") == (0, 1)
+    selftrain._claim(spark, path, 1, "batch:0")  # the driver fails before the weights are there
+    assert selftrain.weight_log(spark, path) == {"initial": 0} and selftrain.latest_weights(spark, path).first()["weight"] == 1.0
+    assert selftrain.next_version(spark, path, "batch:0") == (0, 1)  # the batch again: its own version
+    assert selftrain.next_version(spark, path, "feedback:7") == (0, 2)  # another update meanwhile
+    selftrain.write_weights(_weights(spark, a=2.0), path, 2, "feedback:7")
+    assert selftrain.next_version(spark, path, "batch:0") == (2, 3)  # and it is not lost
+    selftrain.write_weights(_weights(spark, a=3.0), path, 3, "batch:0")
+    assert selftrain.next_version(spark, path, "batch:0") == (2, 3)  # written already: the same result again
+    assert selftrain.weight_log(spark, path) == {"initial": 0, "feedback:7": 2, "batch:0": 3}
+    assert selftrain.latest_weights(spark, path).first()["weight"] == 3.0
+
+
+def test_drift_and_shifts_equal_the_tables(spark):
+    old, new = {"a": 1.0, "b": -2.0, "gone": 0.5, linear.BIAS: 0.25}, {"a": 1.5, "b": -2.0, "new": -0.5, linear.BIAS: -0.5}
+    drift, shifts = linear.drift_and_shifts(old, new, 3)
+    t = [spark.createDataFrame(list(w.items()), "feature string, weight double") for w in (old, new)]
+    assert math.isclose(drift, linear.weight_drift(*t).first()[0])
+    assert shifts == [r.asDict() for r in linear.top_shifts(*t, 3).collect()]
+
+
+# ---- sinks ------------------------------------------------------------------------------------------
+
+def test_projection_fills_nulls(spark, tmp_path):
+    rows = spark.createDataFrame([("a b", 1, 5), (None, 0, 6), ("c", None, 7)], "clean_text string, label int, doc_id int")
+    corpus.write_projection(rows, str(tmp_path / "p"))
+    got = sorted((r["clean_text"], r["label"]) for r in spark.read.parquet(str(tmp_path / "p")).collect())
+    assert got == [("", 0), ("a b", 1), ("c", 0)]
+
+
+def test_reports_are_written_whole(spark, tmp_path):
+    summary = spark.createDataFrame([(0.8, 0.75, 1.0, 0.8571, 13 / 24, 0.5, 0.0, "PASS")],
+                                    "accuracy double, precision double, recall double, f1 double, roc_auc double, fpr double, fnr double, status string")
+    counts = spark.createDataFrame([("general news bias", 3), ("clickbait", 5)], "category string, n long")
+    text = reports.generalisation_report(summary) + "\n" + reports.failure_category_report(counts)
+    reports.write_report(spark, text, str(tmp_path / "r"))
+    assert "\n".join(r[0] for r in spark.read.text(str(tmp_path / "r")).collect()).strip() == text.strip()
+    assert "- **Accuracy**: 80.00%" in text and "- **ROC-AUC**: 0.5417" in text
+    assert text.index("| clickbait | 5 |") < text.index("| general news bias | 3 |")
