@@ -3,17 +3,20 @@
 The patterns give the base spans (e-mail, IPv4, payment card with Luhn check, international
 phone).  The network is trained in numpy on labelled spans: those of a bounded sample of
 documents, as they stand and rewritten in the ways people disguise them (``name [at] host [dot]
-tld``, ``1[.]2[.]3[.]4``, cards with dots, phones without the plus sign).  Texts are read in
-overlapping windows; each window is decoded by Viterbi, and the spans of all windows of a text
-are reconciled at once: the set of non-overlapping spans with the largest total weight, where a
-span cut by a window's edge weighs little.  What the patterns did not find already and what
-passes the check of its kind is added; base spans always stay.
+tld``, ``1[.]2[.]3[.]4``, cards with dots, phones without the plus sign), half of the addresses with
+made-up names and hosts of any length.  Texts are read in overlapping windows.  The windows of a text are
+reconciled globally: a place's tag scores are the mean over the windows that hold it, those
+near a window's edge weighing little, and windows that touch are decoded as one lattice by one Viterbi
+pass, so a span of any length is found whole wherever it lies.  What the patterns did not find
+already and what passes the check of its kind is added; base spans always stay.
 
 A span of any kind holds a digit, an at sign or a bracketed "at", so a window without one
 has no span and is not computed.  All windows of a text are looked at, never a prefix.
 
-Null and empty texts have no spans (digest of the empty string).  Without any labelled span the
-network adds nothing.  Repeated rows get equal results.
+Null and empty texts have no spans (digest of the empty string); long texts are decoded whole.  Without
+any labelled span the network adds nothing.  Repeated rows get equal results; of spans with one start (ties)
+the kinds come as listed.  An empty table gives no row.  Only the id and the text are read, so extra
+columns, whatever their names, do not matter.
 """
 
 from __future__ import annotations
@@ -32,8 +35,10 @@ from credlens.llm.common import bounded_sample, kept, map_text
 KINDS = ("email", "ip", "card", "phone")
 #: Documents the network is trained on at most, labelled spans used of them, and their windows.
 MAX_DOCUMENTS, MAX_SPANS = 1000, 900
+#: Characters of lattices decoded together.
+LATTICE = 400_000
 WINDOW, STRIDE = 96, 48
-HIDDEN, STEPS, BATCH, RATE = 16, 400, 64, 0.02
+HIDDEN, STEPS, BATCH, RATE = 16, 600, 64, 0.02
 CHARS = 128
 TAGS = 1 + 2 * len(KINDS)  # outside; begin and inside of each kind
 
@@ -45,6 +50,9 @@ _DIGIT = re.compile(r"[0-9]")
 _TRIGGER = re.compile(r"[0-9@]|[\[({] ?[aA][tT] ?[\])}]")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
+_HOST_CHARS = _LOCAL_CHARS - frozenset("._%+")
+_DIGITS = frozenset("0123456789")
+
 Span = tuple[int, int, int]  # start, end, kind
 
 
@@ -210,6 +218,39 @@ def viterbi(e: np.ndarray, trans: np.ndarray) -> np.ndarray:
     return out
 
 
+def lattice(parts: list[tuple[int, np.ndarray]], length: int) -> np.ndarray:
+    """Mean tag scores of ``length`` places from windows (start, scores); near its edges a window weighs little."""
+    total, weight = np.zeros((length, TAGS), np.float32), np.zeros((length, 1), np.float32)
+    for start, e in parts:
+        n = min(len(e), length - start)
+        place = np.arange(1, len(e) + 1, dtype=np.float32)
+        w = np.minimum(place, place[::-1])[:n, None]
+        total[start:start + n] += w * e[:n]
+        weight[start:start + n] += w
+    return total / weight
+
+
+def viterbi_all(lattices: list[np.ndarray], trans: np.ndarray) -> list[np.ndarray]:
+    """Best tags of lattices of different lengths; those of like length are decoded together."""
+    out: list = [None] * len(lattices)
+    order = sorted(range(len(lattices)), key=lambda i: len(lattices[i]))
+    at = 0
+    while at < len(order):
+        end, longest = at, 0
+        while end < len(order) and (end == at or len(lattices[order[end]]) * (end - at + 1) <= LATTICE):
+            longest = len(lattices[order[end]])
+            end += 1
+        # behind a lattice's end only "outside" is possible
+        e = np.full((end - at, longest, TAGS), -1e6, np.float32)
+        e[:, :, 0] = 0.0
+        for r, i in enumerate(order[at:end]):
+            e[r, :len(lattices[i])] = lattices[i]
+        for r, (i, tags) in enumerate(zip(order[at:end], viterbi(e, trans), strict=True)):
+            out[i] = tags[:len(lattices[i])]
+        at = end
+    return out
+
+
 def tags_of(length: int, spans: list[Span], start: int = 0) -> np.ndarray:
     y = np.zeros(length, np.int64)
     for a, b, kind in spans:
@@ -240,8 +281,10 @@ def disguise(value: str, kind: int, rng: np.random.Generator) -> str:
     form = int(rng.integers(3))
     if kind == 0:
         local, _, host = value.partition("@")
-        at = ("[at]", "(at)", " [at] ")[form]
-        return local + at + host.replace(".", (".", "[dot]", " [dot] ")[int(rng.integers(3))])
+        bracket = ("[{}]", "({})", "{{{}}}")[form]
+        gap, dots = (("", " ")[int(rng.integers(2))] for _ in range(2))
+        dot = (".", bracket.format("dot"), dots + bracket.format("dot") + dots)[int(rng.integers(3))]
+        return local + gap + bracket.format("at") + gap + host.replace(".", dot)
     if kind == 1:
         return value.replace(".", ("[.]", " . ", "(.)")[form])
     if kind == 2:
@@ -251,41 +294,65 @@ def disguise(value: str, kind: int, rng: np.random.Generator) -> str:
     return (f"({d[:3]}) {d[3:6]}-{d[6:]}", f"{d[:3]}-{d[3:6]}-{d[6:]}", f"{d[:3]}.{d[3:6]}.{d[6:]}")[form]
 
 
+_LETTERS = np.array(list("eeeeaaaiioourrnnttsslldcmphgbfvkjwyzxq"))
+
+
+def made_up(rng: np.random.Generator) -> str:
+    """An address with a name and a host of random length, with or without digits."""
+    def word(low, high):
+        return "".join(rng.choice(_LETTERS, int(rng.integers(low, high))))
+
+    local = (".", ".", "-", "_")[int(rng.integers(4))].join(word(2, 20) for _ in range(int(rng.integers(1, 4))))
+    if rng.random() < 0.3:
+        local += str(int(rng.integers(0, 2000)))
+    labels = ["-".join(word(2, 12) for _ in range(int(rng.integers(1, 3)))) for _ in range(int(rng.integers(1, 6)))]
+    return f"{local}@{'.'.join(labels)}.{word(2, 5)}"
+
+
+def example(text: str, span: Span, hidden: bool, rng: np.random.Generator) -> tuple[str, list[Span], int]:
+    """(whole text, its spans, start of a window that meets the span): a span as it stands or disguised."""
+    a, b, kind = span
+    lo = max(0, a - 2 * WINDOW)
+    if not hidden:
+        whole, spans = text, [(p + lo, q + lo, k) for p, q, k in base_spans(text[lo:b + 2 * WINDOW])]
+        at, size = a, b - a
+    else:
+        value = made_up(rng) if kind == 0 and rng.random() < 0.6 else text[a:b]
+        value = disguise(value, kind, rng)
+        before, after = (re.sub(r"[0-9@+]", "x", t) for t in (text[lo:a], text[b:b + 2 * WINDOW]))
+        whole, at, size = before + value + after, len(before), len(value)
+        spans = [(at, at + size, kind)]
+    # the window may cut the span at either side
+    start = int(rng.integers(max(0, at - WINDOW + 8), max(1, at + size - 8) + 1))
+    return whole, spans, max(0, min(start, len(whole) - 1))
+
+
 def fit(texts: list[str], seed: int = 11) -> Network | None:
     """Train on windows around the labelled spans of whole texts and on windows without any."""
     rng = np.random.default_rng(seed)
     found = [(t, s) for t in texts for s in base_spans(t)]
     if not found:
         return None
-    order = rng.permutation(len(found))[:MAX_SPANS]
+    order = rng.permutation(len(found))[:MAX_SPANS].tolist()
     xs, ys = [], []
-    for i in order.tolist() * 2:
-        text, (a, b, kind) = found[i]
-        lo = max(0, a - WINDOW)
-        if len(xs) < len(order):  # as it stands, with its neighbours
-            s = max(0, a - int(rng.integers(0, max(1, WINDOW - min(b - a, WINDOW - 1)))))
-            part, spans = text[s:s + WINDOW], [(p + lo, q + lo, k) for p, q, k in base_spans(text[lo:b + WINDOW])]
-        else:  # disguised
-            value = disguise(text[a:b], kind, rng)
-            before = re.sub(r"[0-9@+]", "x", text[lo:a])
-            after = re.sub(r"[0-9@+]", "x", text[b:b + WINDOW])
-            whole = before + value + after
-            at = len(before)
-            s = max(0, at - int(rng.integers(0, max(1, WINDOW - min(len(value), WINDOW - 1)))))
-            part, spans = whole[s:s + WINDOW], [(at, at + len(value), kind)]
+
+    def add(text, spans, start):
+        part = text[start:start + WINDOW]
         x = np.zeros(WINDOW, np.uint8)
         x[:len(part)] = char_ids(part)
         xs.append(x)
-        ys.append(tags_of(WINDOW, spans, s))
+        ys.append(tags_of(WINDOW, spans, start))
+
+    for hidden in (False, True, True, True):
+        for i in order:
+            add(*example(*found[i], hidden, rng))
+    addresses = [f for f in found if f[1][2] == 0] or found
+    for i in rng.integers(0, len(addresses), MAX_SPANS).tolist():  # addresses of every length and place
+        text, (a, b, _) = addresses[i]
+        add(*example(text, (a, b, 0), True, rng))
     for text in texts:  # digits that are no personal data, and plain prose
-        spans = base_spans(text)
         places = [m.start() for m in _TRIGGER.finditer(text)] or [0]
-        s = max(0, int(rng.choice(places)) - int(rng.integers(WINDOW)))
-        part = text[s:s + WINDOW]
-        x = np.zeros(WINDOW, np.uint8)
-        x[:len(part)] = char_ids(part)
-        xs.append(x)
-        ys.append(tags_of(WINDOW, spans, s))
+        add(text, base_spans(text), max(0, int(rng.choice(places)) - int(rng.integers(WINDOW))))
     x, y = np.array(xs), np.array(ys)
     net = Network.new()
     m = {k: np.zeros_like(v) for k, v in net.p.items()}
@@ -333,64 +400,58 @@ def plausible(value: str, kind: int) -> bool:
     return 9 <= len(d) <= 15 and _LOOSE_PHONE.fullmatch(value) is not None
 
 
-def reconcile(found: list[tuple[int, int, int, float]]) -> list[Span]:
-    """The non-overlapping spans of largest total weight (equal spans of several windows add up)."""
-    weight: dict[Span, float] = {}
-    for a, b, kind, w in found:
-        weight[a, b, kind] = weight.get((a, b, kind), 0.0) + w
-    spans = sorted(weight, key=lambda s: (s[1], s[0], s[2]))
-    ends = [s[1] for s in spans]
-    best, choice = [0.0], []
-    for i, s in enumerate(spans):
-        j = int(np.searchsorted(ends[:i], s[0], side="right"))
-        take = weight[s] + best[j]
-        choice.append((take > best[-1], j))
-        best.append(max(take, best[-1]))
-    out, i = [], len(spans)
-    while i:
-        take, j = choice[i - 1]
-        if take:
-            out.append(spans[i - 1])
-        i = j if take else i - 1
-    return out[::-1]
-
-
 def decode(texts: list[str], net: Network | None, at_once: int = 2048) -> list[list[Span]]:
-    """Reconciled spans of the network for whole texts."""
-    jobs, arrays = [], []
+    """Spans of the network for whole texts: windows that touch are one lattice."""
+    jobs, arrays, runs = [], [], []  # runs: (text, first window, windows)
     for i, t in enumerate(texts):
         places = {m.start() // STRIDE for m in _TRIGGER.finditer(t)} if net else ()
-        ids = char_ids(t) if places else None
-        arrays.append(ids)
-        for k in sorted({w for p in places for w in (p - 1, p) if w >= 0}):
+        arrays.append(char_ids(t) if places else None)
+        # a window before and one behind those that hold a trigger: the ends of a long span
+        for k in sorted({w for p in places for w in (p - 2, p - 1, p, p + 1) if w >= 0 and w * STRIDE < len(t)}):
+            if runs and runs[-1][0] == i and runs[-1][1] + runs[-1][2] == k:
+                runs[-1][2] += 1
+            else:
+                runs.append([i, k, 1])
             jobs.append((i, k * STRIDE))
-    found: list[list] = [[] for _ in texts]
+    scores = []
     for b in range(0, len(jobs), at_once):
         part = jobs[b:b + at_once]
         x = np.zeros((len(part), WINDOW), np.uint8)
         for r, (i, s) in enumerate(part):
             own = arrays[i][s:s + WINDOW]
             x[r, :len(own)] = own
-        tags = viterbi(net.emissions(x), net.p["t"])
-        for r in np.flatnonzero(tags.any(axis=1)).tolist():
-            i, s = part[r]
-            n = len(arrays[i])
-            for a, e, kind in spans_of(tags[r]):
-                cut = (a == 0 and s > 0) or (e == WINDOW and s + e < n)
-                if s + a < n:
-                    found[i].append((s + a, min(s + e, n), kind, (0.1 if cut else 1.0) * (e - a)))
-    return [reconcile(f) if f else [] for f in found]
+        scores += list(net.emissions(x))
+    at, lattices = 0, []
+    for i, first, n in runs:
+        length = min((n - 1) * STRIDE + WINDOW, len(arrays[i]) - first * STRIDE)
+        lattices.append(lattice([(j * STRIDE, scores[at + j]) for j in range(n)], length))
+        at += n
+    found: list[list[Span]] = [[] for _ in texts]
+    for (i, first, _), tags in zip(runs, viterbi_all(lattices, net.p["t"]) if runs else (), strict=True):
+        if tags.any():
+            found[i] += [(first * STRIDE + a, first * STRIDE + e, kind) for a, e, kind in spans_of(tags)]
+    return found
 
 
 def added_spans(text: str, base: list[Span], decoded: list[Span]) -> list[Span]:
-    """Decoded spans that no base span touches and that pass the check of their kind."""
+    """Decoded spans that no base span touches and that pass the check of their kind, or else of another."""
     out = []
     for a, b, kind in decoded:
         while a < b and text[a].isspace():
             a += 1
         while b > a and (text[b - 1].isspace() or text[b - 1] in ".,;:"):
             b -= 1
-        if not any(a < q and p < b for p, q, _ in base) and plausible(text[a:b], kind):
+        # no part of a word or number stays outside
+        left, right = (_LOCAL_CHARS, _HOST_CHARS) if kind == 0 else (_DIGITS, _DIGITS)
+        while 0 < a < b and text[a - 1] in left:
+            a -= 1
+        while a < b < len(text) and text[b] in right:
+            b += 1
+        if any(a < q and p < b for p, q, _ in base):
+            continue
+        # a card in dots may look like an address to the network: the checks tell the kind
+        kind = next((k for k in (kind, *range(len(KINDS))) if plausible(text[a:b], k)), None)
+        if kind is not None:
             out.append((a, b, kind))
     return out
 

@@ -80,22 +80,57 @@ def test_viterbi_is_the_best_path():
         assert got[n].tolist() == paths[int(np.argmax(score))].tolist()
 
 
-def test_reconcile_takes_the_heaviest_set():
-    random.seed(2)
-    for _ in range(200):
-        spans = [(a, a + random.randint(1, 6), random.randint(0, 1), random.choice([0.1, 1, 2, 3.5]))
-                 for a in (random.randint(0, 15) for _ in range(random.randint(0, 7)))]
-        got = pii.reconcile(spans)
-        assert all(x[1] <= y[0] for x, y in zip(got, got[1:], strict=False))
-        weight = Counter()
-        for a, b, k, w in spans:
-            weight[a, b, k] += w
-        best, keys = 0.0, list(weight)
-        for mask in range(1 << len(keys)):
-            own = sorted(k for i, k in enumerate(keys) if mask >> i & 1)
-            if all(x[1] <= y[0] for x, y in zip(own, own[1:], strict=False)):
-                best = max(best, sum(weight[k] for k in own))
-        assert abs(sum(weight[s] for s in got) - best) < 1e-9
+def test_windows_are_reconciled_in_one_lattice():
+    r = np.random.default_rng(3)
+    parts = [(0, r.normal(size=(8, pii.TAGS))), (4, r.normal(size=(8, pii.TAGS))), (8, r.normal(size=(8, pii.TAGS)))]
+    got = pii.lattice(parts, 14)
+    near = [1, 2, 3, 4, 4, 3, 2, 1]
+    for i in range(14):
+        own = [(near[i - s], e[i - s]) for s, e in parts if 0 <= i - s < 8]
+        assert np.allclose(got[i], sum(w * e for w, e in own) / sum(w for w, _ in own), atol=1e-5)
+    trans = r.normal(size=(pii.TAGS, pii.TAGS)).astype(np.float32)
+    several = [r.normal(size=(n, pii.TAGS)).astype(np.float32) * 5 for n in (3, 14, 1, 9, 9)]
+    for tags, e in zip(pii.viterbi_all(several, trans), several, strict=True):
+        assert len(tags) == len(e)
+        # the best path whose end is followed by "outside", as that of every padded lattice is
+        longest = max(map(len, several))
+        alone = np.concatenate([e, np.full((longest - len(e), pii.TAGS), -1e6, np.float32)])
+        alone[len(e):, 0] = 0
+        assert tags.tolist() == pii.viterbi(alone[None], trans)[0][:len(e)].tolist()
+
+
+def trained_on_some(spark):
+    texts = [r["text"] for r in spark.read.parquet(f"{MID}/documents.parquet").where("text rlike '[0-9@]'").orderBy("doc_id").collect()]
+    return pii.fit(texts)
+
+
+def test_disguised_spans_are_found_whole_wherever_they_lie(spark):
+    """Names and hosts that no document holds, with and without digits, 20 to 120 characters, at every offset of a window."""
+    net = trained_on_some(spark)
+    plain = [r["text"] for r in spark.read.parquet(f"{MID}/documents.parquet").where("length(text) > 1500 and not text rlike '[0-9@]'").orderBy("doc_id").limit(40).collect()]
+    values = ["jane.roe [at] mail [dot] net", "max.muster(at)firma-nord.de", "hein.19 [at] mail5 [dot] example [dot] com",
+              "firstname.middlename.lastname [at] department [dot] university [dot] edu",
+              "averylongfirstname.averylongsurname [at] institute [dot] of [dot] technology [dot] somewhere [dot] org",
+              "firstname.secondname.thirdname.lastname [at] laboratory [dot] faculty [dot] university [dot] country [dot] edu"]
+    for value in values:
+        whole = cut = 0
+        for offset in range(pii.WINDOW):
+            own = plain[offset % len(plain)]
+            before = own[100:200 + offset].replace("\n", " ").rstrip() + " "
+            text = before + value + " " + own[700:900]
+            found = pii.added_spans(text, pii.base_spans(text), pii.decode([text], net)[0])
+            mine = [s[:2] for s in found if s[0] < len(before) + len(value) and s[1] > len(before)]
+            whole += mine == [(len(before), len(before) + len(value))]
+            cut += bool(mine) and mine != [(len(before), len(before) + len(value))]
+        assert whole >= 0.9 * pii.WINDOW and cut <= 0.05 * pii.WINDOW, (value, whole, cut)
+    # clean prose stays as it is
+    assert sum(len(pii.added_spans(t, pii.base_spans(t), d)) for t, d in zip(plain, pii.decode(plain, net), strict=True)) == 0
+
+
+def test_very_long_runs_of_digits_are_decoded(spark):
+    net = trained_on_some(spark)
+    text = "1 2 3 " * 20_000 + "jane.roe [at] mail [dot] net"
+    assert len(pii.decode([text, "", "x"], net)) == 3
 
 
 def test_op1_query_and_held_out_disguises(spark):
