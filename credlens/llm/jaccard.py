@@ -18,14 +18,20 @@ for each range of sizes, and linked ones become components; then the whole rows
 multiplied, block by block, where different components meet.  Nothing is capped: a link inside a
 component is implied, every other pair is counted.
 
-Only links between components are looked for after that, so the result is the components.  Null
-and empty texts, and texts without words, have no shingles and link with nothing.  Repeated rows
-are one node.  Rows with a null id take part; a component that only has null ids has a null
-component id.
+Only links between components are looked for after that, which gives the components.  The number of
+each document's links is counted then: pair by pair for nodes without a hot column, and by
+blocks of like size for the others, inside their component, where all their links lie.
+
+Null and empty texts, and texts without words, have no shingles and link with nothing.  Repeated rows
+are one node and link with each other.  Rows with a null id take part; a component that only has null ids
+has a null component id.  Ties cannot occur: a component's id is its smallest.  Long texts are rows of
+many columns.  An empty table gives an empty result.  Only ``doc_id`` and ``text`` are read, so extra columns
+do not matter.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
 import zlib
 
@@ -51,6 +57,8 @@ COUNTER_BITS = 22
 NEED_BITS = 23
 #: Pairs with one row on a side that one task compares; more are salted.
 FAN = 2000
+#: A key of more than one in so many rows is joined by broadcast; there are fewer of them than this number.
+HEAVY = 1000
 
 _LONG = 64
 _SPACE = np.zeros(256, bool)
@@ -448,25 +456,122 @@ class _Join:
 
         return groups.select("column", "a", "b", "block", "node", "shingles").mapInArrow(run, fields)
 
+    def degrees(self, t: dict[str, DataFrame]) -> DataFrame:
+        """(node, n_links): links of each node to other nodes, a node of several documents counted as often.
+
+        A pair with a node that has no hot column shares a cold one, so it is among the links
+        found pair by pair.  Two nodes with hot columns link only inside one component: there they
+        are dealt into blocks of like size, and the product of two blocks gives each node the
+        number of its links, never a row for a pair.  So each pair is counted in one place."""
+        copies = t["nodes"].select("node", "copies")
+        hot = self.keep(t["hot"].select("node", "size").distinct(), "hot-nodes")
+        flag = [hot.select(F.col("node").alias(side), F.lit(True).alias(f"hot_{side}")) for side in ("x", "y")]
+        cold = t["links"].join(flag[0], "x", "left").join(flag[1], "y", "left").where("hot_x is null or hot_y is null")
+        ends = cold.select(F.col("x").alias("to"), F.col("y").alias("node")).union(cold.select("y", "x"))
+        partial = ends.join(copies, "node").groupBy(F.col("to").alias("node")).agg(F.sum("copies").alias("n_links"))
+        inside = hot.join(t["labels"], "node").join(copies, "node")
+        partial = partial.unionByName(self.inner_degrees(inside, t["sets"]))
+        return self.keep(partial.groupBy("node").agg(F.sum("n_links").alias("n_links")), "degrees")
+
+    def inner_degrees(self, inside: DataFrame, sets: DataFrame) -> DataFrame:
+        """(node, n_links) in parts: links between the nodes (``node, size, label, copies``) of one label.
+
+        Blocks hold nodes of one size class; a class is as wide as the similarity lets sizes
+        differ, so only blocks of one class or of two adjacent ones are multiplied."""
+        bound = self.bound
+        # A little wider than the widest ratio: rounding must not part two sizes by two classes.
+        width = max(math.log(bound.den / bound.num) * (1 + 1e-9), 1e-9)
+        inside = inside.withColumn("class", F.struct("label", F.floor(F.log("size") / width).alias("k")))
+        blocks = self.keep(inside.groupBy("class").agg(F.count(F.lit(1)).alias("n"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("own")), "blocks")
+        beside = [blocks.select(F.struct("class.label", (F.col("class.k") - step).alias("k")).alias("class"), F.col("own").alias(name))
+                  for step, name in ((-1, "below"), (1, "above"))]
+        blocks = self.keep(blocks.join(beside[0], "class", "left").join(beside[1], "class", "left").fillna(0, ["below", "above"]), "beside")
+        dealt = spread_join(inside, blocks, "class", "n").withColumn("block", F.pmod(F.xxhash64("node"), F.col("own")).cast("int"))
+
+        def each(count):
+            return F.when(F.col(count) > 0, F.sequence(F.lit(0), F.col(count) - 1)).otherwise(F.array().cast("array<int>"))
+
+        here, k = F.col("block"), F.col("class.k")
+        partners = F.concat(
+            F.transform(each("own"), lambda b: F.struct(k.alias("ka"), F.least(here, b).alias("a"), k.alias("kb"), F.greatest(here, b).alias("b"))),
+            F.transform(each("above"), lambda b: F.struct(k.alias("ka"), here.alias("a"), (k + 1).alias("kb"), b.alias("b"))),
+            F.transform(each("below"), lambda b: F.struct((k - 1).alias("ka"), b.alias("a"), k.alias("kb"), here.alias("b"))))
+        keys = ["label", "ka", "a", "kb", "b"]
+        spread = dealt.withColumn("pair", F.explode(partners)).select(
+            "label", "pair.*", "node", "copies", ((F.col("pair.ka") == k) & (F.col("pair.a") == here)).alias("first"))
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))  # stated: products are small rows and much work
+        groups = spread.join(sets, "node").repartition(tasks, *keys).sortWithinPartitions(*keys, "node")
+        fields = schema_of("node bigint, n_links bigint")
+        types = arrow_schema(fields)
 
-def overlaps_reach(rows: list[np.ndarray], blocks: np.ndarray, bound: Bound, width: int = 4096) -> np.ndarray:
-    """Which rows link, as a matrix, by the product of the incidence matrix with itself.
+        def run(batches):
+            held: list[tuple] = []
+            key = None
 
-    Only columns that two rows share matter; they are multiplied ``width`` at a time.  Rows of one
-    block are compared with each other only where there is no second block."""
-    n, sizes = len(rows), np.array([len(r) for r in rows])
+            def product():
+                nodes, copies, side, rows = zip(*held, strict=True)
+                # Both blocks of a pair, or a block with itself.
+                diagonal = key[1:3] == key[3:5]
+                return _arrays(types, node=nodes, n_links=links_of(list(rows), np.array(copies), None if diagonal else np.array(side), bound))
+
+            for batch in batches:
+                rows = zip(zip(*[batch.column(c).to_pylist() for c in keys], strict=True),
+                           *[batch.column(c).to_pylist() for c in ("node", "copies", "first")], batch.column("shingles"), strict=True)
+                for now, node, copies, side, raw in rows:
+                    if now != key:
+                        if held:
+                            yield product()
+                        key, held = now, []
+                    held.append((node, copies, side, np.frombuffer(raw.as_buffer(), np.uint64).copy()))
+            if held:
+                yield product()
+
+        return groups.select(*keys, "node", "copies", "first", "shingles").mapInArrow(run, fields)
+
+
+def incidence(rows: list[np.ndarray], width: int = 4096):
+    """The rows' incidence matrix, ``width`` columns at a time; only columns that two rows share."""
     columns, at, count = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(n), sizes)
+    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     place = np.cumsum(count > 1) - 1
     keep = count[at] > 1
     owner, place = owner[keep], place[at[keep]]
     order = np.argsort(place, kind="stable")
     owner, place = owner[order], place[order]
-    total = np.zeros((n, n), np.float32)
     for c in range(0, int((count > 1).sum()), width):
         a, b = np.searchsorted(place, [c, c + width])
-        m = np.zeros((n, width), np.float32)
+        m = np.zeros((len(rows), width), np.float32)
         m[owner[a:b], place[a:b] - c] = 1
+        yield m
+
+
+def links_of(rows: list[np.ndarray], weights: np.ndarray, first: np.ndarray | None, bound: Bound) -> np.ndarray:
+    """Sum of the weights of the rows that each row links with: of all others, or of those on the other
+    side where ``first`` tells the two sides apart."""
+    sizes = np.array([len(r) for r in rows])
+    left = right = np.arange(len(rows))
+    if first is not None:
+        left, right = np.flatnonzero(first), np.flatnonzero(~first)
+    total = np.zeros((len(left), len(right)), np.float32)
+    for m in incidence(rows):
+        total += m[left] @ m[right].T
+    linked = total >= bound.overlap(sizes[left][:, None], sizes[right][None, :])
+    if first is None:
+        np.fill_diagonal(linked, False)
+        return linked @ weights
+    out = np.zeros(len(rows), np.int64)
+    out[left], out[right] = linked @ weights[right], linked.T @ weights[left]
+    return out
+
+
+def overlaps_reach(rows: list[np.ndarray], blocks: np.ndarray, bound: Bound, width: int = 4096) -> np.ndarray:
+    """Which rows link, as a matrix, by the product of the incidence matrix with itself.
+
+    Only columns that two rows share matter; they are multiplied ``width`` at a time.  Rows of one
+    block are compared with each other only where there is no second block."""
+    n, sizes = len(rows), np.array([len(r) for r in rows])
+    total = np.zeros((n, n), np.float32)
+    for m in incidence(rows, width):
         total += m @ m.T
     linked = total >= bound.overlap(sizes[:, None], sizes[None, :])
     if blocks.min() != blocks.max():
@@ -492,12 +597,11 @@ def forest(linked: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id`` (the smallest doc_id reachable by links of a
-    Jaccard similarity of at least ``num / den`` over distinct word shingles)."""
+def _joined(docs: DataFrame, words: int, num: int, den: int) -> tuple[_Join, dict[str, DataFrame]]:
+    """The join's tables: members (a row per document), nodes, hot columns, rows, links and labels."""
     j = _Join(docs.select("doc_id", "text"), words, num, den)
     members, counts = j.scan()
-    nodes = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    nodes = j.keep(members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")), "nodes")
     products = j.keep(j.products(j.columns(j.frequencies(counts))), "products")
     hot = products.where("kind = 1").select("column", F.col("x").alias("node"), F.col("sx").alias("size"))
     counted = j.keep(j.counted(products.where("kind = 0")), "counted")
@@ -513,10 +617,46 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
     links = j.keep(j.links(pairs, sets), "links")
     labels = components(links, f"{j.at}/components")
     if not hot.isEmpty():
-        links = j.keep(links.union(j.hot_links(hot, labels, sets)), "all-links")
-        labels = components(links, f"{j.at}/components-2")
-    placed = members.join(labels, "node", "left").withColumn("class", F.coalesce("label", "node"))
-    lowest = placed.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("component_id"))
-    return placed.join(lowest, "class", "left").select(
-        "doc_id", F.col("size").alias("n_shingles"),
-        F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        labels = components(j.keep(links.union(j.hot_links(hot, labels, sets)), "all-links"), f"{j.at}/components-2")
+    return j, {"members": members, "nodes": nodes, "hot": hot, "sets": sets, "links": links, "labels": labels}
+
+
+def spread_join(rows: DataFrame, keyed: DataFrame, key: str, n: str) -> DataFrame:
+    """``rows`` with the columns of ``keyed``, which has a row for each key and in ``n`` the number of its rows.
+
+    Keys of more than one in ``HEAVY`` rows, fewer than ``HEAVY`` of them, are broadcast, so their rows
+    stay where they are; the others shuffle."""
+    total = keyed.agg(F.sum(n)).first()[0] or 0
+    heavy = F.broadcast(keyed.where(F.col(n) * HEAVY > total).drop(n))
+    light = keyed.where(F.col(n) * HEAVY <= total).drop(n)
+    return rows.join(heavy, key).unionByName(rows.join(heavy.select(key), key, "left_anti").join(light, key))
+
+
+def _named(j: _Join, t: dict[str, DataFrame], degrees: DataFrame | None = None) -> DataFrame:
+    """The result: members with the smallest id of their component and, given degrees, their links."""
+    placed = j.keep(t["nodes"].join(t["labels"], "node", "left"), "placed")
+    alone = placed.where("label is null").withColumn("component_id", F.col("doc_id"))
+    linked = placed.where("label is not null")
+    lowest = j.keep(linked.groupBy("label").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("n")), "lowest")
+    found = alone.unionByName(spread_join(linked, lowest, "label", "n")).select("node", "copies", "component_id")
+    if degrees is not None:
+        found = found.join(degrees, "node", "left").withColumn("n_links", F.col("copies") - 1 + F.coalesce("n_links", F.lit(0)))
+    members = t["members"]
+    out = spread_join(members.where("node is not null"), j.keep(found, "named"), "node", "copies")
+    none = members.where("node is null").withColumn("component_id", F.col("doc_id"))
+    if degrees is not None:
+        none = none.withColumn("n_links", F.lit(0).cast("bigint"))
+    out = out.unionByName(none).withColumnRenamed("size", "n_shingles")
+    return out.select("doc_id", "n_shingles", "component_id", *(["n_links"] if degrees is not None else []))
+
+
+def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``doc_id``, ``n_shingles`` and ``component_id`` (the smallest doc_id reachable by links of a
+    Jaccard similarity of at least ``num / den`` over distinct word shingles)."""
+    return _named(*_joined(docs, words, num, den))
+
+
+def jaccard_join(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """As :func:`jaccard_components`, with ``n_links``: to how many other documents each one links."""
+    j, t = _joined(docs, words, num, den)
+    return _named(j, t, j.degrees(t))

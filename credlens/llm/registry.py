@@ -51,7 +51,7 @@ def op8_piecewise_hash(spark, sf_dir):
 
 
 def op9_ngram_jaccard(spark, sf_dir):
-    return jaccard.jaccard_components(documents(spark, sf_dir), words=3, num=90, den=100)
+    return jaccard.jaccard_join(documents(spark, sf_dir), words=3, num=90, den=100)
 
 
 def op10_toxicity_lexicon(spark, sf_dir):
@@ -144,7 +144,8 @@ links AS (
 reach(doc_id, other) AS (
   SELECT doc_id, doc_id FROM documents
   UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a)
-SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, min(r.other) AS component_id
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, min(r.other) AS component_id,
+  (SELECT count(*) FROM links WHERE a = d.doc_id)::BIGINT AS n_links
 FROM documents d JOIN reach r ON d.doc_id = r.doc_id LEFT JOIN sizes s ON d.doc_id = s.doc_id
 GROUP BY d.doc_id, s.n""",
     "op11_merkle_manifest": f"""

@@ -71,8 +71,46 @@ def test_hot_block_without_links(spark):
     assert sorted((str(r[0]), r[1], str(r[2])) for r in got) == brute(rows, 3, 90, 100)
 
 
+def brute_links(rows, n, num, den):
+    """Number of other rows that each row links with, all pairs one by one."""
+    sets = [shingles(t, n) for _, t in rows]
+    out = [0] * len(rows)
+    for i, a in enumerate(sets):
+        for k in range(i):
+            c = len(a & sets[k])
+            if c and den * c >= num * (len(a) + len(sets[k]) - c):
+                out[i] += 1
+                out[k] += 1
+    return sorted((str(d), len(s), k) for (d, _), s, k in zip(rows, sets, out, strict=True))
+
+
+@pytest.mark.parametrize("n, num, den, block", [(3, 90, 100, 512), (5, 80, 100, 40), (1, 50, 100, 40), (2, 100, 100, 40)])
+def test_number_of_links_equals_brute_force(spark, monkeypatch, n, num, den, block):
+    """Hot groups of near copies, cold pairs, exact copies; blocks smaller than the groups as well."""
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    random.seed(12)
+    words = [f"h{i}" for i in range(3000)]
+    base = [random.choice(words) for _ in range(200)]
+    rows = planted() + [(2000 + i, " ".join(base[:random.randint(150, 200)])) for i in range(150)]
+    rows += [(3000 + i, " ".join(random.choice(words) if random.random() < .01 else w for w in base)) for i in range(100)]
+    rows += [(4000 + i, rows[3 * i][1]) for i in range(40)]
+    got = jaccard.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), n, num, den).collect()
+    assert sorted((str(r["doc_id"]), r["n_shingles"], r["n_links"]) for r in got) == brute_links(rows, n, num, den)
+    assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in got) == brute(rows, n, num, den)
+
+
+def test_hot_group_of_copies_stays_in_place(spark):
+    """One text for a third of all rows: its rows are joined by broadcast, and all link with each other."""
+    rows = [(i, "the very same text again and again") for i in range(400)] + [(1000 + i, f"text {i} of its own {i}") for i in range(800)]
+    got = {r["doc_id"]: (r["component_id"], r["n_links"]) for r in
+           jaccard.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90, 100).collect()}
+    assert all(got[i] == (0, 399) for i in range(400)) and all(got[1000 + i] == (1000 + i, 0) for i in range(800))
+
+
 def test_jaccard_empty_table(spark):
-    assert jaccard.jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert jaccard.jaccard_components(empty).count() == 0
+    assert jaccard.jaccard_join(empty).count() == 0
 
 
 def test_op9_query(spark):
