@@ -10,11 +10,12 @@ Reading parses the files record by record, by Content-Length.  Each file gives a
 captures sorted by URL key, time and id; runs are kept as tables in shared storage.  The index
 is then merged: each task gets one key range of all runs and merges them with a loser tree, so
 all ranges together list every URL's captures in global order, and a URL with very many
-captures may span ranges.
+captures may span ranges.  A range holds about ``RANGE_ROWS`` captures however many there are.
 
 Null html is an empty payload; null urls have an empty key; null ids are written as ``none``
 and never become the record that others refer to (a payload that only such rows have: all
-``response``).  Equal rows give equal records.  An empty table gives an empty index.
+``response``).  Equal rows give equal records; captures of one key, time and id follow by file and offset.  Very long
+payloads are in files of few records.  An empty table gives an empty index.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -34,8 +35,11 @@ from credlens.session import shared_dir
 
 #: Smaller payloads are always stored in full.
 REVISIT_BYTES = 1000
-#: Records in one file at most: a file is read by one task.
-FILE_RECORDS = 20_000
+#: (Largest payload in bytes, records in one file): one task reads a file as one value, so a file holds about a
+#: gigabyte before compression at most, and larger pages have files of their own.
+FILES = ((1 << 17, 8000), (1 << 23, 128), (1 << 62, 1))
+#: Captures in one key range of the merge, about; bounds a task's memory.
+RANGE_ROWS = 50_000
 PROFILE = "http://netpreservefoundation.org/warc/1.1/revisit/identical-payload-digest"
 EPOCH = 1_577_836_800
 
@@ -80,9 +84,17 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
 
 def write(pages: DataFrame, path: str, **columns) -> str:
-    """Write the archives under ``path``; returns it."""
-    (records(pages, **columns).write.option("lineSep", "\r\n\r\n").option("compression", "gzip")
-     .option("maxRecordsPerFile", FILE_RECORDS).text(path))
+    """Write the archives under ``path``, a folder for each class of payload sizes; returns it.
+
+    Equal payloads are of one class, so each class finds its revisits alone."""
+    size = F.coalesce(F.octet_length(columns.get("html_col", "html")), F.lit(0))
+    largest, low = pages.agg(F.max(size)).first()[0] or 0, -1
+    for high, n in FILES:
+        (records(pages.where((size > low) & (size <= high)), **columns).write.option("lineSep", "\r\n\r\n")
+         .option("compression", "gzip").option("maxRecordsPerFile", n).text(f"{path}/up-to-{high}"))
+        low = high
+        if largest <= high:
+            break
     return path
 
 
@@ -230,7 +242,7 @@ def write_runs(spark: SparkSession, path: str, runs: str) -> str:
     prepare(spark)
     fields = schema_of(CAPTURE + ", run string, run_no bigint")
     types = arrow_schema(fields)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", True).load(path).select("path", "content")
 
     def run(batches):
         for batch in batches:
@@ -250,15 +262,17 @@ def merge_runs(spark: SparkSession, runs: str) -> DataFrame:
     names = types.names
 
     def merge(batches):
-        parts: dict[str, list] = {}
+        # The rows of a run follow each other in its own order: the partition is sorted so.
+        runs, last = [], None
         for batch in batches:
-            cols = [batch.column(n).to_pylist() for n in [*names, "run", "run_no"]]
-            for *row, run, no in zip(*cols, strict=True):
-                parts.setdefault(run, []).append((no, tuple(row)))
-        # A shuffle may deliver the blocks of a run in any order: restore its own.
-        ordered = [[row for _, row in sorted(rows, key=lambda x: x[0])] for _, rows in sorted(parts.items())]
+            cols = [batch.column(n).to_pylist() for n in [*names, "run"]]
+            for *row, run in zip(*cols, strict=True):
+                if run != last:
+                    runs.append([])
+                    last = run
+                runs[-1].append(tuple(row))
         out = []
-        for row in LoserTree(ordered):
+        for row in LoserTree(runs):
             out.append(row)
             if len(out) == 10_000:
                 yield _batch(out, types)
@@ -266,8 +280,10 @@ def merge_runs(spark: SparkSession, runs: str) -> DataFrame:
         if out:
             yield _batch(out, types)
 
-    dealt = spark.read.schema(schema_of(CAPTURE + ", run string, run_no bigint")).parquet(runs).repartitionByRange(
-        "urlkey", "captured", F.col("page_id").asc_nulls_first(), "file", "record_offset")
+    found = spark.read.schema(schema_of(CAPTURE + ", run string, run_no bigint")).parquet(runs)
+    n = max(1, -(-found.count() // RANGE_ROWS))
+    dealt = found.repartitionByRange(
+        n, "urlkey", "captured", F.col("page_id").asc_nulls_first(), "file", "record_offset").sortWithinPartitions("run", "run_no")
     return dealt.mapInArrow(merge, fields)
 
 

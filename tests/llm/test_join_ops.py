@@ -218,6 +218,21 @@ def test_warc_round_trip(spark):
     assert warc.archive_and_index(df.limit(0)).count() == 0
 
 
+def test_warc_long_payloads_and_ranges(spark, monkeypatch):
+    """Payloads of every size class, and one address that spans many key ranges."""
+    monkeypatch.setattr(warc, "FILES", ((1500, 8), (4000, 2), (1 << 62, 1)))
+    monkeypatch.setattr(warc, "RANGE_ROWS", 7)
+    random.seed(2)
+    rows = [(i, "http://one.site/page", random.choice("abc") * random.choice([3, 1200, 3000, 3000, 300_000])) for i in range(60)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = warc.archive_and_index(df)
+    assert got.rdd.getNumPartitions() > 3
+    keys = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    got = got.collect()
+    assert sorted((tuple(r[k] for k in keys) for r in got), key=str) == expected_captures([(r[0], r[2]) for r in rows])
+    assert [r["page_id"] for r in got] == list(range(60)) and len({r["file"] for r in got if r["payload_bytes"] > 4000}) > 2
+
+
 def test_op3_query(spark):
     pages = [(r["page_id"], r["html"]) for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
     got = registry.op3_warc_index(spark, SF).collect()
