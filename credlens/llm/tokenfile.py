@@ -17,7 +17,9 @@ Shard layout, little-endian, 8-byte aligned::
 A file is a row of shards, each followed by a newline byte: Spark's own writer stores them
 with its commit protocol, to any file system it reaches, so a lost executor leaves no half
 files.  Null ids sort first under a key of their own; null texts are empty; repeated ids are
-consecutive documents of one key, ordered by text.
+consecutive documents of one key, ordered by a hash of their text, equal ones as they were read.  A key of
+very many documents spans shards and files, so no task gathers it; each of these shards indexes its
+own documents.  Very long texts make a shard alone.  An empty table gives no shard.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from credlens.llm.bpe import encoder
-from credlens.llm.common import chunks, prepare, schema_of
+from credlens.llm.common import chunks, prepare, schema_of, stored
 from credlens.session import shared_dir
 
 MAGIC = b"LTOKIDS1"
@@ -190,8 +192,11 @@ def write(df: DataFrame, path: str, tokenizer_file: str, end_id: int = 1, id_col
     prepare(df.sparkSession)
     n = df.agg(F.sum(F.length(text_col))).first()[0] or 0
     parts = min(max(1, math.ceil(n / shard_chars)), MAX_FILES)
-    rows = (df.select(id_col, text_col).repartitionByRange(parts, F.col(id_col).asc_nulls_first())
-            .sortWithinPartitions(F.col(id_col).asc_nulls_first(), F.col(text_col).asc_nulls_first()))
+    # Rows of one id are dealt by a hash of their text, copies of one row by the task that read them.
+    order = [F.col("id").asc_nulls_first(), "hash", "task"]
+    rows = (df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+            .withColumns({"hash": F.xxhash64("text"), "task": F.spark_partition_id()})
+            .repartitionByRange(parts, *order).sortWithinPartitions(*order).select("id", "text"))
 
     def run(batches):
         enc = encoder(tokenizer_file)
@@ -208,10 +213,9 @@ def write(df: DataFrame, path: str, tokenizer_file: str, end_id: int = 1, id_col
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in chunks(texts):
-                # A key never spans two shards: a full shard ends where the id changes.
                 own = [x + end for x in enc.encode(texts[a:b])]
                 for k, x, t in zip(doc_ids[a:b], own, texts[a:b], strict=True):
-                    if chars > shard_chars and k != keys[-1]:
+                    if chars > shard_chars:
                         yield flush()
                         chars = 0
                     keys.append(k)
@@ -275,9 +279,13 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
 
     rows = files.mapInArrow(run, schema_of("file string, shard_no int, n_docs bigint, n_tokens bigint, min_key bigint, "
                                            "max_key bigint, has_null boolean"))
-    # Shards, not documents, meet in this window: a row for tens of megabytes of input.
-    before = Window.orderBy(F.col("min_key").asc_nulls_first(), "file", "shard_no").rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("first_token", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
+    shards_of = stored(rows, new_path(spark, "manifest"))
+    # Files, MAX_FILES at most, meet in one window; the shards of a file in another.
+    ahead = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    files = shards_of.groupBy("file").agg(F.sum("n_tokens").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
+    within = Window.partitionBy("file").orderBy("shard_no").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("before") + F.coalesce(F.sum("n_tokens").over(within), F.lit(0))
+    return shards_of.join(files.select("file", "before"), "file").withColumn("first_token", first).drop("before")
 
 
 def lookup(spark: SparkSession, path: str, keys: list[int]) -> DataFrame:

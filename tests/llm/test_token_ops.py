@@ -106,6 +106,23 @@ def test_token_files(spark):
     assert tokenfile.read(spark, empty).count() == 0
 
 
+def test_token_files_of_one_key(spark):
+    """Most rows have one id, or none: their key spans shards and files, and all of them are found."""
+    rows = [(7, f"text {i} " * 9) for i in range(150)] + [(None, "the same words")] * 100 + [(9, "nine"), (-3, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    path = tokenfile.write(df, tokenfile.new_path(spark, "t"), tokenizer_path(WORD), shard_chars=400)
+    lib = library(WORD)
+    want = sorted((str(i), lib.encode(t or "", add_special_tokens=False).ids + [1]) for i, t in rows)
+    docs = tokenfile.read(spark, path)
+    assert sorted((str(r["doc_id"]), np.frombuffer(r["ids"], "<u4").tolist()) for r in docs.collect()) == want
+    man = tokenfile.manifest(spark, path)
+    assert man.where("min_key = 7").count() > 3 and max(r["n_docs"] for r in man.collect()) < 50
+    placed = docs.join(man.select("file", "shard_no", "first_token"), ["file", "shard_no"]).collect()
+    ends = sorted((r["first_token"] + r["local_start"], r["n_tokens"], r["doc_id"] is not None, r["doc_id"] or 0) for r in placed)
+    assert [e[0] for e in ends] == [0, *np.cumsum([e[1] for e in ends])[:-1].tolist()] and [e[2:] for e in ends] == sorted(e[2:] for e in ends)
+    assert sorted(r["doc_id"] for r in tokenfile.lookup(spark, path, [7, 9]).collect()) == [7] * 150 + [9]
+
+
 def test_op4_query(spark):
     docs = sorted((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
     lib, start, want = library(WORD), 0, []
