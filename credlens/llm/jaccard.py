@@ -56,7 +56,7 @@ COUNTER_BITS = 22
 #: log2 of the bits that tell which documents' rows are needed (1 MB).
 NEED_BITS = 23
 #: Pairs with one row on a side that one task compares; more are salted.
-FAN = 2000
+FAN = 250
 #: A key of more than one in so many rows is joined by broadcast; there are fewer of them than this number.
 HEAVY = 1000
 
