@@ -65,6 +65,18 @@ def give_back() -> None:
         pass
 
 
+def tidy(run: Callable) -> Callable:
+    """A task's function that keeps nothing in its worker: first it frees what another operator kept there,
+    at last it gives back what the task took."""
+    def inside(batches):
+        _KEPT.clear()
+        give_back()
+        yield from run(batches)
+        give_back()
+
+    return inside
+
+
 def schema_of(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from credlens.llm.common import arrow_schema, chunks, prepare, schema_of
+from credlens.llm.common import arrow_schema, chunks, prepare, schema_of, tidy
 from credlens.llm.graph import components
 from credlens.session import shared_dir
 
@@ -207,7 +207,7 @@ class _Join:
                     [pa.nulls(parts, ids_type), pa.nulls(parts, pa.int64()), pa.nulls(parts, pa.int64()),
                      pa.array(range(parts), pa.int32()), pa.array(blocks, pa.binary())], names=fields.names)
 
-        both = self.keep(self.docs.select("doc_id", "text").mapInArrow(run, fields), "scan")
+        both = self.keep(self.docs.select("doc_id", "text").mapInArrow(tidy(run), fields), "scan")
         return both.where("part is null").drop("part", "counts"), both.where("part is not null").select("part", "counts")
 
     def frequencies(self, counts: DataFrame) -> np.ndarray:
@@ -224,7 +224,7 @@ class _Join:
                     [pa.array(list(sums), pa.int32()), pa.array([np.log2(v + 1.0).astype(np.uint8).tobytes() for v in sums.values()], pa.binary())],
                     names=["part", "counts"])
 
-        rows = counts.repartition(64, "part").mapInArrow(add, schema_of("part int, counts binary")).collect()
+        rows = counts.repartition(64, "part").mapInArrow(tidy(add), schema_of("part int, counts binary")).collect()
         out = np.zeros(1 << COUNTER_BITS, np.uint8)
         size = len(out) // 64
         for r in rows:
@@ -257,7 +257,7 @@ class _Join:
                     if cols:
                         yield _arrays(types, column=np.concatenate(cols), node=np.concatenate(nodes), size=np.concatenate(sizes))
 
-        return self.docs.select("text").mapInArrow(run, fields)
+        return self.docs.select("text").mapInArrow(tidy(run), fields)
 
     def products(self, postings: DataFrame) -> DataFrame:
         """kind 0: a pair that shares a column; 1: a hot column's node; 2: a pivot pair of a hot column."""
@@ -316,7 +316,7 @@ class _Join:
                 if out["x"]:
                     yield _arrays(types, **{k: np.concatenate(v) for k, v in out.items()})
 
-        return postings.repartition("column").sortWithinPartitions("column", "size", "node").mapInArrow(run, fields)
+        return postings.repartition("column").sortWithinPartitions("column", "size", "node").mapInArrow(tidy(run), fields)
 
     @staticmethod
     def counted(products: DataFrame) -> DataFrame:
@@ -354,7 +354,7 @@ class _Join:
                             out.append((node, s.tobytes()))
                     yield _frame(out, arrow_schema(row_type))
 
-        sets = self.docs.select("doc_id", "text").mapInArrow(run, row_type).join(needed, "node", "left_semi")
+        sets = self.docs.select("doc_id", "text").mapInArrow(tidy(run), row_type).join(needed, "node", "left_semi")
         return self.keep(sets.dropDuplicates(["node"]), "rows")
 
     def links(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -385,7 +385,7 @@ class _Join:
                             out.append((x, y))
                 yield _frame(out, arrow_schema(fields))
 
-        return both.mapInArrow(compare, fields)
+        return both.mapInArrow(tidy(compare), fields)
 
     def _bitmap(self, ids: DataFrame) -> tuple[bytes, bool]:
         """Fixed number of bits that tell which ids may be wanted; is null wanted?"""
@@ -401,7 +401,7 @@ class _Join:
                                               pa.array([null], pa.bool_())], names=["bits", "has_null"])
 
         out, null = np.zeros((1 << NEED_BITS) // 8, np.uint8), False
-        for r in ids.repartition(16).mapInArrow(mark, schema_of("bits binary, has_null boolean")).toLocalIterator():
+        for r in ids.repartition(16).mapInArrow(tidy(mark), schema_of("bits binary, has_null boolean")).toLocalIterator():
             out |= np.frombuffer(zlib.decompress(r["bits"]), np.uint8)
             null |= r["has_null"]
         return out.tobytes(), null
@@ -454,7 +454,7 @@ class _Join:
             if rows:
                 yield product()
 
-        return groups.select("column", "a", "b", "block", "node", "shingles").mapInArrow(run, fields)
+        return groups.select("column", "a", "b", "block", "node", "shingles").mapInArrow(tidy(run), fields)
 
     def degrees(self, t: dict[str, DataFrame]) -> DataFrame:
         """(node, n_links): links of each node to other nodes, a node of several documents counted as often.
@@ -526,7 +526,7 @@ class _Join:
             if held:
                 yield product()
 
-        return groups.select(*keys, "node", "copies", "first", "shingles").mapInArrow(run, fields)
+        return groups.select(*keys, "node", "copies", "first", "shingles").mapInArrow(tidy(run), fields)
 
 
 def incidence(rows: list[np.ndarray], width: int = 4096):
