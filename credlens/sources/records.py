@@ -48,17 +48,21 @@ def write_failures(records: DataFrame, path: str) -> None:
 
 
 def read_failures(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-07 source: explicit schema, corrupt records dropped.
+    """SRC-07 source: explicit schema, corrupt records dropped, equal records once.
 
-    Line-delimited files (our sink) and pretty-printed one-record files are
-    both accepted: each layout is read with its own mode (the other layout's
-    lines come out malformed and are dropped) and the union is de-duplicated.
+    Line-delimited files (our sink), pretty-printed records and arrays of records are all accepted
+    in one pass: a raw line break never lies inside a JSON string, so a record starts where a line
+    starts with a brace.  Files are cut there by the text source, which splits large ones over
+    tasks; a task holds one record at a time, or one array.
     """
-    def read(multi: bool) -> DataFrame:
-        return (spark.read.schema(FAILURE_SCHEMA).option("multiLine", multi).option("mode", "DROPMALFORMED")
-                .json(path).filter(F.col("text").isNotNull() & F.col("true_label").isNotNull()))
-    both = read(False).unionByName(read(True))
-    return both.dropDuplicates(["text", "timestamp", "predicted_label", "true_label"])
+    chunk = F.regexp_replace("value", r"^[\s\uFEFF]+", "")
+    # The separator took the brace of every record but a file's first.
+    whole = F.when(chunk.startswith('"'), F.concat(F.lit("{"), chunk)).otherwise(chunk)
+    single = F.when(whole.startswith("["), F.from_json(whole, "array<string>")).otherwise(F.array(whole))
+    rows = spark.read.option("lineSep", "\n{").text(path).select(F.explode(single).alias("raw"))
+    parsed = rows.select(F.from_json("raw", f"{FAILURE_SCHEMA}, malformed string", {"columnNameOfCorruptRecord": "malformed"}).alias("r"))
+    good = parsed.select("r.*").where("malformed is null and text is not null and true_label is not null").drop("malformed")
+    return good.dropDuplicates(["text", "timestamp", "predicted_label", "true_label"])
 
 
 # --- SRC-09 / STR-01: headline feeds ------------------------------------------------------

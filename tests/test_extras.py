@@ -1,4 +1,5 @@
 """Corpus ingest/sinks, chunked multi-epoch training, review queue, report helpers."""
+import json
 import math
 import os
 import tempfile
@@ -78,6 +79,34 @@ def test_failure_records_roundtrip(spark):
     assert math.isclose(back["some text"].confidence, 0.9)
 
 
+def test_failure_reader_layouts(spark, tmp_path):
+    """One pass over every layout: lines, pretty records, arrays, CRLF, no last line break, broken records."""
+    def record(text, **more):
+        return {"title": "T {x}", "text": text, "url": None, "predicted_label": 1, "true_label": 0, "confidence": 0.5,
+                "top_contributing_features": ["a", "b"], "failure_reason": "r", "timestamp": 7} | more
+
+    lines = [record("line one\n{ still text }"), record("line two"), record("line two")]
+    files = {
+        "lines.json": "\n".join(json.dumps(r) for r in lines),
+        "crlf.json": "\r\n".join(json.dumps(record(t)) for t in ("crlf one", "crlf two")) + "\r\n",
+        "pretty.json": "\n".join(json.dumps(record(t, extra={"k": [1, {"z": 2}]}), indent=2) for t in ("pretty one", "pretty two")),
+        "array.json": json.dumps([record("array one"), record("array two")], indent=2),
+        "cut.json": json.dumps(record("before the cut")) + "\n" + json.dumps(record("cut off"))[:-1] + "\n" + json.dumps(record("after the cut")),
+        "cut_pretty.json": json.dumps(record("cut off"), indent=2)[:-1],
+        "typed.json": json.dumps(record("wrong type", true_label="no")),
+        "missing.json": json.dumps({"title": "no text", "true_label": 1}) + "\n{}\n\n[]\nnull",
+        "empty.json": "",
+    }
+    for name, content in files.items():
+        (tmp_path / name).write_bytes(content.encode())
+    back = records.read_failures(spark, str(tmp_path)).collect()
+    assert sorted(r.text for r in back) == sorted([
+        "line one\n{ still text }", "line two", "crlf one", "crlf two", "pretty one", "pretty two",
+        "array one", "array two", "before the cut", "after the cut"])
+    assert all((r.title, r.predicted_label, r.true_label, r.confidence, r.top_contributing_features, r.timestamp)
+               == ("T {x}", 1, 0, 0.5, ["a", "b"], 7) for r in back)
+
+
 def test_rules_helpers(spark):
     df = spark.createDataFrame([("Great truth but fake hoax", ["alpha", "beta", "gamma", "delta"], 1.0, 0.3)],
                                "t string, w array<string>, ep double, ld double")
