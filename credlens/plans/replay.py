@@ -37,9 +37,9 @@ class FitState:
         """Clean and count the articles (``DOC_COLUMNS``) of one increment.  Writing it twice changes nothing."""
         tokens = vocab.partition_docs(docs.select(*DOC_COLUMNS)).withColumn("tokens", tx.full_clean_tokens(F.col("text")))
         docs = self._write("docs", increment, tokens.withColumn("clean_text", F.array_join("tokens", " "))).filter(F.size("tokens") > 0)
-        train = docs.filter(F.col("split") == "train").select("doc_id")
-        tf = self._write("tf", increment, vocab.term_frequencies(docs.select("doc_id", "tokens")))
-        self._write("frequencies", increment, vocab.document_frequencies(tf.join(train, "doc_id", "left_semi")))
+        # rows of terms carry their document's label and split: they meet no other table
+        tf = self._write("tf", increment, vocab.term_frequencies(docs, keep=["label", "split"]))
+        self._write("frequencies", increment, vocab.document_frequencies(tf.filter(F.col("split") == "train")))
         dense = self._write("dense", increment, st.with_dense_features(docs, keep=["doc_id", "split"]))
         seen = dense.filter(F.col("split") == "train")
         self._write("ranges", increment, seen.agg(F.count(F.lit(1)).alias("n"), *[F.min(c).alias("mn_" + c) for c in st.FEATURE_COLUMNS],
@@ -60,15 +60,14 @@ class FitState:
         docs = self.docs()
         train = docs.filter(F.col("split") == "train").select("doc_id", "label")
         vocabulary = cut_lineage(vocab.prune_vocabulary(frequencies, n_train, params.vocab))
-        weights_all = cut_lineage(vocab.tfidf(self._read("tf"), vocabulary))
-        chi = vocab.chi2_scores(weights_all.join(train.select("doc_id"), "doc_id", "left_semi"), train)
+        weights_all = cut_lineage(vocab.tfidf(self._read("tf"), vocabulary, keep=["label", "split"]))
+        chi = vocab.chi2_scores(weights_all.filter(F.col("split") == "train"), train)
         selected = cut_lineage(vocab.select_k_best(chi, params.k_best))
         # selected terms: k_best rows at most
-        term_weights = weights_all.join(F.broadcast(selected.select("term")), "term")
-        dense = cut_lineage(vocab.minmax_apply(self._read("dense"), stats, keep=["doc_id"]))
+        term_weights = weights_all.join(F.broadcast(selected.select("term")), "term").select("doc_id", "term", "weight")
+        dense = vocab.minmax_apply(self._read("dense"), stats, keep=["doc_id"])
         hybrid = cut_lineage(linear.hybrid_long(term_weights, dense))
-        weights = cut_lineage(linear.fit_logistic(hybrid.join(train.select("doc_id"), "doc_id", "left_semi"), train,
-                                                  steps=params.steps, eta=params.eta, alpha=params.alpha))
+        weights = cut_lineage(linear.fit_logistic(hybrid, train, steps=params.steps, eta=params.eta, alpha=params.alpha))
         scored = cut_lineage(linear.score(hybrid, weights).join(docs.select("doc_id", "label", "split"), "doc_id"))
         return Fitted(docs, vocabulary, selected, term_weights, dense, hybrid, weights, scored, stats)
 
