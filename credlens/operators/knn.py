@@ -53,18 +53,21 @@ def _with_pivots(df: DataFrame, pivots: np.ndarray, keep: str) -> DataFrame:
     return df.mapInArrow(run, f"id {df.schema['id'].dataType.simpleString()}, v array<double>{kept}, cell int, dc double, pd array<double>")
 
 
-def _nearest_in(v: np.ndarray, ids: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(places, exact distances) of the ``k`` nearest rows of ``v`` to one query; ties by id."""
-    approx = (v * v).sum(1) - 2.0 * (v @ q) + q @ q
-    if len(approx) > k:
+def _nearest_in(v: np.ndarray, norms: np.ndarray, ids: np.ndarray, queries: np.ndarray, k: int):
+    """(places, exact distances) of the ``k`` nearest rows of ``v`` to each query; ties by id.
+
+    One product answers all queries; ``norms`` are the squared lengths of ``v``."""
+    own = (queries * queries).sum(1)
+    approx = norms[None] - 2.0 * (queries @ v.T) + own[:, None]
+    cuts = None
+    if len(v) > k:
         # products lose digits: everything near the k-th candidate is computed again
-        cut = np.partition(approx, k - 1)[k - 1] + 1e-7 * (1.0 + abs(q @ q))
-        places = np.flatnonzero(approx <= cut)
-    else:
-        places = np.arange(len(approx))
-    exact = np.sqrt(((v[places] - q) ** 2).sum(1))
-    order = np.lexsort((ids[places], exact))[:k]
-    return places[order], exact[order]
+        cuts = np.partition(approx, k - 1, axis=1)[:, k - 1] + 1e-7 * (1.0 + own)
+    for i, q in enumerate(queries):
+        places = np.arange(len(v)) if cuts is None else np.flatnonzero(approx[i] <= cuts[i])
+        exact = np.sqrt(((v[places] - q) ** 2).sum(1))
+        order = np.lexsort((ids[places], exact))[:k]
+        yield places[order], exact[order]
 
 
 def _look(asked: DataFrame, cells: DataFrame, sizes: DataFrame, k: int) -> DataFrame:
@@ -85,21 +88,27 @@ def _look(asked: DataFrame, cells: DataFrame, sizes: DataFrame, k: int) -> DataF
                 continue
             at = list(zip(*(batch.column(i).to_pylist() for i in range(3))))
             ids, v, labels = batch.column(3).to_numpy(zero_copy_only=False), _matrix(batch.column(4)), batch.column(5).to_pylist()
-            out = []
-            for i, (cell, number, kind) in enumerate(at):
-                if (cell, number) != key:
-                    key, held, block = (cell, number), [], None
-                if kind == 0:
-                    held.append((ids[i], v[i], labels[i]))
-                    continue
-                if not held:
-                    continue
-                if block is None:
-                    block = np.array([h[0] for h in held], np.int64), np.stack([h[1] for h in held]), [h[2] for h in held]
-                places, d = _nearest_in(block[1], block[0], v[i], k)
-                out += [(int(ids[i]), int(block[0][p]), block[2][p], float(x)) for p, x in zip(places, d)]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
+            i = 0
+            while i < len(at):
+                # a run of rows of one block and kind
+                j = i + 1
+                while j < len(at) and at[j] == at[i]:
+                    j += 1
+                if at[i][:2] != key:
+                    key, held, block = at[i][:2], [], None
+                if at[i][2] == 0:
+                    held.append((ids[i:j], v[i:j], labels[i:j]))
+                elif held:
+                    if block is None:
+                        vectors = np.concatenate([h[1] for h in held])
+                        block = np.concatenate([h[0] for h in held]), vectors, (vectors * vectors).sum(1), [x for h in held for x in h[2]]
+                        held = [()]
+                    for a in range(i, j, QUERIES):
+                        b = min(a + QUERIES, j)
+                        out = [(int(ids[a + n]), int(block[0][p]), block[3][p], float(x))
+                               for n, (places, d) in enumerate(_nearest_in(block[1], block[2], block[0], v[a:b], k)) for p, x in zip(places, d)]
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
+                i = j
 
     return met.mapInArrow(run, "qid bigint, rid bigint, rlabel string, d double")
 
