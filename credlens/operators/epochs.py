@@ -46,7 +46,7 @@ def train(spark: SparkSession, path: str, n_chunks: int, epochs: int, weights: D
             at = f"{path}/weights/{epoch:04d}-{k:06d}"
             if not _done(spark, at):
                 features, labels = chunk(spark, path, k)
-                # one small file: as many rows as there are features
-                linear.online_step(features, labels, weights, eta=eta, alpha=alpha).coalesce(1).write.mode("overwrite").parquet(at)
+                # one small file: as many rows as there are features; the stored features are those of the labels
+                linear.online_step(features, labels, weights, eta=eta, alpha=alpha, matched=True).coalesce(1).write.mode("overwrite").parquet(at)
             weights = spark.read.parquet(at)
     return weights if weights is not None else linear.zero_weights(spark)
