@@ -40,7 +40,7 @@ class FitState:
         # rows of terms carry their document's label and split: they meet no other table
         tf = self._write("tf", increment, vocab.term_frequencies(docs, keep=["label", "split"]))
         self._write("frequencies", increment, vocab.document_frequencies(tf.filter(F.col("split") == "train")))
-        dense = self._write("dense", increment, st.with_dense_features(docs, keep=["doc_id", "split"]))
+        dense = self._write("dense", increment, st.with_dense_features(docs, keep=["doc_id", "split"], tokens="tokens"))
         seen = dense.filter(F.col("split") == "train")
         self._write("ranges", increment, seen.agg(F.count(F.lit(1)).alias("n"), *[F.min(c).alias("mn_" + c) for c in st.FEATURE_COLUMNS],
                                                   *[F.max(c).alias("mx_" + c) for c in st.FEATURE_COLUMNS]))
